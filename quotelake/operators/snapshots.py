@@ -20,15 +20,15 @@ def tag_extraction(df: DataFrame, **constants: str) -> DataFrame:
     return tagged.withColumn(EXTRACTED, F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"))
 
 
-def as_text(df: DataFrame) -> DataFrame:
-    """Every column as a string; nested values as JSON."""
+def text_column(field: T.StructField) -> Column:
+    """One column as a string; nested values as JSON."""
+    if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return F.to_json(field.name).alias(field.name)
+    return F.col(field.name).cast("string").alias(field.name)
 
-    def text(field: T.StructField) -> Column:
-        if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-            return F.to_json(field.name).alias(field.name)
-        return F.col(field.name).cast("string").alias(field.name)
 
-    return df.select(*[text(f) for f in df.schema])
+def as_text(df: DataFrame) -> DataFrame:
+    return df.select(*[text_column(f) for f in df.schema])
 
 
 def parse_snapshot(df: DataFrame, payload: str, schema: T.StructType | str, keys: Sequence[str]) -> DataFrame:

@@ -63,10 +63,14 @@ def widen(df: DataFrame, fields: str, names: Sequence[str]) -> DataFrame:
 def overlay(*maps: Column) -> Column:
     """One map from several; a later map wins, a missing map changes nothing."""
     empty = F.from_json(F.lit("{}"), "map<string,string>")
+
+    def over(below: Column, above: Column) -> Column:
+        kept = F.map_filter(below, lambda key, _: ~F.map_contains_key(above, key))
+        return F.map_concat(kept, above)
+
     merged = F.coalesce(maps[0], empty)
     for later in maps[1:]:
-        top = F.coalesce(later, empty)
-        merged = F.map_concat(F.map_filter(merged, lambda k, _, top=top: ~F.map_contains_key(top, k)), top)
+        merged = over(merged, F.coalesce(later, empty))
     return merged
 
 

@@ -110,7 +110,7 @@ def upsert_keep_last(spark, folder):
 def upsert_partitions(spark, folder):
     """The same upsert through stored (ticker, year) folders, of which only the touched ones are rewritten."""
     path = work_folder(spark, "upsert")
-    write_partitioned(price_history(stored_bars(spark, folder)), path)
+    write_partitioned(price_history(stored_bars(spark, folder)), path, PRICE_HISTORY)
     upsert_partitioned(
         price_history(batch_bars(spark, folder)), path, PRICE_HISTORY, ["ticker", "date"], ["close"]
     )

@@ -116,9 +116,11 @@ def _returns_sql(source: str) -> str:
     r AS (SELECT b.ticker, b.date, b.close / p.close - 1 AS ret FROM b JOIN d ON b.date = d.date
           JOIN b p ON p.ticker = b.ticker AND p.date = d.prior),
     full_days AS (SELECT date FROM r GROUP BY 1 HAVING count(*) = (SELECT count(DISTINCT ticker) FROM b)),
-    k AS (SELECT r.* FROM r JOIN full_days USING (date))
-    SELECT x.ticker AS ticker_a, y.ticker AS ticker_b, {rounded('corr(x.ret, y.ret)')} AS corr
-    FROM k x JOIN k y ON x.date = y.date GROUP BY 1, 2"""
+    k AS (SELECT r.* FROM r JOIN full_days USING (date)),
+    c AS (SELECT x.ticker AS a, y.ticker AS b, corr(x.ret, y.ret) AS corr FROM k x JOIN k y ON x.date = y.date GROUP BY 1, 2),
+    t AS (SELECT DISTINCT ticker FROM b)
+    SELECT x.ticker AS ticker_a, y.ticker AS ticker_b, {rounded('corr')} AS corr
+    FROM t x CROSS JOIN t y LEFT JOIN c ON a = x.ticker AND c.b = y.ticker"""
 
 
 @query(_returns_sql(tb.BARS_TYPE), digits=4)

@@ -82,8 +82,7 @@ def import_predictions(spark: SparkSession, root: str, predictions: DataFrame) -
     dims = [read_gold(spark, root, s) for s in (DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY)]
     accepted, refused = fact_predicted(predictions, *dims, table=stored)
     kept, rejected = materialised(accepted, "accepted"), materialised(refused, "refused")
-    by_date = kept.hint("rebalance", *FACT_PREDICTED.partition)
-    by_date.write.mode("append").partitionBy(*FACT_PREDICTED.partition).parquet(f"{root}/{FACT_PREDICTED.name}")
+    kept.write.mode("append").parquet(f"{root}/{FACT_PREDICTED.name}")
     return rejected
 
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from quotelake.operators.cleaning import clean_prices
 from quotelake.operators.history import LOOKBACK, incremental_indicators
@@ -48,7 +47,6 @@ def refresh_silver(
             [n for n in names if n != "ticker"],
         )
         rewrite_table(merged, path)
-    order = [F.col("close")]
-    upsert_partitioned(price_history(clean), f"{root}/price_history", PRICE_HISTORY, BAR_KEY, order)
+    upsert_partitioned(price_history(clean), f"{root}/price_history", PRICE_HISTORY, BAR_KEY, ["close"])
     upsert_partitioned(technical, f"{root}/technical_indicators", TECHNICAL, BAR_KEY, ["rsi"])
     return True

@@ -118,7 +118,11 @@ FACT_TECHNICAL = TableSpec(
     ),
     **_FACT,
 )
+# Predictions are only ever appended, so they need no folders to replace.
 FACT_PREDICTED = TableSpec(
-    "FactPredictedStockPrices", _columns(**_IDS, PredictionDateId=INT, PredictedPrice=DOUBLE), **_FACT
+    "FactPredictedStockPrices",
+    _columns(**_IDS, PredictionDateId=INT, PredictedPrice=DOUBLE),
+    ("DateId", "TickerId"),
+    tuple(_IDS),
 )
 GOLD_TABLES = (DIM_DATE, DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY, FACT_PRICES, FACT_TECHNICAL, FACT_PREDICTED)

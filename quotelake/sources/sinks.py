@@ -31,6 +31,11 @@ def materialised(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns in the declared types."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+
+
 def _storable(dtype: T.DataType) -> bool:
     if isinstance(dtype, T.ArrayType):
         return _storable(dtype.elementType)
@@ -54,13 +59,15 @@ def save_raw(df: DataFrame, root: str, area: str, kind: str, key: str = "ticker"
     return path
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] = SILVER_PARTITIONS) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, schema: T.StructType, by: Sequence[str] = SILVER_PARTITIONS
+) -> None:
     """Replace a whole table, one folder per partition.
 
     The rebalance hint gathers the rows of a partition into few files and still splits a hot one.
     """
-    writer = df.hint("rebalance", *by).write.option("partitionOverwriteMode", "static")
-    writer.mode("overwrite").partitionBy(*by).parquet(path)
+    rows = conform(df, schema).hint("rebalance", *by)
+    rows.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def _overwrite_touched(df: DataFrame, path: str, by: Sequence[str]) -> None:
@@ -93,10 +100,9 @@ def upsert_partitioned(
 
     Give a stored or materialised batch: it is read more than once.
     """
-    names = schema.fieldNames()
-    stored = touched_partitions(read_table(batch.sparkSession, path, schema), batch, by)
-    merged = upsert(stored.select(*names), batch.select(*names), keys, order)
-    _overwrite_touched(merged, path, by)
+    rows = conform(batch, schema)
+    stored = touched_partitions(read_table(batch.sparkSession, path, schema), rows, by)
+    _overwrite_touched(upsert(conform(stored, schema), rows, keys, order), path, by)
 
 
 def rewrite_table(df: DataFrame, path: str) -> None:
@@ -111,11 +117,10 @@ def load_slices(
 
     Replacing whole dates only writes. Narrower slices first bring along what else the dates hold.
     """
-    names = spec.schema.fieldNames()
-    rows = batch.select(*names)
+    rows = conform(batch, spec.schema)
     if set(slices) != set(spec.partition):
         stored = touched_partitions(read_table(batch.sparkSession, path, spec.schema), rows, spec.partition)
-        rows = replace_slices(stored.select(*names), rows, slices)
+        rows = replace_slices(conform(stored, spec.schema), rows, slices)
     _overwrite_touched(rows, path, spec.partition)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -61,25 +61,40 @@ def price_fences(df: DataFrame, by: Sequence[str] = (), approximate: bool = Fals
 def within_fences(df: DataFrame, by: Sequence[str] = (), approximate: bool = False) -> DataFrame:
     """Drop closes outside the fences (fence values stay).
 
-    Without ``by`` the fences pool the whole batch and reach the scan as scalar subqueries; with ``by``
+    Without ``by`` the fences pool the whole batch and arrive as one scalar subquery; with ``by``
     each group has its own and the few fence rows are joined on.
     """
     fences = price_fences(df, by, approximate)
     if not by:
-        low, high = fences.select("lower_fence").scalar(), fences.select("upper_fence").scalar()
-        return df.where((F.col("close") >= low) & (F.col("close") <= high))
+        both = fences.select(F.struct("lower_fence", "upper_fence")).scalar()
+        return df.where((F.col("close") >= both["lower_fence"]) & (F.col("close") <= both["upper_fence"]))
     joined = df.join(fences, list(by))
     return joined.where(F.col("close").between(F.col("lower_fence"), F.col("upper_fence"))).select(*df.columns)
 
 
+def sound_bars(
+    df: DataFrame, arrival: Sequence[str] = ("extraction_timestamp",), exchange_tz: str | None = None
+) -> DataFrame:
+    """Coerce, drop rows without close or date, keep the first copy of a bar, drop implausible bars.
+
+    ``arrival`` orders copies of a bar; the measures break ties so the choice is repeatable.
+    """
+    typed = drop_missing(coerce_types(df, exchange_tz))
+    once = keep_first(typed, ["date", "ticker"], [*arrival, "open", "high", "low", "close", "volume"])
+    return plausible_bars(once)
+
+
 def clean_prices(
     df: DataFrame,
     arrival: Sequence[str] = ("extraction_timestamp",),
     exchange_tz: str | None = None,
     fences_by: Sequence[str] = (),
+    store: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Coerce, drop rows without close or date, keep the first copy of a bar, drop implausible bars and
-    outliers. ``arrival`` orders copies of a bar; the measures break ties so the choice is repeatable."""
-    typed = drop_missing(coerce_types(df, exchange_tz))
-    once = keep_first(typed, ["date", "ticker"], [*arrival, "open", "high", "low", "close", "volume"])
-    return within_fences(plausible_bars(once), fences_by)
+    """All cleaning rules in order: sound bars, then the fences over them.
+
+    The fences pass over the sound bars before they filter them. ``store`` (write and read back) lets jobs
+    compute the sound bars once.
+    """
+    sound = sound_bars(df, arrival, exchange_tz)
+    return within_fences(sound if store is None else store(sound), fences_by)

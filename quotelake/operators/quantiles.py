@@ -32,52 +32,62 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with a column per named probability, linear between neighbouring ranks.
 
-    Rows are first reduced to (value, count). Counts per bucket locate the ranks asked for, the hit
-    buckets alone are split again, and only the values of the hit parts are put in order. Every ordered
-    step therefore works on a bounded number of buckets, parts or near-equal values. NULLs are left out.
+    The first pass over the column only counts rows per bucket, which combines before the shuffle and
+    locates the ranks asked for. The second pass keeps the rows of the few buckets hit, reduces them to
+    (value, count), splits those buckets again and puts the values of the hit parts in order. No shuffle
+    carries the column, and every ordered step works on a bounded number of buckets, parts or near-equal
+    values. NULLs are left out. Give a stored frame where it is costly to compute twice.
     """
     by = list(by)
-    counted = (
+    rows = (
         df.select(*by, F.col(value).cast("double").alias("_v"))
         .where(F.col("_v").isNotNull())
-        .groupBy(*by, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
         .withColumn("_cell", _cell(F.col("_v")))
     )
 
     in_group = Window.partitionBy(*by)
     before = Window.unboundedPreceding
-    cells = counted.groupBy(*by, "_cell").agg(
-        F.sum("_n").alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
+    cells = rows.groupBy(*by, "_cell").agg(
+        F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
     cells = cells.withColumns({
         "_start": F.sum("_size").over(in_group.orderBy("_cell").rowsBetween(before, 0)) - F.col("_size"),
         "_last": F.sum("_size").over(in_group) - 1,
     })
     wanted = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank((F.col("_last") * p)).alias("rank"))
+        F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank(F.col("_last") * p).alias("rank"))
         for name, p in probabilities.items()
         for side, rank in (("low", F.floor), ("high", F.ceil))
     ])
-    cells = cells.withColumn("_ranks", _inside(wanted, F.col("_start"), F.col("_size"))).where(F.size("_ranks") > 0)
+    hits = (
+        cells.withColumn("_ranks", _inside(wanted, F.col("_start"), F.col("_size")))
+        .where(F.size("_ranks") > 0)
+        .drop("_size")
+    )
 
-    # Values of the hit cells, and the hit parts among them.
-    hit = counted.join(cells.drop("_size"), [*by, "_cell"]).withColumn(
-        "_part", _part(F.col("_v"), F.col("_low"), F.col("_high"))
+    # Values of the hit cells with their counts, and the hit parts among them.
+    counted = (
+        rows.join(hits, [*by, "_cell"])
+        .withColumn("_part", _part(F.col("_v"), F.col("_low"), F.col("_high")))
+        .groupBy(*by, "_cell", "_part", "_v")
+        .agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.first("_start").alias("_start"),
+            F.first("_last").alias("_last"),
+            F.first("_ranks").alias("_ranks"),
+        )
     )
     in_cell = Window.partitionBy(*by, "_cell").orderBy("_part").rowsBetween(before, 0)
     parts = (
-        hit.groupBy(*by, "_cell", "_part")
+        counted.groupBy(*by, "_cell", "_part")
         .agg(F.sum("_n").alias("_size"), F.first("_start").alias("_start"), F.first("_ranks").alias("_ranks"))
         .withColumn("_begin", F.col("_start") + F.sum("_size").over(in_cell) - F.col("_size"))
-        .withColumn("_ranks", _inside(F.col("_ranks"), F.col("_begin"), F.col("_size")))
-        .where(F.size("_ranks") > 0)
-        .select(*by, "_cell", "_part", "_begin", "_ranks")
+        .where(F.size(_inside(F.col("_ranks"), F.col("_begin"), F.col("_size"))) > 0)
+        .select(*by, "_cell", "_part", "_begin")
     )
     in_part = Window.partitionBy(*by, "_cell", "_part").orderBy("_v").rowsBetween(before, 0)
     found = (
-        hit.select(*by, "_cell", "_part", "_v", "_n", "_last")
-        .join(parts, [*by, "_cell", "_part"])
+        counted.join(parts, [*by, "_cell", "_part"])
         .withColumn("_at", F.col("_begin") + F.sum("_n").over(in_part) - F.col("_n"))
         .select(*by, "_v", "_last", F.explode(_inside(F.col("_ranks"), F.col("_at"), F.col("_n"))).alias("_r"))
     )

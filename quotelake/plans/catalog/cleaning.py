@@ -12,6 +12,7 @@ from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.registry import query, rounded_as
 from quotelake.plans.catalog.indicators import INDICATORS_SQL
 from quotelake.sources.files import union_by_name
+from quotelake.sources.sinks import materialised
 
 NUMBER = "CASE WHEN NOT isnan(TRY_CAST({c} AS DOUBLE)) THEN TRY_CAST({c} AS DOUBLE) END AS {c}"
 NUMBERS = ", ".join(NUMBER.format(c=c) for c in ("open", "high", "low", "close", "volume"))
@@ -42,8 +43,13 @@ def typed(spark, folder):
     return cleaning.coerce_types(tb.dirty_bars(spark, folder)).withColumn("date", F.to_date("date"))
 
 
+def stored_bars(spark, folder):
+    """Bars written once, for queries that pass over them more than once."""
+    return materialised(tb.bars_by_type(spark, folder), "bars")
+
+
 def clean_bars(spark, folder):
-    return cleaning.within_fences(tb.bars_by_type(spark, folder))
+    return cleaning.within_fences(stored_bars(spark, folder))
 
 
 @query(tb.BARS_TYPE)
@@ -87,7 +93,7 @@ def iqr_filter_global(spark, folder):
 
 @query(fenced(tb.BARS_TYPE, "ticker"))
 def iqr_filter_by_ticker(spark, folder):
-    return cleaning.within_fences(tb.bars_by_type(spark, folder), ["ticker"])
+    return cleaning.within_fences(stored_bars(spark, folder), ["ticker"])
 
 
 @query(
@@ -96,7 +102,7 @@ def iqr_filter_by_ticker(spark, folder):
     digits=4,
 )
 def quantiles_by_ticker(spark, folder):
-    bars = tb.bars_by_type(spark, folder)
+    bars = stored_bars(spark, folder)
     return cleaning.exact_quantiles(bars, "close", {"p05": 0.05, "p50": 0.5, "p95": 0.95}, ["ticker"])
 
 
@@ -129,7 +135,7 @@ def duplicates_removed(spark, folder):
 @query(f"SELECT {BAR} FROM ({fenced(f'SELECT * FROM ({DEDUPED}) WHERE {PLAUSIBLE}')})")
 def clean_prices(spark, folder):
     """All cleaning steps in order."""
-    clean = cleaning.clean_prices(tb.dirty_bars(spark, folder)).withColumn("date", F.to_date("date"))
+    clean = cleaning.clean_prices(tb.dirty_bars(spark, folder), store=materialised).withColumn("date", F.to_date("date"))
     return clean.select(*[F.col(c).alias(c) for c in BAR.split(", ")])
 
 

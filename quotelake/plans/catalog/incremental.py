@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quotelake.operators import cleaning, history, merge
+from quotelake.operators import history, merge
 from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import INDICATORS_SQL, fenced_bars
@@ -13,7 +13,7 @@ from quotelake.plans.silver import refresh_silver
 from quotelake.schemas import BRONZE_PRICES, PRICE_HISTORY, TECHNICAL
 from quotelake.session import work_folder
 from quotelake.sources.files import newest_file_time, read_table, scan_new_files
-from quotelake.sources.sinks import upsert_partitioned, write_partitioned
+from quotelake.sources.sinks import materialised, upsert_partitioned, write_partitioned
 from quotelake.streaming.silver_stream import stream_silver
 
 # Where the stored history ends and where the batch begins; they overlap by a month.
@@ -24,13 +24,19 @@ BATCH_SQL = f"""SELECT * REPLACE (close + 1 AS close) FROM ({tb.BARS_TYPE})
     WHERE date >= DATE '{BATCH_FROM}' AND length(ticker) <> 5"""
 
 
-def stored_bars(spark, folder):
-    return tb.bars_by_type(spark, folder).where(F.col("date") < F.lit(STORED_TO).cast("date"))
+def stored(bars):
+    return bars.where(F.col("date") < F.lit(STORED_TO).cast("date"))
 
 
-def batch_bars(spark, folder):
-    bars = tb.bars_by_type(spark, folder).where(F.length("ticker") != 5)
-    return bars.where(F.col("date") >= F.lit(BATCH_FROM).cast("date")).withColumn("close", F.col("close") + 1)
+def arriving(bars):
+    fresh = bars.where((F.length("ticker") != 5) & (F.col("date") >= F.lit(BATCH_FROM).cast("date")))
+    return fresh.withColumn("close", F.col("close") + 1)
+
+
+def both(spark, folder):
+    """The stored table and the batch, from bars written once."""
+    bars = materialised(tb.bars_by_type(spark, folder), "bars")
+    return stored(bars), arriving(bars)
 
 
 @query(f"SELECT * FROM ({tb.BARS_TYPE}) WHERE date > DATE '{STORED_TO}'")
@@ -43,21 +49,23 @@ def highwater_filter(spark, folder):
     WHERE last_date IS NULL OR date > last_date""")
 def highwater_by_ticker(spark, folder):
     """Tickers without a watermark keep their whole history."""
-    known = stored_bars(spark, folder).where(F.length("ticker") != 5)
+    bars = materialised(tb.bars_by_type(spark, folder), "bars")
+    known = stored(bars).where(F.length("ticker") != 5)
     marks = known.groupBy("ticker").agg(F.max("date").alias("last_date"))
-    return history.after_ticker_watermarks(tb.bars_by_type(spark, folder), marks)
+    return history.after_ticker_watermarks(bars, marks)
 
 
 @query(f"SELECT greatest(max(date), DATE '{BATCH_FROM}') AS last_date FROM ({STORED_SQL})")
 def watermark_next(spark, folder):
-    return history.next_watermark(stored_bars(spark, folder), F.lit(BATCH_FROM).cast("date"))
+    return history.next_watermark(stored(tb.bars_by_type(spark, folder)), F.lit(BATCH_FROM).cast("date"))
 
 
 @query(f"""SELECT ticker, max(date) AS last_date FROM
     (SELECT ticker, date FROM ({STORED_SQL}) UNION ALL SELECT ticker, date FROM ({BATCH_SQL})) GROUP BY 1""")
 def watermarks_by_ticker(spark, folder):
-    marks = stored_bars(spark, folder).groupBy("ticker").agg(F.max("date").alias("last_date"))
-    return history.next_ticker_watermarks(batch_bars(spark, folder), marks)
+    table, batch = both(spark, folder)
+    marks = table.groupBy("ticker").agg(F.max("date").alias("last_date"))
+    return history.next_ticker_watermarks(batch, marks)
 
 
 LOOKBACK_SQL = f"""SELECT h.* FROM ({STORED_SQL}) h
@@ -67,7 +75,7 @@ LOOKBACK_SQL = f"""SELECT h.* FROM ({STORED_SQL}) h
 
 @query(LOOKBACK_SQL)
 def lookback_tail(spark, folder):
-    return history.lookback(stored_bars(spark, folder), batch_bars(spark, folder))
+    return history.lookback(*both(spark, folder))
 
 
 @query(f"""SELECT * FROM ({tb.BARS_TYPE})
@@ -79,7 +87,7 @@ def tail_rows(spark, folder):
 @query(f"""SELECT s.* FROM ({STORED_SQL}) s
     WHERE EXISTS (SELECT 1 FROM ({BATCH_SQL}) b WHERE b.ticker = s.ticker AND b.date = s.date)""")
 def batch_dates_semi(spark, folder):
-    return history.in_batch(stored_bars(spark, folder), batch_bars(spark, folder))
+    return history.in_batch(*both(spark, folder))
 
 
 _RUNUP = f"""SELECT ticker, date, open, high, low, close, volume FROM ({LOOKBACK_SQL})
@@ -90,7 +98,7 @@ _INDICATORS = {c: c for c in ("sma_20", "sma_50", "atr", "rsi", "macd", "bb_uppe
 @query(f"""SELECT ticker, date, {rounded_as(4, **_INDICATORS)} FROM ({INDICATORS_SQL(_RUNUP)})
     WHERE date >= DATE '{BATCH_FROM}'""", digits=4)
 def incremental_indicators(spark, folder):
-    done = history.incremental_indicators(stored_bars(spark, folder), batch_bars(spark, folder), digits=None)
+    done = history.incremental_indicators(*both(spark, folder), digits=None)
     return done.select("ticker", "date", *_INDICATORS)
 
 
@@ -101,7 +109,7 @@ UPSERT_SQL = f"""SELECT ticker, date, open, high, low, close, volume FROM (
 
 @query(UPSERT_SQL)
 def upsert_keep_last(spark, folder):
-    return merge.upsert(stored_bars(spark, folder), batch_bars(spark, folder), ["ticker", "date"], ["close"])
+    return merge.upsert(*both(spark, folder), ["ticker", "date"], ["close"])
 
 
 @query(f"""SELECT ticker, date, CAST(year(date) AS INTEGER) AS year,
@@ -110,10 +118,9 @@ def upsert_keep_last(spark, folder):
 def upsert_partitions(spark, folder):
     """The same upsert through stored (ticker, year) folders, of which only the touched ones are rewritten."""
     path = work_folder(spark, "upsert")
-    write_partitioned(price_history(stored_bars(spark, folder)), path, PRICE_HISTORY)
-    upsert_partitioned(
-        price_history(batch_bars(spark, folder)), path, PRICE_HISTORY, ["ticker", "date"], ["close"]
-    )
+    table, batch = both(spark, folder)
+    write_partitioned(price_history(table), path, PRICE_HISTORY)
+    upsert_partitioned(price_history(batch), path, PRICE_HISTORY, ["ticker", "date"], ["close"])
     return read_table(spark, path, PRICE_HISTORY).withColumn("date", F.to_date("date"))
 
 
@@ -121,14 +128,14 @@ def upsert_partitions(spark, folder):
     UNION ALL SELECT * FROM ({BATCH_SQL})""")
 def slice_replace(spark, folder):
     """Whole dates are replaced, so tickers the batch lacks leave the touched dates."""
-    return merge.replace_slices(stored_bars(spark, folder), batch_bars(spark, folder), ["date"])
+    return merge.replace_slices(*both(spark, folder), ["date"])
 
 
 @query(f"""SELECT * FROM ({STORED_SQL}) s
     WHERE NOT EXISTS (SELECT 1 FROM ({BATCH_SQL}) b WHERE b.date = s.date AND b.ticker = s.ticker)
     UNION ALL SELECT * FROM ({BATCH_SQL})""")
 def slice_replace_by_ticker(spark, folder):
-    return merge.replace_slices(stored_bars(spark, folder), batch_bars(spark, folder), ["date", "ticker"])
+    return merge.replace_slices(*both(spark, folder), ["date", "ticker"])
 
 
 _MEMBERS = "SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, c_acctbal AS balance FROM customer"
@@ -195,8 +202,7 @@ def new_files_scan(spark, folder):
     newest = newest_file_time(spark.read.schema(BRONZE_PRICES).parquet(path))
     fresh = scan_new_files(spark, path, "*.parquet", BRONZE_PRICES, "1970-01-01 00:00:00")
     none = scan_new_files(spark, path, "*.parquet", BRONZE_PRICES, newest)
-    both = fresh.unionAll(none)
-    return both.select(
+    return fresh.unionAll(none).select(
         "ticker",
         F.to_date("Date").alias("date"),
         *[F.col(c).alias(c) for c in ("open", "high", "low", "close", "volume")],

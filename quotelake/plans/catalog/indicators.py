@@ -6,6 +6,7 @@ from quotelake.operators import cleaning
 from quotelake.operators.indicators import compute_indicators, with_signals
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.registry import query, rounded_as
+from quotelake.sources.sinks import materialised
 
 _W = "OVER (PARTITION BY ticker ORDER BY date)"
 
@@ -61,9 +62,13 @@ def _pick(*names: str) -> str:
     return f"SELECT ticker, date, {rounded_as(4, **{n: n for n in names})} FROM ({ALL})"
 
 
+def clean_bars(spark, folder):
+    """Bars inside the fences. The bars are written once, as both steps pass over them repeatedly."""
+    return cleaning.within_fences(materialised(tb.bars_by_type(spark, folder), "bars"))
+
+
 def indicators(spark, folder, *names):
-    clean = cleaning.within_fences(tb.bars_by_type(spark, folder))
-    return compute_indicators(clean, digits=None, details=True).select("ticker", "date", *names)
+    return compute_indicators(clean_bars(spark, folder), digits=None, details=True).select("ticker", "date", *names)
 
 
 @query(_pick("sma_20", "sma_50"), digits=4)
@@ -110,7 +115,7 @@ _ROUNDED = {
 @query(f"SELECT ticker, date, volume, {rounded_as(2, **_ROUNDED)} FROM ({ALL})")
 def indicators_full(spark, folder):
     """The whole set at two decimals, as the silver table stores it."""
-    return compute_indicators(cleaning.within_fences(tb.bars_by_type(spark, folder)))
+    return compute_indicators(clean_bars(spark, folder))
 
 
 @query(f"""SELECT ticker, date,
@@ -118,5 +123,4 @@ def indicators_full(spark, folder):
            CASE WHEN macd >= 0 THEN 'positive' ELSE 'negative' END AS macd_sign
            FROM (SELECT ticker, date, {rounded_as(2, rsi='rsi', macd='macd')} FROM ({ALL}))""")
 def rsi_zone_macd_sign(spark, folder):
-    clean = cleaning.within_fences(tb.bars_by_type(spark, folder))
-    return with_signals(compute_indicators(clean)).select("ticker", "date", "rsi_zone", "macd_sign")
+    return with_signals(compute_indicators(clean_bars(spark, folder))).select("ticker", "date", "rsi_zone", "macd_sign")

@@ -167,7 +167,7 @@ def profile_columns(spark, folder):
     return profile.profile(orders)
 
 
-@query("SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity LIMIT 5")
+@query("SELECT * FROM lineitem ORDER BY l_orderkey, l_linenumber, l_extendedprice, l_quantity LIMIT 5")
 def preview(spark, folder):
     return profile.preview(tb.table(spark, folder, "lineitem"), 5, tb.TRADE_ORDER)
 

@@ -12,6 +12,7 @@ from quotelake.operators.tables import technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import ALL, INDICATORS_SQL
 from quotelake.plans.catalog.registry import query, rounded, rounded_as
+from quotelake.sources.sinks import materialised
 
 _W = "OVER (PARTITION BY ticker ORDER BY date)"
 RETURNS = f"SELECT *, close / lag(close) {_W} - 1 AS ret FROM ({tb.BARS_TYPE})"
@@ -19,7 +20,8 @@ PEAKS = f"SELECT *, max(close) OVER (PARTITION BY ticker ORDER BY date ROWS UNBO
 
 
 def bars(spark, folder):
-    return tb.bars_by_type(spark, folder)
+    """Bars written once, as most reports pass over them more than once."""
+    return materialised(tb.bars_by_type(spark, folder), "bars")
 
 
 @query(f"""SELECT ticker, count(close) AS count, {rounded_as(4, mean='avg(close)', std='stddev_samp(close)',
@@ -42,7 +44,7 @@ def return_volatility(spark, folder):
 
 @query(f"SELECT ticker, {rounded_as(4, close='avg(close)', volume='avg(volume)')} FROM ({tb.BARS_TYPE}) GROUP BY 1", digits=4)
 def feature_means(spark, folder):
-    return analytics.feature_means(bars(spark, folder))
+    return analytics.feature_means(tb.bars_by_type(spark, folder))
 
 
 _30 = "OVER (PARTITION BY ticker ORDER BY date ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"
@@ -105,7 +107,7 @@ def running_peak(spark, folder):
 
 @query(f"SELECT ticker, arg_min(close, date) AS first_close, arg_max(close, date) AS last_close FROM ({tb.BARS_TYPE}) GROUP BY 1")
 def first_last_close(spark, folder):
-    return bars(spark, folder).groupBy("ticker").agg(
+    return tb.bars_by_type(spark, folder).groupBy("ticker").agg(
         F.min_by("close", "date").alias("first_close"), F.max_by("close", "date").alias("last_close")
     )
 
@@ -130,7 +132,7 @@ def returns_correlation(spark, folder):
 
 @query(_returns_sql(tb.BARS_EVENT), digits=4)
 def returns_correlation_events(spark, folder):
-    return analytics.returns_correlation(tb.bars_by_event(spark, folder))
+    return analytics.returns_correlation(materialised(tb.bars_by_event(spark, folder), "bars"))
 
 
 _COLUMNS = analytics.INDICATOR_COLUMNS
@@ -209,4 +211,4 @@ def magnitude_texts(spark, folder):
 @query()
 def kmeans_tickers(spark, folder):
     """Three clusters of suppliers by mean close and volume; labels carry no order."""
-    return analytics.cluster_tickers(tb.bars_by_supplier(spark, folder))
+    return analytics.cluster_tickers(materialised(tb.bars_by_supplier(spark, folder), "bars"))

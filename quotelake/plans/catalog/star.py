@@ -16,7 +16,7 @@ from quotelake.plans.gold import export_star, import_predictions, read_gold, ref
 from quotelake.schemas import DIM_INDUSTRY, DIM_SECTOR, DIM_TICKER, FACT_PREDICTED
 from quotelake.session import work_folder
 from quotelake.sources.files import read_predictions
-from quotelake.sources.sinks import four_decimals, rewrite_table
+from quotelake.sources.sinks import four_decimals, materialised, rewrite_table
 
 
 def _key_sql(name: str) -> str:
@@ -82,8 +82,13 @@ def prices(spark, folder):
     return price_history(tb.bars_by_supplier(spark, folder))
 
 
-def technical(spark, folder):
-    return technical_indicators(compute_indicators(tb.bars_by_supplier(spark, folder)))
+def stored_bars(spark, folder):
+    """Bars written once, for queries that pass over them more than once."""
+    return materialised(tb.bars_by_supplier(spark, folder), "bars")
+
+
+def technical(bars):
+    return technical_indicators(compute_indicators(bars))
 
 
 def dimensions(spark, folder):
@@ -145,7 +150,7 @@ def fact_prices(spark, folder):
 
 @query(TECHNICAL_FACTS)
 def fact_technical(spark, folder):
-    return star.fact_technical(technical(spark, folder), lookup(spark, folder))
+    return star.fact_technical(technical(stored_bars(spark, folder)), lookup(spark, folder))
 
 
 @query(f"""SELECT b.ticker, date, {rounded('close', 2)} AS close, sector, industry
@@ -183,7 +188,7 @@ def predictions(spark, folder):
     day = F.dayofmonth("exportDate")
     m = tb.master(spark, folder)
     p = (
-        tb.bars_by_supplier(spark, folder)
+        stored_bars(spark, folder)
         .select("ticker", F.date_add("date", 7).alias("date"), F.col("date").alias("exportDate"), "close")
         .join(broadcast_if_small(m), "ticker")
         .select(
@@ -230,15 +235,17 @@ def date_get_or_insert(spark, folder):
 
 @query(STAR_PRICES)
 def star_prices(spark, folder):
-    facts = star.fact_prices(prices(spark, folder), lookup(spark, folder))
-    dates = star.dim_date(tb.bars_by_supplier(spark, folder))
+    bars = stored_bars(spark, folder)
+    facts = star.fact_prices(price_history(bars), lookup(spark, folder))
+    dates = star.dim_date(bars)
     return star.export_order(star.denormalised(facts, dates, *dimensions(spark, folder)))
 
 
 @query(STAR_TECHNICAL)
 def star_indicators(spark, folder):
-    facts = star.fact_technical(technical(spark, folder), lookup(spark, folder))
-    dates = star.dim_date(tb.bars_by_supplier(spark, folder))
+    bars = stored_bars(spark, folder)
+    facts = star.fact_technical(technical(bars), lookup(spark, folder))
+    dates = star.dim_date(bars)
     return star.export_order(star.denormalised(facts, dates, *dimensions(spark, folder)))
 
 
@@ -248,8 +255,9 @@ _MONEY = ("OpenPrice", "HighPrice", "LowPrice", "ClosePrice", "AdjustedClosePric
 @query(f"""SELECT * REPLACE ({', '.join(f"printf('%.4f', {c}) AS {c}" for c in _MONEY)}) FROM ({STAR_PRICES})""")
 def csv_export_format(spark, folder):
     """Export rows with four decimals."""
-    facts = star.fact_prices(prices(spark, folder), lookup(spark, folder))
-    dates = star.dim_date(tb.bars_by_supplier(spark, folder))
+    bars = stored_bars(spark, folder)
+    facts = star.fact_prices(price_history(bars), lookup(spark, folder))
+    dates = star.dim_date(bars)
     return four_decimals(star.denormalised(facts, dates, *dimensions(spark, folder)))
 
 
@@ -258,9 +266,11 @@ def csv_export_format(spark, folder):
 def gold_refresh_export(spark, folder):
     """Star load and CSV export on stored tables; the rows written per file."""
     root, target = work_folder(spark, "gold"), work_folder(spark, "export")
-    bars = tb.bars_by_event(spark, folder)
+    bars = materialised(tb.bars_by_event(spark, folder), "bars")
     names = bars.select("ticker").distinct()
-    m = names.select("ticker", F.upper("ticker").alias("company_name"), F.lit("web").alias("sector"), F.lit("clicks").alias("industry"))
+    m = names.select(
+        "ticker", F.upper("ticker").alias("company_name"), F.lit("web").alias("sector"), F.lit("clicks").alias("industry")
+    )
     refresh_gold(spark, root, price_history(bars), technical_indicators(compute_indicators(bars)), m)
     export_star(spark, root, target)
     log = spark.read.schema("file string, rows bigint, exported_at string").json(f"{target}/export_log")

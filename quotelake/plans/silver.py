@@ -31,7 +31,9 @@ def refresh_silver(
     spark = prices.sparkSession
     if prices.isEmpty():
         return False
-    clean = materialised(clean_prices(prices, exchange_tz=exchange_tz, fences_by=fences_by), "clean")
+    clean = materialised(
+        clean_prices(prices, exchange_tz=exchange_tz, fences_by=fences_by, store=materialised), "clean"
+    )
     history = read_table(spark, f"{root}/price_history", PRICE_HISTORY)
     technical = materialised(
         technical_indicators(incremental_indicators(history, clean, lookback)), "technical"

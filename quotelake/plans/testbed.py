@@ -10,18 +10,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+
+
+def _trade_number() -> Column:
+    """The trade order as one exact number: order, line, price in cents, quantity.
+
+    A number keeps the aggregate below hash-based (a struct would force a sort of all trades). Trades that
+    tie on it have the same price.
+    """
+    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    terms = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100 + F.col("l_quantity").cast("bigint")
+    return line.cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + terms.cast("decimal(19,0)")
 
 
 def _daily(trades: DataFrame, ticker: str) -> DataFrame:
-    """Trades to one bar a day; open and close are the first and last trade in a total order."""
+    """Trades to one bar a day; open and close are the first and last trade in the trade order."""
     price = F.col("l_extendedprice") / F.col("l_quantity")
-    first_last: Column = F.struct(*TRADE_ORDER)
+    number = _trade_number()
     return trades.groupBy(F.col(ticker).alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
-        F.min_by(price, first_last).alias("open"),
+        F.min_by(price, number).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, first_last).alias("close"),
+        F.max_by(price, number).alias("close"),
         F.sum("l_quantity").cast("bigint").alias("volume"),
     )
 
@@ -29,14 +40,14 @@ def _daily(trades: DataFrame, ticker: str) -> DataFrame:
 def bars_by_type(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars with the part type as the ticker."""
     parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type")
-    lines = table(spark, folder, "lineitem").select(*TRADE_ORDER, "l_shipdate")
+    lines = table(spark, folder, "lineitem").select(*TRADE_ORDER, "l_partkey", "l_shipdate")
     return _daily(lines.join(parts, "l_partkey"), "p_type")
 
 
 def bars_by_supplier(spark: SparkSession, folder: str) -> DataFrame:
     """Daily bars with the supplier name as the ticker."""
     suppliers = table(spark, folder, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_name")
-    lines = table(spark, folder, "lineitem").select(*TRADE_ORDER, "l_shipdate")
+    lines = table(spark, folder, "lineitem").select(*TRADE_ORDER, "l_suppkey", "l_shipdate")
     return _daily(lines.join(suppliers, "l_suppkey"), "s_name")
 
 
@@ -106,7 +117,7 @@ def dirty_bars(spark: SparkSession, folder: str) -> DataFrame:
     return text.unionByName(copies).drop("n")
 
 
-_TRADE_ROW = "(l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity)"
+_TRADE_ROW = "(l_orderkey, l_linenumber, l_extendedprice, l_quantity)"
 
 
 def _daily_sql(ticker: str, join: str) -> str:

@@ -15,6 +15,7 @@ from quotelake.functions.numeric import growth
 from quotelake.functions.rolling import rolling_std
 from quotelake.operators.quantiles import exact_quantiles
 from quotelake.operators.series import BLOCK, chunked, in_chunk, unchunked, with_block, with_earlier, within_block
+from quotelake.sources.sinks import materialised
 
 # Trading days in a year, rows of the volatility window, clusters and their seed.
 TRADING_DAYS = 252
@@ -148,7 +149,9 @@ def indicator_correlation(technical: DataFrame) -> DataFrame:
 
 def cluster_tickers(prices: DataFrame, k: int = CLUSTERS, seed: int = CLUSTER_SEED, scaled: bool = False) -> DataFrame:
     """K-means over the mean close and volume per ticker. Labels are arbitrary numbers."""
-    features = VectorAssembler(inputCols=["close", "volume"], outputCol="raw").transform(feature_means(prices))
+    # The iterations read the stored means, one row per ticker, and not the bars.
+    means = materialised(feature_means(prices), "features")
+    features = VectorAssembler(inputCols=["close", "volume"], outputCol="raw").transform(means)
     if scaled:
         scaler = StandardScaler(inputCol="raw", outputCol="features", withMean=True)
         features = scaler.fit(features).transform(features)

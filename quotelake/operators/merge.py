@@ -87,23 +87,21 @@ def split_valid(
     for name in dict.fromkeys([*keys, *required]):
         reason = F.when(F.col(name).isNull(), F.lit(f"missing: {name}")).otherwise(reason)
 
-    # Identical rows collapse to one with a count, so a hot key never travels row by row.
-    checked = (
-        batch.withColumn("reason", reason).groupBy(*columns, "reason").agg(F.count(F.lit(1)).alias("copies"))
-    )
+    judged = batch.withColumn("reason", reason)
     if table is not None:
         held = table.select(*keys).distinct().withColumn("_held", F.lit(True))
-        checked = (
-            checked.join(held, list(keys), "left")
+        judged = (
+            judged.join(held, list(keys), "left")
             .withColumn("reason", F.coalesce("reason", F.when(F.col("_held"), F.lit("key exists"))))
-            .select(*columns, "reason", "copies")
+            .select(*columns, "reason")
         )
-    sound = checked.where(F.col("reason").isNull())
     rest = [c for c in columns if c not in order]
-    accepted = keep_first(sound.select(*columns), keys, [*order, *rest])
+    accepted = keep_first(judged.where(F.col("reason").isNull()).select(*columns), keys, [*order, *rest])
 
+    # Identical rows collapse to one with a count, so copies of a hot key never travel row by row.
+    checked = judged.groupBy(*columns, "reason").agg(F.count(F.lit(1)).alias("copies"))
     first = accepted.select(*keys, F.struct(*columns).alias("_first"))
-    spare = sound.join(first, list(keys)).withColumn(
+    spare = checked.where(F.col("reason").isNull()).drop("reason").join(first, list(keys)).withColumn(
         "copies", F.col("copies") - F.when(F.struct(*columns).eqNullSafe(F.col("_first")), 1).otherwise(0)
     )
     duplicates = spare.where(F.col("copies") > 0).select(*columns, F.lit("duplicate key").alias("reason"), "copies")

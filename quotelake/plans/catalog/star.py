@@ -92,12 +92,13 @@ def technical(bars):
 
 
 def dimensions(spark, folder):
+    """The three keyed dimensions, stored as a load would find them."""
     m = tb.master(spark, folder)
-    return star.dim_ticker(m), star.dim_sector(m), star.dim_industry(m)
+    return [materialised(dim, "dimension") for dim in (star.dim_ticker(m), star.dim_sector(m), star.dim_industry(m))]
 
 
-def lookup(spark, folder):
-    return star.ticker_keys(*dimensions(spark, folder))
+def lookup(dims):
+    return star.ticker_keys(*dims)
 
 
 @query(DATES)
@@ -140,17 +141,17 @@ def surrogate_keys_stable(spark, folder):
 @query(KEYS)
 def ticker_key_lookup(spark, folder):
     """Symbol to ticker, sector and industry keys, the last two in two steps."""
-    return lookup(spark, folder)
+    return lookup(dimensions(spark, folder))
 
 
 @query(PRICE_FACTS)
 def fact_prices(spark, folder):
-    return star.fact_prices(prices(spark, folder), lookup(spark, folder))
+    return star.fact_prices(prices(spark, folder), lookup(dimensions(spark, folder)))
 
 
 @query(TECHNICAL_FACTS)
 def fact_technical(spark, folder):
-    return star.fact_technical(technical(stored_bars(spark, folder)), lookup(spark, folder))
+    return star.fact_technical(technical(stored_bars(spark, folder)), lookup(dimensions(spark, folder)))
 
 
 @query(f"""SELECT b.ticker, date, {rounded('close', 2)} AS close, sector, industry
@@ -235,18 +236,18 @@ def date_get_or_insert(spark, folder):
 
 @query(STAR_PRICES)
 def star_prices(spark, folder):
-    bars = stored_bars(spark, folder)
-    facts = star.fact_prices(price_history(bars), lookup(spark, folder))
+    bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
+    facts = star.fact_prices(price_history(bars), lookup(dims))
     dates = star.dim_date(bars)
-    return star.export_order(star.denormalised(facts, dates, *dimensions(spark, folder)))
+    return star.export_order(star.denormalised(facts, dates, *dims))
 
 
 @query(STAR_TECHNICAL)
 def star_indicators(spark, folder):
-    bars = stored_bars(spark, folder)
-    facts = star.fact_technical(technical(bars), lookup(spark, folder))
+    bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
+    facts = star.fact_technical(technical(bars), lookup(dims))
     dates = star.dim_date(bars)
-    return star.export_order(star.denormalised(facts, dates, *dimensions(spark, folder)))
+    return star.export_order(star.denormalised(facts, dates, *dims))
 
 
 _MONEY = ("OpenPrice", "HighPrice", "LowPrice", "ClosePrice", "AdjustedClosePrice")
@@ -255,10 +256,10 @@ _MONEY = ("OpenPrice", "HighPrice", "LowPrice", "ClosePrice", "AdjustedClosePric
 @query(f"""SELECT * REPLACE ({', '.join(f"printf('%.4f', {c}) AS {c}" for c in _MONEY)}) FROM ({STAR_PRICES})""")
 def csv_export_format(spark, folder):
     """Export rows with four decimals."""
-    bars = stored_bars(spark, folder)
-    facts = star.fact_prices(price_history(bars), lookup(spark, folder))
+    bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
+    facts = star.fact_prices(price_history(bars), lookup(dims))
     dates = star.dim_date(bars)
-    return four_decimals(star.denormalised(facts, dates, *dimensions(spark, folder)))
+    return four_decimals(star.denormalised(facts, dates, *dims))
 
 
 @query(f"""SELECT 'stock_prices_daily' AS file, count(*) AS rows FROM ({tb.BARS_EVENT})

@@ -180,9 +180,10 @@ def export_per_ticker(prices: DataFrame, master: DataFrame, path: str) -> int:
     follow each other in time.
     """
     counter = Observation()
-    rows = consolidated(prices, master).observe(counter, F.count(F.lit(1)).alias("rows"))
-    spread = rows.repartitionByRange("ticker", "date").sortWithinPartitions("ticker", "date")
-    spread.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ticker").parquet(path)
+    spread = consolidated(prices, master).repartitionByRange("ticker", "date").sortWithinPartitions("ticker", "date")
+    # Counted above the range exchange, which samples what lies below it.
+    counted = spread.observe(counter, F.count(F.lit(1)).alias("rows"))
+    counted.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("ticker").parquet(path)
     return counter.get["rows"]
 
 

@@ -15,7 +15,7 @@ from quotelake.functions.numeric import growth
 from quotelake.functions.rolling import rolling_std
 from quotelake.operators.quantiles import exact_quantiles
 from quotelake.operators.series import BLOCK, chunked, in_chunk, unchunked, with_block, with_earlier, within_block
-from quotelake.sources.sinks import materialised
+from quotelake.operators.sizing import materialised
 
 # Trading days in a year, rows of the volatility window, clusters and their seed.
 TRADING_DAYS = 252

@@ -11,6 +11,7 @@ from quotelake.functions.dates import to_utc
 from quotelake.functions.numeric import to_number
 from quotelake.operators.dedup import keep_first
 from quotelake.operators.quantiles import exact_quantiles
+from quotelake.operators.sizing import materialised
 
 # The measures of a bar, and how many box widths a close may lie outside the box.
 MEASURES = ("Open", "High", "Low", "Close", "Volume")
@@ -62,13 +63,13 @@ def within_fences(df: DataFrame, by: Sequence[str] = (), approximate: bool = Fal
     """Drop closes outside the fences (fence values stay).
 
     Without ``by`` the fences pool the whole batch and arrive as one scalar subquery; with ``by``
-    each group has its own and the few fence rows are joined on.
+    each group has its own and the fence rows, stored and so of known size, are joined on.
     """
     fences = price_fences(df, by, approximate)
     if not by:
         both = fences.select(F.struct("lower_fence", "upper_fence")).scalar()
         return df.where((F.col("close") >= both["lower_fence"]) & (F.col("close") <= both["upper_fence"]))
-    joined = df.join(fences, list(by))
+    joined = df.join(materialised(fences, "fences"), list(by))
     return joined.where(F.col("close").between(F.col("lower_fence"), F.col("upper_fence"))).select(*df.columns)
 
 

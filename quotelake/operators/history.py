@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.operators.indicators import compute_indicators
+from quotelake.operators.sizing import broadcast_if_small, materialised
 
 # Fixed value: stored rows put in front of a batch before its indicators are computed.
 LOOKBACK = 60
@@ -20,7 +21,7 @@ def after_watermark(df: DataFrame, watermark: Column, date: str = "date") -> Dat
 
 def after_ticker_watermarks(df: DataFrame, marks: DataFrame, date: str = "date") -> DataFrame:
     """Rows after the watermark of their own ticker; tickers without one pass whole."""
-    own = marks.select("ticker", F.col("last_date").alias("_mark"))
+    own = broadcast_if_small(marks.select("ticker", F.col("last_date").alias("_mark")))
     return (
         df.join(own, "ticker", "left")
         .where(F.col("_mark").isNull() | (F.to_date(date) > F.col("_mark")))
@@ -49,11 +50,34 @@ def tail_rows(df: DataFrame, n: int, by: Sequence[str] = ("ticker",), order: str
 
 def lookback(history: DataFrame, batch: DataFrame, n: int = LOOKBACK, date: str = "date") -> DataFrame:
     """For each ticker of the batch, the ``n`` stored rows before its first batch date."""
-    first = batch.groupBy("ticker").agg(F.min(date).alias("_first"))
+    first = broadcast_if_small(batch.groupBy("ticker").agg(F.min(date).alias("_first")))
     earlier = history.join(first, "ticker").where(F.col(date) < F.col("_first")).drop("_first")
     return tail_rows(earlier, n, order=date)
 
 
+def years_for_lookback(history: DataFrame, batch: DataFrame, n: int = LOOKBACK, date: str = "date") -> DataFrame:
+    """The stored rows of the (ticker, year) folders that the look-back of a batch can reach.
+
+    Row counts per folder come from file footers alone; the folders before the first batch date are taken,
+    newest first, until ``n`` rows lie in full years before it. Keeps a daily run from scanning all history.
+    """
+    first = broadcast_if_small(batch.groupBy("ticker").agg(F.year(F.min(date)).alias("_year")))
+    sizes = history.groupBy("ticker", "year").agg(F.count(F.lit(1)).alias("_n")).join(first, "ticker")
+    newer = Window.partitionBy("ticker").orderBy(F.col("year").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    counted = F.sum(F.when(F.col("year") < F.col("_year"), F.col("_n")).otherwise(0)).over(newer)
+    needed = materialised(
+        sizes.where(F.col("year") <= F.col("_year"))
+        .withColumn("_newer", F.coalesce(counted, F.lit(0)))
+        .where(F.col("_newer") < n)
+        .select("ticker", "year"),
+        "folders",
+    )
+    oldest = needed.agg(F.min("year").alias("y")).head()["y"]
+    if oldest is None:
+        return history.limit(0)
+    return history.where(F.col("year") >= oldest).join(needed, ["ticker", "year"], "left_semi").select(*history.columns)
+
+
 def in_batch(df: DataFrame, batch: DataFrame, date: str = "date") -> DataFrame:
     """Rows whose ticker and date occur in the batch."""
     return df.join(batch.select("ticker", date).distinct(), ["ticker", date], "left_semi")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.operators.sizing import materialised
+
 # Cells per doubling of the value, and parts each selected cell is split into again. Both levels together
 # separate values that differ by more than about 2e-7 of their size.
 CELLS_PER_DOUBLING = 1024
@@ -59,10 +61,13 @@ def exact_quantiles(
         for name, p in probabilities.items()
         for side, rank in (("low", F.floor), ("high", F.ceil))
     ])
-    hits = (
+    # At most two buckets per group and probability. Stored, they are known to be small and the second pass
+    # joins them without moving the column.
+    hits = materialised(
         cells.withColumn("_ranks", _inside(wanted, F.col("_start"), F.col("_size")))
         .where(F.size("_ranks") > 0)
-        .drop("_size")
+        .drop("_size"),
+        "buckets",
     )
 
     # Values of the hit cells with their counts, and the hit parts among them.

@@ -30,10 +30,11 @@ def closing_series(prices: DataFrame) -> DataFrame:
 
 def normalised_performance(prices: DataFrame) -> DataFrame:
     """The close relative to the first close of the ticker, which counts as 100."""
-    first = prices.groupBy("ticker").agg(F.min_by("close", "date").alias("_base"))
-    return prices.join(first, "ticker").select(
-        "ticker", "date", (F.try_divide("close", "_base") * 100.0).alias("indexed")
-    )
+    first_bar = F.min_by(F.struct("close"), "date")
+    blocked = with_earlier(with_block(prices), ["ticker"], {"_first": (first_bar, F.first)})
+    own = F.first(F.struct("close")).over(within_block(["ticker"], ["date"]))
+    base = F.coalesce("_first", own)["close"]
+    return blocked.withColumn("indexed", F.try_divide(F.col("close"), base) * 100.0).select("ticker", "date", "indexed")
 
 
 def monthly_volume(prices: DataFrame, tickers: list[str] | None = None) -> DataFrame:

@@ -1,14 +1,27 @@
-"""Broadcasts behind a check of the counted size."""
+"""Stored intermediate results, and broadcasts behind a check of the counted size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.session import work_folder
+
 # Rows of a dimension that fit an executor comfortably (about 100 bytes each).
 BROADCAST_ROWS = 1_000_000
 
 
+def materialised(df: DataFrame, purpose: str = "stage") -> DataFrame:
+    """Write a frame to the shared work folder and read it back.
+
+    Cuts the lineage, so a frame that feeds several steps is computed once and survives lost executors.
+    What is read back has a known size, by which Spark chooses broadcast or shuffle joins when it plans.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when a count proves the frame small; otherwise leave the join to Spark.
 

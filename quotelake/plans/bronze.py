@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.operators.history import after_ticker_watermarks, after_watermark
+from quotelake.operators.sizing import materialised
 from quotelake.operators.snapshots import changed_rows, compare_digests, content_digests, tag_extraction
 from quotelake.sources.control import load_hashes, load_watermark, save_hashes, save_watermark
 from quotelake.sources.files import read_bronze
-from quotelake.sources.sinks import materialised, save_raw
+from quotelake.sources.sinks import save_raw
 
 # Fixed value: where price history starts when nothing has landed yet.
 START_DATE = "2016-01-01"
@@ -26,7 +27,7 @@ def land_prices(prices: DataFrame, root: str, per_ticker: bool = True) -> int:
     if per_ticker:
         try:
             landed = read_bronze(spark, root, "ticker", "prices")
-            marks = landed.groupBy("ticker").agg(F.max(F.to_date("Date")).alias("last_date"))
+            marks = materialised(landed.groupBy("ticker").agg(F.max(F.to_date("Date")).alias("last_date")), "marks")
             fresh = after_ticker_watermarks(prices, marks)
         except FileNotFoundError:
             fresh = prices

@@ -8,11 +8,11 @@ from quotelake.functions.dates import to_utc
 from quotelake.functions.numeric import blank_non_finite
 from quotelake.operators import cleaning, dedup, tables
 from quotelake.operators.indicators import compute_indicators
+from quotelake.operators.sizing import materialised
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.registry import query, rounded_as
 from quotelake.plans.catalog.indicators import INDICATORS_SQL
 from quotelake.sources.files import union_by_name
-from quotelake.sources.sinks import materialised
 
 NUMBER = "CASE WHEN NOT isnan(TRY_CAST({c} AS DOUBLE)) THEN TRY_CAST({c} AS DOUBLE) END AS {c}"
 NUMBERS = ", ".join(NUMBER.format(c=c) for c in ("open", "high", "low", "close", "volume"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quotelake.operators import history, merge
+from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import INDICATORS_SQL, fenced_bars
@@ -13,7 +14,7 @@ from quotelake.plans.silver import refresh_silver
 from quotelake.schemas import BRONZE_PRICES, PRICE_HISTORY, TECHNICAL
 from quotelake.session import work_folder
 from quotelake.sources.files import newest_file_time, read_table, scan_new_files
-from quotelake.sources.sinks import materialised, upsert_partitioned, write_partitioned
+from quotelake.sources.sinks import upsert_partitioned, write_partitioned
 from quotelake.streaming.silver_stream import stream_silver
 
 # Where the stored history ends and where the batch begins; they overlap by a month.

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from quotelake.operators import cleaning
 from quotelake.operators.indicators import compute_indicators, with_signals
+from quotelake.operators.sizing import materialised
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.registry import query, rounded_as
-from quotelake.sources.sinks import materialised
 
 _W = "OVER (PARTITION BY ticker ORDER BY date)"
 

@@ -8,11 +8,11 @@ from quotelake.functions.text import magnitude
 from quotelake.operators import analytics, cleaning
 from quotelake.operators import reports as rp
 from quotelake.operators.indicators import compute_indicators
+from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import ALL, INDICATORS_SQL
 from quotelake.plans.catalog.registry import query, rounded, rounded_as
-from quotelake.sources.sinks import materialised
 
 _W = "OVER (PARTITION BY ticker ORDER BY date)"
 RETURNS = f"SELECT *, close / lag(close) {_W} - 1 AS ret FROM ({tb.BARS_TYPE})"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quotelake.operators import star
 from quotelake.operators.indicators import compute_indicators
 from quotelake.operators.merge import insert_counts, key_violations, split_valid
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import broadcast_if_small, materialised
 from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import INDICATORS_SQL
@@ -16,7 +16,7 @@ from quotelake.plans.gold import export_star, import_predictions, read_gold, ref
 from quotelake.schemas import DIM_INDUSTRY, DIM_SECTOR, DIM_TICKER, FACT_PREDICTED
 from quotelake.session import work_folder
 from quotelake.sources.files import read_predictions
-from quotelake.sources.sinks import four_decimals, materialised, rewrite_table
+from quotelake.sources.sinks import four_decimals, rewrite_table
 
 
 def _key_sql(name: str) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.functions.numeric import blank_non_finite
+from quotelake.operators.sizing import materialised
 from quotelake.operators.star import (
     add_dates,
     denormalised,
@@ -32,7 +33,7 @@ from quotelake.schemas import (
     TableSpec,
 )
 from quotelake.sources.files import read_table
-from quotelake.sources.sinks import export_csv, load_slices, materialised, rewrite_table, write_export_log
+from quotelake.sources.sinks import export_csv, load_slices, rewrite_table, write_export_log
 
 
 def read_gold(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 from quotelake.operators.cleaning import clean_prices
-from quotelake.operators.history import LOOKBACK, incremental_indicators
+from quotelake.operators.history import LOOKBACK, incremental_indicators, years_for_lookback
 from quotelake.operators.merge import upsert
+from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import price_history, stocks_master, technical_indicators
 from quotelake.schemas import PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
 from quotelake.sources.files import read_table
-from quotelake.sources.sinks import materialised, rewrite_table, upsert_partitioned
+from quotelake.sources.sinks import rewrite_table, upsert_partitioned
 
 BAR_KEY = ("ticker", "date")
 
@@ -34,7 +35,7 @@ def refresh_silver(
     clean = materialised(
         clean_prices(prices, exchange_tz=exchange_tz, fences_by=fences_by, store=materialised), "clean"
     )
-    history = read_table(spark, f"{root}/price_history", PRICE_HISTORY)
+    history = years_for_lookback(read_table(spark, f"{root}/price_history", PRICE_HISTORY), clean, lookback)
     technical = materialised(
         technical_indicators(incremental_indicators(history, clean, lookback)), "technical"
     )

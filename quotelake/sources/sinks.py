@@ -12,25 +12,14 @@ from pyspark.sql import types as T
 from quotelake.functions.text import fixed
 from quotelake.operators.dedup import keep_first
 from quotelake.operators.merge import replace_slices, upsert
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import broadcast_if_small, materialised
 from quotelake.operators.snapshots import as_text
 from quotelake.schemas import TableSpec
-from quotelake.session import work_folder
 from quotelake.sources.files import read_table
 
 SILVER_PARTITIONS = ("ticker", "year")
 
 
-def materialised(df: DataFrame, purpose: str = "stage") -> DataFrame:
-    """Write a frame to the shared work folder and read it back.
-
-    Cuts the lineage, so a batch that feeds several writes is computed once and survives lost executors.
-    """
-    path = work_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """The declared columns in the declared types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])

@@ -9,6 +9,7 @@ from quotelake.operators.history import (
     next_ticker_watermarks,
     next_watermark,
     tail_rows,
+    years_for_lookback,
 )
 from quotelake.operators.keys import assign_keys
 from quotelake.operators.merge import (
@@ -142,3 +143,16 @@ def test_tail_cuts_before_the_shuffle(spark):
     text = plan(tail_rows(df, 2))
     assert text.count("WindowGroupLimit") == 2
     assert sorted(r["date"] for r in tail_rows(df, 2).collect()) == [8, 9]
+
+
+def test_years_for_lookback(spark, rows):
+    import datetime as dt
+
+    data = [("A", dt.date(y, 6, d), y) for y in (2019, 2020, 2021, 2022) for d in (1, 2, 3)]
+    data += [("B", dt.date(2018, 1, 1), 2018), ("B", dt.date(2022, 1, 1), 2022), ("C", dt.date(2022, 1, 1), 2022)]
+    history = spark.createDataFrame(data, "ticker string, date date, year int")
+    batch = spark.createDataFrame([("A", dt.date(2022, 6, 2)), ("B", dt.date(2023, 1, 1))], "ticker string, date date")
+    got = years_for_lookback(history, batch, 4)
+    assert {(r["ticker"], r["year"]) for r in got.collect()} == {("A", 2022), ("A", 2021), ("A", 2020), ("B", 2022), ("B", 2018)}
+    assert rows(lookback(got, batch, 4)) == rows(lookback(history, batch, 4))
+    assert years_for_lookback(history, batch.limit(0), 4).isEmpty()

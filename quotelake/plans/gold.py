@@ -30,9 +30,13 @@ from quotelake.schemas import (
     FACT_PREDICTED,
     FACT_PRICES,
     FACT_TECHNICAL,
+    PRICE_HISTORY,
+    STOCKS_MASTER,
+    TECHNICAL,
     TableSpec,
 )
-from quotelake.sources.files import read_table
+from quotelake.sources.control import load_watermark, save_watermark
+from quotelake.sources.files import modified_after, newest_file_time, read_table
 from quotelake.sources.sinks import export_csv, load_slices, rewrite_table, write_export_log
 
 
@@ -72,6 +76,27 @@ def refresh_gold(
     return True
 
 
+def run_gold(spark: SparkSession, silver: str, gold: str) -> bool:
+    """Load the silver folders written since the last run; False when there are none.
+
+    The master table is always read whole, so dimension lookups are complete.
+    """
+    since = load_watermark(spark, gold, "gold")
+    tables = [
+        read_table(spark, f"{silver}/{name}", schema)
+        for name, schema in (("price_history", PRICE_HISTORY), ("technical_indicators", TECHNICAL))
+    ]
+    stored = [df for df in tables if df.inputFiles()]
+    newest = max((t for t in map(newest_file_time, stored) if t is not None), default=None)
+    if newest is None or (since is not None and str(newest) <= since):
+        return False
+    prices, technical = (modified_after(df, since) if df.inputFiles() else df for df in tables)
+    master = read_table(spark, f"{silver}/stocks_master", STOCKS_MASTER)
+    done = refresh_gold(spark, gold, prices, technical, master)
+    save_watermark(spark, gold, "gold", str(newest))
+    return done
+
+
 def import_predictions(spark: SparkSession, root: str, predictions: DataFrame) -> DataFrame:
     """Append predictions whose members are known; returns the refused rows with reasons.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.operators.cleaning import clean_prices
 from quotelake.operators.history import LOOKBACK, incremental_indicators, years_for_lookback
@@ -10,7 +10,8 @@ from quotelake.operators.merge import upsert
 from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import price_history, stocks_master, technical_indicators
 from quotelake.schemas import PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
-from quotelake.sources.files import read_table
+from quotelake.sources.control import load_watermark, save_watermark
+from quotelake.sources.files import bronze_frames, newest_file_time, read_bronze, read_table
 from quotelake.sources.sinks import rewrite_table, upsert_partitioned
 
 BAR_KEY = ("ticker", "date")
@@ -53,3 +54,21 @@ def refresh_silver(
     upsert_partitioned(price_history(clean), f"{root}/price_history", PRICE_HISTORY, BAR_KEY, ["close"])
     upsert_partitioned(technical, f"{root}/technical_indicators", TECHNICAL, BAR_KEY, ["rsi"])
     return True
+
+
+def run_silver(spark: SparkSession, bronze: str, silver: str, lookback: int = LOOKBACK) -> bool:
+    """Merge the bronze files written since the last run into silver; False when there are none.
+
+    The watermark is the newest write time among the price files that were read, saved after all tables
+    are written: a failed run is repeated, and a file that lands meanwhile is taken by the next run.
+    """
+    since = load_watermark(spark, silver, "silver")
+    times = [newest_file_time(df) for df in bronze_frames(spark, bronze, "ticker", "prices")]
+    newest = max((t for t in times if t is not None), default=None)
+    if newest is None or (since is not None and str(newest) <= since):
+        return False
+    prices = read_bronze(spark, bronze, "ticker", "prices", since)
+    info = read_bronze(spark, bronze, "ticker", "info") if bronze_frames(spark, bronze, "ticker", "info") else None
+    done = refresh_silver(prices, info, silver, lookback)
+    save_watermark(spark, silver, "silver", str(newest))
+    return done

@@ -87,8 +87,8 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [unified(df) for df in frames])
 
 
-def read_bronze(spark: SparkSession, root: str, area: str, kind: str) -> DataFrame:
-    """All landed rows of a kind, from the typed and the all-text files."""
+def bronze_frames(spark: SparkSession, root: str, area: str, kind: str) -> list[DataFrame]:
+    """The landed files of a kind: one scan of the typed and one of the all-text files, where present."""
     frames = []
     for encoding in ("typed", "text"):
         try:
@@ -96,9 +96,17 @@ def read_bronze(spark: SparkSession, root: str, area: str, kind: str) -> DataFra
         except AnalysisException as error:
             if not _missing(error):
                 raise
+    return frames
+
+
+def read_bronze(
+    spark: SparkSession, root: str, area: str, kind: str, since: dt.datetime | str | None = None
+) -> DataFrame:
+    """Landed rows of a kind, all of them or those in files written after ``since``."""
+    frames = bronze_frames(spark, root, area, kind)
     if not frames:
         raise FileNotFoundError(f"nothing landed for {area}/{kind} below {root}")
-    return nan_as_missing(union_by_name(frames))
+    return nan_as_missing(union_by_name([modified_after(df, since) for df in frames]))
 
 
 def nan_as_missing(df: DataFrame) -> DataFrame:

@@ -6,8 +6,12 @@ import pytest
 
 from quotelake.operators.history import incremental_indicators
 from quotelake.operators.indicators import INDICATORS, compute_indicators
+from quotelake.operators.integrity import IntegrityError
+from quotelake.plans import chain
+from quotelake.plans.gold import read_gold
 from quotelake.plans.silver import refresh_silver
-from quotelake.schemas import BRONZE_PRICES, INFO, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
+from quotelake.schemas import BRONZE_PRICES, FACT_PRICES, INFO, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
+from quotelake.sources.control import custody_tail
 from quotelake.sources.files import read_table
 from quotelake.streaming.silver_stream import stream_silver
 from tests.test_series import bars
@@ -86,3 +90,29 @@ def test_stream_batches_restart_and_late_files(spark, tmp_path):
     landed(spark, late).coalesce(1).write.parquet(f"{landing}/late")
     stream_silver(spark, landing, root, checkpoint).awaitTermination()
     assert len(silver(spark, root)[1]) == kept + 1
+
+
+def test_daily_run(spark, tmp_path):
+    lake = chain.Lake(*(str(tmp_path / n) for n in ("bronze", "silver", "gold", "control")))
+    pdf = bars(80, tickers=("A", "B")).sort_values("date")
+    info = spark.createDataFrame(
+        [("A", "Ay", "tech", "chips"), ("B", "Bee", "food", "corn")], "ticker string, longName string, sector string, industry string"
+    )
+    prices = landed(spark, pdf).drop("extraction_timestamp")
+    assert chain.daily_run(spark, lake, prices, info) == {"bronze": True, "silver": True, "gold": True}
+    first = silver(spark, lake.silver)
+    facts = read_gold(spark, lake.gold, FACT_PRICES).count()
+    assert facts == len(first[0]) > 0
+    assert chain.daily_run(spark, lake, prices, info) == {"bronze": False, "silver": False, "gold": False}
+
+    more = pdf.groupby("ticker").tail(1).assign(date=pdf["date"].max() + dt.timedelta(days=1))
+    grown = landed(spark, pd.concat([pdf, more])).drop("extraction_timestamp")
+    assert chain.daily_run(spark, lake, grown, info) == {"bronze": True, "silver": True, "gold": True}
+    assert read_gold(spark, lake.gold, FACT_PRICES).count() == facts + len(more)
+
+    again = more.assign(date=more["date"].max() + dt.timedelta(days=1))
+    bad = spark.createDataFrame([("Traceback: boom",)], "line string")
+    with pytest.raises(IntegrityError, match="boom"):
+        chain.daily_run(spark, lake, landed(spark, pd.concat([pdf, again])).drop("extraction_timestamp"), info, {"bronze": bad})
+    assert read_gold(spark, lake.gold, FACT_PRICES).count() == facts + len(more)
+    assert custody_tail(spark, lake.control, 1).head()["verdict"] == "FAILED"

@@ -12,23 +12,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def _pick(choose: Callable, df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def _pick(choose: Callable[[Column], Column], df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The extreme row per key. The other columns follow the order in the comparison, so ties are repeatable."""
     if not order:
         raise ValueError("name the columns that decide which copy is kept")
-    low = {k.lower() for k in keys}
-    rest = [c for c in df.columns if c.lower() not in low]
-    kept = df.groupBy(*keys).agg(choose(F.struct(*rest), F.struct(*order)).alias("_row"))
-    return kept.select(*keys, "_row.*").select(*df.columns)
+    placed = {c.lower() for c in (*keys, *order)}
+    keyed = {k.lower() for k in keys}
+    leading = [c for c in order if c.lower() not in keyed]
+    row = F.struct(*leading, *[c for c in df.columns if c.lower() not in placed])
+    return df.groupBy(*keys).agg(choose(row).alias("_row")).select(*keys, "_row.*").select(*df.columns)
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row that comes first in ``order``; NULLs come before values."""
-    return _pick(F.min_by, df, keys, order)
+    return _pick(F.min, df, keys, order)
 
 
-def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
+def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row that comes last in ``order``."""
-    return _pick(F.max_by, df, keys, order)
+    return _pick(F.max, df, keys, order)
 
 
 def duplicate_counts(df: DataFrame, keys: Sequence[str], by: Sequence[str]) -> DataFrame:

@@ -13,26 +13,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 TRADE_ORDER = ("l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
 
 
-def _trade_number() -> Column:
-    """The trade order as one exact number: order, line, price in cents, quantity.
-
-    A number keeps the aggregate below hash-based (a struct would force a sort of all trades). Trades that
-    tie on it have the same price.
-    """
-    line = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    terms = F.round(F.col("l_extendedprice") * 100).cast("bigint") * 100 + F.col("l_quantity").cast("bigint")
-    return line.cast("decimal(20,0)") * F.lit(10**13).cast("decimal(14,0)") + terms.cast("decimal(19,0)")
+def _price(trade: Column) -> Column:
+    return trade["l_extendedprice"] / trade["l_quantity"]
 
 
 def _daily(trades: DataFrame, ticker: str) -> DataFrame:
-    """Trades to one bar a day; open and close are the first and last trade in the trade order."""
-    price = F.col("l_extendedprice") / F.col("l_quantity")
-    number = _trade_number()
+    """Trades to one bar a day; open and close are the first and last trade in the trade order.
+
+    Trades that tie on the whole order have the same price, so the bars do not depend on row order.
+    """
+    trade = F.struct(*TRADE_ORDER)
+    price = _price(trade)
     return trades.groupBy(F.col(ticker).alias("ticker"), F.to_date("l_shipdate").alias("date")).agg(
-        F.min_by(price, number).alias("open"),
+        _price(F.min(trade)).alias("open"),
         F.max(price).alias("high"),
         F.min(price).alias("low"),
-        F.max_by(price, number).alias("close"),
+        _price(F.max(trade)).alias("close"),
         F.sum("l_quantity").cast("bigint").alias("volume"),
     )
 

@@ -82,7 +82,7 @@ def test_dedup_combines_before_the_shuffle(spark):
 
     df = spark.createDataFrame([("A", 1, 10.0)], "k string, at int, v double")
     text = plan(keep_first(df, ["k"], ["at"]))
-    assert "partial_min_by" in text and text.index("Exchange") < text.index("partial_min_by")
+    assert "partial_min" in text and text.index("Exchange") < text.index("partial_min")
 
 
 def test_dedup_needs_an_order(spark):

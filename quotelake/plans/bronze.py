@@ -8,8 +8,14 @@ from pyspark.sql import functions as F
 from quotelake.operators.history import after_ticker_watermarks, after_watermark
 from quotelake.operators.sizing import materialised
 from quotelake.operators.snapshots import changed_rows, compare_digests, content_digests, tag_extraction
-from quotelake.sources.control import load_hashes, load_watermark, save_hashes, save_watermark
-from quotelake.sources.files import read_bronze
+from quotelake.sources.control import (
+    load_hashes,
+    load_ticker_watermarks,
+    load_watermark,
+    save_hashes,
+    save_ticker_watermarks,
+    save_watermark,
+)
 from quotelake.sources.sinks import save_raw
 
 # Fixed value: where price history starts when nothing has landed yet.
@@ -19,18 +25,14 @@ START_DATE = "2016-01-01"
 def land_prices(prices: DataFrame, root: str, per_ticker: bool = True) -> int:
     """Append the price rows that are newer than what has landed; returns how many.
 
-    By default each ticker has its own watermark, read from the landed rows themselves, so a late or new
-    ticker keeps its history. ``per_ticker=False`` uses the one stored watermark for all.
+    By default each ticker has its own watermark, so a late or new ticker keeps its history;
+    ``per_ticker=False`` uses one for all. Watermarks are saved after the rows: a run that dies in between
+    lands its rows again, and cleaning keeps one copy.
     """
     spark = prices.sparkSession
     mark = load_watermark(spark, root, "prices", START_DATE)
     if per_ticker:
-        try:
-            landed = read_bronze(spark, root, "ticker", "prices")
-            marks = materialised(landed.groupBy("ticker").agg(F.max(F.to_date("Date")).alias("last_date")), "marks")
-            fresh = after_ticker_watermarks(prices, marks)
-        except FileNotFoundError:
-            fresh = prices
+        fresh = after_ticker_watermarks(prices, load_ticker_watermarks(spark, root))
     else:
         fresh = after_watermark(prices, F.lit(mark).cast("date"))
     batch = materialised(tag_extraction(fresh), "prices")
@@ -38,6 +40,7 @@ def land_prices(prices: DataFrame, root: str, per_ticker: bool = True) -> int:
     if seen["n"] == 0:
         return 0
     save_raw(batch, root, "ticker", "prices")
+    save_ticker_watermarks(batch, root)
     if seen["last"] is not None and seen["last"] > mark:
         save_watermark(spark, root, "prices", seen["last"])
     return seen["n"]

@@ -53,6 +53,7 @@ CUSTODY = _columns(
 )
 CUSTODY_ISSUES = _columns(stage=TEXT, timestamp=TEXT, line=TEXT)
 WATERMARK = _columns(name=TEXT, value=TEXT, saved_at=TIME)
+TICKER_WATERMARK = _columns(ticker=TEXT, last_date=T.DateType())
 
 
 @dataclass(frozen=True)

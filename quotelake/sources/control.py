@@ -20,7 +20,7 @@ from quotelake.operators.integrity import (
     manifest_hash,
     require_intact,
 )
-from quotelake.schemas import CUSTODY, CUSTODY_ISSUES, FILES, MANIFEST, WATERMARK
+from quotelake.schemas import CUSTODY, CUSTODY_ISSUES, FILES, MANIFEST, TICKER_WATERMARK, WATERMARK
 from quotelake.sources.files import read_table
 
 
@@ -37,6 +37,18 @@ def save_watermark(spark: SparkSession, root: str, name: str, value: str) -> Non
     row.write.mode("append").parquet(f"{root}/watermarks")
 
 
+def load_ticker_watermarks(spark: SparkSession, root: str) -> DataFrame:
+    """The last landed date of every ticker."""
+    rows = read_table(spark, f"{root}/ticker_watermarks", TICKER_WATERMARK)
+    return rows.groupBy("ticker").agg(F.max("last_date").alias("last_date"))
+
+
+def save_ticker_watermarks(batch: DataFrame, root: str, date: str = "date") -> None:
+    """Append the last date per ticker of a batch; tickers it lacks keep theirs."""
+    marks = batch.groupBy("ticker").agg(F.max(F.to_date(date)).alias("last_date"))
+    marks.where(F.col("last_date").isNotNull()).write.mode("append").parquet(f"{root}/ticker_watermarks")
+
+
 def _hash_schema(keys: Sequence[str]) -> T.StructType:
     names = [*keys, "content_hash"]
     columns = [T.StructField(n, T.StringType()) for n in names]

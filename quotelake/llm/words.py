@@ -106,6 +106,15 @@ def _sliced(first: int, last: int, data: np.ndarray, offsets: np.ndarray, lower:
     return Slice(first, last, data, offsets, starts, ends, text, mixed(hashes))
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of the bytes of each span of data."""
+    powers, inverse = _power_tables(len(data) + 1)
+    total = np.zeros(len(data) + 1, np.uint64)
+    with np.errstate(over="ignore"):
+        np.cumsum(_BYTE_VALUES[data] * powers[: len(data)], out=total[1:])
+        return mixed((total[ends] - total[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_STEP))
+
+
 def shingles(hashes: np.ndarray, k: int) -> np.ndarray:
     """A hash of each run of k successive word hashes (of the whole sequence, if it is shorter)."""
     k = min(k, len(hashes))

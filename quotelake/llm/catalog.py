@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import isolation, mixing, sharding
+from quotelake.llm import isolation, mixing, packing, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,3 +51,8 @@ def op8_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "anomaly"
     )
+
+
+@query
+def op4_least_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(packing.pieces(table(spark, sf_dir, "documents")))

@@ -24,17 +24,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.llm import words as W
 from quotelake.session import work_folder
 
 CAPACITY = 1024
 END = 2
 CELLS = 4096
-CACHED_WORDS = 400_000
+KNOWN_PARTS = 1_500_000
 
-# The characters of Unicode's property White_Space.
-_SPACE = "\t-\r \x85\xa0  -     　"
-# Byte-level vocabularies never join characters across the start of a word, so texts may be cut there.
-_WORDS = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+# The UTF-8 bytes of white space beyond ASCII (Unicode's property White_Space).
+_FAR_SPACE = re.compile(
+    rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80"
+)
+_ALNUM = np.zeros(256, bool)
+_ALNUM[[b for b in range(128) if chr(b).isalnum()]] = True
+_MARK = np.zeros(256, bool)
+_MARK[[b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'"]] = True
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -54,26 +59,88 @@ def _tokenizer(name: str):
     return tokenizer
 
 
-class WordIds(dict):
-    """The ids of words, as little-endian bytes; words not met yet go to the tokenizer, many at once."""
+def _letter_table() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable ones as they are, the others from code point 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(256, 512))
+    return {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
 
-    def __init__(self, name: str) -> None:
-        self.encode = _tokenizer(name).encode_batch_fast
 
-    def of(self, texts: list[str], end: int) -> list[bytes]:
-        if len(self) > CACHED_WORDS:
-            self.clear()
-        split = [_WORDS.findall(text) for text in texts]
-        new = list({word for words in split for word in words if word not in self})
-        for word, found in zip(new, self.encode(new, add_special_tokens=False), strict=True):
-            self[word] = np.asarray(found.ids, "<u4").tobytes()
-        last = int(end).to_bytes(4, "little")
-        return [b"".join([*map(self.__getitem__, words), last]) for words in split]
+class PartIds:
+    """The ids of text parts, kept by the hash of their bytes from one slice to the next.
+
+    A text is cut before white space that follows other characters, and between an ASCII letter or digit and an ASCII mark; byte-level
+    vocabularies never join characters there. Each part goes through the tokenizer once; texts are put together from the known parts.
+    """
+
+    def __init__(self, name: str, most: int = KNOWN_PARTS) -> None:
+        self.tokenizer = _tokenizer(name)
+        self.model, self.letters, self.most = self.tokenizer.model, _letter_table(), most
+        self.reset()
+
+    def reset(self) -> None:
+        self.hashes, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        self.starts, self.counts, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def encode(self, part: bytes) -> list[int]:
+        text = part.decode()
+        word = text[1:] if text[0] == " " else text
+        if word.isalpha() and max(word) < "\u0250":  # one word is one run of merges
+            return [token.id for token in self.model.tokenize(part.decode("latin-1").translate(self.letters))]
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def learn(self, hashes: np.ndarray, parts: list[bytes]) -> None:
+        found = [self.encode(part) for part in parts]
+        counts = np.array([len(ids) for ids in found], np.int64)
+        self.starts = np.append(self.starts, len(self.pool) + np.cumsum(counts) - counts)
+        at = np.searchsorted(self.hashes, hashes)
+        self.places = np.insert(self.places, at, len(self.counts) + np.arange(len(counts)))
+        self.hashes = np.insert(self.hashes, at, hashes)
+        self.counts = np.append(self.counts, counts)
+        self.pool = np.append(self.pool, np.fromiter((i for ids in found for i in ids), np.uint32, int(counts.sum())))
+
+    def of(self, s: W.Slice) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of a slice and where each text's begin and end among them."""
+        word = ~W._SPACES[s.data]
+        edge = np.zeros(len(s.data) + 1, bool)
+        edge[s.offsets] = True
+        edge[1:-1] |= (word[:-1] & ~word[1:]) | (_ALNUM[s.data[:-1]] & _MARK[s.data[1:]])
+        edges = np.flatnonzero(edge)
+        starts, ends = edges[:-1], edges[1:]
+        hashes = W.span_hashes(s.data, starts, ends)
+        unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.hashes) + len(unique) > self.most:
+            self.reset()
+        at = np.searchsorted(self.hashes, unique)
+        new = np.ones(len(unique), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != unique[inside]
+        if new.any():
+            raw = s.data.tobytes()
+            self.learn(unique[new], [raw[starts[k] : ends[k]] for k in first[new]])
+        place = self.places[np.searchsorted(self.hashes, unique)][inverse]
+        counts = self.counts[place]
+        before = np.concatenate(([0], np.cumsum(counts)))
+        ids = self.pool[np.repeat(self.starts[place] - before[:-1], counts) + np.arange(before[-1])]
+        return ids, before[np.searchsorted(edges, s.offsets)]
+
+    def texts(self, column: pa.Array, end: int) -> Iterator[np.ndarray]:
+        """The ids of each row's text, with the id ``end`` after them."""
+        last = np.array([end], np.uint32)
+        for s in W.word_slices(column):
+            ids, bounds = self.of(s)
+            far = bool(_FAR_SPACE.search(s.data.tobytes()))
+            for k in range(s.last - s.first):
+                own = ids[bounds[k] : bounds[k + 1]]
+                if far and _FAR_SPACE.search(raw := s.data[s.offsets[k] : s.offsets[k + 1]].tobytes()):
+                    own = np.array(self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids, np.uint32)
+                yield np.concatenate((own, last))
 
 
 @cache
-def _words(name: str) -> WordIds:
-    return WordIds(name)
+def _parts(name: str) -> PartIds:
+    """One for each Python worker, which keeps it for its next tasks."""
+    return PartIds(name)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -86,21 +153,16 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = END
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
 
     def tokenized(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words = _words(tokenizer)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 256):
-                batch = whole.slice(at, 256)
-                rows = []
-                texts = [text or "" for text in batch.column("text").to_pylist()]
-                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), words.of(texts, end), strict=True):
-                    for k, (start, length) in enumerate(cut(len(ids) // 4, capacity)):
-                        rows.append((doc_id, k, start, length, zlib.crc32(ids[4 * start : 4 * (start + length)])))
-                types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
+        known = _parts(tokenizer)
+        types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        for batch in batches:
+            rows = [
+                (doc_id, k, start, length, zlib.crc32(ids[start : start + length].astype("<u4").tobytes()))
+                for doc_id, ids in zip(batch.column("doc_id").to_pylist(), known.texts(batch.column("text"), end), strict=True)
+                for k, (start, length) in enumerate(cut(len(ids), capacity))
+            ]
+            columns = [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True) if rows else [()] * 5, types, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select("doc_id", "text").mapInArrow(tokenized, PIECES)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import isolation, mixing, packing, sharding
+from quotelake.llm import isolation, mixing, packing, pii, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +56,9 @@ def op8_isolation_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_least_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.pieces(table(spark, sf_dir, "documents")))
+
+
+@query
+def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import isolation, mixing, packing, pii, sharding
+from quotelake.llm import hmm, isolation, mixing, packing, pii, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,8 @@ def op4_least_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return pii.find(docs, pii.fit(docs))
+
+
+@query
+def op10_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.scored(table(spark, sf_dir, "documents"))

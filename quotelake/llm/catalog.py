@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, isolation, mixing, packing, pii, sharding
+from quotelake.llm import hmm, isolation, jaccard, mixing, packing, pii, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +67,8 @@ def op1_skip_chain_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hmm.scored(table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.grouped(table(spark, sf_dir, "documents"))

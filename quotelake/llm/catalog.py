@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, isolation, jaccard, mixing, packing, pii, sharding
+from quotelake.llm import hmm, isolation, jaccard, mixing, packing, pii, rule_ensemble, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +72,16 @@ def op10_hidden_markov_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_size_aware_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.grouped(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    third = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    scored = rule_ensemble.scored(docs, rule_ensemble.fit(docs, labels.where(third != 1)))
+    return scored.select(
+        "doc_id",
+        F.coalesce(third == 1, F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )

@@ -8,8 +8,10 @@ then on only classes are compared. Two classes link when intersection / union re
   the smallest class of the other size.
 * Large sets: n-grams have a fixed order, with those that occur in many documents last. Two sets that link share one of their first n-grams
   (as many as may be missing, and one), so each set is entered in the inverted lists of these. A list is known by its smallest class, the
-  hub; all lists of a hub are scanned together, in blocks of BLOCK sets against BLOCK sets, where exact overlaps are counted over the whole
-  sets. A block gives a spanning forest of its links rather than all pairs.
+  hub; the lists of a hub are scanned together, by bands of set sizes that may link, in blocks of BLOCK sets against BLOCK sets. A first scan
+  looks at the beginnings of the sets only: up to the lesser of their last n-grams two beginnings are complete, so too many
+  n-grams missing there rule a pair out. A second scan counts the exact overlaps of whole sets in the blocks for what is left, and gives a
+  spanning forest of a block's links rather than all pairs.
 * The boundary between small and large is where listing subsets starts to cost more than the lists and the sets that go with
   them, by the sizes at hand. Small sets that might link to a large one are entered in the lists too.
 
@@ -29,7 +31,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.llm import words as W
@@ -42,6 +44,7 @@ HOT_TOKENS = 1_500_000
 MOST_SMALL = 24
 BLOCK = 256
 SCANNED = 8192
+LEAD = 1.5
 
 
 class Threshold(NamedTuple):
@@ -137,56 +140,61 @@ def _batch(hot: np.ndarray, ids: pa.Array, keys: np.ndarray, n: np.ndarray) -> p
     return pa.RecordBatch.from_arrays([pa.array(hot), ids, pa.array(keys), pa.array(n.astype(np.int64))], names=["hot", "doc_id", "key", "n"])
 
 
-ENTRIES = "small boolean, token long, key long, role int"
+BEGINNINGS = "key long, n int, tokens array<long>"
 
 
-def _entries(n: int, threshold: Threshold, most_small: int, hot: np.ndarray):
-    """Subsets of small sets (role 0: the smaller of two sizes, 1: the larger, 2: both equal) and list entries of large ones."""
-    least_listed = threshold.partners(most_small + 1).start
+def _beginnings(n: int, threshold: Threshold, most_small: int, hot: np.ndarray):
+    """The first n-grams of each set: LEAD times as many as are entered in lists; small sets as a whole.
+
+    The order is by hash, hot ones last: that bit comes first, so as signed numbers the hot ones are negative.
+    """
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in W.word_slices(batch.column("text"), lower=True):
                 text, tokens = grams(s, n)
                 keys, sizes = set_keys(text, tokens, s.last - s.first)
-                ends = np.cumsum(sizes)
-                yield _listed(text, tokens, keys, sizes, ends)
-                rows = [row for k in np.flatnonzero((sizes > 0) & (sizes <= most_small)) for row in _subsets(tokens[ends[k] - sizes[k] : ends[k]], int(keys[k]))]
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=_ENTRY)
-
-    def _listed(text, tokens, keys, sizes, ends) -> pa.RecordBatch:
-        common = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens if len(hot) else np.zeros(len(tokens), bool)
-        ordered = (tokens >> np.uint64(1)) | (common.astype(np.uint64) << np.uint64(63))
-        order = np.lexsort((ordered, text))
-        place = np.arange(len(text)) - (ends - sizes)[text]
-        taken = order[(place < threshold.prefix(sizes)[text]) & (sizes[text] >= least_listed)]
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.zeros(len(taken), bool)),
-                pa.array(tokens[taken].view(np.int64)),
-                pa.array(keys[text[taken]]),
-                pa.array(np.zeros(len(taken), np.int32)),
-            ],
-            schema=_ENTRY,
-        )
-
-    def _subsets(own: np.ndarray, key: int) -> Iterator[dict]:
+                common = hot[np.minimum(np.searchsorted(hot, tokens), len(hot) - 1)] == tokens if len(hot) else np.zeros(len(tokens), bool)
+                ordered = (tokens >> np.uint64(1)) | (common.astype(np.uint64) << np.uint64(63))
+                order = np.lexsort((ordered, text))
+                length = np.where(sizes <= most_small, sizes, np.minimum(sizes, np.ceil(LEAD * threshold.prefix(sizes)).astype(np.int64)))
+                place = np.arange(len(text)) - (np.cumsum(sizes) - sizes)[text]
+                taken = ordered[order[place < length[text]]].view(np.int64)
+                offsets = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys), pa.array(sizes.astype(np.int32)), pa.ListArray.from_arrays(pa.array(offsets), pa.array(taken))],
+                    names=["key", "n", "tokens"],
+                )
+
+    return found
+
+
+SUBSETS = "token long, key long, role int"
+
+
+def _subsets(threshold: Threshold, most_small: int):
+    """The subsets of small sets. role 0: of the smaller of two sizes, 1: of the larger, 2: both are equal."""
+
+    def of_set(own: list[int], key: int) -> Iterator[tuple[int, int, int]]:
         s = len(own)
         for t in threshold.partners(s):
             size = threshold.overlap(s, t)
             if size > min(s, t) or t > most_small:
                 continue
             salt = W.mixed(np.array([min(s, t) * 1000 + max(s, t)], np.uint64))[0]
-            for subset in combinations(own.tolist(), size):
+            for subset in combinations(own, size):
                 with np.errstate(over="ignore"):
-                    token = W.mixed(W.mixed(np.array(subset, np.uint64)).sum(keepdims=True) + salt).view(np.int64)[0]
-                yield {"small": True, "token": int(token), "key": key, "role": 2 if s == t else int(s > t)}
-
-    return found
+                    token = W.mixed(W.mixed(np.array(subset, np.int64).view(np.uint64)).sum(keepdims=True) + salt).view(np.int64)[0]
+                yield int(token), key, 2 if s == t else int(s > t)
 
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int32())
+        for batch in batches:
+            rows = [row for own, key in zip(batch.column("tokens").to_pylist(), batch.column("key").to_pylist(), strict=True) for row in of_set(own, key)]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True) if rows else [()] * 3, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["token", "key", "role"])
 
-_ENTRY = pa.schema([("small", pa.bool_()), ("token", pa.int64()), ("key", pa.int64()), ("role", pa.int32())])
+    return found
 
 
 def _whole_sets(n: int):
@@ -238,38 +246,69 @@ def forest(linked: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def _scan(threshold: Threshold):
-    def linked(keys: list[int], raw: list[bytes]) -> tuple[list[int], list[int]]:
-        sets = [np.frombuffer(b, np.uint64) for b in raw]
-        sizes = np.array([len(s) for s in sets])
-        both = overlaps(sets)
-        links = threshold.whole * both >= threshold.part * (sizes[:, None] + sizes[None, :] - both)
-        edges = forest(links)
-        return [keys[i] for i, _ in edges], [keys[j] for _, j in edges]
+GROUP = ("hub", "band", "i", "j")
+
+
+def _grouped(work, names: tuple[str, ...], out: pa.Schema):
+    """For mapInArrow over rows sorted by GROUP: work(group, columns) gives rows for each group of two or more."""
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, keys, raw = None, [], []
-        u, v = [], []
+        group, own, made = None, [], []
+
+        def batch_of() -> pa.RecordBatch:
+            columns = [pa.array(c, field.type) for c, field in zip(zip(*made, strict=True), out, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, schema=out)
+
         for batch in batches:
-            for row in zip(*(batch.column(name).to_pylist() for name in ("hub", "i", "j", "key", "tokens")), strict=True):
-                if row[:3] != group:
-                    if len(keys) > 1:
-                        a, b = linked(keys, raw)
-                        u += a
-                        v += b
-                    group, keys, raw = row[:3], [], []
-                keys.append(row[3])
-                raw.append(row[4])
-            if u:
-                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
-                u, v = [], []
-        if len(keys) > 1:
-            u, v = linked(keys, raw)
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
+            for row in zip(*(batch.column(name).to_pylist() for name in (*GROUP, *names)), strict=True):
+                if row[:4] != group:
+                    if len(own) > 1:
+                        made += work(group, list(zip(*own, strict=True)))
+                    group, own = row[:4], []
+                own.append(row[4:])
+            if made:
+                yield batch_of()
+                made = []
+        if len(own) > 1:
+            made += work(group, list(zip(*own, strict=True)))
+        if made:
+            yield batch_of()
 
     return found
 
 
+def may_link(sizes: np.ndarray, beginnings: list[np.ndarray], threshold: Threshold) -> np.ndarray:
+    """Which pairs the beginnings of their sets (in order) don't rule out."""
+    need = -(-threshold.part * (sizes[:, None] + sizes[None, :]) // (threshold.part + threshold.whole))
+    last = np.array([b[-1] for b in beginnings])
+    seen = np.stack([np.searchsorted(b, last, "right") for b in beginnings])
+    missing = seen - overlaps(beginnings)
+    out = (missing <= sizes[:, None] - need) & (missing.T <= sizes[None, :] - need) & (need <= np.minimum(sizes[:, None], sizes[None, :]))
+    np.fill_diagonal(out, False)
+    return out
+
+
+def _first_scan(threshold: Threshold):
+    def work(group, columns):
+        keys, sizes, tokens = columns
+        left = may_link(np.array(sizes), [np.array(t, np.int64).view(np.uint64) for t in tokens], threshold).any(axis=1)
+        return [(*group, key) for key, kept in zip(keys, left, strict=True) if kept]
+
+    return work
+
+
+def _second_scan(threshold: Threshold):
+    def work(group, columns):
+        keys, tokens = columns
+        sets = [np.frombuffer(b, np.uint64) for b in tokens]
+        sizes = np.array([len(s) for s in sets])
+        both = overlaps(sets)
+        links = threshold.whole * both >= threshold.part * (sizes[:, None] + sizes[None, :] - both)
+        return [(keys[i], keys[j]) for i, j in forest(links)]
+
+    return work
+
+
 def _stored(df: DataFrame, purpose: str, schema: str) -> DataFrame:
     spark = df.sparkSession
     store = work_folder(spark, purpose)
@@ -288,36 +327,63 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     # HOT n-grams at most, whatever the size of the corpus
     common = rows.where("hot").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HOT).select("key").toPandas()
     hot = np.sort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
-    entries = _stored(docs.select("text").mapInArrow(_entries(n, threshold, most_small, hot), ENTRIES), "entries", ENTRIES)
+    # one row per class; copies meet in their task before they are shuffled
+    made = docs.select("text").mapInArrow(_beginnings(n, threshold, most_small, hot), BEGINNINGS).where("n > 0")
+    begun = _stored(made.dropDuplicates(["key"]), "beginnings", BEGINNINGS)
 
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("key")))
-    listed = entries.where("small")
+    few = begun.where(f"n <= {most_small}")
+    listed = _stored(few.select("key", "tokens").mapInArrow(_subsets(threshold, most_small), SUBSETS), "subsets", SUBSETS)
     heads = listed.groupBy(F.col("token").alias("t")).agg(least(0).alias("lesser"), least(1).alias("greater"), least(2).alias("same"))
     other = F.when(F.col("role") == 0, F.col("greater")).when(F.col("role") == 1, F.col("lesser")).otherwise(F.col("same"))
     small_edges = listed.join(heads, F.col("token") == F.col("t")).select(F.col("key").alias("u"), other.alias("v")).where("u <> v").distinct()
 
-    lists = entries.where("not small").select("token", "key")
-    hubs = lists.groupBy(F.col("token").alias("t")).agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last").select("t", "hub")
-    members = _stored(lists.join(hubs, F.col("token") == F.col("t")).select("hub", "key").distinct(), "members", "hub long, key long")
-    blocks = members.groupBy(F.col("hub").alias("h")).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    involved = members.select("key").distinct()
-    # the texts that are needed again, by document, before their sets are made
-    ids = _stored(own.join(involved, "key").groupBy("key").agg(F.min("doc_id").alias("d")).select("d").distinct(), "ids", "d long")
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    sets = _stored(texts.select("text").mapInArrow(_whole_sets(n), "key long, tokens binary").dropDuplicates(["key"]), "tokens", "key long, tokens binary")
+    # list entries carry 40 bits of the n-gram: a list that two n-grams share by chance only means more to scan
+    large = begun.where(F.col("n") >= threshold.partners(most_small + 1).start)
+    prefix = F.expr(f"slice(tokens, 1, cast(n - ({part} * n + {whole - 1}) div {whole} + 1 as int))")
+    lists = large.select("key", "n", F.explode(prefix).alias("token")).select((F.col("token") < 0).alias("hot"), F.shiftrightunsigned("token", 23).alias("token"), "key", "n")
+    # an n-gram that is not hot is in less than HOT_IN_TASK sets of any stretch of a task, so its list is short
+    of_token = Window.partitionBy("token")
+    cold = lists.where("not hot").select("token", "key", "n").select("key", "n", F.min("key").over(of_token).alias("hub"), F.max("key").over(of_token).alias("last")).where("hub <> last")
+    hot_lists = _stored(lists.where("hot").select("token", "key", "n").distinct(), "hot-lists", "token long, key long, n int")
+    heads = hot_lists.groupBy(F.col("token").alias("t")).agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
+    from_hot = hot_lists.join(heads, F.col("token") == F.col("t")).select("key", "n", "hub")
+    # sets whose sizes may link are in one band or in two that follow each other: a guest of the band above its own meets that band's sets
+    members = cold.select("key", "n", "hub").union(from_hot).distinct()
+    ratio = float(np.log(whole / part))
+    banded = members.select("*", F.floor(F.log(F.col("n")) / ratio + 1e-9).alias("own")).select(
+        "hub", "key", F.explode(F.array(F.col("own"), F.col("own") + 1)).alias("band"), "own"
+    )
+    members = _stored(banded, "members", "hub long, key long, band long, own long")
+    blocks = (
+        members.groupBy(F.col("hub").alias("h"), F.col("band").alias("x"))
+        .agg(F.count("*").alias("all"), F.count(F.when(F.col("band") == F.col("own"), 1)).alias("hosts"))
+        .where("hosts > 0 and all > 1")
+        .select("h", "x", F.ceil(F.col("all") / BLOCK).cast("int").alias("blocks"))
+    )
     numbers = F.sequence(F.lit(0), F.col("blocks") - 1)
     dealt = (
-        members.join(blocks, F.col("hub") == F.col("h"))
+        members.join(blocks, (F.col("hub") == F.col("h")) & (F.col("band") == F.col("x")))
         .withColumn("b", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int"))
-        .select("hub", "key", "b", F.explode(numbers).alias("c"))
-        .select("hub", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "key")
-        .join(sets, "key")
-        .select("hub", "i", "j", "key", "tokens")
-        .repartition("hub", "i", "j")
-        .sortWithinPartitions("hub", "i", "j")
+        .select("hub", "band", "key", "b", F.explode(numbers).alias("c"))
+        .select("hub", "band", F.least("b", "c").alias("i"), F.greatest("b", "c").alias("j"), "key")
     )
-    edges = _stored(dealt.mapInArrow(_scan(threshold), "u long, v long").union(small_edges), "links", "u long, v long")
-    return own, edges
+    group = "hub long, band long, i int, j int"
+    dealt = _stored(dealt, "dealt", f"{group}, key long")
+    firsts = large.join(dealt.select(F.col("key").alias("k")).distinct(), F.col("key") == F.col("k"), "left_semi")
+    first = dealt.join(firsts, "key").select(*GROUP, "key", "n", "tokens").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    schema = pa.schema([("hub", pa.int64()), ("band", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("key", pa.int64())])
+    left = _stored(first.mapInArrow(_grouped(_first_scan(threshold), ("key", "n", "tokens"), schema), f"{group}, key long"), "left", f"{group}, key long")
+
+    # the texts that are needed again, by document, before their sets are made
+    involved = left.select("key").distinct()
+    ids = _stored(own.join(involved, "key").groupBy("key").agg(F.min("doc_id").alias("d")).select("d").distinct(), "ids", "d long")
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
+    sets = texts.select("text").mapInArrow(_whole_sets(n), "key long, tokens binary").dropDuplicates(["key"])
+    second = left.join(sets, "key").select(*GROUP, "key", "tokens").repartition(*GROUP).sortWithinPartitions(*GROUP)
+    pair = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+    linked = second.mapInArrow(_grouped(_second_scan(threshold), ("key", "tokens"), pair), "u long, v long")
+    return own, _stored(linked.union(small_edges), "links", "u long, v long")
 
 
 def grouped(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100) -> DataFrame:

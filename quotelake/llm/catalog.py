@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, isolation, jaccard, mixing, packing, pii, rule_ensemble, sharding
+from quotelake.llm import hmm, isolation, jaccard, mixing, mtree, packing, pii, rule_ensemble, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -85,3 +85,24 @@ def op6_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         "score",
         (F.col("score") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_mtree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = mtree.prepared(table(spark, sf_dir, "embeddings"))
+    return mtree.top_k(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
+ORACLES["op7_mtree_search"] = """
+with v as (
+  select vec_id, [floor(64 * x::double)::bigint for x in embedding] as v
+  from embeddings
+  where embedding is not null and len([x for x in embedding if x is null or not isfinite(x)]) = 0 and len(embedding) > 0
+), s as (
+  select q.vec_id as query_id, c.vec_id as vec_id, list_sum([q.v[i] * c.v[i] for i in range(1, len(q.v) + 1)])::bigint as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 20 = 0
+), r as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s
+)
+select query_id, rank::int as rank, vec_id, score from r where rank <= 20
+"""

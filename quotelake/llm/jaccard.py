@@ -33,9 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quotelake.llm import words as W
 from quotelake.llm.components import components
+from quotelake.llm.samples import commonest
 from quotelake.session import work_folder
 
 HOT = 1 << 18
@@ -325,7 +327,7 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     sizes = own.where(f"n <= {MOST_SMALL}").groupBy("n").agg(F.countDistinct("key").alias("sets"))
     most_small = boundary({row["n"]: row["sets"] for row in sizes.collect()}, threshold)
     # HOT n-grams at most, whatever the size of the corpus
-    common = rows.where("hot").groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(HOT).select("key").toPandas()
+    common = commonest(rows.where("hot").groupBy("key").agg(F.sum("n").alias("n")), HOT).select("key").toPandas()
     hot = np.sort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
     # one row per class; copies meet in their task before they are shuffled
     made = docs.select("text").mapInArrow(_beginnings(n, threshold, most_small, hot), BEGINNINGS).where("n > 0")
@@ -386,11 +388,15 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     return own, _stored(linked.union(small_edges), "links", "u long, v long")
 
 
-def grouped(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per document."""
+def _rooted(docs: DataFrame, n: int, part: int, whole: int) -> DataFrame:
     own, edges = linked_classes(docs, n, part, whole)
     roots = components(edges)
-    rooted = own.join(roots, F.col("key") == F.col("node"), "left").select("doc_id", "n", F.coalesce("root", "key").alias("root"))
+    return own.join(roots, F.col("key") == F.col("node"), "left").select("doc_id", "key", "n", F.coalesce("root", "key").alias("root"))
+
+
+def grouped(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
+    """doc_id, n_shingles, component_id: one row per document."""
+    rooted = _rooted(docs, n, part, whole)
     least = rooted.groupBy(F.col("root").alias("r")).agg(F.min("doc_id").alias("least"))
     return rooted.join(least, F.col("root") == F.col("r")).select(
         "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
@@ -398,7 +404,28 @@ def grouped(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100) -> Da
 
 
 def first_of_groups(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100) -> DataFrame:
-    """The documents, with one (that of the smallest doc_id) of each group of linked ones; those without a doc_id or without words stay."""
-    groups = grouped(docs, n, part, whole).where("doc_id <> component_id").select(F.col("doc_id").alias("_later")).distinct()
-    alone = docs.join(groups, F.col("doc_id") == F.col("_later"), "left_anti")
-    return alone.dropDuplicates(["doc_id", "text"])
+    """The documents, with one of each group of linked ones: that of the smallest doc_id (a null is the largest). Those without words stay."""
+    thin = "doc_id long, key long, root long"
+    rooted = _stored(_rooted(docs, n, part, whole).where("n > 0").select("doc_id", "key", "root"), "rooted", thin)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    first = rooted.groupBy(F.col("root").alias("r")).agg(F.min(place).alias("first"))
+    marked = rooted.join(first, F.col("root") == F.col("r")).select("doc_id", "key", (place == F.col("first")).alias("stays"))
+    marked = _stored(marked.groupBy("doc_id", "key", "stays").agg(F.count("*").alias("rows")), "marked", "doc_id long, key long, stays boolean, rows long")
+    names = docs.columns
+
+    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = [np.zeros(0, np.int64)]
+            for s in W.word_slices(batch.column("text"), lower=True):
+                keys.append(set_keys(*grams(s, n), s.last - s.first)[0])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(keys))], names=[*names, "_key"])
+
+    rows = docs.mapInArrow(keyed, StructType([*docs.schema.fields, StructField("_key", LongType())]))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+    later = marked.where("not stays").select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
+    alone = rows.join(later, same, "left_anti")
+    repeated = marked.where("stays and rows > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
+    if repeated.isEmpty():
+        return alone.select(names)
+    again = alone.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"])
+    return alone.join(repeated, same, "left_anti").union(again).select(names)

@@ -27,6 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.samples import sample
+
 SAMPLE_ROWS = 5000
 FEATURES = 512
 SURE = 0.95
@@ -251,7 +253,7 @@ def all_spans(text: str, field: Field, sure: float = SURE) -> tuple[list[Span],
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
-    chosen = docs.where("doc_id is not null").select("doc_id").distinct().orderBy(F.xxhash64(F.lit(3), "doc_id"), "doc_id").limit(sample_rows)
+    chosen = sample(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", sample_rows, 3)
     # sample_rows is a parameter, so the broadcast has a bound
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").rlike("[0-9@]"))
     return fitted([row["text"] for row in texts.select("text").orderBy("doc_id", "text").collect()])

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.llm.samples import sample
 from quotelake.llm.textstats import RATIOS, STATISTICS, batch_statistics, ratios
 
 SAMPLE_ROWS = 8000
@@ -156,7 +157,7 @@ def fitted(rows: np.ndarray, good: np.ndarray) -> Ensemble:
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Ensemble:
     """labels: doc_id, quality; only the rows to learn from."""
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
-    chosen = marked.orderBy(F.xxhash64(F.lit(23), "doc_id"), "doc_id").limit(sample_rows)
+    chosen = sample(marked, "doc_id", sample_rows, 23)
     # sample_rows is a parameter, so the broadcast has a bound
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     found = texts.select("doc_id", "quality", "text").mapInArrow(_with_features(("doc_id", "quality")), f"doc_id long, quality int, {_SCHEMA}")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, isolation, jaccard, mixing, mtree, packing, pii, rule_ensemble, sharding
+from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, rule_ensemble, sharding
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,9 @@ with v as (
 )
 select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 """
+
+
+@query
+def op9_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_graph.extract(pages, html_graph.fit(pages))

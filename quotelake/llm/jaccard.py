@@ -6,6 +6,9 @@ then on only classes are compared. Two classes link when intersection / union re
 * Small sets: two sets of sizes s and t link exactly if they share a subset of the size their overlap must have. Each small set
   lists its subsets of that size for each t, so sets under one subset are linked, with no further check. Only one link per set is kept, to
   the smallest class of the other size.
+* First of all, a set can only link if a share of its n-grams as large as the threshold occurs in other sets too. Each task ships every n-gram of a stretch
+  of its documents once, packed; where n-grams meet, those that came twice are counted for their sets. Sets with fewer are done. Counts can only be
+  too high (32 bits of an n-gram beside its partition, 40 bits of a set's key), which lets a set pass that need not.
 * Large sets: n-grams have a fixed order, with those that occur in many documents last. Two sets that link share one of their first n-grams
   (as many as may be missing, and one), so each set is entered in the inverted lists of these. A list is known by its smallest class, the
   hub; the lists of a hub are scanned together, by bands of set sizes that may link, in blocks of BLOCK sets against BLOCK sets. A first scan
@@ -47,6 +50,7 @@ MOST_SMALL = 24
 BLOCK = 256
 SCANNED = 8192
 LEAD = 1.5
+PARTITION_TOKENS = 3_000_000
 
 
 class Threshold(NamedTuple):
@@ -107,6 +111,102 @@ def set_keys(text: np.ndarray, found: np.ndarray, texts: int) -> tuple[np.ndarra
     return keys.view(np.int64), sizes
 
 
+PACKED = "p int, counts boolean, a binary, b binary"
+SHARED = "id long, shared long"
+MANY = 0  # in place of a set: the n-gram is in several sets of the stretch
+
+
+def short_key(key):
+    """40 bits of a set's key, never 0. For numpy arrays and Spark columns of signed keys alike."""
+    if isinstance(key, np.ndarray):
+        return np.maximum(key.view(np.uint64) >> np.uint64(24), np.uint64(1))
+    return F.greatest(F.shiftrightunsigned(key, 24), F.lit(1))
+
+
+def _packed(n: int, bits: int):
+    """The distinct n-grams of stretches of documents by the 2**bits partitions of their hashes: 32 more bits of each, and 40 of its set."""
+
+    def stretch(tokens: np.ndarray, ids: np.ndarray) -> Iterator[tuple[int, bool, bytes, bytes]]:
+        order = np.argsort(tokens, kind="stable")
+        tokens, ids = tokens[order], ids[order]
+        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        counts = np.diff(np.append(first, len(tokens)))
+        several = np.repeat(counts > 1, counts)
+        own, times = np.unique(ids[several], return_counts=True)
+        tokens, ids = tokens[first], np.where(counts > 1, np.uint64(MANY), ids[first])
+        rest = tokens if not bits else tokens << np.uint64(bits)
+        rest = (rest >> np.uint64(32)).astype(np.uint32)
+        parts = np.zeros(len(tokens), np.int64) if not bits else (tokens >> np.uint64(64 - bits)).astype(np.int64)
+        edges = np.searchsorted(parts, np.arange((1 << bits) + 1))
+        for p in range(1 << bits):
+            a, b = edges[p], edges[p + 1]
+            if b > a:
+                # bytes of like significance together: the leading ones of sorted numbers compress well
+                yield p, False, rest[a:b].view(np.uint8).reshape(-1, 4).T.tobytes(), ids[a:b].view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
+        if len(own):
+            yield int(tokens[0] % np.uint64(1 << bits)), True, own.tobytes(), times.astype(np.int64).tobytes()
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        tokens, ids, held = [], [], 0
+
+        def out() -> pa.RecordBatch:
+            rows = list(stretch(np.concatenate(tokens), np.concatenate(ids)))
+            kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*rows, strict=True), kinds, strict=True)], names=["p", "counts", "a", "b"])
+
+        for batch in batches:
+            for s in W.word_slices(batch.column("text"), lower=True):
+                text, found = grams(s, n)
+                keys, sizes = set_keys(text, found, s.last - s.first)
+                new = np.zeros(len(keys), bool)
+                for k in np.flatnonzero(sizes):
+                    if keys[k] not in seen:
+                        seen.add(keys[k])
+                        new[k] = True
+                kept = new[text]
+                tokens.append(found[kept])
+                ids.append(short_key(keys)[text[kept]])
+                held += len(tokens[-1])
+                if held >= HOT_TOKENS:
+                    yield out()
+                    seen, tokens, ids, held = set(), [], [], 0
+        if held:
+            yield out()
+
+    return found
+
+
+def _shared(table: pa.Table) -> pa.Table:
+    """How many n-grams of one partition each set has that are in other sets too."""
+    tokens, ids, sums = [], [], [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+    for counts, a, b in zip(table.column("counts").to_pylist(), table.column("a").to_pylist(), table.column("b").to_pylist(), strict=True):
+        if counts:
+            sums.append((np.frombuffer(a, np.uint64), np.frombuffer(b, np.int64)))
+        else:
+            tokens.append(np.ascontiguousarray(np.frombuffer(a, np.uint8).reshape(4, -1).T).view(np.uint32).ravel())
+            wide = np.zeros((len(tokens[-1]), 8), np.uint8)
+            wide[:, :5] = np.frombuffer(b, np.uint8).reshape(5, -1).T
+            ids.append(wide.view(np.uint64).ravel())
+    if tokens:
+        tokens, ids = np.concatenate(tokens), np.concatenate(ids)
+        order = np.argsort(tokens, kind="stable")
+        tokens, ids = tokens[order], ids[order]
+        first = np.flatnonzero(np.append(True, tokens[1:] != tokens[:-1]))
+        counts = np.diff(np.append(first, len(tokens)))
+        apart = (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)) & (counts > 1)
+        kept = np.repeat(apart, counts) & (ids != MANY)
+        # copies of a set in several stretches bring an n-gram more than once; each counts for the set once
+        tokens, ids = tokens[kept], ids[kept]
+        order = np.lexsort((ids, tokens))
+        tokens, ids = tokens[order], ids[order]
+        once = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])) if len(tokens) else np.zeros(0, bool)
+        sums.append(np.unique(ids[once], return_counts=True))
+    own, inverse = np.unique(np.concatenate([i for i, _ in sums]), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate([c for _, c in sums]), len(own)).astype(np.int64)
+    return pa.table({"id": pa.array(own.view(np.int64)), "shared": pa.array(total)})
+
+
 ROWS = "hot boolean, doc_id long, key long, n long"
 
 
@@ -329,8 +429,16 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     # HOT n-grams at most, whatever the size of the corpus
     common = commonest(rows.where("hot").groupBy("key").agg(F.sum("n").alias("n")), HOT).select("key").toPandas()
     hot = np.sort(common["key"].to_numpy().astype(np.int64).view(np.uint64))
+    # sets too few of whose n-grams occur elsewhere are done; one document stands for each class of the others
+    tokens = own.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bits = max(0, int(np.ceil(np.log2(max(tokens, 1) / PARTITION_TOKENS))))
+    shared = docs.select("text").mapInArrow(_packed(n, bits), PACKED).groupBy("p").applyInArrow(_shared, SHARED).groupBy("id").agg(F.sum("shared").alias("shared"))
+    classes = own.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("d"))
+    left = classes.join(shared, short_key(F.col("key")) == F.col("id")).where(whole * F.col("shared") >= part * F.col("n"))
+    ids = _stored(left.select("d").distinct(), "ids", "d long")
+    texts = _stored(docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi").select("text"), "texts", "text string")
     # one row per class; copies meet in their task before they are shuffled
-    made = docs.select("text").mapInArrow(_beginnings(n, threshold, most_small, hot), BEGINNINGS).where("n > 0")
+    made = texts.mapInArrow(_beginnings(n, threshold, most_small, hot), BEGINNINGS).where("n > 0")
     begun = _stored(made.dropDuplicates(["key"]), "beginnings", BEGINNINGS)
 
     least = lambda role: F.min(F.when(F.col("role") == role, F.col("key")))
@@ -377,11 +485,8 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     schema = pa.schema([("hub", pa.int64()), ("band", pa.int64()), ("i", pa.int32()), ("j", pa.int32()), ("key", pa.int64())])
     left = _stored(first.mapInArrow(_grouped(_first_scan(threshold), ("key", "n", "tokens"), schema), f"{group}, key long"), "left", f"{group}, key long")
 
-    # the texts that are needed again, by document, before their sets are made
-    involved = left.select("key").distinct()
-    ids = _stored(own.join(involved, "key").groupBy("key").agg(F.min("doc_id").alias("d")).select("d").distinct(), "ids", "d long")
-    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    sets = texts.select("text").mapInArrow(_whole_sets(n), "key long, tokens binary").dropDuplicates(["key"])
+    involved = left.select(F.col("key").alias("k")).distinct()
+    sets = texts.mapInArrow(_whole_sets(n), "key long, tokens binary").join(involved, F.col("key") == F.col("k"), "left_semi").dropDuplicates(["key"])
     second = left.join(sets, "key").select(*GROUP, "key", "tokens").repartition(*GROUP).sortWithinPartitions(*GROUP)
     pair = pa.schema([("u", pa.int64()), ("v", pa.int64())])
     linked = second.mapInArrow(_grouped(_second_scan(threshold), ("key", "tokens"), pair), "u long, v long")

@@ -2,7 +2,7 @@
 
 For each bin, a subset-sum dynamic program over the lengths at hand (one bit per sum) finds the fullest combination that fits; it is
 taken out, and so on. Among equally full combinations, the one with the longest pieces wins, which leaves the short ones
-to fill later bins. Lengths are at most the capacity, so only a count per length meets in one place; a combination is taken out as
+to fill later bins. That is done twice, with any combination and with one around the longest piece at hand; the plan with fewer bins is used. Lengths are at most the capacity, so only a count per length meets in one place; a combination is taken out as
 often as the counts allow at once, which uses up a length each time. So there are about as many patterns as lengths, at any size of the corpus.
 
 Pieces are then numbered within their length (by cells that a hash fills evenly, since one length may hold most pieces), and a piece's number
@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -169,10 +169,15 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = END
 
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """Combinations of lengths with the number of bins of each: (bins, {length: pieces per bin})."""
+    plans = [_emptied(counts, capacity, pick) for pick in (_fullest, _around_longest)]
+    return min(plans, key=lambda found: sum(bins for bins, _ in found))
+
+
+def _emptied(counts: dict[int, int], capacity: int, pick: Callable[[dict[int, int], int], dict[int, int]]) -> list[tuple[int, dict[int, int]]]:
     left = {length: n for length, n in sorted(counts.items(), reverse=True) if n > 0}
     found = []
     while left:
-        combination = _fullest(left, capacity)
+        combination = pick(left, capacity)
         bins = min(left[length] // n for length, n in combination.items())
         for length, n in combination.items():
             left[length] -= bins * n
@@ -209,6 +214,16 @@ def _fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
     return taken
 
 
+def _around_longest(left: dict[int, int], capacity: int) -> dict[int, int]:
+    """The fullest combination with the longest piece."""
+    longest = next(iter(left))
+    room = capacity - longest
+    rest = {length: n - (length == longest) for length, n in left.items() if length <= room and n > (length == longest)}
+    taken = _fullest(rest, room)
+    taken[longest] = taken.get(longest, 0) + 1
+    return dict(sorted(taken.items(), reverse=True))
+
+
 def places(found: list[tuple[int, dict[int, int]]]) -> list[tuple[int, int, int, int, int, int]]:
     """Which pieces of a length each pattern takes: length, first and last+1 of their numbers, pieces per bin, first bin, offset in it."""
     used: dict[int, int] = {}

@@ -214,7 +214,7 @@ def marginals(n: Nodes, field: Field, rounds: int = 30, damping: float = 0.5) ->
     pair = np.concatenate((np.repeat(field.chain[None], len(n.chain), 0), np.repeat(field.skip[None], len(n.skips), 0)))
     # each edge both ways; the message of k runs back as that of k + len(edges)
     source, target = np.concatenate((edges[:, 0], edges[:, 1])), np.concatenate((edges[:, 1], edges[:, 0]))
-    pair = np.concatenate((pair, pair))
+    pair = np.concatenate((pair, pair.transpose(0, 2, 1)))
     back = np.roll(np.arange(len(source)), len(edges))
     messages = np.zeros((len(source), size))
     for _ in range(rounds):

@@ -113,6 +113,7 @@ def set_keys(text: np.ndarray, found: np.ndarray, texts: int) -> tuple[np.ndarra
 
 PACKED = "p int, counts boolean, a binary, b binary"
 SHARED = "id long, shared long"
+PARTIAL = "r int, ids binary, sums binary"
 MANY = 0  # in place of a set: the n-gram is in several sets of the stretch
 
 
@@ -177,8 +178,8 @@ def _packed(n: int, bits: int):
     return found
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """How many n-grams of one partition each set has that are in other sets too."""
+def _shared(table: pa.Table, ranges: int) -> pa.Table:
+    """How many n-grams of one partition each set has that are in other sets too: packed, by ranges of the sets."""
     tokens, ids, sums = [], [], [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
     for counts, a, b in zip(table.column("counts").to_pylist(), table.column("a").to_pylist(), table.column("b").to_pylist(), strict=True):
         if counts:
@@ -202,8 +203,21 @@ def _shared(table: pa.Table) -> pa.Table:
         tokens, ids = tokens[order], ids[order]
         once = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])) if len(tokens) else np.zeros(0, bool)
         sums.append(np.unique(ids[once], return_counts=True))
+    own, total = _summed(sums)
+    rows = [(r, own[mine].tobytes(), total[mine].tobytes()) for r in range(ranges) if (mine := own % np.uint64(ranges) == r).any()]
+    kinds = (("r", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary()))
+    return pa.table({name: pa.array(c, kind) for c, (name, kind) in zip(zip(*rows, strict=True) if rows else [()] * 3, kinds, strict=True)})
+
+
+def _summed(sums: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     own, inverse = np.unique(np.concatenate([i for i, _ in sums]), return_inverse=True)
-    total = np.bincount(inverse, np.concatenate([c for _, c in sums]), len(own)).astype(np.int64)
+    return own, np.bincount(inverse, np.concatenate([c for _, c in sums]), len(own)).astype(np.int64)
+
+
+def _all_shared(table: pa.Table) -> pa.Table:
+    """The sums over all partitions, a row per set."""
+    parts = zip(table.column("ids").to_pylist(), table.column("sums").to_pylist(), strict=True)
+    own, total = _summed([(np.frombuffer(ids, np.uint64), np.frombuffer(sums, np.int64)) for ids, sums in parts])
     return pa.table({"id": pa.array(own.view(np.int64)), "shared": pa.array(total)})
 
 
@@ -432,7 +446,9 @@ def linked_classes(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 100
     # sets too few of whose n-grams occur elsewhere are done; one document stands for each class of the others
     tokens = own.agg(F.sum("n").alias("n")).first()["n"] or 0
     bits = max(0, int(np.ceil(np.log2(max(tokens, 1) / PARTITION_TOKENS))))
-    shared = docs.select("text").mapInArrow(_packed(n, bits), PACKED).groupBy("p").applyInArrow(_shared, SHARED).groupBy("id").agg(F.sum("shared").alias("shared"))
+    ranges = max(1, (1 << bits) // 8)
+    partial = docs.select("text").mapInArrow(_packed(n, bits), PACKED).groupBy("p").applyInArrow(lambda table: _shared(table, ranges), PARTIAL)
+    shared = partial.groupBy("r").applyInArrow(_all_shared, SHARED)
     classes = own.where("n > 0").groupBy("key", "n").agg(F.min("doc_id").alias("d"))
     left = classes.join(shared, short_key(F.col("key")) == F.col("id")).where(whole * F.col("shared") >= part * F.col("n"))
     ids = _stored(left.select("d").distinct(), "ids", "d long")

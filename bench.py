@@ -9,6 +9,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import tempfile
 import time
 
 from quotelake.plans.catalog import QUERIES
@@ -47,7 +48,9 @@ def consume(df) -> None:
 
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
-    spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), "quotelake-bench")
+    # stands in for the folder that a cluster's executors share
+    shared = tempfile.mkdtemp(prefix="quotelake-bench-")
+    spark = local_session(int(os.environ.get("BENCH_CPUS", "8")), "quotelake-bench", **{"spark.checkpoint.dir": shared})
     times: dict[str, float] = {}
     for name in HEADLINE:
         consume(QUERIES[name](spark, folder))

@@ -7,12 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quotelake.functions.names import column
+
 _HEX_PER_PART = 8
 
 
 def row_digest(columns: Sequence[str]) -> Column:
     """md5 of one row. JSON with explicit nulls keeps NULL apart from an empty text."""
-    return F.md5(F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}))
+    return F.md5(F.to_json(F.struct(*map(column, columns)), {"ignoreNullFields": "false"}))
 
 
 def digest_parts(digest: Column) -> list[Column]:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake.functions.names import column
+
 # The spellings of a number that count as numeric text.
 NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
 
@@ -44,9 +46,9 @@ def blank_non_finite(df: DataFrame, columns: list[str] | None = None) -> DataFra
     """NaN and +-infinity become NULL in every floating column (or the named ones)."""
     names = fractional_fields(df) if columns is None else columns
     limit = F.lit(float("inf"))
-    return df.withColumns({c: F.when(~F.isnan(c) & (F.abs(c) < limit), F.col(c)) for c in names})
+    return df.withColumns({c: F.when(~F.isnan(column(c)) & (F.abs(column(c)) < limit), column(c)) for c in names})
 
 
 def round_fractions(df: DataFrame, digits: int = 2, columns: list[str] | None = None) -> DataFrame:
     names = fractional_fields(df) if columns is None else columns
-    return df.withColumns({c: round_half_even(F.col(c), digits) for c in names})
+    return df.withColumns({c: round_half_even(column(c), digits) for c in names})

@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.functions.names import column
 from quotelake.functions.numeric import growth
 from quotelake.functions.rolling import rolling_std
 from quotelake.operators.quantiles import exact_quantiles
@@ -22,12 +21,9 @@ TRADING_DAYS = 252
 VOLATILITY_ROWS = 30
 CLUSTERS, CLUSTER_SEED = 3, 42
 
+# The indicators that are correlated, in the report's order.
 INDICATOR_COLUMNS = ("sma_20", "sma_50", "rsi", "macd", "atr", "bb_upper", "bb_lower")
 
-# A matrix over more columns than this goes through the vector form instead of one expression per pair.
-_PAIRWISE_COLUMNS = 40
-_MATRIX_COLUMNS = 2_000
-
 
 def describe_close(prices: DataFrame) -> DataFrame:
     """Count, mean, deviation, extremes and quartiles of the close per ticker."""
@@ -89,57 +85,63 @@ def drawdowns(prices: DataFrame) -> DataFrame:
     return with_running_peak(prices).groupBy("ticker").agg(F.min(fall).alias("max_drawdown"))
 
 
-def series_names(prices: DataFrame, limit: int = _MATRIX_COLUMNS) -> list[str]:
-    """The tickers, as the columns of a matrix; refuses more than ``limit``."""
-    names = [r[0] for r in prices.select("ticker").distinct().orderBy("ticker").limit(limit + 1).collect()]
-    if len(names) > limit:
-        raise ValueError(f"a matrix over more than {limit} tickers is not supported")
-    return names
+def series_names(prices: DataFrame) -> list[str]:
+    """The tickers in order, for results that have a column for each."""
+    return [r[0] for r in prices.select("ticker").distinct().orderBy("ticker").collect()]
+
+
+def _pearson(x: str, y: str) -> Column:
+    """Aggregate: the correlation of two columns; NULL if one does not vary or there is no row."""
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def correlation_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair of columns as (a, b, corr), over rows without NULL."""
-    complete = rows.select(*[F.col(f"`{c}`") for c in columns]).dropna()
-    names = list(columns)
-    if len(names) > _PAIRWISE_COLUMNS:
-        return _vector_correlation(complete, names)
-    pairs = list(combinations_with_replacement(range(len(names)), 2))
-    row = complete.agg(*[F.corr(f"`{names[i]}`", f"`{names[j]}`").alias(f"c{i}_{j}") for i, j in pairs])
-    cells = [
-        F.struct(F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
-        for i in range(len(names))
-        for j in range(len(names))
-    ]
-    return row.select(F.inline(F.array(*cells)))
-
-
-def _vector_correlation(complete: DataFrame, names: list[str]) -> DataFrame:
-    vectors = VectorAssembler(inputCols=names, outputCol="v").transform(complete).select("v")
-    matrix = Correlation.corr(vectors, "v").head()[0].toArray()
-    cells = [(a, b, float(matrix[i, j])) for i, a in enumerate(names) for j, b in enumerate(names)]
-    return complete.sparkSession.createDataFrame(cells, "a string, b string, corr double")
-
-
-def returns_correlation(prices: DataFrame, tickers: Sequence[str] | None = None) -> DataFrame:
-    """Correlation of returns between tickers on the common calendar.
-
-    Prices go wide (one row per date), a return needs both its date and the date before in the calendar
-    of all tickers, and only dates with every return count.
+    """Pearson correlation of every pair of columns as (a, b, corr), over rows without NULL.
+
+    A row becomes its pairs of values, which are summed by pair before the shuffle, so the plan is the same for any number of columns.
+    """
+    complete = rows.select(*[column(c).cast("double").alias(f"c{i}") for i, c in enumerate(columns)]).dropna()
+    values = complete.select(F.array(*complete.columns).alias("_v"))
+    first = values.select("_v", F.posexplode("_v").alias("i", "x"))
+    pairs = first.select("i", "x", F.posexplode("_v").alias("j", "y")).where("i <= j")
+    found = pairs.groupBy("i", "j").agg(_pearson("x", "y").alias("corr"))
+    both = found.unionByName(found.where("i < j").select(F.col("j").alias("i"), F.col("i").alias("j"), "corr"))
+    names = F.array(*[F.lit(c) for c in columns])
+    size = F.lit(len(columns) - 1)
+    # all pairs of the given names, also when no row is complete
+    cells = rows.sparkSession.range(1).select(F.explode(F.sequence(F.lit(0), size)).alias("i")).select("i", F.explode(F.sequence(F.lit(0), size)).alias("j"))
+    return cells.join(both, ["i", "j"], "left").select(
+        F.element_at(names, F.col("i") + 1).alias("a"), F.element_at(names, F.col("j") + 1).alias("b"), "corr"
+    )
+
+
+def returns_correlation(prices: DataFrame) -> DataFrame:
+    """Correlation of returns between tickers on the common calendar, as (ticker_a, ticker_b, corr).
+
+    A return needs both its date and the date before in the calendar of all tickers, and only dates with every ticker's return count.
+    All in long form: pairs meet by date and are summed by pair before the shuffle. Tickers whose returns don't vary, and all of them if no
+    date is complete, have NULL.
     """
-    names = list(tickers) if tickers is not None else series_names(prices)
-    places = [f"s{i}" for i in range(len(names))]
-    wide = prices.groupBy("date").pivot("ticker", names).agg(F.avg("close")).toDF("date", *places)
-    blocked = with_earlier(with_block(wide), [], {"_last": (F.max_by(F.struct(*places), "date"), F.last)})
-    window = within_block([], ["date"])
-    first = F.row_number().over(window) == 1
-
-    def ret(place: str) -> Column:
-        previous = F.when(first, F.col(f"_last.{place}")).otherwise(F.lag(place).over(window))
-        return growth(F.col(place), previous).alias(place)
-
-    matrix = correlation_matrix(blocked.select(*[ret(p) for p in places]), places)
-    by_place = F.create_map(*[F.lit(x) for pair in zip(places, names) for x in pair])
-    return matrix.select(by_place[F.col("a")].alias("ticker_a"), by_place[F.col("b")].alias("ticker_b"), "corr")
+    closes = materialised(prices.groupBy("date", "ticker").agg(F.avg("close").alias("close")), "closes")
+    # one row per day of the calendar
+    calendar = closes.select("date").distinct().select("date", F.lag("date").over(Window.orderBy("date")).alias("_prior"))
+    tickers = closes.select("ticker").distinct()
+    before = closes.select(F.col("date").alias("_prior"), "ticker", F.col("close").alias("_before"))
+    returns = (
+        closes.join(calendar, "date")
+        .join(before, ["_prior", "ticker"])
+        .select("date", "ticker", growth(F.col("close"), F.col("_before")).alias("ret"))
+        .where(F.col("ret").isNotNull() & ~F.isnan("ret"))
+    )
+    whole = returns.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).join(tickers.agg(F.count(F.lit(1)).alias("_all")), F.col("_n") == F.col("_all"))
+    kept = materialised(returns.join(whole.select("date"), "date", "left_semi"), "returns")
+    x = kept.select("date", F.col("ticker").alias("ticker_a"), F.col("ret").alias("x"))
+    y = kept.select("date", F.col("ticker").alias("ticker_b"), F.col("ret").alias("y"))
+    half = x.join(y, "date").where("ticker_a <= ticker_b").groupBy("ticker_a", "ticker_b").agg(_pearson("x", "y").alias("corr"))
+    other = half.where("ticker_a < ticker_b").select(F.col("ticker_b").alias("ticker_a"), F.col("ticker_a").alias("ticker_b"), "corr")
+    # the matrix has a cell for each two tickers, so this is its size
+    cells = tickers.select(F.col("ticker").alias("ticker_a")).crossJoin(tickers.select(F.col("ticker").alias("ticker_b")))
+    return cells.join(half.unionByName(other), ["ticker_a", "ticker_b"], "left")
 
 
 def indicator_correlation(technical: DataFrame) -> DataFrame:

@@ -12,9 +12,6 @@ CRITICAL_PATTERNS = (r"(?i)\b0 rows\b",)
 # A file travels as one row, which holds at most 2 GiB.
 MAX_FILE_BYTES = 2**31 - 1024
 
-# The composite hash is the sha256 over all "path:sha256" lines in order. Lakes with more files than this
-# hash the lines per bucket of the path first and then the bucket lines, so no task holds them all.
-FLAT_FILES = 1_000_000
 
 
 class IntegrityError(RuntimeError):
@@ -44,20 +41,18 @@ def _lines_hash(lines: Column) -> Column:
     return F.sha2(F.array_join(F.sort_array(F.collect_list(lines)), "\n"), 256)
 
 
-def manifest_hash(files: DataFrame, flat_files: int = FLAT_FILES) -> DataFrame:
-    """One row: the composite hash over the files and their number."""
+def manifest_hash(files: DataFrame) -> DataFrame:
+    """One row: the composite hash over the files and their number.
+
+    The "path:sha256" lines are hashed in order per bucket (the first four hex digits of the path's md5), then the "bucket:sha256" lines
+    in order. So no task holds all lines, and the hash means the same at any number of files.
+    """
     line = F.concat_ws(":", "path", "sha256")
-    flat = files.agg(F.count(F.lit(1)).alias("n")).head()["n"] <= flat_files
-    if flat:
-        # Ordered by path, as the lines start with it.
-        ordered = F.sort_array(F.collect_list(F.struct("path", "sha256")))
-        text = F.array_join(F.transform(ordered, lambda f: F.concat_ws(":", f["path"], f["sha256"])), "\n")
-        return files.agg(F.sha2(text, 256).alias("manifest_hash"), F.count(F.lit(1)).alias("file_count"))
     buckets = files.groupBy(F.substring(F.md5("path"), 1, 4).alias("bucket")).agg(
         _lines_hash(line).alias("sha256"), F.count(F.lit(1)).alias("n")
     )
     return buckets.agg(
-        _lines_hash(F.concat_ws(":", "bucket", "sha256")).alias("manifest_hash"), F.sum("n").alias("file_count")
+        _lines_hash(F.concat_ws(":", "bucket", "sha256")).alias("manifest_hash"), F.coalesce(F.sum("n"), F.lit(0)).alias("file_count")
     )
 
 

@@ -111,8 +111,8 @@ def split_valid(
 
 def insert_counts(accepted: DataFrame, rejected: DataFrame) -> DataFrame:
     """One row: inserted, skipped, total."""
-    each = accepted.select(F.lit(1).alias("i"), F.lit(0).alias("s")).unionAll(
-        rejected.select(F.lit(0).alias("i"), F.col("copies").cast("int").alias("s"))
+    each = accepted.select(F.lit(1).alias("i"), F.lit(0).cast("bigint").alias("s")).unionAll(
+        rejected.select(F.lit(0).alias("i"), F.col("copies").cast("bigint").alias("s"))
     )
     return each.agg(
         F.coalesce(F.sum("i"), F.lit(0)).alias("inserted"),

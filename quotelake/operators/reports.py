@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.dates import month_start
+from quotelake.functions.names import column
 from quotelake.functions.text import fixed, grouped, percent
 from quotelake.operators.analytics import TRADING_DAYS, series_names, with_returns
 from quotelake.operators.indicators import with_signals
@@ -40,13 +41,17 @@ def normalised_performance(prices: DataFrame) -> DataFrame:
 def monthly_volume(prices: DataFrame, tickers: list[str] | None = None) -> DataFrame:
     """Mean volume with months in rows and tickers in columns; months without trades count 0."""
     names = tickers if tickers is not None else series_names(prices)
-    by_month = prices.groupBy(month_start(F.col("date")).alias("month"))
-    return by_month.pivot("ticker", names).agg(F.avg("volume")).fillna(0.0)
+    by_month = prices.groupBy(month_start(F.col("date")).alias("month")).pivot("ticker", names).agg(F.avg("volume"))
+    return by_month.select("month", *[F.coalesce(column(n), F.lit(0.0)).alias(n) for n in names])
 
 
-def monthly_volume_long(prices: DataFrame, tickers: list[str] | None = None) -> DataFrame:
-    wide = monthly_volume(prices, tickers)
-    return wide.unpivot("month", [c for c in wide.columns if c != "month"], "ticker", "avg_volume")
+def monthly_volume_long(prices: DataFrame) -> DataFrame:
+    """The same as rows: every month with every ticker, for any number of tickers."""
+    dated = prices.select(month_start(F.col("date")).alias("month"), "ticker", "volume")
+    means = dated.groupBy("month", "ticker").agg(F.avg("volume").alias("_mean"))
+    # the result holds each month with each ticker, so this is its size
+    cells = means.select("month").distinct().crossJoin(means.select("ticker").distinct())
+    return cells.join(means, ["month", "ticker"], "left").select("month", "ticker", F.coalesce("_mean", F.lit(0.0)).alias("avg_volume"))
 
 
 def portfolio_summary(prices: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake.functions.names import column
 from quotelake.functions.hashing import multiset_digest, row_digest
 from quotelake.operators.dedup import keep_first
 
@@ -23,8 +24,8 @@ def tag_extraction(df: DataFrame, **constants: str) -> DataFrame:
 def text_column(field: T.StructField) -> Column:
     """One column as a string; nested values as JSON."""
     if isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
-        return F.to_json(field.name).alias(field.name)
-    return F.col(field.name).cast("string").alias(field.name)
+        return F.to_json(column(field.name)).alias(field.name)
+    return column(field.name).cast("string").alias(field.name)
 
 
 def as_text(df: DataFrame) -> DataFrame:
@@ -75,11 +76,18 @@ def overlay(*maps: Column) -> Column:
 
 
 def transpose_statement(
-    statement: DataFrame, keys: Sequence[str], item: str, items: Sequence[str], period: str = "period"
+    statement: DataFrame, keys: Sequence[str], item: str, items: Sequence[str] | None = None, period: str = "period"
 ) -> DataFrame:
-    """Items in rows and periods in columns become periods in rows and items in columns."""
+    """Items in rows and periods in columns become periods in rows and items in columns.
+
+    Every item becomes a column; ``items`` only names columns to have besides, or to have first.
+    """
     periods = [c for c in statement.columns if c not in (*keys, item)]
-    long = statement.unpivot([*keys, item], periods, period, "_value")
+    found = {r[0] for r in statement.select(item).where(F.col(item).isNotNull()).distinct().collect()}
+    items = [*(items or ()), *sorted(found.difference(items or ()))]
+    # one struct of quoted columns, since names may hold dots
+    cells = F.array(*[F.struct(F.lit(c).alias(period), column(c).alias("_value")) for c in periods])
+    long = statement.select(*map(column, keys), column(item), F.inline(cells))
     return long.groupBy(*keys, period).pivot(item, list(items)).agg(F.first("_value", ignorenulls=True))
 
 
@@ -91,7 +99,7 @@ def reference_keys(info: DataFrame, key: str, first_by: str = "ticker") -> DataF
 def content_digests(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One digest per logical key over all columns but the time of extraction, whatever the row order."""
     content = [c for c in df.columns if c != EXTRACTED]
-    return df.groupBy(*keys).agg(multiset_digest(row_digest(content)).alias("content_hash"))
+    return df.groupBy(*map(column, keys)).agg(multiset_digest(row_digest(content)).alias("content_hash"))
 
 
 def compare_digests(current: DataFrame, stored: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,9 +9,10 @@ from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import INDICATORS_SQL, fenced_bars
-from quotelake.plans.catalog.registry import query, rounded_as
-from quotelake.plans.silver import refresh_silver
-from quotelake.schemas import BRONZE_PRICES, PRICE_HISTORY, TECHNICAL
+from quotelake.plans.catalog.registry import query, rounded, rounded_as
+from quotelake.plans.bronze import land_prices, land_snapshot
+from quotelake.plans.silver import refresh_silver, run_silver
+from quotelake.schemas import BRONZE_PRICES, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
 from quotelake.session import work_folder
 from quotelake.sources.files import newest_file_time, read_table, scan_new_files
 from quotelake.sources.sinks import upsert_partitioned, write_partitioned
@@ -225,3 +226,39 @@ def stream_available_now(spark, folder):
     landing, root = _landed(spark, folder), work_folder(spark, "silver")
     stream_silver(spark, landing, root, work_folder(spark, "checkpoint")).awaitTermination()
     return read_table(spark, f"{root}/technical_indicators", TECHNICAL).withColumn("date", F.to_date("date"))
+
+
+_SECOND_FROM = "2001-01-01"
+_PERIODS = [f"SELECT * FROM ({tb.BARS_TYPE}) WHERE date {sign} DATE '{_SECOND_FROM}'" for sign in ("<", ">=")]
+
+
+@query(" UNION ALL ".join(f"SELECT ticker, date, {rounded('close', 2)} AS close FROM ({fenced_bars(sql)})" for sql in _PERIODS))
+def silver_second_run(spark, folder):
+    """Two landings with a silver run after each; the second run takes what landed last and keeps the rest."""
+    bronze, silver = work_folder(spark, "bronze"), work_folder(spark, "silver")
+    bars = spark.read.schema(BRONZE_PRICES).parquet(_landed(spark, folder)).drop("extraction_timestamp")
+    for period in (F.col("Date") < _SECOND_FROM, F.col("Date") >= _SECOND_FROM):
+        land_prices(bars.where(period), bronze)
+        run_silver(spark, bronze, silver)
+    return read_table(spark, f"{silver}/price_history", PRICE_HISTORY).select("ticker", F.to_date("date").alias("date"), "close")
+
+
+_MOVED = "CAST(regexp_extract(s_name, '[0-9]+$') AS BIGINT) % 3 = 0"
+
+
+@query(f"""SELECT s_name AS ticker, CASE WHEN {_MOVED} THEN 'A ' || s_name ELSE s_name END AS company_name,
+    CASE WHEN {_MOVED} THEN 'APPS' ELSE r_name END AS sector, n_name AS industry
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
+def master_latest_wins(spark, folder):
+    """Company attributes that change between two landings: the row extracted last stands, whatever its text."""
+    bronze, silver = work_folder(spark, "bronze"), work_folder(spark, "silver")
+    info = tb.company_info(spark, folder)
+    moved = F.regexp_extract("ticker", "[0-9]+$", 0).cast("bigint") % 3 == 0
+    later = info.withColumns({
+        "longName": F.when(moved, F.concat(F.lit("A "), "longName")).otherwise(F.col("longName")),
+        "sector": F.when(moved, F.lit("APPS")).otherwise(F.col("sector")),
+    })
+    for snapshot in (info, later):
+        land_snapshot(snapshot, bronze, "ticker", "info", "ticker")
+        run_silver(spark, bronze, silver)
+    return read_table(spark, f"{silver}/stocks_master", STOCKS_MASTER)

@@ -89,6 +89,41 @@ def manifest_verify(spark, folder):
     return integrity.compare_files(recorded.unionAll(gone), found)
 
 
+_TEXT = "string_agg(c_name, ',' ORDER BY c_name) || chr(10)"
+_FILES = f"SELECT c_mktsegment AS path, sha256({_TEXT}) AS sha256, CAST(strlen({_TEXT}) AS BIGINT) AS length FROM customer GROUP BY 1"
+_HEAD = f"""SELECT sha256(string_agg(line, chr(10) ORDER BY line)) AS manifest_hash, CAST(sum(n) AS BIGINT) AS file_count FROM (
+    SELECT bucket || ':' || sha256(string_agg(line, chr(10) ORDER BY line)) AS line, count(*) AS n
+    FROM (SELECT substr(md5(path), 1, 4) AS bucket, path || ':' || sha256 AS line FROM ({_FILES})) GROUP BY bucket)"""
+
+
+def _text_files(spark, folder, name="c_name"):
+    """The customers of each segment as one text file; paths cut down to the segment."""
+    root = work_folder(spark, "texts")
+    names = F.array_join(F.sort_array(F.collect_list(name)), ",").alias("value")
+    tb.table(spark, folder, "customer").groupBy(F.col("c_mktsegment").alias("key")).agg(names).write.partitionBy("key").text(root)
+    return integrity.file_hashes(spark, root, "*.txt").withColumn("path", F.regexp_extract("path", "key=([^/]+)/", 1))
+
+
+@query(_FILES)
+def manifest_of_texts(spark, folder):
+    return _text_files(spark, folder)
+
+
+@query(_HEAD)
+def manifest_hash_of_texts(spark, folder):
+    return integrity.manifest_hash(_text_files(spark, folder))
+
+
+@query("""SELECT c_mktsegment AS path, CASE c_mktsegment WHEN 'MACHINERY' THEN 'tampered' WHEN 'BUILDING' THEN 'unlisted' ELSE 'ok' END AS status
+    FROM customer GROUP BY 1 UNION ALL SELECT 'gone', 'missing'""")
+def manifest_check_of_texts(spark, folder):
+    """One segment's file changed after it was listed, one was never listed, one listed file is gone."""
+    recorded = _text_files(spark, folder).where("path <> 'BUILDING'").select("path", "sha256")
+    gone = recorded.limit(1).withColumn("path", F.lit("gone"))
+    changed = F.when(F.col("c_mktsegment") == "MACHINERY", F.concat("c_name", F.lit("*"))).otherwise(F.col("c_name"))
+    return integrity.compare_files(recorded.unionAll(gone), _text_files(spark, folder, changed))
+
+
 @query()
 def custody_append(spark, folder):
     """Manifest, log scan, custody record; the entry as stored."""
@@ -125,6 +160,36 @@ def log_scan(spark, folder):
     return integrity.log_issues(_log(spark, folder))
 
 
+@query(f"""SELECT 'bronze' AS stage, (SELECT count(DISTINCT c_mktsegment) FROM customer) AS file_count,
+    CASE WHEN issues > 0 THEN 'CRITICAL' ELSE 'OK' END AS log_analysis, issues AS issue_count,
+    CASE WHEN issues > 0 THEN 'FAILED' ELSE 'PASSED' END AS verdict
+    FROM (SELECT count(*) FILTER (WHERE {_HIT}) AS issues FROM ({_LINES}))""")
+def custody_of_segments(spark, folder):
+    """A file per segment, their manifest, the log scan and the custody record; the entry as stored."""
+    root, data = work_folder(spark, "control"), work_folder(spark, "segments")
+    tb.table(spark, folder, "customer").repartition("c_mktsegment").write.partitionBy("c_mktsegment").parquet(data)
+    control.build_manifest(spark, data, root, "bronze")
+    control.record_custody(spark, root, "bronze", _log(spark, folder).select("line"))
+    return control.custody_tail(spark, root, 5).select("stage", "file_count", "log_analysis", "issue_count", "verdict")
+
+
+@query(f"""SELECT CASE WHEN issues > 0 THEN 'stopped' ELSE 'passed' END AS verdict FROM (SELECT count(*) FILTER (WHERE {_HIT}) AS issues FROM ({_LINES}))
+    UNION ALL SELECT 'passed'""")
+def gate_verdicts(spark, folder):
+    """The gate with the log as it is, and with the log's critical lines taken out."""
+    root, data = work_folder(spark, "control"), work_folder(spark, "segments")
+    tb.table(spark, folder, "customer").write.parquet(data)
+    control.build_manifest(spark, data, root, "bronze")
+    log, verdicts = _log(spark, folder).select("line"), []
+    for lines in (log, log.where(~integrity.is_critical(F.col("line")))):
+        try:
+            control.gate(spark, root, "bronze", lines)
+            verdicts.append("passed")
+        except integrity.IntegrityError:
+            verdicts.append("stopped")
+    return spark.createDataFrame([(v,) for v in verdicts], "verdict string")
+
+
 @query(f"""SELECT CASE WHEN count(*) FILTER (WHERE {_HIT}) > 0 THEN 'CRITICAL' ELSE 'OK' END AS status,
     count(*) FILTER (WHERE {_HIT}) AS issues FROM ({_LINES})""")
 def log_status(spark, folder):

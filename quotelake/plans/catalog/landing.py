@@ -48,8 +48,8 @@ def statement_transpose(spark, folder):
     """Items by periods, turned to periods by items."""
     orders = tb.table(spark, folder, "orders").withColumn("q", F.concat(F.lit("Q"), F.quarter("o_orderdate")))
     by_item = orders.groupBy(F.col("o_orderpriority").alias("ticker"), F.col("o_orderstatus").alias("item"))
-    statement = by_item.pivot("q", ["Q1", "Q2", "Q3", "Q4"]).agg(F.max("o_totalprice"))
-    return snapshots.transpose_statement(statement, ["ticker"], "item", ["F", "O", "P"])
+    statement = by_item.pivot("q").agg(F.max("o_totalprice"))
+    return snapshots.transpose_statement(statement, ["ticker"], "item")
 
 
 @query(f"""SELECT event_id, event_type AS kind, CASE WHEN event_id % 3 = 0 THEN {_K} ELSE event_type END AS top,

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from quotelake.functions.names import column
 from quotelake.functions.text import magnitude
 from quotelake.operators import analytics, cleaning
 from quotelake.operators import reports as rp
@@ -74,6 +76,15 @@ def monthly_volume_pivot(spark, folder):
     return rp.monthly_volume_long(bars(spark, folder))
 
 
+@query(_MONTHLY.replace("t.ticker,", "replace(t.ticker, ' ', '.') AS ticker,", 1), digits=4)
+def monthly_volume_dotted(spark, folder):
+    """The same for symbols with dots, as columns and back as rows."""
+    dotted = bars(spark, folder).withColumn("ticker", F.replace("ticker", F.lit(" "), F.lit(".")))
+    wide = rp.monthly_volume(dotted)
+    cells = F.array(*[F.struct(F.lit(c).alias("ticker"), column(c).alias("avg_volume")) for c in wide.columns[1:]])
+    return wide.select("month", F.inline(cells))
+
+
 _SUMMARY = f"""SELECT ticker, min(date) AS first_date, max(date) AS last_date, count(*) AS days,
     arg_min(close, date) AS start_close, arg_max(close, date) AS end_close,
     arg_max(close, date) / arg_min(close, date) - 1 AS total_return, stddev_samp(ret) * sqrt(252) AS annual_volatility,
@@ -212,3 +223,17 @@ def magnitude_texts(spark, folder):
 def kmeans_tickers(spark, folder):
     """Three clusters of suppliers by mean close and volume; labels carry no order."""
     return analytics.cluster_tickers(materialised(tb.bars_by_supplier(spark, folder), "bars"))
+
+
+_GROUP = "CAST(regexp_extract(ticker, '[0-9]+$') AS BIGINT) % 3"
+
+
+@query(f"SELECT DISTINCT ticker, {_GROUP} AS cluster FROM ({tb.BARS_SUPPLIER})")
+def kmeans_of_separate_groups(spark, folder):
+    """Suppliers in three price levels far apart; clusters numbered by the order of their centres."""
+    level = F.regexp_extract("ticker", "[0-9]+$", 0).cast("bigint") % 3
+    apart = tb.bars_by_supplier(spark, folder).withColumn("close", F.col("close") + level * 1e7)
+    clustered = materialised(analytics.cluster_tickers(materialised(apart, "bars")), "clusters")
+    centres = analytics.cluster_centres(clustered)
+    ranked = centres.select("cluster", (F.row_number().over(Window.orderBy("close")) - 1).cast("bigint").alias("rank"))
+    return clustered.join(ranked, "cluster").select("ticker", F.col("rank").alias("cluster"))

@@ -87,8 +87,9 @@ def run_gold(spark: SparkSession, silver: str, gold: str) -> bool:
         for name, schema in (("price_history", PRICE_HISTORY), ("technical_indicators", TECHNICAL))
     ]
     stored = [df for df in tables if df.inputFiles()]
-    newest = max((t for t in map(newest_file_time, stored) if t is not None), default=None)
-    if newest is None or (since is not None and str(newest) <= since):
+    times = [newest_file_time(modified_after(df, since)) for df in stored]
+    newest = max((t for t in times if t is not None), default=None)
+    if newest is None:
         return False
     prices, technical = (modified_after(df, since) if df.inputFiles() else df for df in tables)
     master = read_table(spark, f"{silver}/stocks_master", STOCKS_MASTER)

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quotelake.functions.names import column
 from quotelake.operators.cleaning import clean_prices
+from quotelake.operators.dedup import keep_last
 from quotelake.operators.history import LOOKBACK, incremental_indicators, years_for_lookback
 from quotelake.operators.merge import upsert
 from quotelake.operators.sizing import materialised
-from quotelake.operators.tables import price_history, stocks_master, technical_indicators
+from quotelake.operators.snapshots import EXTRACTED
+from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.schemas import PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
 from quotelake.sources.control import load_watermark, save_watermark
-from quotelake.sources.files import bronze_frames, newest_file_time, read_bronze, read_table
+from quotelake.sources.files import bronze_frames, modified_after, newest_file_time, read_bronze, read_table
 from quotelake.sources.sinks import rewrite_table, upsert_partitioned
 
 BAR_KEY = ("ticker", "date")
@@ -30,6 +34,33 @@ def refresh_silver(
     The clean batch is stored once in the work folder and everything else reads it from there. A repeated
     run of the same batch leaves the same tables.
     """
+    done = refresh_master(info, root) if info is not None else False
+    return refresh_prices(prices, root, lookback, exchange_tz, fences_by) or done
+
+
+def refresh_master(info: DataFrame, root: str) -> bool:
+    """Company attributes: of each ticker the row that was extracted last; False when there is none."""
+    spark = info.sparkSession
+    if info.isEmpty():
+        return False
+    path = f"{root}/stocks_master"
+    names = STOCKS_MASTER.fieldNames()
+    others = [n for n in names if n != "ticker"]
+    extracted = column(EXTRACTED) if EXTRACTED in info.columns else F.lit("")
+    dated = info.select("ticker", F.col("longName").alias("company_name"), "sector", "industry", extracted.alias(EXTRACTED))
+    latest = keep_last(dated, ["ticker"], [EXTRACTED, *others]).select(*names)
+    rewrite_table(upsert(read_table(spark, path, STOCKS_MASTER), latest, ["ticker"], others), path)
+    return True
+
+
+def refresh_prices(
+    prices: DataFrame,
+    root: str,
+    lookback: int = LOOKBACK,
+    exchange_tz: str | None = None,
+    fences_by: tuple[str, ...] = (),
+) -> bool:
+    """Merge one batch of bars into the price history and the indicators; False when it is empty."""
     spark = prices.sparkSession
     if prices.isEmpty():
         return False
@@ -41,16 +72,6 @@ def refresh_silver(
         technical_indicators(incremental_indicators(history, clean, lookback)), "technical"
     )
 
-    if info is not None and not info.isEmpty():
-        path = f"{root}/stocks_master"
-        names = STOCKS_MASTER.fieldNames()
-        merged = upsert(
-            read_table(spark, path, STOCKS_MASTER),
-            stocks_master(info),
-            ["ticker"],
-            [n for n in names if n != "ticker"],
-        )
-        rewrite_table(merged, path)
     upsert_partitioned(price_history(clean), f"{root}/price_history", PRICE_HISTORY, BAR_KEY, ["close"])
     upsert_partitioned(technical, f"{root}/technical_indicators", TECHNICAL, BAR_KEY, ["rsi"])
     return True
@@ -59,16 +80,16 @@ def refresh_silver(
 def run_silver(spark: SparkSession, bronze: str, silver: str, lookback: int = LOOKBACK) -> bool:
     """Merge the bronze files written since the last run into silver; False when there are none.
 
-    The watermark is the newest write time among the price files that were read, saved after all tables
-    are written: a failed run is repeated, and a file that lands meanwhile is taken by the next run.
+    Prices and company attributes have a watermark each: the newest write time among the files that were read, saved after
+    the tables are written. So a failed run is repeated, and a file that lands meanwhile is taken by the next run. Files from before a
+    watermark are left out as the scan is planned.
     """
-    since = load_watermark(spark, silver, "silver")
-    times = [newest_file_time(df) for df in bronze_frames(spark, bronze, "ticker", "prices")]
-    newest = max((t for t in times if t is not None), default=None)
-    if newest is None or (since is not None and str(newest) <= since):
-        return False
-    prices = read_bronze(spark, bronze, "ticker", "prices", since)
-    info = read_bronze(spark, bronze, "ticker", "info") if bronze_frames(spark, bronze, "ticker", "info") else None
-    done = refresh_silver(prices, info, silver, lookback)
-    save_watermark(spark, silver, "silver", str(newest))
+    done = False
+    for kind, refresh in (("info", refresh_master), ("prices", lambda df, root: refresh_prices(df, root, lookback))):
+        since = load_watermark(spark, silver, f"silver_{kind}")
+        times = [newest_file_time(modified_after(df, since)) for df in bronze_frames(spark, bronze, "ticker", kind)]
+        newest = max((t for t in times if t is not None), default=None)
+        if newest is not None:
+            done = refresh(read_bronze(spark, bronze, "ticker", kind, since), silver) or done
+            save_watermark(spark, silver, f"silver_{kind}", str(newest))
     return done

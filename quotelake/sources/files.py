@@ -11,10 +11,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake.functions.names import column
 from quotelake.functions.numeric import fractional_fields, nan_to_null
 from quotelake.operators.snapshots import text_column
 
 
+Moment = dt.datetime | int | str | None
+
+
 def _missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "") in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
 
@@ -41,20 +45,31 @@ def scan_files(
     return nan_as_missing(reader.parquet(root))
 
 
-def modified_after(df: DataFrame, moment: dt.datetime | str | None) -> DataFrame:
-    """Only rows of files written after ``moment``; other files are pruned when the scan is planned."""
+def modified_after(df: DataFrame, moment: Moment) -> DataFrame:
+    """Only rows of files written after ``moment``; other files are pruned when the scan is planned.
+
+    ``moment``: microseconds since 1970 in UTC (as a number or its text, what ``newest_file_time`` gives), or a
+    time in the session's zone.
+    """
     if moment is None:
         return df
-    return df.where(F.col("_metadata.file_modification_time") > F.lit(moment).cast("timestamp"))
+    if isinstance(moment, int) or (isinstance(moment, str) and moment.isdecimal()):
+        limit = F.timestamp_micros(F.lit(int(moment)))
+    else:
+        limit = F.lit(moment).cast("timestamp")
+    return df.where(F.col("_metadata.file_modification_time") > limit)
+
 
+def newest_file_time(df: DataFrame) -> int | None:
+    """Latest write time among the files of a scan: the next watermark, taken from what was read.
 
-def newest_file_time(df: DataFrame) -> dt.datetime | None:
-    """Latest write time among the files of a scan: the next watermark, taken from what was read."""
-    return df.agg(F.max("_metadata.file_modification_time").alias("t")).head()["t"]
+    Microseconds since 1970 in UTC, so neither the driver's nor the session's time zone has a part in it.
+    """
+    return df.agg(F.max(F.unix_micros("_metadata.file_modification_time")).alias("t")).head()["t"]
 
 
 def scan_new_files(
-    spark: SparkSession, root: str, pattern: str, schema: T.StructType, since: dt.datetime | str | None
+    spark: SparkSession, root: str, pattern: str, schema: T.StructType, since: Moment
 ) -> DataFrame:
     """Incremental scan of landed files; empty when there are none."""
     try:
@@ -82,7 +97,7 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     mixed = {name for name, seen in types.items() if len(seen) > 1}
 
     def unified(df: DataFrame) -> DataFrame:
-        return df.select(*[text_column(f) if f.name in mixed else F.col(f.name) for f in df.schema])
+        return df.select(*[text_column(f) if f.name in mixed else column(f.name) for f in df.schema])
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [unified(df) for df in frames])
 
@@ -100,7 +115,7 @@ def bronze_frames(spark: SparkSession, root: str, area: str, kind: str) -> list[
 
 
 def read_bronze(
-    spark: SparkSession, root: str, area: str, kind: str, since: dt.datetime | str | None = None
+    spark: SparkSession, root: str, area: str, kind: str, since: Moment = None
 ) -> DataFrame:
     """Landed rows of a kind, all of them or those in files written after ``since``."""
     frames = bronze_frames(spark, root, area, kind)
@@ -112,7 +127,7 @@ def read_bronze(
 def nan_as_missing(df: DataFrame) -> DataFrame:
     """NaN is missing from here on; infinities stay until a table is loaded."""
     names = fractional_fields(df)
-    return df.withColumns({c: nan_to_null(F.col(c)) for c in names}) if names else df
+    return df.withColumns({c: nan_to_null(column(c)) for c in names}) if names else df
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

@@ -116,3 +116,32 @@ def test_daily_run(spark, tmp_path):
         chain.daily_run(spark, lake, landed(spark, pd.concat([pdf, again])).drop("extraction_timestamp"), info, {"bronze": bad})
     assert read_gold(spark, lake.gold, FACT_PRICES).count() == facts + len(more)
     assert custody_tail(spark, lake.control, 1).head()["verdict"] == "FAILED"
+
+
+def test_second_runs_see_what_landed(spark, tmp_path, monkeypatch):
+    """With a driver far from UTC, each run takes exactly the new files, and the company row that was extracted last stands."""
+    import time
+
+    from quotelake.plans.bronze import land_prices, land_snapshot
+    from quotelake.plans.silver import run_silver
+
+    for zone in ("Asia/Tokyo",):
+        monkeypatch.setenv("TZ", zone)
+        time.tzset()
+        try:
+            bronze, root = str(tmp_path / zone / "b"), str(tmp_path / zone / "s")
+            pdf = bars(40, tickers=("A",), start="2020-01-01", step="1D").sort_values("date")
+            companies = [("Zeta", "tech"), ("Alpha", "apps"), ("Midway", "apps")]
+            for k, (name, sector) in enumerate(companies):
+                part = pdf.iloc[: 20 + 10 * k]
+                land_prices(landed(spark, part).drop("extraction_timestamp"), bronze)
+                info = spark.createDataFrame([("A", name, sector, "i")], "ticker string, longName string, sector string, industry string")
+                land_snapshot(info, bronze, "ticker", "info", "ticker")
+                assert run_silver(spark, bronze, root)
+                stored = read_table(spark, f"{root}/price_history", PRICE_HISTORY)
+                assert stored.count() == len(part)
+                assert [tuple(r) for r in read_table(spark, f"{root}/stocks_master", STOCKS_MASTER).collect()] == [("A", name, sector, "i")]
+            assert not run_silver(spark, bronze, root)
+        finally:
+            monkeypatch.undo()
+            time.tzset()

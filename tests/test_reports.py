@@ -51,16 +51,18 @@ def test_return_after_a_missing_close(spark):
     assert [r["ret"] for r in got] == [None, None, None, 1.0]
 
 
-def test_summary(df, pdf):
-    got = reports.portfolio_summary(df).toPandas().set_index("ticker").sort_index()
-    for ticker, sub in pdf.groupby("ticker"):
-        row, ret = got.loc[ticker], sub["close"].pct_change(fill_method=None).dropna()
-        assert row["days"] == len(sub) and row["start_close"] == sub["close"].iloc[0]
-        np.testing.assert_allclose(row["total_return"], sub["close"].iloc[-1] / sub["close"].iloc[0] - 1)
-        np.testing.assert_allclose(row["annual_volatility"], ret.std() * np.sqrt(252))
-        np.testing.assert_allclose(row["max_drawdown"], (sub["close"] / sub["close"].cummax() - 1).min())
-    text = reports.summary_texts(reports.portfolio_summary(df)).orderBy("Ticker").head()
-    assert text["From"] == "2001-01-01" and text["Total Return"].endswith("%")
+def test_summary(spark):
+    """Five bars by hand: 100, 110, 99, 99, 148.5 give returns of +10 %, -10 %, 0 and +50 %."""
+    closes, volumes = [100.0, 110.0, 99.0, 99.0, 148.5], [10, 20, 30, 40, 50]
+    data = [("ENI.MI", f"2024-01-{k + 1:02d}", c, v) for k, (c, v) in enumerate(zip(closes, volumes, strict=True))]
+    df = spark.createDataFrame(data, "ticker string, date string, close double, volume bigint").withColumn("date", F.col("date").cast("date"))
+    row = reports.portfolio_summary(df).head()
+    assert (row["days"], row["start_close"], row["end_close"], row["avg_volume"]) == (5, 100.0, 148.5, 30.0)
+    assert row["total_return"] == pytest.approx(0.485) and row["max_drawdown"] == pytest.approx(-0.1)
+    # mean 0.125; squares of the gaps: 0.000625, 0.050625, 0.015625, 0.140625; their sum over 3
+    assert row["annual_volatility"] == pytest.approx((0.2075 / 3) ** 0.5 * 252**0.5)
+    text = reports.summary_texts(reports.portfolio_summary(df)).head()
+    assert (text["From"], text["To"], text["Total Return"], text["Max Drawdown"]) == ("2024-01-01", "2024-01-05", "48.5%", "-10.0%")
 
 
 def test_normalised(df, pdf):
@@ -69,33 +71,74 @@ def test_normalised(df, pdf):
     np.testing.assert_allclose(got, want)
 
 
-def test_monthly_volume(df, pdf):
-    want = pdf.assign(month=pdf["date"].dt.to_period("M").dt.to_timestamp())
-    want = want.pivot_table(index="month", columns="ticker", values="volume").fillna(0)
-    got = reports.monthly_volume(df).toPandas().set_index("month").sort_index()
-    np.testing.assert_allclose(got[["A", "B", "C"]].to_numpy(), want.to_numpy())
+def test_monthly_volume(spark, rows):
+    data = [("ENI.MI", "2024-01-05", 10), ("ENI.MI", "2024-01-20", 30), ("ENI.MI", "2024-03-01", 7), ("B`C", "2024-02-02", 4)]
+    df = spark.createDataFrame(data, "ticker string, date string, volume bigint").withColumn("date", F.col("date").cast("date"))
+    wide = reports.monthly_volume(df)
+    assert wide.columns == ["month", "B`C", "ENI.MI"]
+    assert [tuple(r)[1:] for r in wide.orderBy("month").collect()] == [(0.0, 20.0), (4.0, 0.0), (0.0, 7.0)]
+    long = {(str(r["month"])[:7], r["ticker"]): r["avg_volume"] for r in reports.monthly_volume_long(df).collect()}
+    assert long == {
+        ("2024-01", "B`C"): 0.0,
+        ("2024-01", "ENI.MI"): 20.0,
+        ("2024-02", "B`C"): 4.0,
+        ("2024-02", "ENI.MI"): 0.0,
+        ("2024-03", "B`C"): 0.0,
+        ("2024-03", "ENI.MI"): 7.0,
+    }
+
+
+def pearson(x, y):
+    x, y = np.array(x) - np.mean(x), np.array(y) - np.mean(y)
+    return (x @ y) / np.sqrt((x @ x) * (y @ y))
+
+
+def prices(spark, closes):
+    """closes: ticker to one list of closes, or None, per day."""
+    data = [(t, f"2024-01-{k + 1:02d}", float(c)) for t, own in closes.items() for k, c in enumerate(own) if c is not None]
+    return spark.createDataFrame(data, "ticker string, date string, close double").withColumn("date", F.col("date").cast("date"))
 
 
 def test_returns_correlation_with_gaps(spark):
-    rng = np.random.default_rng(3)
-    days = pd.date_range("2023-11-01", periods=120)
-    pdf = pd.DataFrame([(t, d, 50 + rng.random() * 10) for t in "ABC" for d in days], columns=["ticker", "date", "close"])
-    pdf = pdf.drop(pdf.sample(12, random_state=2).index)
-    extra = pdf.sample(5, random_state=4).assign(close=55.0)  # duplicate cells are averaged
-    pdf = pd.concat([pdf, extra])
-    wide = pdf.pivot_table(index="date", columns="ticker", values="close")
-    want = wide.pct_change(fill_method=None).dropna().corr()
-    got = analytics.returns_correlation(spark.createDataFrame(pdf)).toPandas()
-    got = got.pivot(index="ticker_a", columns="ticker_b", values="corr")
-    np.testing.assert_allclose(got.to_numpy(), want.to_numpy(), atol=1e-12)
-
-
-def test_wide_matrix_goes_through_vectors(spark):
+    """Day 3 lacks B, so neither day 3 nor day 4 has all returns; the cell of day 6 that occurs twice is averaged."""
+    df = prices(spark, {"ENI.MI": [10, 11, 12, 15, 12, 18, 9], "B": [20, 18, None, 27, 30, 28, 35]})
+    df = df.where("not (ticker = 'B' and day(date) = 6)").union(prices(spark, {"B": [None] * 5 + [27]})).union(prices(spark, {"B": [None] * 5 + [29]}))
+    a = [11 / 10 - 1, 12 / 15 - 1, 18 / 12 - 1, 9 / 18 - 1]
+    b = [18 / 20 - 1, 30 / 27 - 1, 28 / 30 - 1, 35 / 28 - 1]
+    got = {(r["ticker_a"], r["ticker_b"]): r["corr"] for r in analytics.returns_correlation(df).collect()}
+    assert got.keys() == {("ENI.MI", "ENI.MI"), ("ENI.MI", "B"), ("B", "ENI.MI"), ("B", "B")}
+    assert got["ENI.MI", "B"] == pytest.approx(pearson(a, b)) == got["B", "ENI.MI"]
+    assert got["B", "B"] == pytest.approx(1.0)
+
+
+@pytest.mark.parametrize("tickers", [6, 41, 120])
+def test_flat_series_and_no_complete_date(spark, tickers):
+    rng = np.random.default_rng(tickers)
+    closes = {f"t{k}.X": (100 + rng.random(5)).tolist() for k in range(tickers)}
+    closes["flat"] = [5.0] * 5
+    got = {(r["ticker_a"], r["ticker_b"]): r["corr"] for r in analytics.returns_correlation(prices(spark, closes)).collect()}
+    assert len(got) == (tickers + 1) ** 2
+    assert all((corr is None) == ("flat" in pair) for pair, corr in got.items())
+    assert got["t1.X", "t1.X"] == pytest.approx(1.0)
+    closes["flat"] = [5.0, None, 5.0, None, 5.0]
+    assert all(r["corr"] is None for r in analytics.returns_correlation(prices(spark, closes)).collect())
+
+
+@pytest.mark.parametrize("columns", [3, 45])
+def test_correlation_matrix_of_any_width(spark, columns):
     rng = np.random.default_rng(0)
-    data = pd.DataFrame(rng.random((60, 45)), columns=[f"c{i}" for i in range(45)])
-    got = analytics.correlation_matrix(spark.createDataFrame(data), list(data)).toPandas()
-    got = got.pivot(index="a", columns="b", values="corr").loc[list(data), list(data)]
-    np.testing.assert_allclose(got.to_numpy(), data.corr().to_numpy(), atol=1e-12)
+    data = rng.random((40, columns))
+    data[:, 1] = 7.0
+    names = [f"c.{i}" for i in range(columns)]
+    rows = [tuple(map(float, r)) for r in data] + [(None, *[1.0] * (columns - 1))]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` double" for n in names))
+    got = {(r["a"], r["b"]): r["corr"] for r in analytics.correlation_matrix(df, names).collect()}
+    assert len(got) == columns**2
+    for i in range(columns):
+        for j in range(columns):
+            want = None if 1 in (i, j) else pytest.approx(pearson(data[:, i], data[:, j]))
+            assert got[names[i], names[j]] == want
+    assert all(r["corr"] is None for r in analytics.correlation_matrix(df.limit(0), names).collect())
 
 
 def test_indicator_correlation(df):

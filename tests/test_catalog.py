@@ -34,6 +34,13 @@ SELECTION = (
     "flatten_nested",
     "raw_append",
     "log_scan",
+    "monthly_volume_dotted",
+    "statement_transpose",
+    "returns_correlation",
+    "manifest_of_texts",
+    "manifest_hash_of_texts",
+    "manifest_check_of_texts",
+    "kmeans_of_separate_groups",
 )
 NAMES = list(entry.queries()) if os.environ.get("QUOTELAKE_ALL_QUERIES") else SELECTION
 

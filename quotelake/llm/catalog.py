@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, rule_ensemble, sharding
+from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,7 +21,7 @@ def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return bounded_batches(prepare(spark)).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 @query

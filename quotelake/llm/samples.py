@@ -2,13 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Rows that a Python task gets at once: whole texts, so a few megabytes.
+ARROW_ROWS = 2000
+
 _BINS = 64
 _SPAN = 1 << 62
 
 
+def bounded_batches(spark: SparkSession) -> SparkSession:
+    """Keep what a Python task holds of long texts small."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def sample(rows: DataFrame, column: str, most: int, seed: int) -> DataFrame:
     """The rows (at most ``most``) with the lowest hash of a column whose values are distinct.
 

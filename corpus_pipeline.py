@@ -11,31 +11,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm import isolation, jaccard, mixing, packing, pii
+from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    labels = prepare(spark).read.parquet(f"{sf_dir}/labels.parquet")
+    labels = bounded_batches(prepare(spark)).read.parquet(f"{sf_dir}/labels.parquet")
     return isolation.kept_documents(docs, isolation.fit(docs, labels))
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    bounded_batches(prepare(spark))
     return jaccard.first_of_groups(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    bounded_batches(prepare(spark))
     return pii.masked(docs, pii.fit(docs))
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    bounded_batches(prepare(spark))
     return mixing.mixed(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    prepare(spark)
+    bounded_batches(prepare(spark))
     return packing.packed(packing.pieces(docs))
 
 
@@ -52,7 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = bounded_batches(prepare(spark)).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         made = stage(spark, docs, sf_dir)
         folder = work_folder(spark, name)

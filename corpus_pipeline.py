@@ -14,6 +14,10 @@ from quotelake.llm import isolation, jaccard, mixing, packing, pii
 from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
+# Near copies share this much of their word shingles. The query op3 has its own contract: 4 words and 85%.
+SHINGLE_WORDS = 5
+SIMILAR_PERCENT = 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = bounded_batches(prepare(spark)).read.parquet(f"{sf_dir}/labels.parquet")
@@ -22,7 +26,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     bounded_batches(prepare(spark))
-    return jaccard.first_of_groups(docs)
+    return jaccard.first_of_groups(docs, n=SHINGLE_WORDS, part=SIMILAR_PERCENT, whole=100)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from quotelake.llm import isolation, mixing, packing, pii
-from tests.llm.test_jaccard import brute
+from tests.llm.conftest import prose
+from tests.llm.test_jaccard import LOWER, WORD, brute
 from tests.llm.test_packing import check, expected
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -50,6 +51,43 @@ def test_near_copies(stages):
     assert rows(kept) == [r for r in rows(docs) if r[0] in first]
 
 
+def first_by_shingles(rows, n=5, part=80):
+    """The least doc_id of each group, by comparing all pairs on n-word shingles. rows: (doc_id, text)."""
+    sets = []
+    for i, text in sorted(rows):
+        words = WORD.findall((text or "").translate(LOWER))
+        sets.append((i, {tuple(words[k : k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()))
+    group = list(range(len(sets)))
+    for a, (_, x) in enumerate(sets):
+        for b, (_, y) in enumerate(sets[:a]):
+            if x and y and 100 * len(x & y) >= part * len(x | y):
+                group = [min(group[a], group[b]) if g in (group[a], group[b]) else g for g in group]
+    return {sets[g][0] for g in group}
+
+
+def test_near_copies_share_four_fifths_of_five_word_shingles(spark, small):
+    rows = []
+    for k in range(8):
+        base = [f"w{k}x{j}" for j in range(200 + 5 * k)]
+        changed = [*base]
+        for j in range(4 + k):
+            changed[(j * 17 + 6) % len(base)] = f"y{k}x{j}"
+        added = base + [f"z{k}x{j}" for j in range(len(base) * (16 + 2 * k) // 100)]
+        rows += [(10 * k + j, " ".join(words)) for j, words in enumerate((base, changed, added))]
+    rows += [(100, " ".join(rows[0][1].split()[:4])), (101, rows[0][1].upper()), (102, None), (103, prose(3, 90))]
+    docs = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], ", ".join(f"{c} {'long' if c in ('doc_id', 'n_chars') else 'string'}" for c in COLUMNS))
+    want = first_by_shingles(rows)
+    assert want != first_by_shingles(rows, 4, 85)
+    made = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs.repartition(3), small)
+    assert {r["doc_id"] for r in made.collect()} == want
+
+
+def test_near_copies_of_the_table(stages):
+    docs, kept = stages["ngram_jaccard_join"]
+    first = first_by_shingles([(r["doc_id"], r["text"]) for r in docs.collect()])
+    assert rows(kept) == [r for r in rows(docs) if r[0] in first]
+
+
 def test_personal_data(stages):
     docs, hidden = stages["personal_data"]
     field = pii.fit(docs)

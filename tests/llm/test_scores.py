@@ -222,5 +222,53 @@ def test_probabilities_sum_to_one_over_the_vocabulary(spark):
     assert all(s < 0 for s in scores.values())
 
 
+def topic_rows():
+    random = np.random.default_rng(4)
+    return [(k, " ".join(f"t{k % 3}w{int(w)}" for w in random.zipf(1.5, 40) % 60)) for k in range(210)]
+
+
+def test_training_converges_and_scores_are_the_sum_over_states(spark, monkeypatch):
+    seen, train = {}, hmm.trained
+
+    def kept(training, v, *more):
+        seen.update(training=training, v=v, made=train(training, v, *more))
+        return seen["made"]
+
+    monkeypatch.setattr(hmm, "trained", kept)
+    monkeypatch.setattr(hmm, "START_TOKENS", 2000)
+    rows = topic_rows()
+    got = hmm.scored(spark.createDataFrame(rows, "doc_id long, text string"), own_classes=100).collect()
+    v, (model, likelihoods) = seen["v"], seen["made"]
+    assert hmm.one_round(seen["training"], v, model)[1] - likelihoods[-1] < hmm.TOLERANCE
+    held = [r for r in got if r["held_out"]]
+    # three topics: far above the gain of two rounds from equal states
+    assert sum(r["score"] - r["base_score"] for r in held) / sum(r["n_tokens"] for r in held) > 0.2
+    counts = Counter(w for i, t in rows if zlib.crc32(str(i).encode()) % 7 != 2 for w in t.split())
+    alike = Counter()
+    place = {}
+    for w in {w for _, t in rows for w in t.split()}:
+        at = v.find(next(W.word_slices(pa.array([w]), lower=True)).hashes)[0]
+        place[w] = v.classes[at] if at >= 0 else -1
+        if place[w] < 0:
+            alike[len(w)] += counts[w] + (counts[w] > 0)
+    texts = dict(rows)
+    for r in got:
+        now, total = model.start, 0.0
+        for w in [*texts[r["doc_id"]].split(), None]:
+            c = v.size - 1 if w is None else place[w] if place[w] >= 0 else v.own + len(w) + 16
+            if w and place[w] < 0:
+                total += math.log10((counts[w] + 1) / (alike[len(w)] + 1))
+            p = now * model.emit[:, c]
+            total += math.log10(p.sum())
+            now = p / p.sum() @ model.move
+        assert r["score"] == pytest.approx(total)
+
+
+def test_states_and_classes_grow_within_bounds():
+    sizes = [(hmm.states_of(n), hmm.classes_of(n)) for n in (10, 10**4, 10**5, 10**6, 10**9)]
+    assert sizes == sorted(sizes, key=lambda x: x[0]) and sizes[3][1] > sizes[2][1] > sizes[0][1]
+    assert all(k * (c + hmm.KINDS + 1) <= hmm.CELLS for k, c in sizes)
+
+
 def test_language_model_edges(no_docs):
     assert hmm.scored(no_docs).count() == 0

@@ -4,12 +4,17 @@ A selection runs by default; set QUOTELAKE_ALL_QUERIES=1 for all of them.
 """
 
 import os
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
+from quotelake.plans.catalog import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
@@ -82,10 +87,10 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_registry():
-    queries, sql = entry.queries(), entry.oracle_sql()
-    assert set(sql) <= set(queries)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
+    assert set(QUERIES) <= set(entry.queries())
     # File hashes, custody and cluster labels have no SQL twin.
-    assert set(queries) - set(sql) == {
+    assert set(QUERIES) - set(ORACLES) == {
         "manifest_files",
         "manifest_build",
         "manifest_verify",
@@ -94,5 +99,17 @@ def test_registry():
     }
 
 
+def test_stands_alone_without_the_optional_part(tmp_path):
+    """A copy without the training-data operators and their pipeline still offers every other query."""
+    root = Path(entry.__file__).parent
+    shutil.copytree(root / "quotelake", tmp_path / "quotelake", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    said = subprocess.run(
+        [sys.executable, "-c", "import __spark_entry__ as e; print(*sorted(e.queries()))"],
+        cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True, check=True,
+    )
+    assert said.stdout.split() == sorted(QUERIES)
+
+
 def test_flagship(spark):
     assert entry.entry(spark).columns[:2] == ["ticker", "date"]

@@ -2,7 +2,8 @@
 
 For each bin, a subset-sum dynamic program over the lengths at hand (one bit per sum) finds the fullest combination that fits; it is
 taken out, and so on. Among equally full combinations, the one with the longest pieces wins, which leaves the short ones
-to fill later bins. That is done twice, with any combination and with one around the longest piece at hand; the plan with fewer bins is used. Lengths are at most the capacity, so only a count per length meets in one place; a combination is taken out as
+to fill later bins. That is done with any combination and with one around the longest piece at hand, each with several allowed slacks (a bin
+that misses the fullest sum by no more than the slack takes the longest pieces instead); the plan with the fewest bins is used. Lengths are at most the capacity, so only a count per length meets in one place; a combination is taken out as
 often as the counts allow at once, which uses up a length each time. So there are about as many patterns as lengths, at any size of the corpus.
 
 Pieces are then numbered within their length (by cells that a hash fills evenly, since one length may hold most pieces), and a piece's number
@@ -17,7 +18,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from quotelake.llm import words as W
 from quotelake.session import work_folder
 
 CAPACITY = 1024
+SLACKS = (0, 2, 8)
 END = 2
 CELLS = 4096
 KNOWN_PARTS = 1_500_000
@@ -54,9 +56,7 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 def _tokenizer(name: str):
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(vocabulary(name))
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(vocabulary(name))
 
 
 def _letter_table() -> dict[int, str]:
@@ -71,10 +71,13 @@ class PartIds:
 
     A text is cut before white space that follows other characters, and between an ASCII letter or digit and an ASCII mark; byte-level
     vocabularies never join characters there. Each part goes through the tokenizer once; texts are put together from the known parts.
+    Texts with far white space or with the string of an added token (which the tokenizer turns into its one id) go through it whole.
     """
 
     def __init__(self, name: str, most: int = KNOWN_PARTS) -> None:
         self.tokenizer = _tokenizer(name)
+        added = [re.escape(token.content.encode()) for token in self.tokenizer.get_added_tokens_decoder().values()]
+        self.whole = re.compile(b"|".join([_FAR_SPACE.pattern, *added]))
         self.model, self.letters, self.most = self.tokenizer.model, _letter_table(), most
         self.reset()
 
@@ -129,10 +132,10 @@ class PartIds:
         last = np.array([end], np.uint32)
         for s in W.word_slices(column):
             ids, bounds = self.of(s)
-            far = bool(_FAR_SPACE.search(s.data.tobytes()))
+            far = bool(self.whole.search(s.data.tobytes()))
             for k in range(s.last - s.first):
                 own = ids[bounds[k] : bounds[k + 1]]
-                if far and _FAR_SPACE.search(raw := s.data[s.offsets[k] : s.offsets[k + 1]].tobytes()):
+                if far and self.whole.search(raw := s.data[s.offsets[k] : s.offsets[k + 1]].tobytes()):
                     own = np.array(self.tokenizer.encode(raw.decode(), add_special_tokens=False).ids, np.uint32)
                 yield np.concatenate((own, last))
 
@@ -169,7 +172,7 @@ def pieces(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end: int = END
 
 def patterns(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, dict[int, int]]]:
     """Combinations of lengths with the number of bins of each: (bins, {length: pieces per bin})."""
-    plans = [_emptied(counts, capacity, pick) for pick in (_fullest, _around_longest)]
+    plans = [_emptied(counts, capacity, partial(pick, slack=slack)) for slack in SLACKS for pick in (_fullest, _around_longest)]
     return min(plans, key=lambda found: sum(bins for bins, _ in found))
 
 
@@ -187,8 +190,8 @@ def _emptied(counts: dict[int, int], capacity: int, pick: Callable[[dict[int, in
     return found
 
 
-def _fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
-    """The combination of lengths with the greatest sum up to capacity. left: longest first."""
+def _fullest(left: dict[int, int], capacity: int, slack: int = 0) -> dict[int, int]:
+    """The combination of lengths with the greatest sum up to capacity, or with at most ``slack`` less and longer pieces. left: longest first."""
     mask = (1 << (capacity + 1)) - 1
     lengths = list(left)
     # reach[k]: the sums that lengths k and on can make; short lengths are added first, so that long ones are picked first
@@ -201,25 +204,29 @@ def _fullest(left: dict[int, int], capacity: int) -> dict[int, int]:
             copies -= step
             step *= 2
         reach[k] = sums
-    rest, taken = reach[0].bit_length() - 1, {}
+    top = reach[0].bit_length() - 1
+    least = max(top - slack, 0)
+    # wanted: the sums still to be made by the lengths to come
+    wanted, room, taken = reach[0] >> least << least, top, {}
     for k, length in enumerate(lengths):
-        n = min(left[length], rest // length)
-        while not reach[k + 1] >> (rest - n * length) & 1:
+        n = min(left[length], room // length)
+        while not reach[k + 1] & wanted >> n * length:
             n -= 1
         if n:
             taken[length] = n
-            rest -= n * length
-        if not rest:
+            room -= n * length
+            wanted >>= n * length
+        if not room:
             break
     return taken
 
 
-def _around_longest(left: dict[int, int], capacity: int) -> dict[int, int]:
+def _around_longest(left: dict[int, int], capacity: int, slack: int = 0) -> dict[int, int]:
     """The fullest combination with the longest piece."""
     longest = next(iter(left))
     room = capacity - longest
     rest = {length: n - (length == longest) for length, n in left.items() if length <= room and n > (length == longest)}
-    taken = _fullest(rest, room)
+    taken = _fullest(rest, room, slack)
     taken[longest] = taken.get(longest, 0) + 1
     return dict(sorted(taken.items(), reverse=True))
 

@@ -18,6 +18,8 @@ ODD = [
     "\x85q \x85 \r\n z",
     "éa.b ß!!x 日本語。ab ١٢٣.",
     "x" * 3000 + " " * 2000,
+    "a <|endoftext|> b",
+    "<|endoftext|><|endoftext|>",
     "http://a.b/c?d=e&f=g 3.14,15 'quoted' ###head",
     None,
 ]
@@ -28,7 +30,6 @@ def expected(text):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
 
 
@@ -68,6 +69,12 @@ def test_cut(n):
     assert [start for start, _ in parts] == list(itertools.accumulate([0, *[length for _, length in parts[:-1]]]))
 
 
+def test_slack_takes_longer_pieces():
+    left = dict.fromkeys([40, 30, 7, 3], 1)
+    assert packing._fullest(left, 50) == {40: 1, 7: 1, 3: 1}
+    assert packing._fullest({40: 1, 30: 1, 9: 1, 5: 1, 4: 4}, 50, slack=1) == {40: 1, 9: 1}
+
+
 def test_fullest_combination_by_brute_force():
     random = np.random.default_rng(2)
     for _ in range(60):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, rule_ensemble, sharding
+from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, resampling, rule_ensemble, sharding
 from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
@@ -113,3 +113,47 @@ select query_id, rank::int as rank, vec_id, score from r where rank <= 20
 def op9_dom_tree_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     return html_graph.extract(pages, html_graph.fit(pages))
+
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERMS = f"regexp_extract_all({_LOWER}, '" + r"[^\x{0}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')"
+# CRC-32 of a word: a table made of the polynomial, then one step per byte.
+_CRC = """crc_table as (
+  select list(c order by i) as t from (
+    select i, list_reduce([i::bigint, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, x: case when c % 2 = 1 then xor(3988292384::bigint, c >> 1) else c >> 1 end) as c
+    from range(256) r(i))
+), hashed as (
+  select w, xor(list_reduce(list_concat([4294967295::bigint], [('0x' || substr(hex(encode(w)), 2 * k + 1, 2))::bigint for k in range(octet_length(encode(w)))]),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 as bucket
+  from (select distinct w from features union select distinct w from wanted), crc_table
+)"""
+
+
+@query
+def op13_length_bucketed_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_length_bucketed_resampling"] = f"""
+with docs as (
+  select row_number() over () as r, doc_id, coalesce({_TERMS}, []) as words from documents
+), features as (select r, unnest(words) as w from docs),
+wanted as (
+  select unnest({_TERMS}) as w from benchmark
+), {_CRC}, s as (select bucket, count(*) as n from features join hashed using (w) group by 1),
+t as (select bucket, count(*) as n from wanted join hashed using (w) group by 1),
+gain as (
+  select b as bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::double * ((select count(*) from features) + 10000)
+    / ((coalesce(s.n, 0) + 1)::double * ((select count(*) from wanted) + 10000))))::bigint as g
+  from range(10000) x(b) left join s on s.bucket = b left join t on t.bucket = b
+), weights as (
+  select r, count(*) as n, floor(sum(g)::double / count(*))::bigint as w from features join hashed using (w) join gain using (bucket) group by 1
+), scored as (
+  select r, doc_id, len(words)::bigint as n_features, coalesce(weights.w, 0) as weight, len(words) >= 20 as eligible,
+    coalesce(weights.w, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || doc_id::varchar), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+  from docs left join weights using (r)
+), ranked as (
+  select *, row_number() over (partition by eligible order by score desc, doc_id) as k, sum(eligible::int) over () as n from scored
+)
+select doc_id, n_features, weight, score, case when eligible and k <= 10 * n // 100 then k end::bigint as rank from ranked
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, resampling, rule_ensemble, sharding
+from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, ranked, resampling, rule_ensemble, sharding
 from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
@@ -129,6 +129,30 @@ _CRC = """crc_table as (
 )"""
 
 
+@query
+def op12_geometric_blocking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_geometric_blocking"] = f"""
+with docs as (
+  select row_number() over () as r, doc_id, {_TERMS} as terms from documents
+), held as (
+  select r, t, count(*) as tf from (select r, unnest(terms) as t from docs) group by r, t
+), asked as (
+  select item_id, t, count(*) as times from (select item_id, unnest({_TERMS}) as t from benchmark) group by item_id, t
+), whole as (select count(*) as n, sum(len(terms))::bigint as l from docs where len(terms) > 0),
+weights as (
+  select t, floor(1000 * ln((2 * (select n from whole) + 2)::double / (2 * count(*) + 1)))::bigint as w from held group by t
+), scored as (
+  select item_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * len(terms)::bigint * whole.n) // whole.l)))))::bigint as score
+  from asked join held using (t) join weights using (t) join docs using (r) cross join whole group by item_id, r
+)
+select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from scored join docs using (r) where score > 0
+qualify rank <= 20
+"""
+
+
 @query
 def op13_length_bucketed_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, ranked, resampling, rule_ensemble, sharding
+from quotelake.llm import hmm, html_graph, isolation, jaccard, mixing, mtree, packing, pii, ranked, repeats, resampling, rule_ensemble, sharding
 from quotelake.llm.samples import bounded_batches
 from quotelake.session import prepare, work_folder
 
@@ -129,6 +129,39 @@ _CRC = """crc_table as (
 )"""
 
 
+@query
+def op11_induced_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = repeats.without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["end"] - span["start"])
+    return made.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op11_induced_suffixes"] = """
+with docs as (select row_number() over () as r, doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+strings as (select r, doc_id, k, substr(h, 2 * k + 1, 100) as s from (select *, unnest(range(greatest(length(h) // 2 - 49, 0))) as k from docs)),
+firsts as (select s, min(doc_id) as first from strings group by s),
+starts as (select r, k from strings join firsts using (s) where first < doc_id),
+spans as (
+  select r, min(k) as a, max(k) + 50 as b from (
+    select r, k, sum(new) over (partition by r order by k) as g
+    from (select r, k, (k - coalesce(lag(k) over (partition by r order by k), -51) > 50)::int as new from starts))
+  group by r, g
+), parts as (
+  select r, a, b, substr(h, 2 * coalesce(lag(b) over (partition by r order by a), 0) + 1, 2 * (a - coalesce(lag(b) over (partition by r order by a), 0))) as kept
+  from spans join docs using (r)
+), whole as (select r, count(*) as n_spans, sum(b - a)::bigint as n_removed, max(b) as last, string_agg(kept, '' order by a) as kept from parts group by r)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0)::bigint as n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) as kept_sha256
+from docs left join whole using (r)
+"""
+
+
 @query
 def op12_geometric_blocking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -10,8 +10,8 @@ share ``length`` symbols with their neighbour are the same string, and the least
 repeated stretches, which go back to the texts.
 
 Texts that are equal as a whole are told apart by the first 128 bits of their SHA-256: only the one with the least doc_id is looked into, the others are repeats from end to end. Packs hold
-texts up to PACK_BYTES (or one text); shards are sized by the bytes that hits announce. An anchor of more than HOT_DOCS documents would fill a shard, so its strings are
-not put together: each goes by its own 128-bit hash to the least doc_id that holds it, which combines before the shuffle, and back by a join.
+texts up to PACK_BYTES (or one text) and are stored in buckets, so that what is found out about them comes to them and they are not shuffled again. Shards are
+sized by the bytes that hits announce. An anchor of more than HOT_DOCS documents would fill a shard, so its strings are not put together: each goes by its own 128-bit hash to the least doc_id that holds it, which combines before the shuffle, and back by a join.
 
 Null texts are empty. Rows with equal doc_id are one document as far as "smaller" goes: none of them is an earlier document to the others. Rows with a null doc_id stay
 as they are and are earlier than none. Texts of fewer than ``length`` bytes have no such string. Extra columns are ignored; an empty table gives an empty result.
@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,13 +35,14 @@ LENGTH = 50
 ANCHOR = 20
 PACK_BYTES = 2 << 20
 RANGE_ANCHORS = 4_000_000
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 16 << 20
+BUCKET_BYTES = 32 << 20
 HOT_DOCS = 32_768
 
 PACK = "ids binary, ends binary, data binary"
 RANGE = "range long, pack long, anchors binary, docs binary"
 HITS = "pack long, anchors binary, n long, hot long"
-SEGMENTS = "shard long, pack long, bytes binary, lengths binary, docs binary, texts binary, starts binary"
+SEGMENTS = "shard long, pack long, bytes binary, places binary"
 SPANS = "pack long, spans binary"
 WINDOWS = "h1 long, h2 long, doc long, pack long, text int, start long"
 KEPT = "doc_id long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary"
@@ -107,8 +109,8 @@ def _binaries(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], pa.binary())
 
 
-def _packs(rows: DataFrame) -> DataFrame:
-    """Texts put together in packs, stored, with a number that stays."""
+def _packs(rows: DataFrame, total: int) -> DataFrame:
+    """Texts put together in packs, stored in buckets, with a number that stays. total: the bytes of all texts."""
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,15 +125,19 @@ def _packs(rows: DataFrame) -> DataFrame:
 
     spark = rows.sparkSession
     store = work_folder(spark, "packs")
-    numbered = rows.mapInArrow(packed, PACK).withColumn("pack", F.monotonically_increasing_id())
-    numbered.write.option("compression", "zstd").parquet(store)
-    return spark.read.schema(f"{PACK}, pack long").parquet(store)
+    buckets = max(1, -(-total // BUCKET_BYTES))
+    numbered = rows.mapInArrow(packed, PACK).withColumn("pack", F.monotonically_increasing_id()).repartition(buckets, "pack")
+    # the table's name only serves to say that it is bucketed; its files are in the work folder and stay there
+    name = store.rsplit("/", 1)[-1].replace("-", "_")
+    numbered.write.option("path", store).option("compression", "zstd").bucketBy(buckets, "pack").saveAsTable(name)
+    stored = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return stored
 
 
-def _hits(packs: DataFrame, length: int, hot_docs: int) -> DataFrame:
+def _hits(packs: DataFrame, total: int, length: int, hot_docs: int) -> DataFrame:
     """For each pack and range of hashes the anchors that two documents or more have (those of more than ``hot_docs`` with the last bit set). Stored."""
     spark = packs.sparkSession
-    total = packs.agg(F.coalesce(F.sum(F.length("data")), F.lit(0)).alias("bytes")).head()["bytes"]
     # an anchor is the least of length - ANCHOR + 1 hashes, so it changes about every half of that
     ranges = max(1, -(-2 * total // ((length - ANCHOR + 2) * RANGE_ANCHORS)))
 
@@ -153,7 +159,7 @@ def _hits(packs: DataFrame, length: int, hot_docs: int) -> DataFrame:
                         pa.array([int(home[p[0]]) for p in parts], pa.int64()),
                         pa.array([batch.column("pack")[k].as_py()] * len(parts), pa.int64()),
                         _binaries([least[p] for p in parts]),
-                        _binaries([docs[p].astype("<i4") for p in parts]),
+                        _binaries([docs[p].astype(np.uint8 if docs[p].max() < 256 else "<i4") for p in parts]),
                     ],
                     names=["range", "pack", "anchors", "docs"],
                 )
@@ -162,7 +168,8 @@ def _hits(packs: DataFrame, length: int, hot_docs: int) -> DataFrame:
         own = [_longs(a, "<u8") for a in table.column("anchors")]
         unique, place = np.unique(np.concatenate(own), return_inverse=True)
         docs = np.zeros(len(unique), np.int64)
-        np.add.at(docs, place, np.concatenate([_longs(d, "<i4") for d in table.column("docs")]).astype(np.int64))
+        counts = [_longs(d, "u1" if len(d.as_buffer()) == n else "<i4") for d, n in zip(table.column("docs"), map(len, own), strict=True)]
+        np.add.at(docs, place, np.concatenate(counts).astype(np.int64))
         marked = unique | (docs > hot_docs).astype(np.uint64)
         packs, found, at = [], [], 0
         for pack, size in zip(table.column("pack").to_pylist(), map(len, own), strict=True):
@@ -195,6 +202,15 @@ def _chosen(batch: pa.RecordBatch, k: int, length: int, hot: bool) -> tuple[np.n
     return data, least[keep], _longs(batch.column("ids")[k])[text], text, first, first - begin[text], strings[keep]
 
 
+def _squeezed(values: np.ndarray) -> bytes:
+    """Segments of a pack overlap, and their places rise, so both shrink well before they are shuffled."""
+    return zstandard.compress(values.tobytes(), 3)
+
+
+def _unsqueezed(value: pa.Scalar) -> bytes:
+    return zstandard.decompress(value.as_buffer())
+
+
 def _flat(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """start, start + 1, ... for each start, ``counts`` of them."""
     return np.repeat(starts - (np.cumsum(counts) - counts), counts) + np.arange(int(counts.sum()))
@@ -224,16 +240,15 @@ def first_holders(segments: list[bytes], first_doc: np.ndarray, length: int = LE
 def _shard(length: int):
     def found(table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
-        own, docs, texts, starts, packs = [], [], [], [], []
+        own, places, packs = [], [], []
         for row in range(table.num_rows):
-            raw = table.column("bytes")[row].as_py()
-            ends = np.cumsum(_longs(table.column("lengths")[row], "<i4").astype(np.int64)).tolist()
+            raw = _unsqueezed(table.column("bytes")[row])
+            places.append(np.frombuffer(_unsqueezed(table.column("places")[row]), "<i8").reshape(4, -1))
+            ends = np.cumsum(places[-1][0]).tolist()
             own += [known.setdefault(raw[a:b], len(known)) for a, b in zip([0, *ends], ends, strict=False)]
-            docs.append(_longs(table.column("docs")[row]))
-            texts.append(_longs(table.column("texts")[row], "<i4"))
-            starts.append(_longs(table.column("starts")[row]))
             packs.append(np.full(len(ends), table.column("pack")[row].as_py(), np.int64))
-        segment, doc, text, start, pack = np.array(own), *map(np.concatenate, (docs, texts, starts, packs))
+        segment, pack = np.array(own), np.concatenate(packs)
+        _, doc, text, start = np.concatenate(places, axis=1)
         first_doc = np.full(len(known), np.iinfo(np.int64).max)
         np.minimum.at(first_doc, segment, doc)
         holder, begins = first_holders(list(known), first_doc, length)
@@ -277,17 +292,15 @@ def _spans(packs: DataFrame, hits: DataFrame, length: int) -> DataFrame:
                 cuts = np.flatnonzero(np.diff(home[order])) + 1
                 parts = np.split(order, cuts) if len(order) else []
                 size = strings + length - 1
+                places = np.stack((size, doc, text, start)).astype("<i8")
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([int(home[p[0]]) for p in parts], pa.int64()),
                         pa.array([batch.column("pack")[k].as_py()] * len(parts), pa.int64()),
-                        _binaries([data[_flat(first[p], size[p])] for p in parts]),
-                        _binaries([size[p].astype("<i4") for p in parts]),
-                        _binaries([doc[p] for p in parts]),
-                        _binaries([text[p].astype("<i4") for p in parts]),
-                        _binaries([start[p] for p in parts]),
+                        pa.array([_squeezed(data[_flat(first[p], size[p])]) for p in parts], pa.binary()),
+                        pa.array([_squeezed(places[:, p]) for p in parts], pa.binary()),
                     ],
-                    names=["shard", "pack", "bytes", "lengths", "docs", "texts", "starts"],
+                    names=["shard", "pack", "bytes", "places"],
                 )
 
     found = met.mapInArrow(segments, SEGMENTS).groupBy("shard").applyInArrow(_shard(length), SPANS)
@@ -356,11 +369,15 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot_docs: int = HOT_D
     key = F.unhex(F.substring(F.sha2(text.cast("binary"), 256), 1, 32))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.octet_length(text).cast("long").alias("n_bytes"), key.alias("key"))
     able = F.col("doc_id").isNotNull() & (F.col("n_bytes") >= length)
-    copies = rows.where(able).groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1")
-    marked = rows.join(copies.select("key", "first"), "key", "left")
+    spark, store = docs.sparkSession, work_folder(docs.sparkSession, "copies")
+    long = rows.where(able)
+    total = int(long.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).head()["bytes"])
+    # stored, so that Spark knows its size and sends it to all tasks only where it is small
+    long.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first").write.parquet(store)
+    marked = rows.join(spark.read.schema("key binary, first long").parquet(store), "key", "left")
     whole = able & F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
-    packs = _packs(marked.where(able & ~whole).select("doc_id", "text"))
-    hits = _hits(packs, length, hot_docs)
+    packs = _packs(marked.where(able & ~whole).select("doc_id", "text"), total)
+    hits = _hits(packs, total, length, hot_docs)
     spans = _spans(packs, hits, length).groupBy("pack").agg(F.collect_list("spans").alias("spans"))
     cut = packs.join(spans, "pack", "left").mapInArrow(_cut, KEPT)
     span: Column = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))

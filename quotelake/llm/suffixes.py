@@ -2,8 +2,9 @@
 
 Suffixes are classified as smaller (S) or larger (L) than the one after them. The substrings between leftmost S suffixes are sorted by inducing, named in order
 and, unless all names differ, the string of names is sorted recursively; from the sorted leftmost S suffixes all others are induced in one
-pass over the buckets upwards (L) and one downwards (S). Byte strings, where most work lies, are induced a bucket at a time with
-array operations: what a bucket induces into itself follows in waves. Strings of names have many small buckets and are induced suffix by suffix.
+pass over the buckets upwards (L) and one downwards (S). Buckets are induced one at a time with array operations: what a bucket induces into itself
+follows in waves. Names are many, so a long string of names is written with two digits for each, which keeps the order of its suffixes and leaves few, large
+buckets (where about a third of the symbols are leftmost ones, so that the string gets shorter all the same); others are induced suffix by suffix.
 
 The permuted common prefix of a position is the length that its suffix shares with the one before it in the array. It is at least that of the position
 before, less one; it is compared only where the two preceding symbols differ, and follows by that rule elsewhere.
@@ -13,8 +14,9 @@ from __future__ import annotations
 
 import numpy as np
 
-# Alphabets up to this size are induced by bucket, larger ones by suffix.
-BUCKETS = 1024
+# Strings of names from this length on are written in digits.
+LONG_NAMES = 150_000
+FEW_SYMBOLS = 1024
 
 
 def _smaller(text: np.ndarray) -> np.ndarray:
@@ -143,7 +145,7 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     """The suffix array of symbols 0 to size - 1, whose last symbol is 0 and occurs nowhere else."""
     if len(text) < 2:
         return np.arange(len(text))
-    induce = _induce_buckets if size <= BUCKETS else _induce_suffixes
+    induce = _induce_buckets if len(text) >= LONG_NAMES and size <= FEW_SYMBOLS else _induce_suffixes
     small = _smaller(text)
     leftmost = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     is_leftmost = np.zeros(len(text), bool)
@@ -153,10 +155,20 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     names = _names(text, leftmost, in_order)
     different = int(names.max()) + 1
     if different < len(leftmost):
-        in_order = leftmost[suffix_array(names, different)]
+        in_order = leftmost[_by_names(names, different, len(text))]
     return induce(text, small, in_order, size)
 
 
+def _by_names(names: np.ndarray, different: int, above: int) -> np.ndarray:
+    base = int(np.ceil(np.sqrt(different)))
+    if len(names) < LONG_NAMES or base >= FEW_SYMBOLS or 2 * len(names) > 0.9 * above:
+        return suffix_array(names, different)
+    digits = np.zeros(2 * len(names) + 1, np.int16)
+    digits[:-1:2], digits[1::2] = names // base + 1, names % base + 1
+    array = suffix_array(digits, base + 1)
+    return array[(array % 2 == 0) & (array < len(digits) - 1)] // 2
+
+
 def permuted_common_prefixes(text: np.ndarray, array: np.ndarray) -> np.ndarray:
     """For each position, the symbols its suffix shares with the suffix before it in the array. text: as in ``suffix_array``."""
     n = len(text)

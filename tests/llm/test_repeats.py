@@ -39,10 +39,9 @@ def digest(df):
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, *r[1:]))
 
 
-@pytest.mark.parametrize("by_suffix", [False, True])
-def test_suffix_array_and_prefixes(monkeypatch, by_suffix):
-    if by_suffix:
-        monkeypatch.setattr(suffixes, "BUCKETS", 0)
+@pytest.mark.parametrize("long_names", [4, 30_000])
+def test_suffix_array_and_prefixes(monkeypatch, long_names):
+    monkeypatch.setattr(suffixes, "LONG_NAMES", long_names)
     random = np.random.default_rng(4)
     for _ in range(150):
         symbols = int(random.integers(1, 5))
@@ -57,7 +56,9 @@ def test_suffix_array_and_prefixes(monkeypatch, by_suffix):
             assert shared[b] == n
 
 
-def test_long_runs_and_periods():
+@pytest.mark.parametrize("long_names", [4, 30_000])
+def test_long_runs_and_periods(monkeypatch, long_names):
+    monkeypatch.setattr(suffixes, "LONG_NAMES", long_names)
     for raw in (b"a" * 3000, b"ab" * 1500, b"abcab" * 400 + b"a" * 700, bytes(range(256)) * 8, bytes(range(255, -1, -1)) * 8):
         text = np.append(np.frombuffer(raw, np.uint8).astype(np.int64) + 1, 0)
         own = text.tolist()
@@ -110,6 +111,7 @@ def test_passages(spark, monkeypatch, hot_docs, shard_bytes, range_anchors, pack
     monkeypatch.setattr(repeats, "SHARD_BYTES", shard_bytes)
     monkeypatch.setattr(repeats, "RANGE_ANCHORS", range_anchors)
     monkeypatch.setattr(repeats, "PACK_BYTES", pack_bytes)
+    monkeypatch.setattr(repeats, "BUCKET_BYTES", 5 * shard_bytes)
     df = spark.createDataFrame(passages(), "doc_id long, text string").repartition(3)
     assert digest(repeats.without_repeats(df, hot_docs=hot_docs)) == brute(passages())
 

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from quotelake.llm import suffixes
 from quotelake.llm import words as W
+from quotelake.operators.sizing import broadcast_if_small
 from quotelake.session import work_folder
 
 LENGTH = 50
@@ -109,6 +110,15 @@ def _binaries(parts: list[np.ndarray]) -> pa.Array:
     return pa.array([p.tobytes() for p in parts], pa.binary())
 
 
+def bucket_count(total: int) -> int:
+    return max(1, -(-total // BUCKET_BYTES))
+
+
+def _by_pack(rows: DataFrame, column: str, name: str, total: int) -> DataFrame:
+    """What there is of a pack in one list, partitioned as the packs are stored, so that a join leaves these where they are."""
+    return rows.repartition(bucket_count(total), "pack").groupBy("pack").agg(F.collect_list(column).alias(name))
+
+
 def _packs(rows: DataFrame, total: int) -> DataFrame:
     """Texts put together in packs, stored in buckets, with a number that stays. total: the bytes of all texts."""
 
@@ -125,7 +135,7 @@ def _packs(rows: DataFrame, total: int) -> DataFrame:
 
     spark = rows.sparkSession
     store = work_folder(spark, "packs")
-    buckets = max(1, -(-total // BUCKET_BYTES))
+    buckets = bucket_count(total)
     numbered = rows.mapInArrow(packed, PACK).withColumn("pack", F.monotonically_increasing_id()).repartition(buckets, "pack")
     # the table's name only serves to say that it is bucketed; its files are in the work folder and stay there
     name = store.rsplit("/", 1)[-1].replace("-", "_")
@@ -276,12 +286,11 @@ def span_rows(pack: np.ndarray, text: np.ndarray, start: np.ndarray, end: np.nda
     return pa.table({"pack": pa.array(numbers, pa.int64()), "spans": _binaries(parts)})
 
 
-def _spans(packs: DataFrame, hits: DataFrame, length: int) -> DataFrame:
+def _spans(packs: DataFrame, hits: DataFrame, total: int, length: int) -> DataFrame:
     """Repeated stretches of the texts, several rows per pack."""
     sizes = hits.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("hot"), F.lit(0)).alias("hot")).head()
     shards = max(1, -(-int(sizes["n"]) * (length + (length - ANCHOR) // 2) // SHARD_BYTES))
-    by_pack = hits.groupBy("pack").agg(F.collect_list("anchors").alias("hits"))
-    met = packs.join(by_pack, "pack")
+    met = packs.join(_by_pack(hits, "anchors", "hits", total), "pack")
 
     def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,13 +381,13 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, hot_docs: int = HOT_D
     spark, store = docs.sparkSession, work_folder(docs.sparkSession, "copies")
     long = rows.where(able)
     total = int(long.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)).alias("bytes")).head()["bytes"])
-    # stored, so that Spark knows its size and sends it to all tasks only where it is small
+    # stored, as it is counted and joined twice; sent to all tasks only where the count proves it small
     long.groupBy("key").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("key", "first").write.parquet(store)
-    marked = rows.join(spark.read.schema("key binary, first long").parquet(store), "key", "left")
+    marked = rows.join(broadcast_if_small(spark.read.schema("key binary, first long").parquet(store)), "key", "left")
     whole = able & F.coalesce(F.col("first") < F.col("doc_id"), F.lit(False))
     packs = _packs(marked.where(able & ~whole).select("doc_id", "text"), total)
     hits = _hits(packs, total, length, hot_docs)
-    spans = _spans(packs, hits, length).groupBy("pack").agg(F.collect_list("spans").alias("spans"))
+    spans = _by_pack(_spans(packs, hits, total, length), "spans", "spans", total)
     cut = packs.join(spans, "pack", "left").mapInArrow(_cut, KEPT)
     span: Column = F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end"))
     plain = marked.where(~able | whole).select(

@@ -49,23 +49,37 @@ def relative_strength(mean_gain: Column, mean_loss: Column) -> Column:
     return F.coalesce(100.0 - 100.0 / (1.0 + ratio), F.lit(50.0))
 
 
-def ewm_mean(value: Column, span: int, window: WindowSpec, position: Column) -> Column:
+def decay(span: int) -> float:
+    """What a weight is multiplied by from one row to the next."""
+    return 1.0 - 2.0 / (span + 1.0)
+
+
+def ewm_mean(
+    value: Column, span: int, window: WindowSpec, position: Column, before: tuple[Column, Column] | None = None, place: Column | None = None
+) -> Column:
     """Exponentially weighted mean whose weights are normalised over the rows seen (adjusted form).
 
     A weight (1-a)^(t-i) is (1-a)^t times (1-a)^(-i), so the mean is a ratio of two *running* sums and
     costs O(1) per row. ``position`` must count rows from the start of the window partition and stay
     below ``ewm_row_limit(span)``; chunked series do. A NULL takes its place in the row count but adds
     nothing, so the last mean carries over it.
+
+    ``before`` = decayed sums of the values and of the weights of earlier rows, as of the last of them; ``place`` then counts
+    rows from the first one after them. They fade by the same factor per row, so the mean is that of the whole series.
     """
-    growth = 1.0 / (1.0 - 2.0 / (span + 1.0))
+    growth = 1.0 / decay(span)
     running = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     weight = F.pow(F.lit(growth), position.cast("double"))
     total = F.sum(value * weight).over(running)
     weights = F.sum(F.when(value.isNotNull(), weight)).over(running)
-    return total / weights
+    if before is None:
+        return total / weights
+    faded = F.pow(F.lit(decay(span)), (place + 1).cast("double"))
+    sums = [F.coalesce(new / weight, F.lit(0.0)) + old * faded for new, old in zip((total, weights), before, strict=True)]
+    return F.when(sums[1] > 0, sums[0] / sums[1])
 
 
 def ewm_row_limit(span: int) -> int:
     """Rows after which the growing weight, times any price, would leave the double range."""
-    growth = 1.0 / (1.0 - 2.0 / (span + 1.0))
+    growth = 1.0 / decay(span)
     return int(math.log(1e250) / math.log(growth))

@@ -1,7 +1,8 @@
 """One row per key, chosen by an explicit order.
 
-Both forms are aggregates, so copies collapse before the shuffle and a key that holds a third of all rows
-never meets in one task, as it would behind a row-number window.
+All forms are aggregates, so copies collapse before the shuffle and a key that holds a third of all rows
+never meets in one task, as it would behind a row-number window. Where hardly any key has copies, as in fact tables, ``keep_first_stored``
+counts keys by hash and puts in order only the rows of keys met more than once.
 """
 
 from __future__ import annotations
@@ -11,6 +12,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quotelake.operators.sizing import broadcast_if_small, materialised
+
 
 def _pick(choose: Callable[[Column], Column], df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The extreme row per key. The other columns follow the order in the comparison, so ties are repeatable."""
@@ -28,6 +31,20 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Data
     return _pick(F.min, df, keys, order)
 
 
+def keep_first_stored(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The same for a stored frame, which is read twice: only keys are shuffled, and whole rows of repeated keys only."""
+    count = F.count(F.lit(1)).alias("_n")
+    names = [f"_k{k}" for k in range(len(keys))]
+    repeated = rows.groupBy(*[F.col(key).alias(name) for key, name in zip(keys, names, strict=True)]).agg(count).where("_n > 1").select(*names)
+    repeated = materialised(repeated, "repeated")
+    if repeated.isEmpty():
+        return rows
+    known = broadcast_if_small(repeated)
+    same = [F.col(key).eqNullSafe(F.col(name)) for key, name in zip(keys, names, strict=True)]
+    once = rows.join(known, same, "left_anti")
+    return once.unionByName(keep_first(rows.join(known, same, "left_semi"), keys, order))
+
+
 def keep_last(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row that comes last in ``order``."""
     return _pick(F.max, df, keys, order)

@@ -19,6 +19,7 @@ from quotelake.functions.rolling import (
     step,
 )
 from quotelake.operators.series import CHUNK, CHUNK_ROWS, LOOKBACK_ROWS, POSITION, chunked, in_chunk, unchunked
+from quotelake.operators.sizing import broadcast_if_small
 
 # Window lengths in rows.
 SHORT_AVERAGE, LONG_AVERAGE = 20, 50
@@ -31,6 +32,11 @@ OVERBOUGHT, OVERSOLD = 70.0, 30.0
 INDICATORS = ("sma_20", "sma_50", "atr", "rsi", "macd", "bb_upper", "bb_lower")
 
 
+def carried(span: int) -> tuple[str, str]:
+    """The columns that hold the decayed sums of closes and of weights for a span."""
+    return f"closes_{span}", f"weights_{span}"
+
+
 def compute_indicators(
     bars: DataFrame,
     by: Sequence[str] = ("ticker",),
@@ -38,15 +44,23 @@ def compute_indicators(
     digits: int | None = 2,
     grain: str = "year",
     details: bool = False,
+    carry: DataFrame | None = None,
 ) -> DataFrame:
     """Add the indicator columns. ``digits`` rounds every fractional column, as the silver tables store
-    them; None keeps full precision. ``details`` keeps the intermediate columns."""
+    them; None keeps full precision. ``details`` keeps the intermediate columns. ``carry`` has a row per series (``by``) with
+    the decayed sums of the rows before the given ones, as ``carried`` names them; the exponential averages go on from there."""
     if max(CHUNK_ROWS + LOOKBACK_ROWS, LONG_AVERAGE) > ewm_row_limit(FAST_SPAN):
         raise ValueError("chunks are too long for the running exponential sums")
     window = in_chunk(by)
     close = F.col("close")
     row_in_chunk = F.col(POSITION) - F.col(CHUNK) * CHUNK_ROWS + LOOKBACK_ROWS
 
+    if carry is not None:
+        sums = [name for span in (FAST_SPAN, SLOW_SPAN) for name in carried(span)]
+        bars = bars.join(broadcast_if_small(carry.select(*by, *sums)), list(by), "left").na.fill(0.0, sums)
+    before = {span: tuple(F.col(name) for name in carried(span)) if carry is not None else None for span in (FAST_SPAN, SLOW_SPAN)}
+    place = F.col(POSITION)
+
     out = chunked(bars, by, order, grain=grain)
     out = out.withColumns({
         "diff": step(close, window),
@@ -59,10 +73,12 @@ def compute_indicators(
         "std_20": rolling_std(close, SHORT_AVERAGE, window),
         "avg_gain": rolling_mean(F.col("gain"), STRENGTH_ROWS, window),
         "avg_loss": rolling_mean(F.col("loss"), STRENGTH_ROWS, window),
-        "ema_12": ewm_mean(close, FAST_SPAN, window, row_in_chunk),
-        "ema_26": ewm_mean(close, SLOW_SPAN, window, row_in_chunk),
+        "ema_12": ewm_mean(close, FAST_SPAN, window, row_in_chunk, before[FAST_SPAN], place),
+        "ema_26": ewm_mean(close, SLOW_SPAN, window, row_in_chunk, before[SLOW_SPAN], place),
         "atr": rolling_mean(F.col("tr"), RANGE_ROWS, window),
     })
+    if carry is not None:
+        out = out.drop(*sums)
     out = unchunked(out).withColumns({
         "rsi": relative_strength(F.col("avg_gain"), F.col("avg_loss")),
         "macd": F.col("ema_12") - F.col("ema_26"),

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.sources.paths import literal, relative_path
+
 # What marks a log line as critical.
 CRITICAL_TEXTS = ("FATAL", "CRITICAL", "Traceback", "Exception:", "PermissionError", "ConnectionRefused")
 CRITICAL_PATTERNS = (r"(?i)\b0 rows\b",)
@@ -12,25 +14,34 @@ CRITICAL_PATTERNS = (r"(?i)\b0 rows\b",)
 # A file travels as one row, which holds at most 2 GiB.
 MAX_FILE_BYTES = 2**31 - 1024
 
+# Files that a scan is given by name; a list of names is on the driver.
+MAX_NAMED = 100_000
 
 
 class IntegrityError(RuntimeError):
     """A gate found missing, altered or suspicious output."""
 
 
-def relative_path(path: Column, root: str) -> Column:
-    """The part of a file path below ``root``, whatever scheme either is written with."""
-    plain_root = root.split(":", 1)[-1] if "://" in root or root.startswith("file:") else root
-    plain_root = "/" + plain_root.strip("/") + "/"
-    plain = F.regexp_replace(path, r"^[a-z0-9]+:/*", "/")
-    return F.substring(plain, len(plain_root) + 1, 1_000_000)
-
-
 def file_hashes(spark: SparkSession, root: str, pattern: str = "*.parquet") -> DataFrame:
     """(path, sha256, length) of every matching file below ``root``."""
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(root)
-    )
+    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
+    return _hashed(reader.load(root), root)
+
+
+def hashes_of(spark: SparkSession, root: str, files: DataFrame, pattern: str = "*.parquet") -> DataFrame:
+    """(path, sha256, length) of the given files (column path) below ``root``; no other file is opened.
+
+    Their names go into the scan; beyond MAX_NAMED files the whole folder is scanned instead.
+    """
+    named = [r["path"] for r in files.select("path").limit(MAX_NAMED + 1).collect()]
+    if len(named) > MAX_NAMED:
+        return file_hashes(spark, root, pattern).join(files.select("path"), "path", "left_semi")
+    if not named:
+        return spark.createDataFrame([], "path string, sha256 string, length long")
+    return _hashed(spark.read.format("binaryFile").load([literal(f"{root.rstrip('/')}/{name}") for name in named]), root)
+
+
+def _hashed(files: DataFrame, root: str) -> DataFrame:
     checked = F.when(
         F.col("length") > MAX_FILE_BYTES, F.raise_error(F.concat(F.lit("file too large to hash: "), F.col("path")))
     ).otherwise(F.sha2("content", 256))
@@ -47,15 +58,36 @@ def manifest_hash(files: DataFrame) -> DataFrame:
     The "path:sha256" lines are hashed in order per bucket (the first four hex digits of the path's md5), then the "bucket:sha256" lines
     in order. So no task holds all lines, and the hash means the same at any number of files.
     """
+    return tree_hash(bucket_hashes(files))
+
+
+def bucket_of(path: str = "path") -> Column:
+    """The bucket of a file: the first four hex digits of its path's md5. The first two are the prefix that buckets are stored by."""
+    return F.substring(F.md5(path), 1, 4)
+
+
+def bucket_hashes(files: DataFrame) -> DataFrame:
+    """prefix, bucket, sha256, n: the inner nodes of a manifest."""
     line = F.concat_ws(":", "path", "sha256")
-    buckets = files.groupBy(F.substring(F.md5("path"), 1, 4).alias("bucket")).agg(
-        _lines_hash(line).alias("sha256"), F.count(F.lit(1)).alias("n")
-    )
-    return buckets.agg(
+    nodes = files.groupBy(bucket_of().alias("bucket")).agg(_lines_hash(line).alias("sha256"), F.count(F.lit(1)).alias("n"))
+    return nodes.select(F.substring("bucket", 1, 2).alias("prefix"), "bucket", "sha256", "n")
+
+
+def tree_hash(nodes: DataFrame) -> DataFrame:
+    """One row: the composite hash over the buckets (65536 at most) and the number of files."""
+    return nodes.agg(
         _lines_hash(F.concat_ws(":", "bucket", "sha256")).alias("manifest_hash"), F.coalesce(F.sum("n"), F.lit(0)).alias("file_count")
     )
 
 
+def compare_listing(recorded: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Recorded files (path, sha256, length, modified) that are there as they were, and found files whose length or time changed."""
+    there = found.select("path", F.col("length").alias("_length"), F.col("modified").alias("_modified"))
+    both = recorded.join(there, "path")
+    same = (F.col("length") == F.col("_length")) & (F.col("modified") == F.col("_modified"))
+    return both.where(same).select("path", "sha256"), both.where(~same).select("path")
+
+
 def compare_files(recorded: DataFrame, found: DataFrame) -> DataFrame:
     """(path, status) for every recorded or found file: ok, tampered, missing or unlisted."""
     old = recorded.select("path", F.col("sha256").alias("_old"))

@@ -1,4 +1,4 @@
-"""Exact interpolated quantiles without gathering a group in one task."""
+"""Exact interpolated quantiles by radix selection, without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -9,20 +9,26 @@ from pyspark.sql import functions as F
 
 from quotelake.operators.sizing import materialised
 
-# Cells per doubling of the value, and parts each selected cell is split into again. Both levels together
-# separate values that differ by more than about 2e-7 of their size.
-CELLS_PER_DOUBLING = 1024
-PARTS_PER_CELL = 4096
+# Bits of the key that a round tells apart; four rounds tell all values apart.
+ROUND_BITS = 16
+_KEY_BITS = 64
+_UNIT = 1 << 52
+_LEAST_EXPONENT = -1022
 
 
-def _cell(value: Column) -> Column:
-    """A bucket number that never decreases with the value, for either sign."""
-    size = F.floor(F.log2(1.0 + F.abs(value)) * CELLS_PER_DOUBLING)
-    return F.when(value < 0, -size).otherwise(size)
-
-
-def _part(value: Column, low: Column, high: Column) -> Column:
-    return F.when(high > low, F.floor((value - low) / (high - low) * PARTS_PER_CELL)).otherwise(F.lit(0))
+def order_key(value: Column) -> Column:
+    """A whole number per double, in the same order: sign, exponent and fraction as IEEE 754 lays them out. NaN comes last."""
+    size = F.abs(value)
+    guess = F.floor(F.log2(size)).cast("double")
+    # the logarithm may be off by one next to a power of two
+    exponent = guess + F.when(size >= F.pow(F.lit(2.0), guess + 1), 1).when(size < F.pow(F.lit(2.0), guess), -1).otherwise(0)
+    whole = F.when(
+        exponent >= _LEAST_EXPONENT,
+        (exponent - _LEAST_EXPONENT + 1).cast("long") * _UNIT + ((size / F.pow(F.lit(2.0), exponent) - 1) * _UNIT).cast("long"),
+    ).otherwise((size / F.lit(2.0**-1074)).cast("long"))
+    infinite = F.lit(2047 * _UNIT)
+    key = F.when(F.isnan(value), infinite + 1).when(size == 0, F.lit(0)).when(size == float("inf"), infinite).otherwise(whole)
+    return F.when(value < 0, -key).otherwise(key).cast("long")
 
 
 def _inside(ranks: Column, start: Column, size: Column) -> Column:
@@ -34,68 +40,52 @@ def exact_quantiles(
 ) -> DataFrame:
     """One row per group with a column per named probability, linear between neighbouring ranks.
 
-    The first pass over the column only counts rows per bucket, which combines before the shuffle and
-    locates the ranks asked for. The second pass keeps the rows of the few buckets hit, reduces them to
-    (value, count), splits those buckets again and puts the values of the hit parts in order. No shuffle
-    carries the column, and every ordered step works on a bounded number of buckets, parts or near-equal
-    values. NULLs are left out. Give a stored frame where it is costly to compute twice.
+    Each round counts rows by the next 16 bits of their key within the cells that hold the ranks asked for, which combines before the
+    shuffle, and keeps the cells that hold them now. It ends when each of these holds one value, after four rounds at most whatever the values are.
+    Only cells are put in order, at most 65536 of a group and prefix. NULLs are left out. Give a stored frame where it is costly to compute
+    more than once.
     """
     by = list(by)
-    rows = (
-        df.select(*by, F.col(value).cast("double").alias("_v"))
-        .where(F.col("_v").isNotNull())
-        .withColumn("_cell", _cell(F.col("_v")))
-    )
+    rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_key", order_key(F.col("_v")))
+    before = Window.unboundedPreceding
+    sizes = (F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
 
+    shift = _KEY_BITS - ROUND_BITS
+    cells = rows.groupBy(*by, F.shiftright("_key", shift).alias("_cell")).agg(*sizes)
     in_group = Window.partitionBy(*by)
-    before = Window.unboundedPreceding
-    cells = rows.groupBy(*by, "_cell").agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
-    )
-    cells = cells.withColumns({
-        "_start": F.sum("_size").over(in_group.orderBy("_cell").rowsBetween(before, 0)) - F.col("_size"),
-        "_last": F.sum("_size").over(in_group) - 1,
-    })
     wanted = F.array(*[
         F.struct(F.lit(name).alias("name"), F.lit(side).alias("side"), rank(F.col("_last") * p).alias("rank"))
         for name, p in probabilities.items()
         for side, rank in (("low", F.floor), ("high", F.ceil))
     ])
-    # At most two buckets per group and probability. Stored, they are known to be small and the second pass
-    # joins them without moving the column.
-    hits = materialised(
-        cells.withColumn("_ranks", _inside(wanted, F.col("_start"), F.col("_size")))
-        .where(F.size("_ranks") > 0)
-        .drop("_size"),
-        "buckets",
+    cells = (
+        cells.withColumn("_last", F.sum("_size").over(in_group) - 1)
+        .withColumn("_start", F.sum("_size").over(in_group.orderBy("_cell").rowsBetween(before, 0)) - F.col("_size"))
+        .withColumn("_ranks", wanted)
     )
 
-    # Values of the hit cells with their counts, and the hit parts among them.
-    counted = (
-        rows.join(hits, [*by, "_cell"])
-        .withColumn("_part", _part(F.col("_v"), F.col("_low"), F.col("_high")))
-        .groupBy(*by, "_cell", "_part", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.first("_start").alias("_start"),
-            F.first("_last").alias("_last"),
-            F.first("_ranks").alias("_ranks"),
+    while True:
+        # At most two cells per group and probability. Stored, they are known to be small and the next round joins them
+        # without moving the column.
+        hits = materialised(
+            cells.withColumn("_ranks", _inside(F.col("_ranks"), F.col("_start"), F.col("_size"))).where(F.size("_ranks") > 0), "cells"
         )
-    )
-    in_cell = Window.partitionBy(*by, "_cell").orderBy("_part").rowsBetween(before, 0)
-    parts = (
-        counted.groupBy(*by, "_cell", "_part")
-        .agg(F.sum("_n").alias("_size"), F.first("_start").alias("_start"), F.first("_ranks").alias("_ranks"))
-        .withColumn("_begin", F.col("_start") + F.sum("_size").over(in_cell) - F.col("_size"))
-        .where(F.size(_inside(F.col("_ranks"), F.col("_begin"), F.col("_size"))) > 0)
-        .select(*by, "_cell", "_part", "_begin")
-    )
-    in_part = Window.partitionBy(*by, "_cell", "_part").orderBy("_v").rowsBetween(before, 0)
-    found = (
-        counted.join(parts, [*by, "_cell", "_part"])
-        .withColumn("_at", F.col("_begin") + F.sum("_n").over(in_part) - F.col("_n"))
-        .select(*by, "_v", "_last", F.explode(_inside(F.col("_ranks"), F.col("_at"), F.col("_n"))).alias("_r"))
-    )
+        if shift == 0 or hits.where("_low < _high").isEmpty():
+            break
+        prefix = F.shiftright("_key", shift).alias("_prefix")
+        shift -= ROUND_BITS
+        open_cells = hits.select(
+            *[F.col(c).alias(f"_by_{k}") for k, c in enumerate(by)], F.col("_cell").alias("_prefix"), F.col("_start").alias("_base"), "_last", "_ranks"
+        )
+        same = [F.col(c).eqNullSafe(F.col(f"_by_{k}")) for k, c in enumerate(by)]
+        keyed = rows.select(*by, "_v", F.shiftright("_key", shift).alias("_cell"), prefix.alias("_p"))
+        held = [*same, F.col("_p") == F.col("_prefix")]
+        # numbers only, so that cells are counted by hash; what the cell before them asks for comes back by a second join
+        counted = keyed.join(open_cells.drop("_base", "_last", "_ranks"), held).groupBy(*by, "_p", "_cell").agg(*sizes).join(open_cells, held)
+        in_prefix = Window.partitionBy(*by, "_prefix").orderBy("_cell").rowsBetween(before, 0)
+        cells = counted.withColumn("_start", F.col("_base") + F.sum("_size").over(in_prefix) - F.col("_size"))
+
+    found = hits.select(*by, F.col("_low").alias("_v"), "_last", F.explode("_ranks").alias("_r"))
 
     def side_value(name: str, side: str) -> Column:
         return F.max(F.when((F.col("_r.name") == name) & (F.col("_r.side") == side), F.col("_v")))

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.functions.dates import calendar_parts, date_from_parts, date_key
-from quotelake.operators.dedup import keep_first
+from quotelake.operators.dedup import keep_first, keep_first_stored
 from quotelake.operators.keys import assign_keys
 from quotelake.operators.merge import split_valid
-from quotelake.operators.sizing import broadcast_if_small
+from quotelake.operators.sizing import broadcast_if_small, materialised
 
 FOREIGN_KEYS = ("DateId", "TickerId", "SectorId", "IndustryId")
 FACT_KEY = ("DateId", "TickerId")
@@ -97,24 +97,37 @@ def ticker_keys(tickers: DataFrame, sectors: DataFrame, industries: DataFrame) -
     )
 
 
-def _fact(rows: DataFrame, lookup: DataFrame, measures: dict[str, str], extra: Sequence[str] = ()) -> DataFrame:
+def _shaped(rows: DataFrame, lookup: DataFrame, measures: dict[str, str], extra: Sequence[str] = ()) -> DataFrame:
+    """Rows as their fact has them, with the date they came from; a key is NULL where a member is unknown."""
     keyed = rows.join(broadcast_if_small(lookup), "ticker", "left").withColumn("DateId", date_key(F.col("date")))
-    shaped = keyed.select(
+    return keyed.select(
         *FOREIGN_KEYS,
         *[F.col(source).cast("decimal(18,2)").alias(name) for name, source in measures.items()],
         *extra,
         F.col("date").alias("_date"),
-    ).dropna(subset=list(FOREIGN_KEYS))
-    return keep_first(shaped, FACT_KEY, ["_date", *measures, *extra]).drop("_date")
+    )
+
+
+def shaped_prices(prices: DataFrame, lookup: DataFrame) -> DataFrame:
+    return _shaped(prices.withColumn("Volume", F.col("volume").cast("bigint")), lookup, PRICE_MEASURES, ["Volume"])
+
+
+def shaped_technical(technical: DataFrame, lookup: DataFrame) -> DataFrame:
+    return _shaped(technical, lookup, TECHNICAL_MEASURES)
+
+
+def one_fact_per_key(stored: DataFrame) -> DataFrame:
+    """Of stored shaped rows with one key, the first by date and measures."""
+    others = [c for c in stored.columns if c not in FACT_KEY]
+    return keep_first_stored(stored, FACT_KEY, ["_date", *[c for c in others if c not in ("_date", *FOREIGN_KEYS)]]).drop("_date")
 
 
 def fact_prices(prices: DataFrame, lookup: DataFrame) -> DataFrame:
-    renamed = prices.withColumn("Volume", F.col("volume").cast("bigint"))
-    return _fact(renamed, lookup, PRICE_MEASURES, ["Volume"])
+    return one_fact_per_key(materialised(shaped_prices(prices, lookup).dropna(subset=list(FOREIGN_KEYS)), "prices"))
 
 
 def fact_technical(technical: DataFrame, lookup: DataFrame) -> DataFrame:
-    return _fact(technical, lookup, TECHNICAL_MEASURES)
+    return one_fact_per_key(materialised(shaped_technical(technical, lookup).dropna(subset=list(FOREIGN_KEYS)), "technical"))
 
 
 def resolve_predictions(

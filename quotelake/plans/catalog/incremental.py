@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.operators import history, merge
+from quotelake.operators import history, merge, state
 from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
@@ -14,7 +17,9 @@ from quotelake.plans.bronze import land_prices, land_snapshot
 from quotelake.plans.silver import refresh_silver, run_silver
 from quotelake.schemas import BRONZE_PRICES, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
 from quotelake.session import work_folder
+from quotelake.sources import commits, control
 from quotelake.sources.files import newest_file_time, read_table, scan_new_files
+from quotelake.sources.paths import listing, literal, set_modified
 from quotelake.sources.sinks import upsert_partitioned, write_partitioned
 from quotelake.streaming.silver_stream import stream_silver
 
@@ -262,3 +267,58 @@ def master_latest_wins(spark, folder):
         land_snapshot(snapshot, bronze, "ticker", "info", "ticker")
         run_silver(spark, bronze, silver)
     return read_table(spark, f"{silver}/stocks_master", STOCKS_MASTER)
+
+
+def _as_bar(df):
+    return df.select("ticker", F.to_date("date").alias("date"), "close")
+
+
+_CLOSE2 = rounded("close", 2)
+
+
+@query(f"""SELECT 'before' AS seen, ticker, date, {_CLOSE2} AS close FROM ({STORED_SQL})
+    UNION ALL SELECT 'after', ticker, date, {_CLOSE2} FROM ({UPSERT_SQL})""")
+def half_written_upsert(spark, folder):
+    """A writer dies with its data written and nothing committed; then the upsert is repeated and goes through."""
+    path = work_folder(spark, "commits")
+    table, batch = both(spark, folder)
+    write_partitioned(price_history(table), path, PRICE_HISTORY)
+    left = price_history(batch).withColumn(commits.VERSION, F.lit("000000000002-left"))
+    left.write.mode("append").partitionBy("ticker", "year", commits.VERSION).parquet(path)
+    before = _as_bar(read_table(spark, path, PRICE_HISTORY)).select(F.lit("before").alias("seen"), "*")
+    upsert_partitioned(price_history(batch), path, PRICE_HISTORY, ["ticker", "date"], ["close"])
+    return before.unionAll(_as_bar(read_table(spark, path, PRICE_HISTORY)).select(F.lit("after").alias("seen"), "*"))
+
+
+@query(f"""SELECT CASE WHEN month(date) % 3 = 0 THEN 1 WHEN month(date) % 3 = 1 THEN 2 ELSE 3 END AS run, ticker, date, close
+    FROM ({tb.BARS_TYPE})""")
+def late_files_taken_once(spark, folder):
+    """Files land in three rounds: the second with the times of the first, the third with older ones. Each is taken by the next run, and only then."""
+    landing, ctl = work_folder(spark, "landing"), work_folder(spark, "control")
+    bars, taken = materialised(tb.bars_by_type(spark, folder), "bars"), []
+    for run, month in enumerate((0, 1, 2), 1):
+        before = {r["path"] for r in listing(spark, landing).collect()}
+        bars.where(F.month("date") % 3 == month).repartition(4, "ticker").write.mode("append").parquet(landing)
+        for r in listing(spark, landing).collect():
+            if r["path"] not in before:
+                set_modified(spark, f"{landing}/{r['path']}", 1_700_000_000_000 if run < 3 else 1_600_000_000_000)
+        files = control.unseen_files(spark, ctl, "bars", landing)
+        rows = spark.read.schema(bars.schema).parquet(*[literal(f"{landing}/{r['path']}") for r in files.collect()])
+        taken.append(rows.select(F.lit(run).alias("run"), "ticker", "date", "close"))
+        control.record_files(files, ctl, "bars")
+        assert control.unseen_files(spark, ctl, "bars", landing).isEmpty()
+    return taken[0].unionAll(taken[1]).unionAll(taken[2])
+
+
+@query(f"SELECT ticker, date, {rounded_as(4, **_INDICATORS)} FROM ({INDICATORS_SQL(tb.BARS_TYPE)})", digits=4)
+def indicators_from_state(spark, folder):
+    """Four batches, each going on from the state that the one before left; no history is read."""
+    bars = materialised(tb.bars_by_type(spark, folder), "bars")
+    states, done, start = spark.createDataFrame([], state.STATE).drop("bucket"), [], "1900-01-01"
+    for end in ("1994-01-01", "1996-07-01", "1996-07-15", "2100-01-01"):
+        batch = bars.where((F.col("date") >= F.lit(start).cast("date")) & (F.col("date") < F.lit(end).cast("date")))
+        done.append(materialised(state.indicators_behind_state(batch, states, digits=None), "technical"))
+        fresh = materialised(state.states_after(batch, states), "fresh")
+        states = materialised(fresh.unionByName(states.join(fresh.select("ticker"), "ticker", "left_anti").select(*fresh.columns)), "states")
+        start = end
+    return reduce(DataFrame.unionByName, done).select("ticker", F.to_date("date").alias("date"), *_INDICATORS)

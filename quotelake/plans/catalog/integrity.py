@@ -11,6 +11,7 @@ from quotelake.plans.catalog.registry import query
 from quotelake.session import work_folder
 from quotelake.sources import control
 from quotelake.sources.files import read_bronze
+from quotelake.sources.paths import listing, remove
 
 _ROW = "md5(CAST(to_json({{'c_custkey': c_custkey, 'c_name': {name}, 'c_mktsegment': c_mktsegment}}) AS VARCHAR))"
 _PARTS = " || ':' || ".join(
@@ -194,3 +195,39 @@ def gate_verdicts(spark, folder):
     count(*) FILTER (WHERE {_HIT}) AS issues FROM ({_LINES})""")
 def log_status(spark, folder):
     return integrity.log_status(_log(spark, folder))
+
+
+_CHANGED = "CASE WHEN c_mktsegment = 'MACHINERY' THEN c_name || '*' ELSE c_name END"
+_LATER = f"""SELECT c_mktsegment AS path, sha256(string_agg(n, ',' ORDER BY n) || chr(10)) AS sha256
+    FROM (SELECT c_mktsegment, {_CHANGED} AS n FROM customer WHERE c_mktsegment <> 'HOUSEHOLD') GROUP BY 1"""
+
+
+def _write_segment(spark, folder, root, segments, name="c_name"):
+    names = F.array_join(F.sort_array(F.collect_list(name)), ",").alias("value")
+    rows = tb.table(spark, folder, "customer").where(segments)
+    rows.groupBy(F.col("c_mktsegment").alias("key")).agg(names).write.mode("append").partitionBy("key").text(root)
+
+
+@query(f"""SELECT 'first' AS build, path, sha256, CAST((SELECT count(DISTINCT c_mktsegment) - 1 FROM customer) AS BIGINT) AS hashed
+    FROM ({_FILES}) WHERE path <> 'BUILDING'
+    UNION ALL SELECT 'second', path, sha256, 2 FROM ({_LATER})
+    UNION ALL SELECT 'third', path, sha256, 0 FROM ({_LATER})""")
+def manifest_follows_changes(spark, folder):
+    """Three builds: all files but one; then one file more, one changed and one gone; then nothing new. Only what changed is hashed."""
+    data, root = work_folder(spark, "texts"), work_folder(spark, "control")
+    key = F.col("c_mktsegment")
+    _write_segment(spark, folder, data, key != "BUILDING")
+    builds = []
+    for name in ("first", "second", "third"):
+        if name == "second":
+            _write_segment(spark, folder, data, key == "BUILDING")
+            for r in listing(spark, data, "*.txt").collect():
+                if "key=MACHINERY" in r["path"] or "key=HOUSEHOLD" in r["path"]:
+                    remove(spark, f"{data}/{r['path']}")
+            _write_segment(spark, folder, data, key == "MACHINERY", F.concat("c_name", F.lit("*")))
+        control.build_manifest(spark, data, root, "bronze", "*.txt")
+        head, files = control.load_manifest(spark, root, "bronze")
+        control.verify_manifest(spark, root, "bronze", pattern="*.txt")
+        segment = F.regexp_extract("path", "key=([^/]+)/", 1).alias("path")
+        builds.append(files.select(F.lit(name).alias("build"), segment, "sha256", F.lit(head["hashed"]).cast("bigint").alias("hashed")))
+    return builds[0].unionAll(builds[1]).unionAll(builds[2])

@@ -12,8 +12,8 @@ from quotelake.operators.tables import price_history, technical_indicators
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import INDICATORS_SQL
 from quotelake.plans.catalog.registry import query, rounded, rounded_as
-from quotelake.plans.gold import export_star, import_predictions, read_gold, refresh_gold
-from quotelake.schemas import DIM_INDUSTRY, DIM_SECTOR, DIM_TICKER, FACT_PREDICTED
+from quotelake.plans.gold import export_star, import_predictions, load_facts, read_gold, refresh_gold
+from quotelake.schemas import DIM_INDUSTRY, DIM_SECTOR, DIM_TICKER, FACT_PREDICTED, FACT_PRICES
 from quotelake.session import work_folder
 from quotelake.sources.files import read_predictions
 from quotelake.sources.sinks import four_decimals, rewrite_table
@@ -278,6 +278,27 @@ def gold_refresh_export(spark, folder):
     return log.select("file", "rows")
 
 
+_KNOWN = "CAST(regexp_extract(ticker, '[0-9]+$') AS BIGINT) % 3 <> 0"
+_GIVEN = f"SELECT * FROM ({tb.BARS_SUPPLIER}) UNION ALL SELECT * FROM ({tb.BARS_SUPPLIER}) WHERE volume % 5 = 0"
+
+
+@query(f"""SELECT 'inserted' AS outcome, count(DISTINCT (ticker, date)) AS rows FROM ({_GIVEN}) WHERE {_KNOWN}
+    UNION ALL SELECT 'missing: TickerId', count(*) FROM ({_GIVEN}) WHERE NOT {_KNOWN}
+    UNION ALL SELECT 'duplicate key', count(*) - count(DISTINCT (ticker, date)) FROM ({_GIVEN}) WHERE {_KNOWN}
+    UNION ALL SELECT 'stored', count(DISTINCT (ticker, date)) FROM ({_GIVEN}) WHERE {_KNOWN}
+    UNION ALL SELECT 'refused with reason', count(*) FROM ({_GIVEN}) WHERE NOT {_KNOWN}""")
+def gold_load_counts(spark, folder):
+    """Bars of which some come twice and some belong to no known ticker, through the checked fact load: its counts, and what was stored."""
+    root, known = work_folder(spark, "gold"), F.regexp_extract("ticker", "[0-9]+$", 0).cast("bigint") % 3 != 0
+    bars, m = price_history(stored_bars(spark, folder)), materialised(tb.master(spark, folder).where(known), "master")
+    lookup = star.ticker_keys(star.dim_ticker(m), star.dim_sector(m), star.dim_industry(m))
+    given = bars.unionAll(bars.where("volume % 5 = 0"))
+    counts = load_facts(star.shaped_prices(given, lookup), root, FACT_PRICES)
+    counts["stored"] = read_gold(spark, root, FACT_PRICES).count()
+    counts["refused with reason"] = spark.read.parquet(f"{root}/refused/{FACT_PRICES.name}").where("reason = 'missing: TickerId'").count()
+    return spark.createDataFrame(list(counts.items()), "outcome string, rows bigint")
+
+
 # Keyed inserts: order lines keyed by (order, line number), which is not unique.
 _LINES = "SELECT l_orderkey, l_linenumber, CASE WHEN l_quantity > 49 THEN NULL ELSE l_quantity END AS qty, l_returnflag FROM lineitem"
 _JUDGED = f"""SELECT *, CASE WHEN qty IS NULL THEN 'missing: qty' END AS reason,

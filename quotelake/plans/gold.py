@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quotelake.functions.numeric import blank_non_finite
+from quotelake.operators.constraints import split_stored
 from quotelake.operators.sizing import materialised
 from quotelake.operators.star import (
     add_dates,
@@ -17,8 +18,9 @@ from quotelake.operators.star import (
     dim_ticker,
     export_order,
     fact_predicted,
-    fact_prices,
-    fact_technical,
+    one_fact_per_key,
+    shaped_prices,
+    shaped_technical,
     ticker_keys,
 )
 from quotelake.operators.merge import split_valid
@@ -35,9 +37,10 @@ from quotelake.schemas import (
     TECHNICAL,
     TableSpec,
 )
+from quotelake.sources import commits
 from quotelake.sources.control import load_watermark, save_watermark
-from quotelake.sources.files import modified_after, newest_file_time, read_table
-from quotelake.sources.sinks import export_csv, load_slices, rewrite_table, write_export_log
+from quotelake.sources.files import read_table
+from quotelake.sources.sinks import conform, export_csv, load_slices, rewrite_table, write_export_log
 
 
 def read_gold(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
@@ -68,33 +71,50 @@ def refresh_gold(
         return False
     refresh_dimensions(spark, root, master, prices)
     lookup = ticker_keys(*(read_gold(spark, root, s) for s in (DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY)))
-    for rows, build, spec in ((prices, fact_prices, FACT_PRICES), (technical, fact_technical, FACT_TECHNICAL)):
-        if rows.isEmpty():
-            continue
-        facts = materialised(build(blank_non_finite(rows), lookup), spec.name)
-        load_slices(facts, f"{root}/{spec.name}", spec, slices)
+    for rows, shape, spec in ((prices, shaped_prices, FACT_PRICES), (technical, shaped_technical, FACT_TECHNICAL)):
+        if not rows.isEmpty():
+            load_facts(shape(blank_non_finite(rows), lookup), root, spec, slices)
     return True
 
 
+def load_facts(shaped: DataFrame, root: str, spec: TableSpec, slices: Sequence[str] = ("DateId", "TickerId")) -> dict[str, int]:
+    """Load the rows that keep the table's rules; returns and logs the number of rows inserted and refused, by reason.
+
+    Refused rows go to ``refused/<table>`` with their reason. Rows are judged, split and counted in the pass that stores them.
+    """
+    spark = shaped.sparkSession
+    passed, refused, counts = split_stored(shaped, spec)
+    stored = materialised(one_fact_per_key(passed), spec.name)
+    load_slices(stored, f"{root}/{spec.name}", spec, slices)
+    if counts:
+        refused.withColumn("refused_at", F.current_timestamp()).write.mode("append").parquet(f"{root}/refused/{spec.name}")
+    inserted = stored.count()
+    duplicates = passed.count() - inserted
+    counts = {"inserted": inserted, **counts} | ({"duplicate key": duplicates} if duplicates else {})
+    lines = [(spec.name, outcome, n) for outcome, n in counts.items()]
+    log = spark.createDataFrame(lines, "table string, outcome string, rows bigint").withColumn("at", F.current_timestamp())
+    log.coalesce(1).write.mode("append").json(f"{root}/load_log")
+    return counts
+
+
 def run_gold(spark: SparkSession, silver: str, gold: str) -> bool:
-    """Load the silver folders written since the last run; False when there are none.
+    """Load the silver folders that commits since the last run wrote; False when there are none.
 
-    The master table is always read whole, so dimension lookups are complete.
+    Each table's commit number is saved once the facts are loaded, so a failed run is repeated. The master table is always read whole, so dimension lookups are complete.
     """
-    since = load_watermark(spark, gold, "gold")
-    tables = [
-        read_table(spark, f"{silver}/{name}", schema)
-        for name, schema in (("price_history", PRICE_HISTORY), ("technical_indicators", TECHNICAL))
-    ]
-    stored = [df for df in tables if df.inputFiles()]
-    times = [newest_file_time(modified_after(df, since)) for df in stored]
-    newest = max((t for t in times if t is not None), default=None)
-    if newest is None:
+    fresh, marks = [], {}
+    for name, schema in (("price_history", PRICE_HISTORY), ("technical_indicators", TECHNICAL)):
+        path, mark = f"{silver}/{name}", f"gold_{name}"
+        done, last = int(load_watermark(spark, gold, mark, "0")), commits.last_number(spark, path)
+        fresh.append(commits.read(spark, path, schema, last, after=done))
+        if last > done:
+            marks[mark] = last
+    if not marks:
         return False
-    prices, technical = (modified_after(df, since) if df.inputFiles() else df for df in tables)
     master = read_table(spark, f"{silver}/stocks_master", STOCKS_MASTER)
-    done = refresh_gold(spark, gold, prices, technical, master)
-    save_watermark(spark, gold, "gold", str(newest))
+    done = refresh_gold(spark, gold, *fresh, master)
+    for mark, last in marks.items():
+        save_watermark(spark, gold, mark, str(last))
     return done
 
 
@@ -109,7 +129,7 @@ def import_predictions(spark: SparkSession, root: str, predictions: DataFrame) -
     dims = [read_gold(spark, root, s) for s in (DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY)]
     accepted, refused = fact_predicted(predictions, *dims, table=stored)
     kept, rejected = materialised(accepted, "accepted"), materialised(refused, "refused")
-    kept.write.mode("append").parquet(f"{root}/{FACT_PREDICTED.name}")
+    commits.append(kept, f"{root}/{FACT_PREDICTED.name}")
     return rejected
 
 
@@ -122,11 +142,7 @@ def append_rows(batch: DataFrame, root: str, spec: TableSpec) -> DataFrame:
         blank_non_finite(batch.select(*names)), spec.key, others, spec.required, spec.lengths, table
     )
     rejected = materialised(refused, "refused")
-    rows = materialised(accepted, "accepted")
-    writer = rows.write.mode("append")
-    if spec.partition:
-        writer = writer.partitionBy(*spec.partition)
-    writer.parquet(f"{root}/{spec.name}")
+    commits.append(conform(materialised(accepted, "accepted"), spec.schema), f"{root}/{spec.name}", spec.partition)
     return rejected
 
 

@@ -38,8 +38,13 @@ TECHNICAL = _columns(
     bb_lower=DOUBLE,
 )
 
-FILES = _columns(path=TEXT, sha256=TEXT)
-MANIFEST = _columns(stage=TEXT, generated_at=TEXT, output_dir=TEXT, manifest_hash=TEXT, file_count=LONG)
+# A manifest is a tree: files by bucket of their path, buckets by prefix. Its head names the commits of both tables.
+LEAVES = _columns(prefix=TEXT, path=TEXT, sha256=TEXT, length=LONG, modified=LONG)
+NODES = _columns(prefix=TEXT, bucket=TEXT, sha256=TEXT, n=LONG)
+MANIFEST = _columns(
+    stage=TEXT, generated_at=TEXT, output_dir=TEXT, manifest_hash=TEXT, file_count=LONG, hashed=LONG, leaves=LONG, nodes=LONG
+)
+TAKEN = _columns(path=TEXT, length=LONG, modified=LONG)
 # The files of a custody record are those of its manifest; its issues are rows of their own.
 CUSTODY = _columns(
     stage=TEXT,

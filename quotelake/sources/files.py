@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 from quotelake.functions.names import column
 from quotelake.functions.numeric import fractional_fields, nan_to_null
 from quotelake.operators.snapshots import text_column
-
+from quotelake.sources import commits
+from quotelake.sources.paths import literal
 
 Moment = dt.datetime | int | str | None
 
@@ -24,10 +25,12 @@ def _missing(error: AnalysisException) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A stored table, partitioned or not; empty when nothing was written yet.
+    """A stored table, partitioned or not; empty when nothing was written yet. Committed tables are read as of the last commit.
 
     The declared schema also keeps partition values such as 007 or 1e5 the text they are.
     """
+    if commits.is_committed(spark, path):
+        return commits.read(spark, path, schema)
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
@@ -36,6 +39,16 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
         raise
 
 
+def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Stored JSON lines; empty when nothing was written yet."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as error:
+        if _missing(error):
+            return spark.createDataFrame([], schema)
+        raise
+
+
 def scan_files(
     spark: SparkSession, root: str, pattern: str = "*.parquet", schema: T.StructType | None = None
 ) -> DataFrame:
@@ -81,11 +94,13 @@ def scan_new_files(
         raise
 
 
-def text_partitions(spark: SparkSession, path: str, partitions: Sequence[str]) -> DataFrame:
-    """A partitioned table with open columns, its partition values read as text."""
-    found = spark.read.option("mergeSchema", "true").parquet(path).schema
+def text_partitions(spark: SparkSession, path: str, partitions: Sequence[str], only: Sequence[str] = ()) -> DataFrame:
+    """A partitioned table with open columns, its partition values read as text; ``only`` some of its files, where given."""
+    reader = spark.read.option("basePath", path)
+    files = [literal(f"{path}/{name}") for name in only] or [path]
+    found = reader.option("mergeSchema", "true").parquet(*files).schema
     fields = [T.StructField(f.name, T.StringType()) if f.name in partitions else f for f in found]
-    return spark.read.schema(T.StructType(fields)).parquet(path)
+    return spark.read.option("basePath", path).schema(T.StructType(fields)).parquet(*files)
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -114,6 +129,17 @@ def bronze_frames(spark: SparkSession, root: str, area: str, kind: str) -> list[
     return frames
 
 
+def read_bronze_files(spark: SparkSession, root: str, area: str, kind: str, names: Sequence[str]) -> DataFrame:
+    """Landed rows of the given files of a kind (paths below the area's folder); there is at least one."""
+    frames = []
+    for encoding in ("typed", "text"):
+        below = f"encoding={encoding}/kind={kind}/"
+        own = [name.removeprefix(below) for name in names if name.startswith(below)]
+        if own:
+            frames.append(text_partitions(spark, f"{root}/{area}/{below}".rstrip("/"), ["key"], own))
+    return nan_as_missing(union_by_name(frames))
+
+
 def read_bronze(
     spark: SparkSession, root: str, area: str, kind: str, since: Moment = None
 ) -> DataFrame:

@@ -12,10 +12,10 @@ from pyspark.sql import types as T
 from quotelake.functions.text import fixed
 from quotelake.operators.dedup import keep_first
 from quotelake.operators.merge import replace_slices, upsert
-from quotelake.operators.sizing import broadcast_if_small, materialised
+from quotelake.operators.sizing import broadcast_if_small
 from quotelake.operators.snapshots import as_text
 from quotelake.schemas import TableSpec
-from quotelake.sources.files import read_table
+from quotelake.sources import commits
 
 SILVER_PARTITIONS = ("ticker", "year")
 
@@ -51,30 +51,11 @@ def save_raw(df: DataFrame, root: str, area: str, kind: str, key: str = "ticker"
 def write_partitioned(
     df: DataFrame, path: str, schema: T.StructType, by: Sequence[str] = SILVER_PARTITIONS
 ) -> None:
-    """Replace a whole table, one folder per partition.
+    """Commit a whole table, one folder per partition.
 
-    The rebalance hint gathers the rows of a partition into few files and still splits a hot one.
+    Commits gather the rows of a partition into few files and still split a hot one.
     """
-    rows = conform(df, schema).hint("rebalance", *by)
-    rows.write.option("partitionOverwriteMode", "static").mode("overwrite").partitionBy(*by).parquet(path)
-
-
-def _overwrite_touched(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    writer = df.hint("rebalance", *by).write.option("partitionOverwriteMode", "dynamic")
-    writer.mode("overwrite").partitionBy(*by).parquet(path)
-
-
-def touched_partitions(table: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of the table in partitions the batch touches.
-
-    The last partition column is a calendar value, so its distinct values make a short literal list that
-    prunes folders; the semi join then narrows to the exact partitions.
-    """
-    times = [r[0] for r in batch.select(by[-1]).distinct().collect()]
-    pruned = table.where(F.col(by[-1]).isin(times))
-    if len(by) == 1:
-        return pruned
-    return pruned.join(batch.select(*by).distinct(), list(by), "left_semi").select(*table.columns)
+    commits.replace(conform(df, schema), path, by)
 
 
 def upsert_partitioned(
@@ -84,33 +65,34 @@ def upsert_partitioned(
     keys: Sequence[str],
     order: Sequence[str],
     by: Sequence[str] = SILVER_PARTITIONS,
+    source: str | None = None,
 ) -> None:
-    """Upsert into a partitioned table, rewriting only partitions that occur in the batch.
+    """Upsert into a partitioned table in one commit, rewriting only partitions that occur in the batch.
 
     Give a stored or materialised batch: it is read more than once.
     """
     rows = conform(batch, schema)
-    stored = touched_partitions(read_table(batch.sparkSession, path, schema), rows, by)
-    _overwrite_touched(upsert(conform(stored, schema), rows, keys, order), path, by)
+    stored = commits.read(batch.sparkSession, path, schema, only=rows.select(*by))
+    commits.replace_touched(upsert(stored, rows, keys, order), path, by, source)
 
 
 def rewrite_table(df: DataFrame, path: str) -> None:
-    """Replace a small unpartitioned table that the new content may have been read from."""
-    materialised(df, "rewrite").write.mode("overwrite").parquet(path)
+    """Commit new content of a small unpartitioned table that it may have been read from."""
+    commits.replace(df, path)
 
 
 def load_slices(
     batch: DataFrame, path: str, spec: TableSpec, slices: Sequence[str] = ("DateId",)
 ) -> None:
-    """Replace slices of a fact table stored by date.
+    """Replace slices of a fact table stored by date, in one commit.
 
     Replacing whole dates only writes. Narrower slices first bring along what else the dates hold.
     """
     rows = conform(batch, spec.schema)
     if set(slices) != set(spec.partition):
-        stored = touched_partitions(read_table(batch.sparkSession, path, spec.schema), rows, spec.partition)
-        rows = replace_slices(conform(stored, spec.schema), rows, slices)
-    _overwrite_touched(rows, path, spec.partition)
+        stored = commits.read(batch.sparkSession, path, spec.schema, only=rows.select(*spec.partition))
+        rows = replace_slices(stored, rows, slices)
+    commits.replace_touched(rows, path, spec.partition)
 
 
 def create_tables(spark: SparkSession, root: str, specs: Sequence[TableSpec]) -> list[str]:
@@ -118,10 +100,8 @@ def create_tables(spark: SparkSession, root: str, specs: Sequence[TableSpec]) ->
     made = []
     for spec in specs:
         path = f"{root}/{spec.name}"
-        empty = spark.createDataFrame([], spec.schema)
-        before = read_table(spark, path, spec.schema)
-        if not before.inputFiles():
-            empty.write.mode("append").parquet(path)
+        if not commits.is_committed(spark, path):
+            commits.replace(spark.createDataFrame([], spec.schema), path, spec.partition)
             made.append(spec.name)
     return made
 

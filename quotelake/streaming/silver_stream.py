@@ -1,7 +1,8 @@
 """The bronze to silver hop as a file stream.
 
-The stream's checkpoint remembers which landed files were read, in place of a file-time watermark. Each
-micro-batch goes through the same function as the batch job; upserts make a repeated batch harmless.
+The stream's checkpoint remembers which landed files were read, in place of a ledger. Each micro-batch goes through the same function as the
+batch job, and every table records the checkpoint and the batch in its commit log: a batch that is replayed after a restart does no work in tables
+that have it. Indicators go on from their stored state, so no history is read unless bars come late.
 """
 
 from __future__ import annotations
@@ -31,8 +32,8 @@ def stream_silver(
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
 
-    def merge(batch: DataFrame, _: int) -> None:
-        refresh_silver(nan_as_missing(batch), None, silver, lookback)
+    def merge(batch: DataFrame, number: int) -> None:
+        refresh_silver(nan_as_missing(batch), None, silver, lookback, source=f"{checkpoint}#{number}")
 
     writer = reader.parquet(landing).writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     trigger = writer.trigger(availableNow=True) if every is None else writer.trigger(processingTime=every)

@@ -46,6 +46,11 @@ SELECTION = (
     "manifest_hash_of_texts",
     "manifest_check_of_texts",
     "kmeans_of_separate_groups",
+    "half_written_upsert",
+    "late_files_taken_once",
+    "indicators_from_state",
+    "manifest_follows_changes",
+    "gold_load_counts",
 )
 NAMES = list(entry.queries()) if os.environ.get("QUOTELAKE_ALL_QUERIES") else SELECTION
 

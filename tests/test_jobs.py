@@ -8,9 +8,11 @@ from quotelake.operators.history import incremental_indicators
 from quotelake.operators.indicators import INDICATORS, compute_indicators
 from quotelake.operators.integrity import IntegrityError
 from quotelake.plans import chain
+from quotelake.plans import silver as silver_plan
 from quotelake.plans.gold import read_gold
 from quotelake.plans.silver import refresh_silver
 from quotelake.schemas import BRONZE_PRICES, FACT_PRICES, INFO, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
+from quotelake.sources import commits
 from quotelake.sources.control import custody_tail
 from quotelake.sources.files import read_table
 from quotelake.streaming.silver_stream import stream_silver
@@ -92,6 +94,23 @@ def test_stream_batches_restart_and_late_files(spark, tmp_path):
     assert len(silver(spark, root)[1]) == kept + 1
 
 
+def test_a_replayed_batch_does_no_work(spark, tmp_path, monkeypatch):
+    landing, root, checkpoint = (tmp_path / n for n in ("landing", "silver", "checkpoint"))
+    pdf = bars(60, tickers=("A",)).sort_values("date")
+    landed(spark, pdf).coalesce(1).write.parquet(str(landing / "0"))
+    stream_silver(spark, str(landing), str(root), str(checkpoint)).awaitTermination()
+    first = silver(spark, str(root))
+    numbers = {t.name: commits.last_number(spark, str(t)) for t in root.iterdir()}
+    # the batch ran, but the stream died before it noted so
+    for name in ("0", ".0.crc"):
+        (checkpoint / "commits" / name).unlink()
+    cleaned = []
+    monkeypatch.setattr(silver_plan, "clean_prices", lambda *_, **__: cleaned.append(1))
+    stream_silver(spark, str(landing), str(root), str(checkpoint)).awaitTermination()
+    assert not cleaned and numbers == {t.name: commits.last_number(spark, str(t)) for t in root.iterdir()} and len(numbers) == 3
+    pd.testing.assert_frame_equal(silver(spark, str(root))[1], first[1])
+
+
 def test_daily_run(spark, tmp_path):
     lake = chain.Lake(*(str(tmp_path / n) for n in ("bronze", "silver", "gold", "control")))
     pdf = bars(80, tickers=("A", "B")).sort_values("date")

@@ -6,9 +6,11 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from quotelake.functions.rolling import rolling_mean
+from quotelake.operators import quantiles
 from quotelake.operators.indicators import INDICATORS, compute_indicators, with_signals
-from quotelake.operators.quantiles import exact_quantiles
+from quotelake.operators.quantiles import exact_quantiles, order_key
 from quotelake.operators.series import POSITION, chunked, in_chunk, unchunked, with_position
+from quotelake.operators.sizing import materialised
 from tests.conftest import plan
 
 
@@ -180,3 +182,45 @@ def test_quantiles_of_a_hot_value(spark):
     x = df.toPandas()["x"]
     got = exact_quantiles(df, "x", {"a": 0.01, "b": 0.4, "c": 0.99}).head()
     np.testing.assert_allclose(tuple(got), np.quantile(x, [0.01, 0.4, 0.99]))
+
+
+def test_order_keys(spark):
+    tiny = 5e-324
+    values = [-np.inf, -1.7976931348623157e308, -2.0, -np.nextafter(2.0, 0), -1.0, -2.3e-308, -tiny, 0.0, tiny, 3 * tiny, 2.2250738585072014e-308]
+    values += [np.nextafter(2.2250738585072014e-308, 0), 1e-300, 0.1, np.nextafter(1.0, 0), 1.0, np.nextafter(1.0, 2), 3.0, 8.0, np.nextafter(8.0, 0), 1e300, np.inf, np.nan]
+    values += [float(2.0**e) for e in range(-1074, 1024, 7)] + [float(np.nextafter(2.0**e, 0)) for e in range(-1000, 1024, 7)]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double").select("v", order_key(F.col("v")).alias("k"))
+    rows = df.collect()
+    by_key = [r["v"] for r in sorted(rows, key=lambda r: r["k"])]
+    assert str(by_key) == str([float(v) for v in np.sort(np.array(values))])
+    assert len({r["k"] for r in rows}) == len({str(r["v"]) for r in rows})
+
+
+@pytest.mark.parametrize("kind", ["tiny", "geometric", "near_equal", "one", "both_signs"])
+def test_no_ordered_step_is_long(spark, monkeypatch, kind):
+    """Whatever the values, what is put in order is cells: at most 65536 of a prefix, and four rounds."""
+    random = np.random.default_rng(3)
+    values = {
+        "tiny": random.random(20_000) * 1e-9,
+        "geometric": 2.0 ** random.uniform(-900, 900, 20_000),
+        "near_equal": 100 + random.integers(0, 20_000, 20_000) * 1.4e-14,
+        "one": np.full(20_000, 7.25),
+        "both_signs": random.standard_cauchy(20_000),
+    }[kind]
+    stored = []
+
+    def counted(df, purpose):
+        done = materialised(df, purpose)
+        stored.append(df._jdf.queryExecution().executedPlan().toString())
+        return done
+
+    monkeypatch.setattr(quantiles, "materialised", counted)
+    df = spark.createDataFrame([(float(v),) for v in values], "x double").repartition(4)
+    probabilities = {"a": 0.0, "b": 0.013, "c": 0.5, "d": 0.9, "e": 1.0}
+    got = exact_quantiles(df, "x", probabilities).head()
+    np.testing.assert_allclose(tuple(got), np.quantile(values, list(probabilities.values())), rtol=1e-15)
+    assert len(stored) == (1 if kind == "one" else len(stored)) <= 4
+    # windows run over counted cells only
+    assert all("Window" in text and text.index("Window") < text.index("HashAggregate") for text in stored)
+    cells = df.select((F.shiftright(order_key(F.col("x")), 48)).alias("c")).distinct().count()
+    assert cells <= 65_536

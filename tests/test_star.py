@@ -4,9 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotelake.functions.dates import date_from_parts
-from quotelake.operators import star
+from quotelake.operators import constraints, star
+from quotelake.operators.dedup import keep_first, keep_first_stored
+from quotelake.operators.sizing import materialised
 from quotelake.plans import gold
-from quotelake.schemas import DIM_DATE, DIM_TICKER, FACT_PREDICTED, FACT_PRICES, FACT_TECHNICAL, GOLD_TABLES
+from quotelake.schemas import DIM_DATE, DIM_INDUSTRY, DIM_SECTOR, DIM_TICKER, FACT_PREDICTED, FACT_PRICES, FACT_TECHNICAL, GOLD_TABLES
 from quotelake.sources.files import read_predictions
 from quotelake.sources.sinks import create_tables
 from tests.conftest import plan
@@ -24,7 +26,7 @@ def master(spark):
 
 def prices(spark, *data):
     ddl = "ticker string, date timestamp, year int, open double, high double, low double, close double, volume bigint, adj_close double"
-    full = [(t, d, d.year, c, c, c, c, 10, c) for t, d, c in data]
+    full = [(t, d, d and d.year, c, c, c, c, 10, c) for t, d, c in data]
     return spark.createDataFrame(full, ddl)
 
 
@@ -163,3 +165,33 @@ def test_create_tables_and_append(spark, rows, tmp_path):
     assert rows(gold.append_rows(batch, root, DIM_TICKER), "reason") == [("missing: TickerId",), ("too long: Symbol",)]
     assert rows(gold.append_rows(batch, root, DIM_TICKER).where("TickerId = 1"), "reason") == [("key exists",)]
     assert rows(gold.read_gold(spark, root, DIM_TICKER), "Symbol") == [("AAA",)]
+
+
+def test_checked_fact_load(spark, rows, master, tmp_path):
+    root = str(tmp_path / "gold")
+    p = prices(spark, ("A", D(2024, 1, 2), 1.0), ("A", D(2024, 1, 2), 7.0), ("Z", D(2024, 1, 2), 2.0), ("B", None, 3.0), ("B", D(2024, 1, 3), 4.0))
+    gold.refresh_dimensions(spark, root, master, p)
+    lookup = star.ticker_keys(*(gold.read_gold(spark, root, s) for s in (DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY)))
+    counts = gold.load_facts(star.shaped_prices(p, lookup), root, FACT_PRICES)
+    assert counts == {"inserted": 2, "missing: DateId": 1, "missing: TickerId": 1, "duplicate key": 1}
+    assert sorted(float(r["ClosePrice"]) for r in gold.read_gold(spark, root, FACT_PRICES).collect()) == [1.0, 4.0]
+    refused = spark.read.parquet(f"{root}/refused/{FACT_PRICES.name}")
+    assert sorted((r["reason"], float(r["ClosePrice"])) for r in refused.collect()) == [("missing: DateId", 3.0), ("missing: TickerId", 2.0)]
+    log = spark.read.json(f"{root}/load_log")
+    assert {(r["outcome"], r["rows"]) for r in log.collect()} == set(counts.items())
+
+
+def test_rules_in_order(spark):
+    df = spark.createDataFrame([(1, "AAA", "n", "s", "i"), (None, "MUCHTOOLONGSYMBOL", "n", "s", "i"), (2, "MUCHTOOLONGSYMBOL", "n" * 300, "s", "i")], DIM_TICKER.schema)
+    passed, refused, counts = constraints.split_stored(df, DIM_TICKER)
+    assert passed.columns == df.columns and [r["TickerId"] for r in passed.collect()] == [1]
+    assert counts == {"missing: TickerId": 1, "too long: Symbol": 1} and refused.count() == 2
+
+
+def test_repeated_keys_only_are_put_in_order(spark, rows):
+    data = [(k, k % 3, float(k), str(k)) for k in range(50)] + [(7, 1, 3.0, "x"), (7, 1, 2.0, "y"), (None, 1, 5.0, "z"), (None, 1, 4.0, "z")]
+    df = materialised(spark.createDataFrame(data, "a int, b int, x double, s string"), "rows")
+    got = keep_first_stored(df, ["a", "b"], ["x", "s"])
+    assert rows(got) == rows(keep_first(df, ["a", "b"], ["x", "s"]))
+    single = df.where("a is not null and a <> 7")
+    assert "Aggregate" not in plan(keep_first_stored(materialised(single), ["a", "b"], ["x"]))

@@ -5,7 +5,7 @@ Every string of ``length`` bytes that also starts in a document with a smaller d
 A string's anchor is the least hash among its runs of ANCHOR bytes, so equal strings have equal anchors, whatever is around them. First the distinct anchors
 of each pack of texts meet by ranges of hash, which tells the anchors of two documents or more from those of one; only strings with the former can
 repeat. Successive strings with one anchor overlap and travel as one segment, to the shard that the anchor belongs to. A shard puts its
-distinct segments one after the other, sorts all their suffixes by induced sorting, and computes the permuted common prefixes: suffixes that
+distinct segments (but those of one document without a string that occurs elsewhere) one after the other, sorts all their suffixes by induced sorting, and computes the permuted common prefixes: suffixes that
 share ``length`` symbols with their neighbour are the same string, and the least doc_id among their segments is the first to hold it. That gives each segment's
 repeated stretches, which go back to the texts.
 
@@ -19,6 +19,7 @@ as they are and are earlier than none. Texts of fewer than ``length`` bytes have
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ LENGTH = 50
 ANCHOR = 20
 PACK_BYTES = 2 << 20
 RANGE_ANCHORS = 4_000_000
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 BUCKET_BYTES = 32 << 20
 HOT_DOCS = 32_768
 
@@ -247,6 +248,20 @@ def first_holders(segments: list[bytes], first_doc: np.ndarray, length: int = LE
     return holder[at], np.cumsum(strings) - strings
 
 
+def with_repeats(segments: list[bytes], length: int) -> np.ndarray:
+    """Which segments have a string whose hash another place in them has too; the others share their anchor and no string."""
+    sizes = np.array([len(s) for s in segments], np.int64)
+    begins = np.cumsum(sizes) - sizes
+    strings = sizes - length + 1
+    hashes = window_hashes(np.frombuffer(b"".join(segments), np.uint8), length)[_flat(begins, strings)]
+    order = np.argsort(hashes)
+    same = np.zeros(len(order) + 1, bool)
+    same[1:-1] = hashes[order[1:]] == hashes[order[:-1]]
+    met = np.zeros(len(order), bool)
+    met[order] = same[1:] | same[:-1]
+    return np.logical_or.reduceat(met, np.cumsum(strings) - strings)
+
+
 def _shard(length: int):
     def found(table: pa.Table) -> pa.Table:
         known: dict[bytes, int] = {}
@@ -259,9 +274,16 @@ def _shard(length: int):
             packs.append(np.full(len(ends), table.column("pack")[row].as_py(), np.int64))
         segment, pack = np.array(own), np.concatenate(packs)
         _, doc, text, start = np.concatenate(places, axis=1)
-        first_doc = np.full(len(known), np.iinfo(np.int64).max)
+        first_doc, last_doc = np.full(len(known), np.iinfo(np.int64).max), np.full(len(known), np.iinfo(np.int64).min)
         np.minimum.at(first_doc, segment, doc)
-        holder, begins = first_holders(list(known), first_doc, length)
+        np.maximum.at(last_doc, segment, doc)
+        able = (first_doc < last_doc) | with_repeats(list(known), length)
+        kept = np.flatnonzero(able)
+        if not len(kept):
+            return span_rows(*np.zeros((4, 0), np.int64))
+        own = able[segment]
+        segment, pack, doc, text, start = (np.cumsum(able) - 1)[segment[own]], pack[own], doc[own], text[own], start[own]
+        holder, begins = first_holders(list(itertools.compress(known, able)), first_doc[kept], length)
         strings = np.diff(np.append(begins, len(holder)))[segment]
         place = _flat(np.zeros(len(segment), np.int64), strings)
         repeated = holder[np.repeat(begins[segment], strings) + place] < np.repeat(doc, strings)

@@ -132,3 +132,10 @@ def test_edges(spark, edge_docs, no_docs):
 
 def test_table(small_docs):
     assert digest(repeats.without_repeats(small_docs)) == brute([(r["doc_id"], r["text"]) for r in small_docs.collect()])
+
+
+def test_segments_without_a_repeated_string_are_told():
+    random = np.random.default_rng(9)
+    long = bytes(random.integers(0, 256, 90).astype(np.uint8))
+    segments = [long[:60], long[5:70], long[40:], b"=" * 51, bytes(range(60)), long[8:59] + b"x"]
+    assert repeats.with_repeats(segments, 50).tolist() == [True, True, False, True, False, True]

@@ -4,10 +4,11 @@ A text is its words (A to Z in lower case) and one end token. The commonest word
 share classes by length, digits and a mark at the end; the end is a class of its own. Hidden states emit classes and a class emits its
 words by their counts with one added (one more count stands for all words not met), so the probabilities of all texts sum to one.
 
-Baum-Welch learns the states: each task runs the forward and backward recursions over its documents and adds up the expected counts of
-states, moves and emissions; Spark adds those over the tasks. Rounds over all training documents go on until one gains less than ``TOLERANCE``
-of log10 likelihood per token. They start from a model that keeps its states from word to word, which has converged in the same way on about
-``START_TOKENS`` tokens. States and classes grow with the distinct words, up to ``CELLS`` emissions in all. The exact log likelihood comes from the
+Baum-Welch learns the states, in its incremental form: texts are encoded as classes once, in ``BLOCKS`` blocks. Each task runs the forward and backward
+recursions over its texts, longest first, and adds up the expected counts of states, moves and emissions; Spark adds those over the tasks, in packed ranges of
+cells. The model is renewed after each block, from the last counts of every block. Passes over all blocks go on until one gains less than ``TOLERANCE``
+of log10 likelihood per token; the likelihood rises with every renewal, so they end. They start from a model that keeps its states from word to word, which has
+converged in the same way on about ``START_TOKENS`` tokens (all, where there are fewer). States and classes grow with the distinct words, up to ``CELLS`` emissions in all. The exact log likelihood comes from the
 scaled forward recursion over the whole text. Word counts cover all training documents. The commonest words, ``KNOWN`` at most, are known to
 every task, a table of bounded size; the others meet their counts in a join on the word, pre-aggregated to a row per text and word, and their
 sums go back to the text, not to each of its copies.
@@ -23,6 +24,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,11 @@ START_TOKENS = 1_000_000
 STAYS = 0.9
 KNOWN = 1 << 16
 KINDS = 64
+BLOCKS = 4
 GROUP_CELLS = 4_800_000
+SORTED_TOKENS = 4_000_000
+RANGE_CELLS = 4096
+SALTS = 64
 COUNTED_WORDS = 2_000_000
 
 _DIGIT = np.zeros(256, np.int64)
@@ -212,7 +218,7 @@ def lattice(classes: np.ndarray, lengths: np.ndarray) -> Lattice:
 def forward(model: Model, x: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scaled forward probabilities, their scales, and the emissions of each token."""
     emitted = model.emit.T[x.classes]
-    alpha, scale = np.empty_like(emitted), np.empty(len(x.classes))
+    alpha, scale = np.empty_like(emitted), np.empty(len(x.classes), emitted.dtype)
     now = model.start
     for start, n in zip(x.starts.tolist(), x.active.tolist(), strict=True):
         now = (now[:n] @ model.move if start else np.broadcast_to(now, (n, len(now)))) * emitted[start : start + n]
@@ -242,7 +248,7 @@ def expected_and_likelihood(model: Model, x: Lattice) -> tuple[Model, float]:
     states = len(model.start)
     moves = np.zeros((states, states))
     back = model.move.T.copy()
-    beta = np.ones((int(x.active[-1]), states))
+    beta = np.ones((int(x.active[-1]), states), emitted.dtype)
     for t in range(len(x.starts) - 1, -1, -1):
         start, n = int(x.starts[t]), int(x.active[t])
         if t + 1 < len(x.starts):
@@ -250,12 +256,12 @@ def expected_and_likelihood(model: Model, x: Lattice) -> tuple[Model, float]:
             ahead = emitted[after : after + m] * beta
             moves += alpha[start : start + m].T @ ahead
             emitted[after : after + m] = beta  # no longer needed as emissions
-            beta = np.ones((n, states))
+            beta = np.ones((n, states), emitted.dtype)
             beta[:m] = ahead @ back
     emitted[: int(x.active[0])] = beta
     gamma = alpha * emitted
     emits = np.stack([np.bincount(x.classes, gamma[:, k], model.emit.shape[1]) for k in range(states)])
-    return Model(gamma[: int(x.active[0])].sum(axis=0), moves * model.move, emits), float(np.log10(scale).sum())
+    return Model(gamma[: int(x.active[0])].sum(axis=0), moves * model.move, emits), float(np.log10(scale, dtype=np.float64).sum())
 
 
 def updated(counts: Model) -> Model:
@@ -273,68 +279,143 @@ def _classes(s: W.Slice, v: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndar
     return np.insert(classes, bounds[1:], v.own + KINDS), np.diff(bounds) + 1, place, kind
 
 
-def _groups(batches: Iterator[pa.RecordBatch], v: Vocabulary, states: int) -> Iterator[Lattice]:
-    """Lattices of about GROUP_CELLS tokens times states (or one text, if it has more)."""
-    classes, lengths, held = [], [], 0
-    for batch in batches:
-        for s in W.word_slices(batch.column("text"), lower=True):
-            c, n, _, _ = _classes(s, v)
-            classes.append(c)
-            lengths.append(n)
-            held += len(c)
-            if held * states >= GROUP_CELLS:
-                yield lattice(np.concatenate(classes), np.concatenate(lengths))
-                classes, lengths, held = [], [], 0
-    if held:
-        yield lattice(np.concatenate(classes), np.concatenate(lengths))
-
-
-def one_round(training: DataFrame, v: Vocabulary, model: Model) -> tuple[Model, float]:
-    """The model after one pass over the texts, and the log10 likelihood per token before it."""
+def by_length(classes: np.ndarray, lengths: np.ndarray, states: int) -> Iterator[tuple[np.ndarray, Lattice]]:
+    """Lattices of about GROUP_CELLS tokens times states (or one text, if it has more), of texts of like lengths, with the places of
+    the texts. A lattice takes a step per token of its longest text, so long texts stay among themselves."""
+    order = np.argsort(-lengths, kind="stable")
+    begins = np.cumsum(lengths) - lengths
+    group = (np.cumsum(lengths[order]) - lengths[order]) * states // GROUP_CELLS
+    for own in np.split(order, np.flatnonzero(np.diff(group)) + 1) if len(order) else []:
+        n = lengths[own]
+        tokens = np.repeat(begins[own] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+        yield own, lattice(classes[tokens].astype(np.int64), n)
+
+
+SEQUENCES = "block int, classes binary, lengths binary, keys binary"
+
+
+def encoded(training: DataFrame, v: Vocabulary) -> DataFrame:
+    """The class sequences of all texts, a row per slice of texts, stored by block: every pass reads these and no text again."""
     spark = training.sparkSession
-    shared = spark.sparkContext.broadcast((model, v))  # CELLS emissions at most, and KNOWN words
+    shared = spark.sparkContext.broadcast(v)  # KNOWN words
+    kind = np.dtype("<u2" if v.size < 1 << 16 else "<u4")
+
+    def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = shared.value
+        for batch in batches:
+            for s in W.word_slices(batch.column("text"), lower=True):
+                classes, lengths, _, _ = _classes(s, v)
+                keys = W.mixed(W.span_hashes(s.data, s.offsets[:-1], s.offsets[1:]))
+                home = (keys % np.uint64(BLOCKS)).astype(np.int64)
+                own = np.repeat(home, lengths)
+                for b in range(BLOCKS):
+                    if (home == b).any():
+                        parts = [classes[own == b].astype(kind), lengths[home == b].astype("<i4"), keys[home == b]]
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([b], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts]], names=["block", "classes", "lengths", "keys"]
+                        )
+
+    store = work_folder(spark, "sequences")
+    training.select("text").mapInArrow(sequences, SEQUENCES).write.partitionBy("block").parquet(store)
+    return spark.read.schema(SEQUENCES).parquet(store)
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], wide: bool, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes and lengths of about SORTED_TOKENS tokens at once, of the texts whose key is below a share (of 2^32)."""
+    parts, held = [], 0
+    for batch in batches:
+        for row in range(batch.num_rows):
+            classes, lengths, keys = (
+                np.frombuffer(batch.column(c)[row].as_buffer(), kind)
+                for c, kind in (("classes", "<u4" if wide else "<u2"), ("lengths", "<i4"), ("keys", "<u8"))
+            )
+            lengths = lengths.astype(np.int64)
+            if share < 1 << 32:
+                few = (keys >> np.uint64(32)) < np.uint64(share)
+                classes, lengths = classes[np.repeat(few, lengths)], lengths[few]
+            if len(lengths):
+                parts.append((classes, lengths))
+                held += len(classes)
+            if held >= SORTED_TOKENS:
+                yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+                parts, held = [], 0
+    if parts:
+        yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
+
+
+def expected_over(sequences: DataFrame, v: Vocabulary, model: Model, share: int = 1 << 32) -> tuple[Model, float, float]:
+    """The expected counts over all texts, their log10 likelihood and their tokens. A range of cells is a row of a task; rows are added by salt first."""
+    spark = sequences.sparkSession
+    shared = spark.sparkContext.broadcast(Model(*[part.astype(np.float32) for part in model]))  # CELLS emissions at most
+    wide = v.size >= 1 << 16
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, v = shared.value
-        cells = None
-        for x in _groups(batches, v, len(model.start)):
-            found, likelihood = expected_and_likelihood(model, x)
-            flat = np.concatenate([*[part.ravel() for part in found], [likelihood, len(x.classes)]])
-            cells = flat if cells is None else cells + flat
+        model, cells = shared.value, None
+        for classes, lengths in _sequences(batches, wide, share):
+            for _, x in by_length(classes, lengths, len(model.start)):
+                found, likelihood = expected_and_likelihood(model, x)
+                flat = np.concatenate([*[part.ravel() for part in found], [likelihood, len(x.classes)]])
+                cells = flat if cells is None else cells + flat
         if cells is not None:
-            met = np.flatnonzero(cells)
-            yield pa.RecordBatch.from_arrays([pa.array(met.astype(np.int32)), pa.array(cells[met])], names=["cell", "n"])
-
+            salt = TaskContext.get().partitionId() % SALTS
+            ranges = [cells[at : at + RANGE_CELLS] for at in range(0, len(cells), RANGE_CELLS)]
+            columns = [np.arange(len(ranges)), np.full(len(ranges), salt)]
+            packed = pa.array([r.astype("<f8").tobytes() for r in ranges], pa.binary())
+            yield pa.RecordBatch.from_arrays([*[pa.array(c, pa.int32()) for c in columns], packed], names=["range", "salt", "cells"])
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.sum([np.frombuffer(c.as_buffer(), "<f8") for c in table.column("cells")], axis=0)
+        return table.slice(0, 1).set_column(table.schema.get_field_index("cells"), "cells", pa.array([total.tobytes()], pa.binary()))
+
+    schema = "range int, salt int, cells binary"
+    rows = sequences.select("classes", "lengths", "keys").mapInArrow(counted, schema)
+    whole = rows.groupBy("range", "salt").applyInArrow(added, schema).groupBy("range").applyInArrow(added, schema)
     # as many cells as the model has, and two
-    found = training.select("text").mapInArrow(counted, "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).toPandas()
-    flat = np.zeros(sum(part.size for part in model) + 2)
-    flat[found["cell"]] = found["n"]
-    parts = np.split(flat[:-2], np.cumsum([part.size for part in model])[:-1])
+    found = sorted((r["range"], bytes(r["cells"])) for r in whole.collect())
     shared.destroy()
-    return updated(Model(*[part.reshape(old.shape) for part, old in zip(parts, model, strict=True)])), float(flat[-2] / max(flat[-1], 1.0))
+    flat = np.frombuffer(b"".join(cells for _, cells in found), "<f8") if found else np.zeros(sum(part.size for part in model) + 2)
+    parts = np.split(flat[:-2], np.cumsum([part.size for part in model])[:-1])
+    return Model(*[part.reshape(old.shape) for part, old in zip(parts, model, strict=True)]), float(flat[-2]), float(flat[-1])
+
 
+def one_round(sequences: DataFrame, v: Vocabulary, model: Model) -> tuple[Model, float]:
+    """The model after one pass over all texts, and the log10 likelihood per token before it."""
+    counts, likelihood, tokens = expected_over(sequences, v, model)
+    return updated(counts), likelihood / max(tokens, 1.0)
 
-def converged(training: DataFrame, v: Vocabulary, model: Model, rounds: int | None = None) -> tuple[Model, list[float]]:
-    """Rounds until one gains less than TOLERANCE (or as many as given); the likelihoods per token before each."""
+
+def _enough(likelihoods: list[float], rounds: int | None) -> bool:
+    gains = len(likelihoods) < 2 or likelihoods[-1] - likelihoods[-2] >= TOLERANCE
+    return not gains or (rounds is not None and len(likelihoods) >= rounds)
+
+
+def converged(sequences: DataFrame, v: Vocabulary, model: Model, rounds: int | None = None) -> tuple[Model, list[float]]:
+    """Passes until one gains less than TOLERANCE (or as many as given); the likelihood per token in each."""
     likelihoods: list[float] = []
-    while rounds is None or len(likelihoods) < rounds:
-        model, likelihood = one_round(training, v, model)
-        likelihoods.append(likelihood)
-        if len(likelihoods) > 1 and likelihood - likelihoods[-2] < TOLERANCE:
-            break
+    held: dict[int, Model] = {}  # each block's counts, as large as the model
+    while not _enough(likelihoods, rounds):
+        total = [0.0, 0.0]
+        for block in range(BLOCKS):
+            held[block], likelihood, tokens = expected_over(sequences.where(F.col("block") == block), v, model)
+            total = [total[0] + likelihood, total[1] + tokens]
+            model = updated(Model(*[np.sum(parts, axis=0) for parts in zip(*held.values(), strict=True)]))
+        likelihoods.append(total[0] / max(total[1], 1.0))
     return model, likelihoods
 
 
-def trained(training: DataFrame, v: Vocabulary, rounds: int | None = None, states: int | None = None) -> tuple[Model, list[float]]:
-    model = initial(v, states or states_of(v.distinct))
-    if v.tokens > 2 * START_TOKENS:
-        spark = training.sparkSession
-        share = int(START_TOKENS / v.tokens * (1 << 40))
-        store = work_folder(spark, "start")
-        few = training.where(F.pmod(F.xxhash64(F.lit(7), "doc_id", "text"), F.lit(1 << 40)) < share)
-        few.select("text").repartition(12).write.parquet(store)
-        model, _ = converged(spark.read.schema("text string").parquet(store), v, model)
-    return converged(training, v, model, rounds)
+def started(sequences: DataFrame, v: Vocabulary, model: Model) -> Model:
+    """The model that has converged on about START_TOKENS tokens, chosen by a hash of their texts."""
+    share = min(1 << 32, int(START_TOKENS / max(v.tokens, 1) * (1 << 32)))
+    likelihoods: list[float] = []
+    while not _enough(likelihoods, None):
+        counts, likelihood, tokens = expected_over(sequences, v, model, share)
+        model = updated(counts)
+        likelihoods.append(likelihood / max(tokens, 1.0))
+    return model
+
+
+def trained(sequences: DataFrame, v: Vocabulary, rounds: int | None = None, states: int | None = None) -> tuple[Model, list[float]]:
+    return converged(sequences, v, started(sequences, v, initial(v, states or states_of(v.distinct))), rounds)
 
 
 TEXTS = "doc_id long, held_out boolean, key long, n_tokens long, known long, sum_log double, class_log double, chain_log double"
@@ -355,7 +436,7 @@ def scored(
     training = marked.where("not held_out")
     counts = word_counts(training)
     v = vocabulary(counts, training.count(), known, own_classes)
-    model, _ = trained(training, v, rounds, states)
+    model, _ = trained(encoded(training, v), v, rounds, states)
     shared = spark.sparkContext.broadcast((model, v))  # CELLS emissions at most, and KNOWN words
 
     def of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -378,7 +459,7 @@ def scored(
                 parts[3].append(np.bincount(s.text, logs, n) + np.log10(v.documents + 1.0))
                 parts[4].append(np.bincount(s.text, within, n))
                 waiting.append((classes, lengths))
-                if sum(len(c) for c, _ in waiting) * len(model.start) >= GROUP_CELLS:
+                if sum(len(c) for c, _ in waiting) >= SORTED_TOKENS:
                     parts[5].append(_chain(model, waiting))
                     waiting = []
             if waiting:
@@ -437,4 +518,8 @@ def scored(
 
 
 def _chain(model: Model, waiting: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    return log10_likelihood(model, lattice(np.concatenate([c for c, _ in waiting]), np.concatenate([n for _, n in waiting])))
+    classes, lengths = (np.concatenate(parts) for parts in zip(*waiting, strict=True))
+    out = np.empty(len(lengths))
+    for own, x in by_length(classes, lengths, len(model.start)):
+        out[own] = log10_likelihood(model, x)
+    return out

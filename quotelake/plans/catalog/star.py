@@ -278,8 +278,8 @@ def gold_refresh_export(spark, folder):
     return log.select("file", "rows")
 
 
-_KNOWN = "CAST(regexp_extract(ticker, '[0-9]+$') AS BIGINT) % 3 <> 0"
-_GIVEN = f"SELECT * FROM ({tb.BARS_SUPPLIER}) UNION ALL SELECT * FROM ({tb.BARS_SUPPLIER}) WHERE volume % 5 = 0"
+_KNOWN = "ticker NOT IN ('error', 'signup')"
+_GIVEN = f"SELECT * FROM ({tb.BARS_EVENT}) UNION ALL SELECT * FROM ({tb.BARS_EVENT}) WHERE volume % 5 = 0"
 
 
 @query(f"""SELECT 'inserted' AS outcome, count(DISTINCT (ticker, date)) AS rows FROM ({_GIVEN}) WHERE {_KNOWN}
@@ -289,8 +289,9 @@ _GIVEN = f"SELECT * FROM ({tb.BARS_SUPPLIER}) UNION ALL SELECT * FROM ({tb.BARS_
     UNION ALL SELECT 'refused with reason', count(*) FROM ({_GIVEN}) WHERE NOT {_KNOWN}""")
 def gold_load_counts(spark, folder):
     """Bars of which some come twice and some belong to no known ticker, through the checked fact load: its counts, and what was stored."""
-    root, known = work_folder(spark, "gold"), F.regexp_extract("ticker", "[0-9]+$", 0).cast("bigint") % 3 != 0
-    bars, m = price_history(stored_bars(spark, folder)), materialised(tb.master(spark, folder).where(known), "master")
+    root, bars = work_folder(spark, "gold"), price_history(materialised(tb.bars_by_event(spark, folder), "bars"))
+    known = bars.select("ticker").distinct().where(_KNOWN)
+    m = materialised(known.select("ticker", F.upper("ticker").alias("company_name"), F.lit("web").alias("sector"), F.lit("clicks").alias("industry")), "master")
     lookup = star.ticker_keys(star.dim_ticker(m), star.dim_sector(m), star.dim_industry(m))
     given = bars.unionAll(bars.where("volume % 5 = 0"))
     counts = load_facts(star.shaped_prices(given, lookup), root, FACT_PRICES)

@@ -320,21 +320,19 @@ def encoded(training: DataFrame, v: Vocabulary) -> DataFrame:
     return spark.read.schema(SEQUENCES).parquet(store)
 
 
-def _sequences(batches: Iterator[pa.RecordBatch], wide: bool, share: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Classes and lengths of about SORTED_TOKENS tokens at once, of the texts whose key is below a share (of 2^32)."""
+def _row(batch: pa.RecordBatch, row: int, wide: bool) -> list[np.ndarray]:
+    kinds_of = (("classes", "<u4" if wide else "<u2"), ("lengths", "<i4"), ("keys", "<u8"))
+    return [np.frombuffer(batch.column(c)[row].as_buffer(), kind) for c, kind in kinds_of]
+
+
+def _sequences(batches: Iterator[pa.RecordBatch], wide: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Classes and lengths of about SORTED_TOKENS tokens at once."""
     parts, held = [], 0
     for batch in batches:
         for row in range(batch.num_rows):
-            classes, lengths, keys = (
-                np.frombuffer(batch.column(c)[row].as_buffer(), kind)
-                for c, kind in (("classes", "<u4" if wide else "<u2"), ("lengths", "<i4"), ("keys", "<u8"))
-            )
-            lengths = lengths.astype(np.int64)
-            if share < 1 << 32:
-                few = (keys >> np.uint64(32)) < np.uint64(share)
-                classes, lengths = classes[np.repeat(few, lengths)], lengths[few]
+            classes, lengths, _ = _row(batch, row, wide)
             if len(lengths):
-                parts.append((classes, lengths))
+                parts.append((classes, lengths.astype(np.int64)))
                 held += len(classes)
             if held >= SORTED_TOKENS:
                 yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
@@ -343,7 +341,28 @@ def _sequences(batches: Iterator[pa.RecordBatch], wide: bool, share: int) -> Ite
         yield tuple(np.concatenate(p) for p in zip(*parts, strict=True))
 
 
-def expected_over(sequences: DataFrame, v: Vocabulary, model: Model, share: int = 1 << 32) -> tuple[Model, float, float]:
+def some_sequences(sequences: DataFrame, v: Vocabulary, tokens: int) -> DataFrame:
+    """The sequences of about so many tokens (all, where there are fewer), of the texts with the lowest keys. Stored."""
+    share, wide = min(1 << 32, int(tokens / max(v.tokens, 1) * (1 << 32))), v.size >= 1 << 16
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                classes, lengths, keys = _row(batch, row, wide)
+                few = (keys >> np.uint64(32)) < np.uint64(share)
+                parts = [classes[np.repeat(few, lengths)], lengths[few], keys[few]]
+                if len(parts[1]):
+                    columns = [pa.array([0], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts]]
+                    yield pa.RecordBatch.from_arrays(columns, names=["block", "classes", "lengths", "keys"])
+
+    spark = sequences.sparkSession
+    store = work_folder(spark, "start")
+    few = sequences.select("block", "classes", "lengths", "keys").mapInArrow(chosen, SEQUENCES)
+    few.repartition(12).write.parquet(store)  # some megabytes
+    return spark.read.schema(SEQUENCES).parquet(store)
+
+
+def expected_over(sequences: DataFrame, v: Vocabulary, model: Model) -> tuple[Model, float, float]:
     """The expected counts over all texts, their log10 likelihood and their tokens. A range of cells is a row of a task; rows are added by salt first."""
     spark = sequences.sparkSession
     shared = spark.sparkContext.broadcast(Model(*[part.astype(np.float32) for part in model]))  # CELLS emissions at most
@@ -351,7 +370,7 @@ def expected_over(sequences: DataFrame, v: Vocabulary, model: Model, share: int
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, cells = shared.value, None
-        for classes, lengths in _sequences(batches, wide, share):
+        for classes, lengths in _sequences(batches, wide):
             for _, x in by_length(classes, lengths, len(model.start)):
                 found, likelihood = expected_and_likelihood(model, x)
                 flat = np.concatenate([*[part.ravel() for part in found], [likelihood, len(x.classes)]])
@@ -405,12 +424,10 @@ def converged(sequences: DataFrame, v: Vocabulary, model: Model, rounds: int | N
 
 def started(sequences: DataFrame, v: Vocabulary, model: Model) -> Model:
     """The model that has converged on about START_TOKENS tokens, chosen by a hash of their texts."""
-    share = min(1 << 32, int(START_TOKENS / max(v.tokens, 1) * (1 << 32)))
-    likelihoods: list[float] = []
+    few, likelihoods = some_sequences(sequences, v, START_TOKENS), []
     while not _enough(likelihoods, None):
-        counts, likelihood, tokens = expected_over(sequences, v, model, share)
-        model = updated(counts)
-        likelihoods.append(likelihood / max(tokens, 1.0))
+        model, likelihood = one_round(few, v, model)
+        likelihoods.append(likelihood)
     return model
 
 

@@ -3,15 +3,17 @@
 Each document waits in its source's queue, in an order shuffled by a seeded hash. Its virtual finish time is the
 number of words its source has served once it is through, divided by the source's target. A source whose target is
 above its size is served again, up to a number of passes. All copies are then ranked by finish time over all sources and the
-ranking is cut where the budget is spent, so at any time each source has had its share.
+ranking is cut where the budget is spent, so at any time each source has had its share. The copy that crosses the budget is taken if
+that brings the mixture nearer to it.
 
 No queue is ever put in order as a whole. A source's queue is cut into cells by the shuffled hash, so that even one
 source with most rows is spread evenly; cells are summed first (a map-side combine), and only the sums are accumulated per source.
-The cut is found alike: copies are counted by ranges of the finish time, and only the range it falls into is sorted.
+The cut is found alike: all copies are counted by ranges of the finish time (equal ones up to twice the budget, ever wider ones beyond), and only
+the range it falls into is sorted.
 
 Null texts have size 0 and take nothing. A null source is a source of its own and comes last. Rows with equal
 doc_id or equal content are mixed as separate rows. Further columns are kept by ``mixed``; names of this module's
-own columns (``size``, ``source_size``, ``target``, ``taken``, ``finish``) are replaced. An empty table gives an empty result.
+own columns do not clash with them. Columns of any type, maps as well, count for the shuffled order. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.llm.columns import quoted, row_hash
 from quotelake.session import work_folder
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -80,7 +83,7 @@ def schedule(
     docs.select(
         "doc_id",
         "source",
-        _key(docs, seed).alias("key"),
+        row_hash(docs, seed).alias("key"),
         word_count(F.col("text")).alias("size"),
     ).write.parquet(store)
     rows = spark.read.schema("doc_id long, source string, key long, size long").parquet(store)
@@ -118,26 +121,28 @@ def schedule(
         queued.where("size > 0")
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(passes - 1))).alias("pass"))
         .select("source", "size", _finish(F.col("pass")).alias("at"))
-        .where(F.col("at").isNotNull() & (F.col("at") <= 2))
-        .withColumn("range", F.floor(F.col("at") * RANGES))
+        .where(F.col("at").isNotNull())
+        .withColumn("range", _range(F.col("at")))
     )
     total = sums.agg((F.coalesce(F.sum("source_size"), F.lit(0)) * float(budget)).alias("budget"))
-    # RANGES * 2 rows at most, whatever the size of the corpus
+    # RANGES * 2 rows, and RANGES for each doubling of the finish time, whatever the size of the corpus
     ranged = copies.groupBy("range").agg(F.sum("size").alias("words"))
     spent = ranged.select("range", (F.sum("words").over(Window.orderBy("range")) - F.col("words")).alias("spent"), "words")
     crossing = (
         spent.crossJoin(F.broadcast(total)).where(F.col("spent") + F.col("words") > F.col("budget")).orderBy("range").limit(1)
     )  # both sides are single aggregate rows
     last = copies.join(F.broadcast(crossing.select("range", "spent", "budget")), "range")
-    upto = Window.orderBy("at", "source").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out_of = last.withColumn("sum", F.col("spent") + F.sum("size").over(upto)).where(F.col("sum") > F.col("budget"))
-    cut = out_of.agg(F.min(F.struct("at", F.coalesce("source", F.lit("")).alias("source"))).alias("cut"))
-    taken = [
-        F.when(
-            F.col("cut").isNull() | (F.struct(_finish(F.lit(k)).alias("at"), F.coalesce("source", F.lit("")).alias("source")) < F.col("cut")), 1
-        ).otherwise(0)
-        for k in range(passes)
-    ]
+    # finish times of one source differ, so that no two copies share a place
+    upto = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out_of = (
+        last.withColumn("place", _place(F.col("at")))
+        .withColumn("sum", F.col("spent") + F.sum("size").over(upto))
+        .where(F.col("sum") > F.col("budget"))
+        .withColumn("nearer", F.col("sum") - F.col("budget") < F.col("budget") - (F.col("sum") - F.col("size")))
+    )
+    cut = out_of.agg(F.min(F.struct("place", "nearer")).alias("cut"))
+    before_cut = lambda at: F.col("cut").isNull() | (at < F.col("cut.place")) | ((at == F.col("cut.place")) & F.col("cut.nearer"))
+    taken = [F.when(before_cut(_place(_finish(F.lit(k)))), 1).otherwise(0) for k in range(passes)]
     counted = sum(taken[1:], taken[0])
     served = F.when((F.col("size") > 0) & _finish(F.lit(0)).isNotNull(), counted).otherwise(0)
     return (
@@ -160,6 +165,17 @@ def _finish(passed: Column) -> Column:
     return F.when(F.col("target") > 0, (passed * F.col("source_size") + F.col("served")) / F.col("target"))
 
 
+def _place(at: Column) -> Column:
+    """The order of copies over all sources: by finish time, then by source with null last."""
+    return F.struct(at.alias("at"), F.col("source").isNull().alias("nameless"), F.coalesce("source", F.lit("")).alias("source"))
+
+
+def _range(at: Column) -> Column:
+    """Number of the range of a finish time; rises with it."""
+    beyond = F.floor((F.log2(F.greatest(at, F.lit(2.0))) - 1) * RANGES) + 2 * RANGES
+    return F.when(at < 2, F.floor(at * RANGES)).otherwise(beyond)
+
+
 def mixed(docs: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, budget: float = 1.0, passes: int = PASSES) -> DataFrame:
     """The mixture itself: the taken copies with all columns of docs, in order of virtual finish time over the whole table.
 
@@ -167,15 +183,10 @@ def mixed(docs: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, b
     """
     own = schedule(docs, seed, weights, budget, passes).where("copies > 0")
     rows = own.select(F.col("key").alias("_key"), "source_size", "target", "finish", "copies")
-    texts = docs.withColumn("_k", _key(docs, seed)).dropDuplicates(["_k"])
+    texts = docs.select(F.struct(*map(quoted, docs.columns)).alias("_row"), row_hash(docs, seed).alias("_k")).dropDuplicates(["_k"])
     served = (
-        texts.select(F.struct(*docs.columns).alias("_row"), "_k")
-        .join(rows, F.col("_k") == F.col("_key"))
+        texts.join(rows, F.col("_k") == F.col("_key"))
         .withColumn("_pass", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     )
     at = F.col("finish") + F.col("_pass") * F.col("source_size") / F.col("target")
     return served.select("_row", at.alias("_at"), "_k").repartitionByRange("_at", "_k").sortWithinPartitions("_at", "_k").select("_row.*")
-
-
-def _key(docs: DataFrame, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), *[F.col(c) for c in docs.columns])

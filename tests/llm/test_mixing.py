@@ -48,12 +48,63 @@ def test_mixture(small_docs):
         assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]])
     for s in sizes:
         assert abs(taken[s] - want[s]) <= longest[s] + max(longest.values())
-    assert sum(taken.values()) <= sum(sizes.values())
-    # the queues in order: with a doc, all copies that finish before it are taken
+    assert {r["key"]: r["copies"] for r in rows} == queue(rows)
     again = mixing.schedule(small_docs).collect()
     assert sorted(map(tuple, rows)) == sorted(map(tuple, again))
 
 
+def queue(rows, passes=3):
+    """Copies by key: all queues served in the order of finish times until the budget is spent."""
+    by_source = defaultdict(list)
+    for r in rows:
+        by_source[r["source"]].append(r)
+    waiting = []
+    for source, own in by_source.items():
+        served = 0
+        for r in sorted((r for r in own if r["size"] and r["target"]), key=lambda r: r["finish"]):
+            served += r["size"]
+            for k in range(passes):
+                waiting.append(((k * r["source_size"] + served) / r["target"], source is None, (source or "").encode(), r["key"], r["size"]))
+    copies, spent, budget = Counter({r["key"]: 0 for r in rows}), 0, sum(r["size"] for r in rows)
+    for *_, key, size in sorted(waiting):
+        if spent + size > budget:
+            if spent + size - budget < budget - spent:
+                copies[key] += 1
+            break
+        spent += size
+        copies[key] += 1
+    return dict(copies)
+
+
+def texts(spark, *groups):
+    """groups: source, documents, words of each."""
+    rows = [(source, size) for source, count, size in groups for _ in range(count)]
+    return spark.createDataFrame([(k, " ".join(f"w{k}x{i}" for i in range(size)), s) for k, (s, size) in enumerate(rows)], "doc_id long, text string, source string")
+
+
+@pytest.mark.parametrize(
+    "groups",
+    [
+        [("a", 51, 10), ("b", 21, 10), ("c", 1, 1680)],
+        [("a", 1, 900), ("b", 40, 3)],
+        [("a", 30, 7), (None, 2, 500), ("", 9, 4)],
+        [("a", 3, 1), ("b", 1, 1)],
+        [(f"s{k:02}", 2 + k, 1 + k % 5) for k in range(30)] + [("z", 1, 4000)],
+    ],
+)
+def test_dominant_documents(spark, groups):
+    rows = mixing.schedule(texts(spark, *groups)).collect()
+    assert {r["key"]: r["copies"] for r in rows} == queue(rows)
+    budget, spent = sum(r["size"] for r in rows), sum(r["taken"] for r in rows)
+    assert abs(spent - budget) <= max(r["size"] for r in rows)
+
+
+def test_any_columns(spark):
+    docs = texts(spark, ("a", 5, 4), ("b", 3, 9)).selectExpr("*", "map('k', doc_id) m", "1 _k", "2 _key", "3 size", "4 `a.b`", "5 finish")
+    made = mixing.mixed(docs)
+    assert made.columns == docs.columns and {r["_k"] for r in made.collect()} == {1}
+
+
 def test_order_of_the_queues(small_docs):
     """Within a source, documents and passes are served in the order of their finish times."""
     by_source = defaultdict(list)

@@ -6,7 +6,8 @@ other are a random order of all rows, of which shard s takes the rows from s * r
 whose counts differ by one at most. Only bucket counts meet in one place.
 
 A bucket that lies across the border of two shards is cut there. Null texts are kept and have no bytes. Rows with equal doc_id are
-separate rows and spread by their other columns. Empty tables give no shards. Further columns are written too;
+separate rows and spread by their other columns; rows equal in all columns are
+spread too, where there are more than COPIES. Columns may have any name and any type, maps as well. Empty tables give no shards. Further columns are written too;
 ``shard`` and ``slot`` are replaced.
 """
 
@@ -15,44 +16,69 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quotelake.llm.columns import quoted, row_hash
 from quotelake.session import work_folder
 
 BUCKET_BYTES = 24 << 20
 ROW_BYTES = 64
+COPIES = 1000
 
 
-def shuffled(docs: DataFrame, shards: int, seed: int = 29, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+def shuffled(docs: DataFrame, shards: int, seed: int = 29, bucket_bytes: int = BUCKET_BYTES, copies: int = COPIES) -> DataFrame:
     """All columns of docs with shard and slot (place in the shard, from 0)."""
     spark = docs.sparkSession
     size = docs.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + ROW_BYTES).alias("bytes")).first()
     buckets = max(1, -(-(size["bytes"] or 0) // bucket_bytes))
+    names = [c for c in docs.columns if c.lower() not in ("shard", "slot")]
     # by content, not by place: a task that runs again puts every row where it was before
-    scattered = docs.withColumn("_key", F.xxhash64(F.lit(seed), *docs.columns)).withColumn("_bucket", F.pmod(F.col("_key"), F.lit(buckets)))
+    rows = docs.select(row_hash(docs, seed).alias("key"), F.struct(*map(quoted, names)).alias("row"))
+    scattered = _spread_copies(rows, seed, copies).withColumn("bucket", F.pmod(F.col("key"), F.lit(buckets)).cast("int"))
     # one row per bucket; a table's rows over BUCKET_BYTES of it
-    counts = scattered.groupBy("_bucket").agg(F.count("*").alias("_rows"))
+    counts = scattered.groupBy("bucket").agg(F.count("*").alias("rows"))
     places = work_folder(spark, "shards")
     counts.select(
-        F.col("_bucket").alias("_b"),
-        (F.sum("_rows").over(Window.orderBy("_bucket")) - F.col("_rows")).alias("_before"),
-        F.sum("_rows").over(Window.partitionBy()).alias("_all"),
+        F.col("bucket").alias("b"),
+        (F.sum("rows").over(Window.orderBy("bucket")) - F.col("rows")).alias("before"),
+        F.sum("rows").over(Window.partitionBy()).alias("all"),
     ).write.parquet(places)
-    offsets = spark.read.schema("_b long, _before long, _all long").parquet(places)
-    names = [c for c in docs.columns if c not in ("shard", "slot")]
-    row = F.struct("_key", *names)
-    # a fixed count of partitions: a bucket per task, whatever adaptive execution would merge
-    gathered = scattered.repartition(buckets, "_bucket").groupBy("_bucket").agg(F.sort_array(F.collect_list(row)).alias("_all_rows"))
-    dealt = gathered.select("_bucket", F.posexplode(F.shuffle("_all_rows", seed)).alias("_at", "_row"))
-    place = F.col("_before") + F.col("_at")
-    first = lambda shard: F.expr(f"(({shard}) * _all + {shards} - 1) div {shards}")
+    offsets = spark.read.schema("b int, before long, all long").parquet(places)
+    # bucket n is all that partition n holds; the shuffle of a partition goes by the seed and its number
+    by_key = lambda a, b: F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
+    listed = scattered.repartitionById(buckets, "bucket").groupBy("bucket").agg(F.collect_list(F.struct("key", "row")).alias("rows"))
+    gathered = listed.select("bucket", F.array_sort("rows", by_key).alias("rows"))
+    dealt = gathered.select("bucket", F.posexplode(F.shuffle("rows", seed)).alias("at", "one"))
+    first = lambda shard: F.expr(f"(({shard}) * all + {shards} - 1) div {shards}")
     return (
-        dealt.join(offsets, F.col("_bucket") == F.col("_b"))
-        .withColumn("_place", place)
-        .withColumn("shard", F.expr(f"cast((_place * {shards}) div _all as int)"))
-        .withColumn("slot", F.col("_place") - first("shard"))
-        .select(*[F.col(f"_row.`{n}`").alias(n) for n in names], "shard", "slot")
+        dealt.join(offsets, F.col("bucket") == F.col("b"))
+        .withColumn("place", F.col("before") + F.col("at"))
+        .withColumn("shard", F.expr(f"cast((place * {shards}) div all as int)"))
+        .withColumn("slot", F.col("place") - first("shard"))
+        .select("one.row.*", "shard", "slot")
     )
 
 
+def _spread_copies(rows: DataFrame, seed: int, copies: int) -> DataFrame:
+    """key, row: rows equal in every column, where there are more than ``copies``, get a key each instead of one for all.
+
+    Such rows are interchangeable, so one of them and their number is all that is sent; they are made again in lots of ``copies``.
+    """
+    spark = rows.sparkSession
+    store = work_folder(spark, "copies")
+    rows.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n")).where(F.col("n") > copies).write.parquet(store)
+    hot = spark.read.schema("k long, n long").parquet(store)
+    if hot.isEmpty():
+        return rows
+    one = rows.join(hot, F.col("key") == F.col("k")).dropDuplicates(["key"])
+    lots = one.withColumn("lot", F.explode(F.sequence(F.lit(0), F.expr(f"(n - 1) div {copies}"))))
+    held = F.least(F.lit(copies), F.col("n") - F.col("lot") * copies)
+    made = (
+        lots.repartition(F.col("key"), F.col("lot"))
+        .withColumn("at", F.explode(F.sequence(F.lit(1), held.cast("int"))))
+        .select(F.xxhash64(F.lit(seed), "key", "lot", "at").alias("key"), "row")
+    )
+    return rows.join(hot, F.col("key") == F.col("k"), "left_anti").union(made)
+
+
 def write_shards(docs: DataFrame, folder: str, shards: int, seed: int = 29, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """Write the shards as Parquet below folder (shard=0, shard=1, ...) and return what was written."""
     out = shuffled(docs, shards, seed, bucket_bytes)

@@ -42,3 +42,22 @@ def test_edges(edge_docs, no_docs, tmp_path):
 def test_native_plan(small_docs):
     plan = sharding.shuffled(small_docs, 24)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_any_columns_and_copies(spark):
+    """Inner names, maps, and a third of all rows equal in every column."""
+    other = spark.range(300).selectExpr("id doc_id", "concat('text ', id) text", "map('k', id) m", "1 _key", "2 _bucket", "3 key", "4 row", "5 `a.b`")
+    same = spark.range(150).selectExpr("7L doc_id", "'again' text", "map('k', 7L) m", "1 _key", "2 _bucket", "3 key", "4 row", "5 `a.b`")
+    docs = other.union(same)
+    made = sharding.shuffled(docs, 4, bucket_bytes=2000, copies=20)
+    rows = made.collect()
+    check(rows, 4)
+    assert made.columns == [*docs.columns, "shard", "slot"]
+    assert sorted((r["doc_id"], r["text"], r["m"]["k"]) for r in rows) == sorted((r["doc_id"], r["text"], r["m"]["k"]) for r in docs.collect())
+    by_shard = defaultdict(int)
+    for r in rows:
+        by_shard[r["shard"]] += r["text"] == "again"
+    assert len(by_shard) == 4 and min(by_shard.values()) > 15
+    again = sharding.shuffled(docs.repartition(7), 4, bucket_bytes=2000, copies=20).collect()
+    key = lambda r: (r["shard"], r["slot"])
+    assert [r["doc_id"] for r in sorted(rows, key=key)] == [r["doc_id"] for r in sorted(again, key=key)]

@@ -27,9 +27,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.samples import sample
+from quotelake.llm.samples import one_each, sample, within
 
 SAMPLE_PAGES = 1500
+SAMPLE_CHARS = 1 << 26
 LAYOUT_WEIGHT = 5
 
 # HTML elements by their role.
@@ -39,6 +40,11 @@ _INLINE = frozenset(
 )
 _SILENT = frozenset("script style template noscript head title svg math iframe object canvas audio video textarea select option datalist".split())
 _RAW = frozenset("script style textarea title noscript iframe".split())
+# Start tags that may stand in a head, and those that end an open svg or math element.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
+_ENDS_DRAWING = frozenset(
+    "b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li menu meta nobr ol p pre ruby s small span strike strong sub sup table tt u ul var".split()
+)
 _CLOSES = {
     "li": ("li", "ul ol menu"),
     "dt": ("dt dd", "dl"),
@@ -63,6 +69,7 @@ _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*|[^>]*)(?:>|\Z)", re.S
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+_BODY = re.compile(r"<body[\s/>]", re.I)
 _NAME_WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
@@ -163,15 +170,36 @@ class _Parser:
                 return
 
 
+def _ended_by(tag: str, silent: list[str], begun: bool) -> None:
+    """Leave what a start tag ends without an end tag: the head, whatever is open in it, and drawings."""
+    if tag == "body" and not begun or silent == ["head"] and tag not in _IN_HEAD:
+        silent.clear()
+    elif tag in _ENDS_DRAWING:
+        while silent and silent[-1] in ("svg", "math"):
+            silent.pop()
+
+
 def parse(page: str) -> list[Node]:
-    """The tree's nodes, parents before children, in page order. Text that is never shown is left out."""
-    p, at, silent = _Parser(), 0, []
+    """The tree's nodes, parents before children, in page order. Text that is never shown is left out.
+
+    An element whose text is not shown must be closed somewhere further on in the page, or be in a head that a body follows; if not, its start tag is
+    passed over (but for scripts and styles, which then last to the end).
+    """
+    p, at, silent, begun = _Parser(), 0, [], False
+    last_end: dict[str, int] = {}
+
+    def closed_after(tag: str, at: int) -> bool:
+        if tag not in last_end:
+            last_end[tag] = max((end.start() for end in re.finditer(rf"</{tag}[\s/>]", page, re.I)), default=-1)
+        return last_end[tag] >= at
+
     while True:
         m = _TOKEN.search(page, at)
-        if not silent:
-            text = page[at : m.start()] if m else page[at:]
-            if text:
-                p.say(text)
+        text = page[at : m.start()] if m else page[at:]
+        if silent == ["head"] and text.strip():
+            silent.clear()
+        if text and not silent:
+            p.say(text)
         if not m:
             break
         at = m.end()
@@ -184,18 +212,20 @@ def parse(page: str) -> list[Node]:
                     del silent[len(silent) - 1 - silent[::-1].index(tag) :]
             else:
                 p.end(tag)
-        elif silent:
-            if silent[-1] == "head" and tag == "body":
-                silent.clear()
-                p.start(tag, m[3])
-            elif tag in _SILENT:
-                silent.append(tag)
-        elif tag in _SILENT:
-            if tag not in ("svg", "math") or not m[3].endswith("/"):
+            continue
+        _ended_by(tag, silent, begun)
+        drawn = bool(silent) and silent[-1] in ("svg", "math")
+        if tag in _SILENT or drawn and tag in ("foreignobject", "desc"):
+            alone = (drawn or tag in ("svg", "math")) and m[3].endswith("/")
+            if tag == "head":
+                if not begun and not silent:
+                    silent.append(tag)
+            elif not alone and (tag in ("script", "style") or closed_after(tag, at) or "head" in silent and _BODY.search(page, at)):
                 silent.append(tag)
-        else:
+        elif not silent:
+            begun |= tag not in _IN_HEAD
             p.start(tag, m[3])
-        if silent and silent[-1] in _RAW and not m[1]:
+        if silent and silent[-1] in _RAW:
             closing = re.compile(rf"</{silent[-1]}[\s/>]", re.I).search(page, at)
             at = closing.start() if closing else len(page)
     for node in p.nodes:
@@ -363,7 +393,8 @@ def fitted(layouts: list[Labelled], pages: list[Labelled], steps: int = 300) ->
 def fit(pages: DataFrame, sample_pages: int = SAMPLE_PAGES) -> Model:
     chosen = sample(pages.where("page_id is not null").select("page_id").distinct(), "page_id", sample_pages, 31)
     # sample_pages is a parameter, so the broadcast has a bound
-    rows = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").where("html is not null").orderBy("page_id", "html").collect()
+    texts = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id").where("html is not null")
+    rows = within(one_each(texts, "page_id", "html"), "page_id", "html", SAMPLE_CHARS).orderBy("page_id").collect()
     found = [labelled for row in rows if (labelled := of_page(row["html"])) is not None]
     return fitted([of_layout(page) for page in LAYOUTS], found)
 

@@ -27,9 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.samples import sample
+from quotelake.llm.columns import plain
+from quotelake.llm.samples import one_each, sample, within
 
 SAMPLE_ROWS = 5000
+SAMPLE_CHARS = 1 << 26
 FEATURES = 512
 SURE = 0.95
 NEAR = 24  # characters between two neighbours of a chain
@@ -256,7 +258,8 @@ def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Field:
     chosen = sample(docs.where("doc_id is not null").select("doc_id").distinct(), "doc_id", sample_rows, 3)
     # sample_rows is a parameter, so the broadcast has a bound
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.col("text").rlike("[0-9@]"))
-    return fitted([row["text"] for row in texts.select("text").orderBy("doc_id", "text").collect()])
+    texts = within(one_each(texts, "doc_id", "text"), "doc_id", "text", SAMPLE_CHARS)
+    return fitted([row["text"] for row in texts.orderBy("doc_id").collect()])
 
 
 def written(spans: list[Span]) -> str:
@@ -298,7 +301,8 @@ def masked(docs: DataFrame, field: Field) -> DataFrame:
                 batch = batch.set_column(names.index("n_chars"), batch.schema.field("n_chars"), lengths)
             yield batch
 
-    return docs.mapInArrow(hidden, docs.schema)
+    named = plain(docs, "text", "n_chars")
+    return named.mapInArrow(hidden, named.schema).toDF(*docs.columns)
 
 
 def _hidden(text: str, spans: list[Span]) -> str:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.samples import sample
+from quotelake.llm.samples import one_each, sample
 from quotelake.llm.textstats import RATIOS, STATISTICS, batch_statistics, ratios
 
 SAMPLE_ROWS = 8000
@@ -159,7 +159,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> E
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
     chosen = sample(marked, "doc_id", sample_rows, 23)
     # sample_rows is a parameter, so the broadcast has a bound
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    texts = one_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "text", "quality")
     found = texts.select("doc_id", "quality", "text").mapInArrow(_with_features(("doc_id", "quality")), f"doc_id long, quality int, {_SCHEMA}")
     rows = found.toPandas().sort_values(["doc_id", *FEATURES], kind="stable")
     return fitted(rows[list(FEATURES)].to_numpy(float).reshape(-1, len(FEATURES)), rows["quality"].to_numpy() == 1)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from quotelake.session import work_folder
+
 # Rows that a Python task gets at once: whole texts, so a few megabytes.
 ARROW_ROWS = 2000
 
@@ -43,3 +45,20 @@ def commonest(counts: DataFrame, most: int) -> DataFrame:
             break
         least = row["bin"]
     return counts.where(place >= least)
+
+
+def one_each(rows: DataFrame, key: str, text: str, *same: str) -> DataFrame:
+    """One row per key, so that a bound on keys binds the rows: of several texts, that of the least hash. ``same``: columns with one value per key."""
+    return rows.groupBy(key, *same).agg(F.min_by(text, F.xxhash64(text)).alias(text))
+
+
+def within(rows: DataFrame, key: str, text: str, most_chars: int) -> DataFrame:
+    """Rows in the order of a hash of their key as long as their texts have ``most_chars`` in all. A bounded table of distinct keys, which is stored."""
+    spark = rows.sparkSession
+    store = work_folder(spark, "sample")
+    rows.select(key, text).write.parquet(store)
+    stored = spark.read.schema(rows.select(key, text).schema).parquet(store)
+    order = Window.orderBy(F.xxhash64(F.lit(7), key), key)
+    # numbers only, and no more than a sample has rows
+    kept = stored.select(key, F.sum(F.length(text)).over(order).alias("chars")).where(F.col("chars") <= most_chars).select(key)
+    return stored.join(kept, key, "left_semi")

@@ -83,3 +83,34 @@ def test_edges(spark):
     ]
     none = pages.where("false")
     assert H.extract(none, H.fit(none)).count() == 0
+
+
+BODY = "<article><h1>A title of the page</h1><p>The river rose for days before the bridge gave way, and the town had to wait for boats.</p></article>"
+TEXT = "A title of the page\nThe river rose for days before the bridge gave way, and the town had to wait for boats."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>T</title><meta charset=x>{BODY}</html>",
+        f"<title>T</title>{BODY}",
+        f"<head><title>T</title><svg><path d=1><body>{BODY}</body>",
+        f"<head><title>T</title><svg><path d=1>{BODY}",
+        f"<head><title>T</title><object data=x><body>{BODY}</body>",
+        f"<head><template><p>never shown</p><body>{BODY}",
+        f"<head><template><p>never shown</p></template></head><body>{BODY}",
+        f"<head><title>T</title></head><body><select><option>one<option>two</select>{BODY}",
+        f"<head></head><body><svg><title>Icon</title><foreignObject><p>never shown</p></foreignObject></svg>{BODY}",
+        f"<head></head><body><video src=x>{BODY}",
+        f"<body>{BODY}<script>var a = '<p>never shown</p>'",
+    ],
+)
+def test_heads_and_open_elements(model, page):
+    assert H.main_text(page, model) == TEXT
+
+
+def test_sample_has_one_row_per_page(spark):
+    pages = spark.range(400).selectExpr("id % 2 page_id", "concat('<article><p>Text number ', id, '.</p></article>') html")
+    one = H.one_each(pages, "page_id", "html")
+    assert one.count() == 2 and one.collect() == H.one_each(pages.repartition(5), "page_id", "html").collect()
+    assert H.within(one, "page_id", "html", 50).count() == 1 and H.within(one, "page_id", "html", 500).count() == 2

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
@@ -14,12 +12,9 @@ def quoted(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-def free_name(taken: Iterable[str], wanted: str) -> str:
-    """``wanted``, with as many more underscores as it needs to be none of the names."""
-    known = {name.lower() for name in taken}
-    while wanted.lower() in known:
-        wanted += "_"
-    return wanted
+def plain(docs: DataFrame, *known: str) -> DataFrame:
+    """The table with names for all columns but the known ones that clash with nothing; ``toDF(*docs.columns)`` restores them."""
+    return docs.toDF(*[name if name in known else f"other_column_{k}" for k, name in enumerate(docs.columns)])
 
 
 def _unhashed(kind: DataType) -> bool:

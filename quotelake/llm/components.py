@@ -10,16 +10,15 @@ from quotelake.session import work_folder
 EDGES = "u long, v long"
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """node, root: every node of an edge with the smallest node it can reach. edges: u, v.
 
     Each round points nodes at smaller ones they know of; the rounds needed grow with the logarithm of the longest path. Each round is
     written to the shared folder, so that plans stay short and lost executors cost one round.
     """
-    spark = edges.sparkSession
     now = _written(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
-    for _ in range(most_rounds):
+    while True:
         now = _written(_small_star(_large_star(now)), "edges")
         found = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == found:
@@ -27,7 +26,6 @@ def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
                 now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         state = found
-    raise RuntimeError(f"no fixed point after {most_rounds} rounds below {work_folder(spark, 'edges')}")
 
 
 def _written(edges: DataFrame, name: str) -> DataFrame:

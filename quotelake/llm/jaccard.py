@@ -7,8 +7,9 @@ then on only classes are compared. Two classes link when intersection / union re
   lists its subsets of that size for each t, so sets under one subset are linked, with no further check. Only one link per set is kept, to
   the smallest class of the other size.
 * First of all, a set can only link if a share of its n-grams as large as the threshold occurs in other sets too. Each task ships every n-gram of a stretch
-  of its documents once, packed; where n-grams meet, those that came twice are counted for their sets. Sets with fewer are done. Counts can only be
-  too high (32 bits of an n-gram beside its partition, 40 bits of a set's key), which lets a set pass that need not.
+  of its documents once, packed; where n-grams meet, those that came twice are counted for their sets. Sets with fewer are done. N-grams that agree in the
+  32 bits sent beside their partition count in full, which only lets a set pass that need not. Sets are told apart by 40 bits of their keys here: a link
+  is lost if two sets that share n-grams with no third agree in these (one in 10^12 such pairs).
 * Large sets: n-grams have a fixed order, with those that occur in many documents last. Two sets that link share one of their first n-grams
   (as many as may be missing, and one), so each set is entered in the inverted lists of these. A list is known by its smallest class, the
   hub; the lists of a hub are scanned together, by bands of set sizes that may link, in blocks of BLOCK sets against BLOCK sets. A first scan
@@ -39,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from quotelake.llm import words as W
+from quotelake.llm.columns import plain
 from quotelake.llm.components import components
 from quotelake.llm.samples import commonest
 from quotelake.session import work_folder
@@ -190,6 +192,7 @@ def _shared(table: pa.Table, ranges: int) -> pa.Table:
             wide[:, :5] = np.frombuffer(b, np.uint8).reshape(5, -1).T
             ids.append(wide.view(np.uint64).ravel())
     if tokens:
+        stretches = np.repeat(np.arange(len(tokens), dtype=np.int32), [len(t) for t in tokens])
         tokens, ids = np.concatenate(tokens), np.concatenate(ids)
         order = np.argsort(tokens, kind="stable")
         tokens, ids = tokens[order], ids[order]
@@ -197,12 +200,16 @@ def _shared(table: pa.Table, ranges: int) -> pa.Table:
         counts = np.diff(np.append(first, len(tokens)))
         apart = (np.minimum.reduceat(ids, first) != np.maximum.reduceat(ids, first)) & (counts > 1)
         kept = np.repeat(apart, counts) & (ids != MANY)
-        # copies of a set in several stretches bring an n-gram more than once; each counts for the set once
-        tokens, ids = tokens[kept], ids[kept]
-        order = np.lexsort((ids, tokens))
-        tokens, ids = tokens[order], ids[order]
-        once = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1])) if len(tokens) else np.zeros(0, bool)
-        sums.append(np.unique(ids[once], return_counts=True))
+        tokens, ids, stretches = tokens[kept], ids[kept], stretches[order][kept]
+        if len(tokens):
+            order = np.lexsort((ids, tokens))
+            tokens, ids, stretches = tokens[order], ids[order], stretches[order]
+            # copies of a set in several stretches bring an n-gram more than once; it counts for the set as often as in one stretch,
+            # where only different n-grams of the set fall together
+            other = np.append(True, (tokens[1:] != tokens[:-1]) | (ids[1:] != ids[:-1]))
+            runs = np.flatnonzero(other | np.append(True, stretches[1:] != stretches[:-1]))
+            times = np.diff(np.append(runs, len(tokens)))
+            sums.append(_summed([(ids[other], np.maximum.reduceat(times, np.flatnonzero(other[runs])))]))
     own, total = _summed(sums)
     rows = [(r, own[mine].tobytes(), total[mine].tobytes()) for r in range(ranges) if (mine := own % np.uint64(ranges) == r).any()]
     kinds = (("r", pa.int32()), ("ids", pa.binary()), ("sums", pa.binary()))
@@ -532,7 +539,8 @@ def first_of_groups(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 10
     first = rooted.groupBy(F.col("root").alias("r")).agg(F.min(place).alias("first"))
     marked = rooted.join(first, F.col("root") == F.col("r")).select("doc_id", "key", (place == F.col("first")).alias("stays"))
     marked = _stored(marked.groupBy("doc_id", "key", "stays").agg(F.count("*").alias("rows")), "marked", "doc_id long, key long, stays boolean, rows long")
-    names = docs.columns
+    named = plain(docs, "doc_id", "text")
+    names = named.columns
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -541,12 +549,12 @@ def first_of_groups(docs: DataFrame, n: int = 4, part: int = 85, whole: int = 10
                 keys.append(set_keys(*grams(s, n), s.last - s.first)[0])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(keys))], names=[*names, "_key"])
 
-    rows = docs.mapInArrow(keyed, StructType([*docs.schema.fields, StructField("_key", LongType())]))
+    rows = named.mapInArrow(keyed, StructType([*named.schema.fields, StructField("_key", LongType())]))
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
     later = marked.where("not stays").select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
     alone = rows.join(later, same, "left_anti")
     repeated = marked.where("stays and rows > 1").select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
     if repeated.isEmpty():
-        return alone.select(names)
+        return alone.select(names).toDF(*docs.columns)
     again = alone.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "_key"])
-    return alone.join(repeated, same, "left_anti").union(again).select(names)
+    return alone.join(repeated, same, "left_anti").union(again).select(names).toDF(*docs.columns)

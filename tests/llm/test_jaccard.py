@@ -2,6 +2,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,26 @@ def test_components(spark):
     edges = [(k, k + 1) for k in range(50)] + [(100, 200), (300, 200), (300, 400), (7, 7)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert found == {**{k: 0 for k in range(51)}, 100: 100, 200: 100, 300: 100, 400: 100}
+
+
+def test_shared_counts_are_never_too_low():
+    """Two n-grams of a set that agree in the bits sent both count; copies of a set in other stretches do not."""
+
+    def stretch(tokens, ids):
+        a = np.array(tokens, np.uint32).view(np.uint8).reshape(-1, 4).T.tobytes()
+        return 0, False, a, np.array(ids, np.uint64).view(np.uint8).reshape(-1, 8)[:, :5].T.tobytes()
+
+    rows = [stretch([5, 5, 9, 11], [1, 1, 1, 1]), stretch([5, 9], [2, 2]), stretch([5, 5, 9, 11], [1, 1, 1, 1])]
+    kinds = (pa.int32(), pa.bool_(), pa.binary(), pa.binary())
+    table = pa.table({n: pa.array(c, kind) for n, c, kind in zip(("p", "counts", "a", "b"), zip(*rows, strict=True), kinds, strict=True)})
+    found = jaccard._all_shared(jaccard._shared(table, 3)).to_pylist()
+    assert sorted((r["id"], r["shared"]) for r in found) == [(1, 3), (2, 2)]
+
+
+def test_first_of_groups_with_any_columns(edge_docs):
+    docs = edge_docs.selectExpr("*", "1 _key", "2 _id", "3 _k", "4 `a.b`", "map('x', doc_id) m")
+    made = jaccard.first_of_groups(docs)
+    assert made.columns == docs.columns
+    want = sorted(r["doc_id"] for r in jaccard.first_of_groups(edge_docs).collect() if r["doc_id"] is not None)
+    assert sorted(r["doc_id"] for r in made.collect() if r["doc_id"] is not None) == want
+    assert {(r["_key"], r["_id"], r["_k"], r["a.b"]) for r in made.collect()} == {(1, 2, 3, 4)}

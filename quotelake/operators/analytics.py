@@ -13,7 +13,7 @@ from quotelake.functions.names import column
 from quotelake.functions.numeric import growth
 from quotelake.functions.rolling import rolling_std
 from quotelake.operators.quantiles import exact_quantiles
-from quotelake.operators.series import BLOCK, chunked, in_chunk, unchunked, with_block, with_earlier, within_block
+from quotelake.operators.series import BLOCK, BLOCK_ROWS, chunked, in_chunk, unchunked, with_earlier, with_sized_block, within_block
 from quotelake.operators.sizing import materialised
 
 # Trading days in a year, rows of the volatility window, clusters and their seed.
@@ -21,6 +21,9 @@ TRADING_DAYS = 252
 VOLATILITY_ROWS = 30
 CLUSTERS, CLUSTER_SEED = 3, 42
 
+# Tickers of a tile of the correlation matrix: a task sums at most the square of it at a time for each tile pair.
+TILE = 64
+
 # The indicators that are correlated, in the report's order.
 INDICATOR_COLUMNS = ("sma_20", "sma_50", "rsi", "macd", "atr", "bb_upper", "bb_lower")
 
@@ -40,30 +43,30 @@ def describe_close(prices: DataFrame) -> DataFrame:
     )
 
 
-def with_returns(prices: DataFrame, by: Sequence[str] = ("ticker",), grain: str = "year") -> DataFrame:
+def with_returns(prices: DataFrame, by: Sequence[str] = ("ticker",), rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``ret``, the relative change of the close to the previous bar.
 
     Inside a calendar block the previous bar is one row up; the first bar of a block takes the last close
     of the block before, which arrives with the block summaries.
     """
     blocked = with_earlier(
-        with_block(prices, grain=grain), by, {"_last": (F.max_by("close", "date"), F.last)}
+        with_sized_block(prices, by, rows=rows), by, {"_last": (F.max_by("close", "date"), F.last)}
     )
     window = within_block(by, ["date"])
     previous = F.when(F.row_number().over(window) == 1, F.col("_last")).otherwise(F.lag("close").over(window))
     return blocked.withColumn("ret", growth(F.col("close"), previous)).drop("_last", BLOCK)
 
 
-def with_running_peak(prices: DataFrame, by: Sequence[str] = ("ticker",), grain: str = "year") -> DataFrame:
+def with_running_peak(prices: DataFrame, by: Sequence[str] = ("ticker",), rows: int = BLOCK_ROWS) -> DataFrame:
     """Add ``peak``, the highest close up to each bar."""
-    blocked = with_earlier(with_block(prices, grain=grain), by, {"_peak": (F.max("close"), F.max)})
+    blocked = with_earlier(with_sized_block(prices, by, rows=rows), by, {"_peak": (F.max("close"), F.max)})
     own = F.max("close").over(within_block(by, ["date"]))
     return blocked.withColumn("peak", F.greatest("_peak", own)).drop("_peak", BLOCK)
 
 
-def return_volatility(prices: DataFrame) -> DataFrame:
+def return_volatility(prices: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     """Sample deviation of the returns per ticker."""
-    return with_returns(prices).groupBy("ticker").agg(F.stddev_samp("ret").alias("volatility"))
+    return with_returns(prices, rows=rows).groupBy("ticker").agg(F.stddev_samp("ret").alias("volatility"))
 
 
 def feature_means(prices: DataFrame) -> DataFrame:
@@ -79,10 +82,10 @@ def rolling_volatility(prices: DataFrame) -> DataFrame:
     return unchunked(out.withColumn("volatility", annual)).select("ticker", "date", "volatility")
 
 
-def drawdowns(prices: DataFrame) -> DataFrame:
+def drawdowns(prices: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     """Largest fall from a running peak per ticker."""
     fall = F.try_divide("close", "peak") - 1.0
-    return with_running_peak(prices).groupBy("ticker").agg(F.min(fall).alias("max_drawdown"))
+    return with_running_peak(prices, rows=rows).groupBy("ticker").agg(F.min(fall).alias("max_drawdown"))
 
 
 def series_names(prices: DataFrame) -> list[str]:
@@ -115,17 +118,45 @@ def correlation_matrix(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def returns_correlation(prices: DataFrame) -> DataFrame:
+def tiled_pairs(returns: DataFrame, tickers: int, tile: int = TILE) -> DataFrame:
+    """Correlation of each two tickers (a <= b) over dates that hold all of them, as (ticker_a, ticker_b, corr).
+
+    Tickers are dealt to tiles. A date's returns of a tile travel as one array to each tile pair it is part of, so a date ships tickers * tiles
+    values; the pairs of values of two tiles meet in one task per month, which has the sums of that block only and passes on a row per pair.
+    """
+    tiles = max(1, -(-tickers // tile))
+    named = returns.where(F.col("ticker").isNotNull()).withColumn("_tile", F.pmod(F.xxhash64("ticker"), F.lit(tiles)).cast("int"))
+    # at most about a tile's width of values in a list
+    lists = named.groupBy("date", "_tile").agg(F.collect_list(F.struct("ticker", "ret")).alias("_items"))
+    sent = lists.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))).select(
+        F.least("_tile", "_other").alias("_i"), F.greatest("_tile", "_other").alias("_j"), F.date_trunc("month", F.col("date").cast("timestamp")).alias("_month"), "date", "_tile", "_items"
+    )
+    blocks = (
+        sent.repartition("_i", "_j", "_month")
+        .groupBy("_i", "_j", "_month", "date")
+        .agg(F.sort_array(F.collect_list(F.struct("_tile", "_items"))).alias("_sides"))
+        # a tile may have no ticker at all
+        .where((F.col("_i") == F.col("_j")) | (F.size("_sides") == 2))
+        .select("_i", "_j", F.element_at("_sides", 1)["_items"].alias("_left"), F.element_at("_sides", -1)["_items"].alias("_right"))
+    )
+    pairs = blocks.select("_i", "_j", F.explode("_left").alias("_x"), "_right").select("_i", "_j", "_x", F.explode("_right").alias("_y"))
+    pairs = pairs.where((F.col("_i") < F.col("_j")) | (F.col("_x.ticker") <= F.col("_y.ticker")))
+    a, b = F.col("_x.ticker"), F.col("_y.ticker")
+    values = pairs.select(F.least(a, b).alias("ticker_a"), F.greatest(a, b).alias("ticker_b"), F.col("_x.ret").alias("x"), F.col("_y.ret").alias("y"))
+    return values.groupBy("ticker_a", "ticker_b").agg(_pearson("x", "y").alias("corr"))
+
+
+def returns_correlation(prices: DataFrame, tile: int = TILE) -> DataFrame:
     """Correlation of returns between tickers on the common calendar, as (ticker_a, ticker_b, corr).
 
     A return needs both its date and the date before in the calendar of all tickers, and only dates with every ticker's return count.
-    All in long form: pairs meet by date and are summed by pair before the shuffle. Tickers whose returns don't vary, and all of them if no
+    All in long form: pairs meet by tiles of tickers and are summed by pair before the shuffle. Tickers whose returns don't vary, and all of them if no
     date is complete, have NULL.
     """
     closes = materialised(prices.groupBy("date", "ticker").agg(F.avg("close").alias("close")), "closes")
     # one row per day of the calendar
     calendar = closes.select("date").distinct().select("date", F.lag("date").over(Window.orderBy("date")).alias("_prior"))
-    tickers = closes.select("ticker").distinct()
+    tickers = materialised(closes.select("ticker").distinct(), "tickers")
     before = closes.select(F.col("date").alias("_prior"), "ticker", F.col("close").alias("_before"))
     returns = (
         closes.join(calendar, "date")
@@ -135,9 +166,7 @@ def returns_correlation(prices: DataFrame) -> DataFrame:
     )
     whole = returns.groupBy("date").agg(F.count(F.lit(1)).alias("_n")).join(tickers.agg(F.count(F.lit(1)).alias("_all")), F.col("_n") == F.col("_all"))
     kept = materialised(returns.join(whole.select("date"), "date", "left_semi"), "returns")
-    x = kept.select("date", F.col("ticker").alias("ticker_a"), F.col("ret").alias("x"))
-    y = kept.select("date", F.col("ticker").alias("ticker_b"), F.col("ret").alias("y"))
-    half = x.join(y, "date").where("ticker_a <= ticker_b").groupBy("ticker_a", "ticker_b").agg(_pearson("x", "y").alias("corr"))
+    half = tiled_pairs(kept, tickers.count(), tile)
     other = half.where("ticker_a < ticker_b").select(F.col("ticker_b").alias("ticker_a"), F.col("ticker_a").alias("ticker_b"), "corr")
     # the matrix has a cell for each two tickers, so this is its size
     cells = tickers.select(F.col("ticker").alias("ticker_a")).crossJoin(tickers.select(F.col("ticker").alias("ticker_b")))

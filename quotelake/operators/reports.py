@@ -10,7 +10,7 @@ from quotelake.functions.names import column
 from quotelake.functions.text import fixed, grouped, percent
 from quotelake.operators.analytics import TRADING_DAYS, series_names, with_returns
 from quotelake.operators.indicators import with_signals
-from quotelake.operators.series import BLOCK, with_block, with_earlier, within_block
+from quotelake.operators.series import BLOCK, BLOCK_ROWS, with_earlier, with_sized_block, within_block
 
 # The report sections and the roles that see them.
 BASIC_SECTIONS = (
@@ -29,10 +29,10 @@ def closing_series(prices: DataFrame) -> DataFrame:
     return prices.select("ticker", "date", "close")
 
 
-def normalised_performance(prices: DataFrame) -> DataFrame:
+def normalised_performance(prices: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     """The close relative to the first close of the ticker, which counts as 100."""
     first_bar = F.min_by(F.struct("close"), "date")
-    blocked = with_earlier(with_block(prices), ["ticker"], {"_first": (first_bar, F.first)})
+    blocked = with_earlier(with_sized_block(prices, rows=rows), ["ticker"], {"_first": (first_bar, F.first)})
     own = F.first(F.struct("close")).over(within_block(["ticker"], ["date"]))
     base = F.coalesce("_first", own)["close"]
     return blocked.withColumn("indexed", F.try_divide(F.col("close"), base) * 100.0).select("ticker", "date", "indexed")
@@ -54,14 +54,14 @@ def monthly_volume_long(prices: DataFrame) -> DataFrame:
     return cells.join(means, ["month", "ticker"], "left").select("month", "ticker", F.coalesce("_mean", F.lit(0.0)).alias("avg_volume"))
 
 
-def portfolio_summary(prices: DataFrame) -> DataFrame:
+def portfolio_summary(prices: DataFrame, rows: int = BLOCK_ROWS) -> DataFrame:
     """Range, returns, risk and volume per ticker.
 
-    Returns and running peaks come from the same calendar blocks, and one combining aggregate per ticker
+    Returns and running peaks come from the same blocks, and one combining aggregate per ticker
     finishes the job.
     """
     blocked = with_earlier(
-        with_block(prices),
+        with_sized_block(prices, rows=rows),
         ["ticker"],
         {"_last": (F.max_by("close", "date"), F.last), "_peak": (F.max("close"), F.max)},
     )

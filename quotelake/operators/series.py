@@ -8,6 +8,7 @@ on the block or chunk and not on the key:
   summaries are ordinary aggregates (combined before the shuffle); the ordered part runs on one row per
   block only.
 * ``with_position`` numbers the rows of a series.
+* ``with_sized_block`` makes blocks by the count of rows, whatever the grain of the feed.
 * ``chunked`` cuts a series into equal chunks and repeats the rows a rolling window looks back on at the
   start of the next chunk, so any row-based window of bounded length is exact inside its chunk.
 """
@@ -19,6 +20,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from quotelake.operators.sizing import materialised
+
 BLOCK = "_block"
 POSITION = "_pos"
 CHUNK = "_chunk"
@@ -29,6 +32,10 @@ REPEATED = "_repeated"
 CHUNK_ROWS = 2048
 LOOKBACK_ROWS = 512
 
+# Grains of blocks, and the rows that a block may have before it is cut at the next one.
+GRAINS = ("year", "month", "day", "hour", "minute", "second", "millisecond", "microsecond")
+BLOCK_ROWS = 1 << 16
+
 Summary = tuple[Column, Callable[[Column], Column]]
 
 
@@ -38,6 +45,25 @@ def with_block(df: DataFrame, time: str = "date", grain: str = "year") -> DataFr
     return df.withColumn(BLOCK, F.date_trunc(grain, F.col(time).cast("timestamp")))
 
 
+def with_sized_block(df: DataFrame, by: Sequence[str] = ("ticker",), time: str = "date", rows: int = BLOCK_ROWS) -> DataFrame:
+    """Tag calendar blocks of at most ``rows`` rows each: years, and where a series has more in one, its months, days and so on down.
+
+    Counts combine before the shuffle, and each finer count only covers the blocks that are too full; daily bars need one. Rows of
+    one microsecond have no order among them and stay together. A block is its first moment, so blocks of a series never overlap.
+    """
+    moment = F.col(time).cast("timestamp")
+    tagged = df.withColumn(BLOCK, F.date_trunc(GRAINS[0], moment))
+    suspects, keys = tagged, [*by, BLOCK]
+    for finer in GRAINS[1:]:
+        counted = suspects.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > rows)
+        full = materialised(counted.select(*keys, F.lit(True).alias("_full")), "full-blocks")
+        if full.isEmpty():
+            break
+        cut = tagged.join(full, keys, "left").withColumn(BLOCK, F.when(F.col("_full"), F.date_trunc(finer, moment)).otherwise(F.col(BLOCK)))
+        tagged, suspects = cut.drop("_full"), cut.where("_full")
+    return tagged
+
+
 def within_block(by: Sequence[str], order: Sequence[str]) -> WindowSpec:
     return Window.partitionBy(*by, BLOCK).orderBy(*order)
 

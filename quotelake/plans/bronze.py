@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,18 @@ from quotelake.sources.control import (
 )
 from quotelake.sources.sinks import save_raw
 
+# The kinds of snapshots, with the area each lands in and its logical key.
+SNAPSHOTS = {
+    "info": ("ticker", "ticker"),
+    "calendar": ("ticker", "ticker"),
+    "status": ("market", "market"),
+    "summary": ("market", "market"),
+    "sector": ("sector_industry", "sector"),
+    "industry": ("sector_industry", "industry"),
+    "statements": ("equity", "ticker"),
+    "funds": ("funds", "ticker"),
+}
+
 # Fixed value: where price history starts when nothing has landed yet.
 START_DATE = "2016-01-01"
 
@@ -56,3 +70,25 @@ def land_snapshot(snapshot: DataFrame, root: str, area: str, kind: str, key: str
     save_raw(tag_extraction(changed_rows(snapshot, compared, [key])), root, area, kind, key)
     save_hashes(compared, root, f"{area}_{kind}", [key])
     return compared
+
+
+def land_snapshots(snapshots: Mapping[str, DataFrame], root: str) -> dict[str, dict[str, int]]:
+    """Land several kinds, each where its content is new or changed; returns the number of keys by kind and status.
+
+    A kind that fails does not keep the others from landing; the failures are raised together at the end.
+    """
+    unknown = sorted(set(snapshots) - set(SNAPSHOTS))
+    if unknown:
+        raise ValueError(f"unknown kinds of snapshots: {', '.join(unknown)}")
+    counts, failures = {}, []
+    for kind, rows in snapshots.items():
+        try:
+            compared = land_snapshot(rows, root, SNAPSHOTS[kind][0], kind, SNAPSHOTS[kind][1])
+            # three statuses at most
+            counts[kind] = {r["status"]: r["count"] for r in compared.groupBy("status").count().collect()}
+        except Exception as error:
+            error.add_note(f"snapshots of kind {kind}")
+            failures.append(error)
+    if failures:
+        raise ExceptionGroup(f"{len(failures)} of {len(snapshots)} kinds of snapshots did not land", failures)
+    return counts

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.operators import integrity, snapshots
 from quotelake.plans import testbed as tb
-from quotelake.plans.bronze import land_snapshot
+from quotelake.plans.bronze import SNAPSHOTS, land_snapshot, land_snapshots
 from quotelake.plans.catalog.registry import query
 from quotelake.session import work_folder
 from quotelake.sources import control
@@ -68,6 +71,36 @@ def snapshots_landed_when_changed(spark, folder):
     return read_bronze(spark, root, "market", "segment").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("rows"))
 
 
+# kind: table, the column that is its key, and which keys change before the second run
+_KINDS = {
+    "info": ("nation", "n_name", "n_name < 'C'", "n_regionkey"),
+    "status": ("region", "r_name", "r_name = 'ASIA'", "r_regionkey"),
+    "summary": ("customer", "c_mktsegment", "c_mktsegment = 'MACHINERY'", "c_custkey"),
+    "industry": ("part", "p_type", "p_type LIKE 'SMALL%'", "p_partkey"),
+    "calendar": ("orders", "o_orderstatus", "o_orderstatus = 'F'", "o_orderkey"),
+    "funds": ("events", "event_type", "event_type < 'd'", "event_id"),
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{kind}' AS kind, {key} AS key, CAST(count(*) * CASE WHEN {changed} THEN 2 ELSE 1 END AS BIGINT) AS rows FROM {table} WHERE {key} IS NOT NULL GROUP BY {key}"
+    for kind, (table, key, changed, _) in _KINDS.items()))
+def snapshot_kinds_landed(spark, folder):
+    """Two landing runs of several kinds at once; the second writes the changed keys only."""
+    root = work_folder(spark, "bronze")
+    for step in (0, 1):
+        land_snapshots({
+            kind: tb.table(spark, folder, table).where(f"{key} IS NOT NULL").selectExpr(f"{key} AS {SNAPSHOTS[kind][1]}", f"{value} + CASE WHEN {changed} THEN {step} ELSE 0 END AS content")
+            for kind, (table, key, changed, value) in _KINDS.items()
+        }, root)
+    counts = [
+        read_bronze(spark, root, SNAPSHOTS[kind][0], kind).groupBy(F.col(SNAPSHOTS[kind][1]).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+        .select(F.lit(kind).alias("kind"), "key", "rows")
+        for kind in _KINDS
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @query()
 def manifest_files(spark, folder):
     """Path and sha256 of every file of the given tables."""

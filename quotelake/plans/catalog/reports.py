@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quotelake.functions.names import column
@@ -12,6 +14,7 @@ from quotelake.operators import reports as rp
 from quotelake.operators.indicators import compute_indicators
 from quotelake.operators.sizing import materialised
 from quotelake.operators.tables import technical_indicators
+from quotelake.plans import reports as report_plan
 from quotelake.plans import testbed as tb
 from quotelake.plans.catalog.indicators import ALL, INDICATORS_SQL
 from quotelake.plans.catalog.registry import query, rounded, rounded_as
@@ -208,6 +211,35 @@ def rows_a_basic_reader_sees(spark, folder):
     return rp.visible_rows(report, rp.permissions(report), "basic")
 
 
+_BARS = f"(SELECT count(*) FROM ({tb.BARS_TYPE}))"
+_NAMES = f"(SELECT count(DISTINCT ticker) FROM ({tb.BARS_TYPE}))"
+_VIEW_ROWS = {
+    "summary_table": _NAMES,
+    "price_timeseries": _BARS,
+    "normalized_performance": _BARS,
+    "volume": f"(SELECT count(DISTINCT ticker) * count(DISTINCT date_trunc('month', date)) FROM ({tb.BARS_TYPE}))",
+    "volatility": _BARS,
+    "price_correlation": f"{_NAMES} * {_NAMES}",
+    "indicator_correlation": str(len(_COLUMNS) ** 2),
+    "technical_indicators": _BARS,
+}
+
+
+@query(" UNION ALL ".join(
+    f"SELECT '{role}' AS role, '{section}' AS section, CAST({_VIEW_ROWS[section]} AS BIGINT) AS rows" for role, sections in rp.ROLES.items() for section in sections))
+def report_written(spark, folder):
+    """The report job: all sections as tables, counted through what each role may read."""
+    root = work_folder(spark, "report")
+    b = bars(spark, folder)
+    report_plan.write_report(b, materialised(technical_indicators(compute_indicators(b)), "technical"), root)
+    counts = [
+        report_plan.read_section(spark, root, section, role).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(role).alias("role"), F.lit(section).alias("section"), "rows")
+        for role in rp.ROLES
+        for section in report_plan.sections_of(spark, root, role)
+    ]
+    return reduce(DataFrame.unionAll, counts)
+
+
 @query("""SELECT o_orderkey, CASE WHEN x >= 1e9 THEN printf('%.1fB', x / 1e9) WHEN x >= 1e6 THEN printf('%.0fM', x / 1e6)
     WHEN x >= 1e3 THEN printf('%.0fK', x / 1e3) ELSE printf('%.0f', x) END AS shown
     FROM (SELECT o_orderkey, CASE o_orderstatus WHEN 'F' THEN o_totalprice * 10007 WHEN 'O' THEN o_totalprice * 103

@@ -7,6 +7,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import types as T
 
 TEXT, DOUBLE, LONG, INT, TIME = T.StringType(), T.DoubleType(), T.LongType(), T.IntegerType(), T.TimestampType()
+DATE = T.DateType()
 MONEY = T.DecimalType(18, 2)
 
 

@@ -9,12 +9,14 @@ from quotelake.operators.indicators import INDICATORS, compute_indicators
 from quotelake.operators.integrity import IntegrityError
 from quotelake.plans import chain
 from quotelake.plans import silver as silver_plan
+from quotelake.plans.bronze import SNAPSHOTS, land_snapshots
 from quotelake.plans.gold import read_gold
+from quotelake.plans.reports import read_section
 from quotelake.plans.silver import refresh_silver
-from quotelake.schemas import BRONZE_PRICES, FACT_PRICES, INFO, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
+from quotelake.schemas import BRONZE_PRICES, FACT_PREDICTED, FACT_PRICES, INFO, PRICE_HISTORY, STOCKS_MASTER, TECHNICAL
 from quotelake.sources import commits
 from quotelake.sources.control import custody_tail
-from quotelake.sources.files import read_table
+from quotelake.sources.files import read_bronze, read_table
 from quotelake.streaming.silver_stream import stream_silver
 from tests.test_series import bars
 
@@ -164,3 +166,37 @@ def test_second_runs_see_what_landed(spark, tmp_path, monkeypatch):
         finally:
             monkeypatch.undo()
             time.tzset()
+
+
+def test_the_whole_run(spark, tmp_path):
+    """Snapshots of all kinds, predictions, exports and the report; a second run has nothing to do but the predictions it is given."""
+    lake = chain.Lake(*(str(tmp_path / n) for n in ("bronze", "silver", "gold", "control")))
+    pdf = bars(80, tickers=("A", "B")).sort_values("date")
+    info = spark.createDataFrame([("A", "Ay", "tech", "chips"), ("B", "Bee", "food", "corn")], "ticker string, longName string, sector string, industry string")
+    prices = landed(spark, pdf).drop("extraction_timestamp")
+    kinds = {kind: spark.createDataFrame([("k1", 1), ("k2", 2)], f"{key} string, v int") for kind, (_, key) in SNAPSHOTS.items() if kind != "info"}
+    predicted = spark.createDataFrame([("2030-01-01", "A", "tech", "chips", "2029-12-31", 5.0)], "date string, ticker string, sector string, industry string, exportDate string, close double")
+    more = {"snapshots": kinds, "exports": str(tmp_path / "out"), "report": str(tmp_path / "report")}
+    first = chain.daily_run(spark, lake, prices, info, predictions=predicted, **more)
+    assert first == {"bronze": True, "silver": True, "gold": True, "predictions": True, "exports": True, "report": True}
+    for kind, (area, key) in SNAPSHOTS.items():
+        assert read_bronze(spark, lake.bronze, area, kind).select(key).distinct().count() == 2
+    assert read_gold(spark, lake.gold, FACT_PREDICTED).count() == 1
+    shown = read_section(spark, more["report"], "price_timeseries", "basic")
+    assert shown.count() == read_table(spark, f"{lake.silver}/price_history", PRICE_HISTORY).count() > 0
+    exported = spark.read.option("header", "true").csv(f"{more['exports']}/stock_prices_daily")
+    assert exported.count() == read_gold(spark, lake.gold, FACT_PRICES).count() > 0
+    kinds["status"] = spark.createDataFrame([("k1", 1), ("k2", 3)], "market string, v int")
+    assert chain.daily_run(spark, lake, prices, info, **more) == {"bronze": False, "silver": False, "gold": False, "exports": False, "report": False}
+    assert read_bronze(spark, lake.bronze, "market", "status").count() == 3
+    assert read_bronze(spark, lake.bronze, "funds", "funds").count() == 2
+
+
+def test_a_kind_that_fails_keeps_no_other_from_landing(spark, tmp_path):
+    good = spark.createDataFrame([("k1", 1)], "market string, v int")
+    with pytest.raises(ExceptionGroup) as found:
+        land_snapshots({"calendar": good, "status": good}, str(tmp_path))
+    assert len(found.value.exceptions) == 1 and "calendar" in found.value.exceptions[0].__notes__[0]
+    assert read_bronze(spark, str(tmp_path), "market", "status").count() == 1
+    with pytest.raises(ValueError, match="weather"):
+        land_snapshots({"weather": good}, str(tmp_path))

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotelake.functions.text import magnitude
-from quotelake.operators import analytics, reports
+from quotelake.operators import analytics, reports, series
 from quotelake.operators.indicators import compute_indicators
+from quotelake.operators.tables import technical_indicators
+from quotelake.plans import reports as report_plan
 from tests.test_series import bars
 
 
@@ -182,3 +184,60 @@ def test_clusters_separate_obvious_groups(spark, scaled):
     groups = [{got[f"t{i}"] for i in range(k, 12, 3)} for k in range(3)]
     assert all(len(g) == 1 for g in groups) and len(set.union(*groups)) == 3
     assert analytics.cluster_centres(analytics.cluster_tickers(df, scaled=scaled)).count() == 3
+
+
+@pytest.mark.parametrize("tile", [1, 3, 64])
+def test_tiles_do_not_change_the_correlation(spark, tile):
+    rng = np.random.default_rng(tile)
+    wide = pd.DataFrame(100 + np.cumsum(rng.normal(0, 1, (60, 11)), axis=0), columns=[f"t{k}" for k in range(11)], index=pd.date_range("2020-01-20", periods=60))
+    long = wide.rename_axis("date").reset_index().melt("date", var_name="ticker", value_name="close")
+    want = wide.pct_change().corr()
+    got = analytics.returns_correlation(spark.createDataFrame(long).repartition(3), tile=tile).collect()
+    assert len(got) == 121
+    for r in got:
+        assert r["corr"] == pytest.approx(want.loc[r["ticker_a"], r["ticker_b"]], abs=1e-9)
+
+
+def test_a_tick_feed_makes_no_large_block(spark):
+    """All rows in one ticker and year, most of them in one second."""
+    rng = np.random.default_rng(5)
+    second = pd.date_range("2020-03-01 10:00:00", periods=3000, freq="300us")
+    hours = pd.date_range("2020-05-01", periods=500, freq="7min")
+    pdf = pd.DataFrame({"ticker": "A", "date": second.append(hours), "close": 50 + rng.random(3500), "volume": 1})
+    ticks = spark.createDataFrame(pdf).repartition(5)
+    blocked = series.with_sized_block(ticks, rows=100)
+    sizes = [r["count"] for r in blocked.groupBy("ticker", series.BLOCK).count().collect()]
+    assert sum(sizes) == 3500 and max(sizes) <= 100
+    got = analytics.with_returns(ticks, rows=100).toPandas().sort_values("date")["ret"]
+    np.testing.assert_allclose(got.to_numpy(float), pdf["close"].pct_change().to_numpy(), rtol=1e-12)
+    fall = (pdf["close"] / pdf["close"].cummax() - 1).min()
+    assert analytics.drawdowns(ticks, rows=100).head()["max_drawdown"] == pytest.approx(fall, rel=1e-12)
+    found = reports.portfolio_summary(ticks, rows=100).head()
+    assert found["days"] == 3500 and found["max_drawdown"] == pytest.approx(fall, rel=1e-12)
+    assert found["annual_volatility"] == pytest.approx(pdf["close"].pct_change().std() * np.sqrt(252), rel=1e-9)
+    indexed = reports.normalised_performance(ticks, rows=100).toPandas().sort_values("date")["indexed"]
+    np.testing.assert_allclose(indexed.to_numpy(), (pdf["close"] / pdf["close"][0] * 100).to_numpy(), rtol=1e-12)
+
+
+def test_rows_of_one_moment_stay_together(spark):
+    ticks = spark.range(50).selectExpr("'A' ticker", "timestamp '2020-01-01 00:00:00' date", "1.0D close")
+    assert series.with_sized_block(ticks, rows=10).select(series.BLOCK).distinct().count() == 1
+    assert series.with_sized_block(ticks.limit(0), rows=10).count() == 0
+
+
+def test_report_job(spark, df, rows, tmp_path):
+    root = str(tmp_path)
+    prices, technical = df.select("ticker", "date", "close", "volume"), technical_indicators(compute_indicators(df))
+    report_plan.write_report(prices, technical, root)
+    assert report_plan.sections_of(spark, root, "basic") == list(reports.BASIC_SECTIONS)
+    assert set(report_plan.sections_of(spark, root, "advanced")) == set(report_plan.SECTIONS)
+    with pytest.raises(PermissionError, match="technical_indicators"):
+        report_plan.read_section(spark, root, "technical_indicators", "basic")
+    with pytest.raises(ValueError, match="guest"):
+        report_plan.sections_of(spark, root, "guest")
+    for section in report_plan.SECTIONS:
+        stored = report_plan.read_section(spark, root, section, "advanced")
+        assert stored.columns == report_plan.SECTIONS[section].fieldNames()
+        if section not in ("volatility", "technical_indicators", "price_correlation", "indicator_correlation"):
+            assert rows(stored) == rows(report_plan.section_rows(prices, technical, section))
+    assert report_plan.read_section(spark, root, "technical_indicators", "advanced").count() == df.count()

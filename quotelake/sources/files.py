@@ -19,6 +19,9 @@ from quotelake.sources.paths import literal
 
 Moment = dt.datetime | int | str | None
 
+# Landed files by their encoding. The first two are of lakes that had a folder per key.
+ENCODINGS = ("typed", "text", "typed_rows", "text_rows")
+
 
 def _missing(error: AnalysisException) -> bool:
     return (error.getCondition() or "") in {"PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"}
@@ -118,9 +121,9 @@ def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 
 
 def bronze_frames(spark: SparkSession, root: str, area: str, kind: str) -> list[DataFrame]:
-    """The landed files of a kind: one scan of the typed and one of the all-text files, where present."""
+    """The landed files of a kind: a scan of each encoding that is present."""
     frames = []
-    for encoding in ("typed", "text"):
+    for encoding in ENCODINGS:
         try:
             frames.append(text_partitions(spark, f"{root}/{area}/encoding={encoding}/kind={kind}", ["key"]))
         except AnalysisException as error:
@@ -132,7 +135,7 @@ def bronze_frames(spark: SparkSession, root: str, area: str, kind: str) -> list[
 def read_bronze_files(spark: SparkSession, root: str, area: str, kind: str, names: Sequence[str]) -> DataFrame:
     """Landed rows of the given files of a kind (paths below the area's folder); there is at least one."""
     frames = []
-    for encoding in ("typed", "text"):
+    for encoding in ENCODINGS:
         below = f"encoding={encoding}/kind={kind}/"
         own = [name.removeprefix(below) for name in names if name.startswith(below)]
         if own:

@@ -36,15 +36,17 @@ def _storable(dtype: T.DataType) -> bool:
 
 
 def save_raw(df: DataFrame, root: str, area: str, kind: str, key: str = "ticker") -> str:
-    """Append landed rows, one folder per kind and key. Frames that Parquet cannot hold become all text.
+    """Append landed rows, one folder per kind. Frames that Parquet cannot hold become all text.
 
-    Typed and text files live apart, so each can be scanned with one schema.
+    Typed and text files live apart, so each can be scanned with one schema. The key is a column: files hold whole keys as long as these are small, so
+    their number goes by the rows and not by the keys. An empty key is read as missing.
     """
     storable = all(_storable(f.dataType) for f in df.schema)
-    encoding = "typed" if storable else "text"
+    encoding = "typed_rows" if storable else "text_rows"
     path = f"{root}/{area}/encoding={encoding}/kind={kind}"
-    keyed = (df if storable else as_text(df)).withColumn("key", F.col(key).cast("string"))
-    keyed.hint("rebalance", "key").write.mode("append").partitionBy("key").parquet(path)
+    named = F.col(key).cast("string")
+    keyed = (df if storable else as_text(df)).withColumn("key", F.when(named != "", named))
+    keyed.hint("rebalance", "key").sortWithinPartitions("key").write.mode("append").parquet(path)
     return path
 
 

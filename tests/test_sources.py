@@ -64,6 +64,18 @@ def test_save_raw_falls_back_to_text(spark, tmp_path):
         files.read_bronze(spark, root, "ticker", "other")
 
 
+def test_landed_files_do_not_grow_with_the_keys(spark, tmp_path):
+    root = str(tmp_path)
+    raw = spark.range(500).select(F.when(F.col("id") > 1, F.format_string("T%d", "id")).when(F.col("id") == 1, "").alias("ticker"), F.col("id").alias("v"))
+    sinks.save_raw(raw, root, "ticker", "info")
+    assert sum(name.endswith(".parquet") for _, _, names in os.walk(root) for name in names) < 50
+    # what an older run landed in a folder per key is read as well
+    raw.where("v = 7").withColumn("key", F.col("ticker")).write.partitionBy("key").parquet(f"{root}/ticker/encoding=typed/kind=info")
+    got = files.read_bronze(spark, root, "ticker", "info").collect()
+    assert sorted(r["v"] for r in got) == sorted([*range(500), 7])
+    assert all(r["key"] == (r["ticker"] or None) for r in got)
+
+
 def test_scans_by_pattern_and_time(spark, rows, tmp_path):
     root = str(tmp_path / "lake")
     df = spark.createDataFrame([(1, float("nan"))], "a int, x double")

@@ -8,8 +8,8 @@ the width of the range or more). So good documents share one point, and few spli
 from labelled rows as well: of all scores, the one with the best share of bad rows above it, less ``caution`` times the share of
 good rows. Rows that fail the base rule are decided already and teach nothing.
 
-The forest is fitted on at most ``sample_rows`` labelled documents (those with the lowest hash of doc_id), a bound that holds at any
-size of the corpus; every document's whole text is scored. Null texts count as empty (no words: the base rule rejects them). A
+The ranges and the threshold come from all labelled documents. Each tree is grown on ``TREE_ROWS`` rows, as the method has it; the trees draw
+them from ``sample_rows`` labelled documents (those with the lowest hash of doc_id, from all of them). Every document's whole text is scored. Null texts count as empty (no words: the base rule rejects them). A
 document of fewer than 50 words, or with over half of its words in repeated windows, fails the base rule. With no labelled rows of
 either kind, only the base rule decides. Repeated doc_ids are scored row by row; labels of a repeated doc_id count once
 (the lowest). Extra columns are ignored; an empty table gives an empty result.
@@ -24,10 +24,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from quotelake.llm import textstats
-from quotelake.llm.samples import one_each, sample
+from quotelake.llm.samples import sample
 from quotelake.llm.textstats import STATISTICS, ratios, with_statistics
+from quotelake.operators.quantiles import exact_quantiles
+from quotelake.operators.series import BLOCK, with_earlier, within_block
+from quotelake.operators.sizing import materialised
 
 SAMPLE_ROWS = 6000
 TREES = 100
@@ -36,6 +40,11 @@ OUTSIDE = 0.002
 LEAST_WIDTH = 0.05
 CAUTION = 10.0
 
+# Blocks of the scores' range, by which they are put in order.
+_BLOCKS = 1 << 16
+
+_FAILED = "n_words < 50 or 100 * n_repeat_words > 50 * n_words"
+
 
 class Forest(NamedTuple):
     """All trees as flat arrays; leaves have feature -1 and carry their path length in ``split``."""
@@ -114,43 +123,77 @@ def anomaly(forest: Forest, s: dict[str, np.ndarray]) -> np.ndarray:
     return scores(forest, rows if forest.low is None else excess(rows, forest.low, forest.high))
 
 
-def calibrated(forest: Forest, rows: np.ndarray, good: np.ndarray, caution: float = CAUTION) -> Forest:
-    """The forest with the threshold above which rows are rejected."""
-    found = scores(forest, rows)
-    if good.all() or not good.any():
-        return forest
-    order = np.argsort(-found, kind="stable")
-    bad_share, good_share = np.cumsum(~good[order]) / (~good).sum(), np.cumsum(good[order]) / good.sum()
-    gain = np.where(np.append(np.diff(found[order]) < 0, True), bad_share - caution * good_share, -np.inf)
-    best = int(np.argmax(gain))
-    if gain[best] <= 0:
-        return forest
-    ranked = found[order]
-    return forest._replace(threshold=float((ranked[best] + ranked[min(best + 1, len(ranked) - 1)]) / 2))
-
-
-def labelled_statistics(docs: DataFrame, labels: DataFrame, rows: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
-    """Statistics and quality of at most ``rows`` labelled documents; only their texts are looked at."""
-    marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    chosen = sample(marked, "doc_id", rows, 11)
-    # ``rows`` is a parameter, so the broadcast has a bound
-    texts = one_each(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "doc_id", "text", "quality")
-    texts = texts.select(F.col("quality").cast("int"), "text")
-    schema = "quality int, " + ", ".join(f"{name} long" for name in STATISTICS)
-    found = texts.mapInArrow(lambda batches: with_statistics(batches, ("quality",)), schema).toPandas()
-    order = found.sort_values(list(found.columns), kind="stable")
-    return {name: order[name].to_numpy() for name in STATISTICS}, order["quality"].to_numpy() == 1
+def threshold(scored: DataFrame, caution: float = CAUTION) -> float:
+    """The score above which rows are rejected; infinite where no score sets bad rows apart. scored: score, good (stored).
+
+    The shares above each score come from counts of distinct scores, which are put in order within blocks of the score's range.
+    """
+    total = scored.agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad")).head()
+    if not total["good"] or not total["bad"]:
+        return np.inf
+    place = -F.col("score")
+    counts = scored.groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
+    blocked = materialised(counts.withColumns({"place": place, BLOCK: F.floor(place * _BLOCKS)}), "scores")
+    known = with_earlier(blocked, [], {f"{name}_before": (F.sum(name), F.sum) for name in ("good", "bad")})
+    order = within_block([], ["place"])
+    above = {name: (F.coalesce(f"{name}_before", F.lit(0)) + F.sum(name).over(order)).cast("double") / F.lit(total[name]) for name in ("good", "bad")}
+    gains = known.select("score", (above["bad"] - F.lit(float(caution)) * above["good"]).alias("gain"))
+    best = gains.orderBy(F.desc("gain"), F.desc("score")).head()
+    if best["gain"] <= 0:
+        return np.inf
+    below = blocked.where(F.col("score") < best["score"]).agg(F.max("score").alias("score")).head()["score"]
+    return (best["score"] + (best["score"] if below is None else below)) / 2
+
+
+def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """quality, the statistics and doc_id of every labelled document that passes the base rule, stored. Texts are not shuffled, only their statistics are."""
+    marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+    keyed = docs.where("doc_id is not null").select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    fields = [keyed.schema["doc_id"], keyed.schema["text_hash"], *[StructField(name, LongType()) for name in STATISTICS]]
+    found = keyed.mapInArrow(lambda batches: with_statistics(batches, ("doc_id", "text_hash")), StructType(fields))
+    # of several texts of an id, that of the least hash
+    once = found.join(marked, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("text_hash", *STATISTICS)).alias("s"))
+    return materialised(once.select("quality", *[F.col(f"s.{name}").alias(name) for name in STATISTICS], "doc_id").where(~F.expr(_FAILED)), "labelled")
+
+
+def bounds(stored: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
+    """The range that nearly all good labelled rows keep to, by ratio; None without good rows."""
+
+    def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = ratios({name: batch.column(name).to_numpy() for name in STATISTICS})
+            place = np.tile(np.arange(rows.shape[1], dtype=np.int32), len(rows))
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(rows.ravel())], names=["ratio", "value"])
+
+    values = materialised(stored.where("quality = 1").mapInArrow(listed, "ratio int, value double"), "ratios")
+    found = exact_quantiles(values, "value", {"low": OUTSIDE, "high": 1 - OUTSIDE}, ["ratio"]).orderBy("ratio").collect()
+    return (np.array([r["low"] for r in found]), np.array([r["high"] for r in found])) if found else None
+
+
+def scored_rows(stored: DataFrame, forest: Forest) -> DataFrame:
+    """score, good of each labelled row."""
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = anomaly(forest, {name: batch.column(name).to_numpy() for name in STATISTICS})
+            good = batch.column("quality").to_numpy() == 1
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(good)], names=["score", "good"])
+
+    return materialised(stored.mapInArrow(scored, "score double, good boolean"), "scored")
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, caution: float = CAUTION) -> Forest:
-    found, good = labelled_statistics(docs, labels, sample_rows)
-    own = ~base_failed(found)
-    rows, good = ratios(found)[own], good[own]
-    if not good.any():
+    stored = labelled_statistics(docs, labels)
+    kept_to = bounds(stored)
+    if kept_to is None:
         return grow(np.zeros((1, len(textstats.RATIOS))), 0)
-    low, high = np.quantile(rows[good], [OUTSIDE, 1 - OUTSIDE], axis=0)
-    rows = excess(rows, low, high)
-    return calibrated(grow(rows), rows, good, caution)._replace(low=low, high=high)
+    low, high = kept_to
+    # what the trees draw their rows from, so the collected rows have a bound
+    drawn = sample(stored, "doc_id", sample_rows, 11).select("quality", *STATISTICS).toPandas()
+    drawn = drawn.sort_values(list(drawn.columns), kind="stable")
+    rows = excess(ratios({name: drawn[name].to_numpy() for name in STATISTICS}), low, high)
+    forest = grow(rows)._replace(low=low, high=high)
+    return forest._replace(threshold=threshold(scored_rows(stored, forest), caution))
 
 
 def judge(docs: DataFrame, forest: Forest) -> DataFrame:
@@ -162,11 +205,10 @@ def judge(docs: DataFrame, forest: Forest) -> DataFrame:
             found = {name: batch.column(name).to_numpy() for name in STATISTICS}
             yield batch.append_column("anomaly", pa.array(anomaly(forest, found)))
 
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return (
         docs.select("doc_id", "text")
         .mapInArrow(judged, schema)
-        .withColumn("base_failed", failed)
+        .withColumn("base_failed", F.expr(_FAILED))
         .withColumn("kept", ~F.col("base_failed") & (F.col("anomaly") < F.lit(float(forest.threshold))))
     )
 

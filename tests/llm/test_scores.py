@@ -100,6 +100,25 @@ def test_isolation_edges(spark, edge_docs, no_docs):
     assert isolation.judge(no_docs, isolation.fit(no_docs, labels)).count() == 0
 
 
+def test_ranges_and_threshold_come_from_all_labelled_rows(spark):
+    random = np.random.default_rng(3)
+    texts = [" ".join(f"{'w' * (1 + k % 7)}{k}-{random.integers(9**6)}{'!' * int(random.integers(3))}" for k in range(60 + n % 9)) for n in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 5 > 0)) for k in range(300)], "doc_id long, quality int")
+    forest = isolation.fit(docs, labels, sample_rows=40)
+    rows, good = textstats.ratios(textstats.batch_statistics(pa.array(texts))), np.arange(300) % 5 > 0
+    low, high = np.quantile(rows[good], [isolation.OUTSIDE, 1 - isolation.OUTSIDE], axis=0)
+    np.testing.assert_allclose([forest.low, forest.high], [low, high], rtol=1e-12)
+
+    found = np.round(random.random(500), 2)
+    bad = found + random.random(500) > 1.1
+    scored = spark.createDataFrame([(float(x), not bool(y)) for x, y in zip(found, bad, strict=True)], "score double, good boolean")
+    gains = {x: (bad & (found >= x)).sum() / bad.sum() - 0.5 * (~bad & (found >= x)).sum() / (~bad).sum() for x in found}
+    best = max(gains, key=lambda x: (gains[x], x))
+    assert isolation.threshold(scored, 0.5) == pytest.approx((best + found[found < best].max(initial=0)) / 2)
+    assert isolation.threshold(scored.where("good")) == isolation.threshold(scored.where("false")) == np.inf
+
+
 def test_lasso_finds_the_rules_that_matter():
     random = np.random.default_rng(5)
     rows = random.random((1500, 4))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -22,6 +23,26 @@ def rolling_mean(value: Column, n: int, window: WindowSpec) -> Column:
     return rolling(F.avg, value, n, window)
 
 
+def rolling_sum(value: Column, n: int, window: WindowSpec) -> Column:
+    return rolling(F.sum, value, n, window)
+
+
+def rolling_deviation(value: Column, n: int, window: WindowSpec) -> Column:
+    """The sum of squared deviations from the mean of the window."""
+    return rolling(F.var_pop, value, n, window) * n
+
+
+def sum_of_blocks(sums: Column, n: int, blocks: int, window: WindowSpec) -> Column:
+    """The rolling sum over ``blocks * n`` rows from that over ``n`` rows, a stored column: each block ends where the next begins."""
+    return reduce(Column.__add__, [sums, *[F.lag(sums, n * k).over(window) for k in range(1, blocks)]])
+
+
+def std_of_two_blocks(sums: Column, deviations: Column, n: int, window: WindowSpec) -> Column:
+    """The rolling sample standard deviation over ``2 * n`` rows from sums and squared deviations over ``n`` rows, both stored columns."""
+    apart = sums - F.lag(sums, n).over(window)
+    return F.sqrt((deviations + F.lag(deviations, n).over(window) + apart * apart / (2 * n)) / (2 * n - 1))
+
+
 def rolling_std(value: Column, n: int, window: WindowSpec) -> Column:
     """Sample standard deviation."""
     return rolling(F.stddev_samp, value, n, window)

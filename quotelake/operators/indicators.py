@@ -14,9 +14,11 @@ from quotelake.functions.rolling import (
     gain,
     loss,
     relative_strength,
-    rolling_mean,
-    rolling_std,
+    rolling_deviation,
+    rolling_sum,
+    std_of_two_blocks,
     step,
+    sum_of_blocks,
 )
 from quotelake.operators.series import CHUNK, CHUNK_ROWS, LOOKBACK_ROWS, POSITION, chunked, in_chunk, unchunked
 from quotelake.operators.sizing import broadcast_if_small
@@ -27,6 +29,8 @@ STRENGTH_ROWS = 14
 RANGE_ROWS = 14
 FAST_SPAN, SLOW_SPAN = 12, 26
 BAND_WIDTH = 2.0
+# Rows of the frames that the windows are put together from: the averages' and half of the others'.
+_BLOCK, _HALF = SHORT_AVERAGE // 2, STRENGTH_ROWS // 2
 OVERBOUGHT, OVERSOLD = 70.0, 30.0
 
 INDICATORS = ("sma_20", "sma_50", "atr", "rsi", "macd", "bb_upper", "bb_lower")
@@ -67,16 +71,24 @@ def compute_indicators(
         "tr": F.col("high") - F.col("low"),
     })
     out = out.withColumns({"gain": gain(F.col("diff")), "loss": loss(F.col("diff"))})
+    # A rolling frame is gone through for each row, so the long windows are put together from frames of a few rows.
     out = out.withColumns({
-        "sma_20": rolling_mean(close, SHORT_AVERAGE, window),
-        "sma_50": rolling_mean(close, LONG_AVERAGE, window),
-        "std_20": rolling_std(close, SHORT_AVERAGE, window),
-        "avg_gain": rolling_mean(F.col("gain"), STRENGTH_ROWS, window),
-        "avg_loss": rolling_mean(F.col("loss"), STRENGTH_ROWS, window),
+        "_closes": rolling_sum(close, _BLOCK, window),
+        "_deviations": rolling_deviation(close, _BLOCK, window),
+        "_gains": rolling_sum(F.col("gain"), _HALF, window),
+        "_losses": rolling_sum(F.col("loss"), _HALF, window),
+        "_ranges": rolling_sum(F.col("tr"), _HALF, window),
         "ema_12": ewm_mean(close, FAST_SPAN, window, row_in_chunk, before[FAST_SPAN], place),
         "ema_26": ewm_mean(close, SLOW_SPAN, window, row_in_chunk, before[SLOW_SPAN], place),
-        "atr": rolling_mean(F.col("tr"), RANGE_ROWS, window),
     })
+    out = out.withColumns({
+        "sma_20": sum_of_blocks(F.col("_closes"), _BLOCK, SHORT_AVERAGE // _BLOCK, window) / SHORT_AVERAGE,
+        "sma_50": sum_of_blocks(F.col("_closes"), _BLOCK, LONG_AVERAGE // _BLOCK, window) / LONG_AVERAGE,
+        "std_20": std_of_two_blocks(F.col("_closes"), F.col("_deviations"), _BLOCK, window),
+        "avg_gain": sum_of_blocks(F.col("_gains"), _HALF, 2, window) / STRENGTH_ROWS,
+        "avg_loss": sum_of_blocks(F.col("_losses"), _HALF, 2, window) / STRENGTH_ROWS,
+        "atr": sum_of_blocks(F.col("_ranges"), _HALF, 2, window) / RANGE_ROWS,
+    }).drop("_closes", "_deviations", "_gains", "_losses", "_ranges")
     if carry is not None:
         out = out.drop(*sums)
     out = unchunked(out).withColumns({

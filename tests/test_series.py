@@ -1,3 +1,4 @@
+import re
 import numpy as np
 import pandas as pd
 import pytest
@@ -224,3 +225,11 @@ def test_no_ordered_step_is_long(spark, monkeypatch, kind):
     assert all("Window" in text and text.index("Window") < text.index("HashAggregate") for text in stored)
     cells = df.select((F.shiftright(order_key(F.col("x")), 48)).alias("c")).distinct().count()
     assert cells <= 65_536
+
+
+def test_frames_of_indicators_are_short(spark):
+    """A frame is gone through for each row."""
+    empty = spark.createDataFrame([], "ticker string, date date, open double, high double, low double, close double, volume bigint")
+    plan = compute_indicators(empty)._jdf.queryExecution().optimizedPlan().toString()
+    frames = [int(n) for n in re.findall(r"RowFrame, -(\d+), currentrow", plan)]
+    assert frames and max(frames) < 10

@@ -6,13 +6,14 @@ so Spark can broadcast them when they are small and the table itself need not mo
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.operators.dedup import keep_first, keep_last
+from quotelake.operators.sizing import broadcast_if_small
 
 
 def _without(table: DataFrame, keys: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -74,11 +75,13 @@ def split_valid(
     required: Sequence[str] = (),
     lengths: dict[str, int] | None = None,
     table: DataFrame | None = None,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Rows a keyed insert takes, and the rows it refuses with a reason and their number of copies.
 
     Refused are rows without a required value, with too long a text, with a key the table already holds,
-    and all but the first row (in ``order``, then by the remaining columns) of a key.
+    and all but the first row (in ``order``, then by the remaining columns) of a key. With ``store`` (``materialised``) rows are judged once, keys
+    are counted by hash, and only rows of keys met more than once are put in order.
     """
     columns = batch.columns
     reason = F.lit(None).cast("string")
@@ -96,16 +99,24 @@ def split_valid(
             .select(*columns, "reason")
         )
     rest = [c for c in columns if c not in order]
-    accepted = keep_first(judged.where(F.col("reason").isNull()).select(*columns), keys, [*order, *rest])
+    judged = judged if store is None else store(judged, "judged")
+    valid = judged.where(F.col("reason").isNull()).select(*columns)
+    several = valid
+    if store is not None:
+        repeated = valid.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*keys)
+        known = broadcast_if_small(store(repeated, "repeated"))
+        several = valid.join(known, list(keys), "left_semi").select(*columns)
+    first_rows = keep_first(several, keys, [*order, *rest])
+    accepted = first_rows if store is None else valid.join(known, list(keys), "left_anti").select(*columns).unionByName(first_rows)
 
     # Identical rows collapse to one with a count, so copies of a hot key never travel row by row.
-    checked = judged.groupBy(*columns, "reason").agg(F.count(F.lit(1)).alias("copies"))
-    first = accepted.select(*keys, F.struct(*columns).alias("_first"))
-    spare = checked.where(F.col("reason").isNull()).drop("reason").join(first, list(keys)).withColumn(
+    copies = F.count(F.lit(1)).alias("copies")
+    first = first_rows.select(*keys, F.struct(*columns).alias("_first"))
+    spare = several.groupBy(*columns).agg(copies).join(first, list(keys)).withColumn(
         "copies", F.col("copies") - F.when(F.struct(*columns).eqNullSafe(F.col("_first")), 1).otherwise(0)
     )
     duplicates = spare.where(F.col("copies") > 0).select(*columns, F.lit("duplicate key").alias("reason"), "copies")
-    refused = checked.where(F.col("reason").isNotNull()).select(*columns, "reason", "copies")
+    refused = judged.where(F.col("reason").isNotNull()).groupBy(*columns, "reason").agg(copies)
     return accepted, refused.unionByName(duplicates)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,8 +167,9 @@ def fact_predicted(
     sectors: DataFrame,
     industries: DataFrame,
     table: DataFrame | None = None,
+    store: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """Accepted prediction facts and the refused rows with the first reason against them."""
+    """Accepted prediction facts and the refused rows with the first reason against them. ``store``: as in ``split_valid``."""
     resolved = resolve_predictions(predictions, tickers, sectors, industries)
     reason = (
         F.when(F.col("DateId").isNull() | F.col("PredictionDateId").isNull(), "unreadable date")
@@ -183,6 +184,7 @@ def fact_predicted(
         ["PredictionDateId"],
         FOREIGN_KEYS,
         table=table,
+        store=store,
     )
     names = ("ticker", "sector", "industry")
     unresolved = (

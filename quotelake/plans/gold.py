@@ -121,13 +121,14 @@ def run_gold(spark: SparkSession, silver: str, gold: str) -> bool:
 def import_predictions(spark: SparkSession, root: str, predictions: DataFrame) -> DataFrame:
     """Append predictions whose members are known; returns the refused rows with reasons.
 
-    Dates the dimension lacks are added first, with all their parts.
+    Dates the dimension lacks are added first, with all their parts. The given rows are read once.
     """
+    predictions = materialised(predictions, "predictions")
     days = predictions.select("date").unionByName(predictions.select(F.col("exportDate").alias("date")))
     rewrite_table(add_dates(read_gold(spark, root, DIM_DATE), days), f"{root}/{DIM_DATE.name}")
     stored = read_gold(spark, root, FACT_PREDICTED)
     dims = [read_gold(spark, root, s) for s in (DIM_TICKER, DIM_SECTOR, DIM_INDUSTRY)]
-    accepted, refused = fact_predicted(predictions, *dims, table=stored)
+    accepted, refused = fact_predicted(predictions, *dims, table=stored, store=materialised)
     kept, rejected = materialised(accepted, "accepted"), materialised(refused, "refused")
     commits.append(kept, f"{root}/{FACT_PREDICTED.name}")
     return rejected

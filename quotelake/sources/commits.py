@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import re
 import uuid
 from collections.abc import Sequence
 from urllib.parse import unquote
@@ -123,12 +124,12 @@ def _filled(spark: SparkSession, path: str, schema: T.StructType, by: Sequence[s
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], FOLDERS)
-    keys = F.map_from_arrays(F.array(*[F.lit(c) for c in by]), F.array(*[F.col(c).cast("string") for c in by])) if by else F.lit(None)
-    part = r"((?:[^/]+/){%d})" % len(by) + f"{VERSION}=[^/]+/[^/]+$"
-    folder = F.regexp_extract("_metadata.file_path", part, 1)
-    rows = found.select(folder.alias("folder"), keys.cast("map<string,string>").alias("keys")).groupBy("folder").agg(F.any_value("keys").alias("keys"))
+    # rows are counted by file, so nothing is made of a path for each row; a partition's folder is the end of its files' paths
+    files = found.groupBy(F.col("_metadata.file_path").alias("_file"), *[F.col(c).cast("string").alias(f"_k{k}") for k, c in enumerate(by)]).count()
+    part = re.compile(r"((?:[^/]+/){%d})" % len(by) + f"{VERSION}=[^/]+/[^/]+$")
+    folders = {part.search(r["_file"]).group(1): {c: r[f"_k{k}"] for k, c in enumerate(by)} or None for r in files.collect()}
     # the scan tells paths as URIs; the log keeps them as the file system has them
-    plain = [(unquote(r["folder"]), r["keys"], version, number, replaces) for r in rows.collect()]
+    plain = [(unquote(folder), keys, version, number, replaces) for folder, keys in folders.items()]
     return spark.createDataFrame(plain, FOLDERS)
 
 

@@ -156,3 +156,19 @@ def test_years_for_lookback(spark, rows):
     assert {(r["ticker"], r["year"]) for r in got.collect()} == {("A", 2022), ("A", 2021), ("A", 2020), ("B", 2022), ("B", 2018)}
     assert rows(lookback(got, batch, 4)) == rows(lookback(history, batch, 4))
     assert years_for_lookback(history, batch.limit(0), 4).isEmpty()
+
+
+def test_stored_rows_are_judged_once(spark, rows):
+    data = [(k % 40, k % 3 and k % 7, k % 2) for k in range(90)] + [(5, 1, 1)] * 3 + [(None, 1, 1), (6, None, 0)]
+    batch = spark.createDataFrame(data, "a int, b int, c int")
+    held = spark.createDataFrame([(3,), (None,)], "a int")
+    stored = []
+
+    def store(df, purpose):
+        stored.append(purpose)
+        return df
+
+    plain = split_valid(batch, ["a"], ["b"], ["b"], table=held)
+    checked = split_valid(batch, ["a"], ["b"], ["b"], table=held, store=store)
+    assert [rows(df) for df in checked] == [rows(df) for df in plain]
+    assert stored == ["judged", "repeated"]

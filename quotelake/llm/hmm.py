@@ -45,6 +45,8 @@ GROUP_CELLS = 4_800_000
 SORTED_TOKENS = 4_000_000
 RANGE_CELLS = 4096
 SALTS = 64
+MOVES_AT_ONCE = 1 << 13
+EMITS_AT_ONCE = 1 << 17
 COUNTED_WORDS = 2_000_000
 
 _DIGIT = np.zeros(256, np.int64)
@@ -217,14 +219,21 @@ def lattice(classes: np.ndarray, lengths: np.ndarray) -> Lattice:
 
 def forward(model: Model, x: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scaled forward probabilities, their scales, and the emissions of each token."""
-    emitted = model.emit.T[x.classes]
+    emitted = np.ascontiguousarray(model.emit.T).take(x.classes, axis=0)
     alpha, scale = np.empty_like(emitted), np.empty(len(x.classes), emitted.dtype)
-    now = model.start
+    ones = np.ones(len(model.start), emitted.dtype)
+    # a long text has many steps of few texts, so each step is four calls that write where their result stays
+    before = None
     for start, n in zip(x.starts.tolist(), x.active.tolist(), strict=True):
-        now = (now[:n] @ model.move if start else np.broadcast_to(now, (n, len(now)))) * emitted[start : start + n]
-        total = now.sum(axis=1)
-        now /= total[:, None]
-        alpha[start : start + n], scale[start : start + n] = now, total
+        now, total = alpha[start : start + n], scale[start : start + n]
+        if before is None:
+            np.multiply(model.start, emitted[:n], out=now)
+        else:
+            np.matmul(before[:n], model.move, out=now)
+            np.multiply(now, emitted[start : start + n], out=now)
+        np.matmul(now, ones, out=total)
+        np.divide(now, total[:, None], out=now)
+        before = now
     return alpha, scale, emitted
 
 
@@ -246,22 +255,27 @@ def expected_and_likelihood(model: Model, x: Lattice) -> tuple[Model, float]:
     alpha, scale, emitted = forward(model, x)
     emitted /= scale[:, None]
     states = len(model.start)
-    moves = np.zeros((states, states))
     back = model.move.T.copy()
-    beta = np.ones((int(x.active[-1]), states), emitted.dtype)
-    for t in range(len(x.starts) - 1, -1, -1):
-        start, n = int(x.starts[t]), int(x.active[t])
-        if t + 1 < len(x.starts):
-            after, m = int(x.starts[t + 1]), int(x.active[t + 1])
-            ahead = emitted[after : after + m] * beta
-            moves += alpha[start : start + m].T @ ahead
-            emitted[after : after + m] = beta  # no longer needed as emissions
-            beta = np.ones((n, states), emitted.dtype)
-            beta[:m] = ahead @ back
-    emitted[: int(x.active[0])] = beta
-    gamma = alpha * emitted
-    emits = np.stack([np.bincount(x.classes, gamma[:, k], model.emit.shape[1]) for k in range(states)])
-    return Model(gamma[: int(x.active[0])].sum(axis=0), moves * model.move, emits), float(np.log10(scale, dtype=np.float64).sum())
+    beta = np.ones_like(emitted)
+    starts, active = x.starts.tolist(), x.active.tolist()
+    for t in range(len(starts) - 1, 0, -1):
+        start, n, before = starts[t], active[t], starts[t - 1]
+        ahead = emitted[start : start + n]
+        np.multiply(ahead, beta[start : start + n], out=ahead)
+        np.matmul(ahead, back, out=beta[before : before + n])
+    # a token follows the one that lies as many places before as its previous step has texts
+    moves = np.zeros((states, states))
+    follows = np.arange(active[0], len(x.classes)) - np.repeat(x.active[:-1], x.active[1:])
+    for at in range(0, len(follows), MOVES_AT_ONCE):
+        part = follows[at : at + MOVES_AT_ONCE]
+        moves += alpha.take(part, axis=0).T @ emitted[active[0] + at : active[0] + at + len(part)]
+    gamma = np.multiply(alpha, beta, out=beta)
+    emits = np.zeros((states, model.emit.shape[1]))
+    for at in range(0, len(gamma), EMITS_AT_ONCE):
+        weights = gamma[at : at + EMITS_AT_ONCE].T.astype(np.float64, order="C")
+        for k in range(states):
+            emits[k] += np.bincount(x.classes[at : at + EMITS_AT_ONCE], weights[k], emits.shape[1])
+    return Model(gamma[: active[0]].sum(axis=0), moves * model.move, emits), float(np.log10(scale, dtype=np.float64).sum())
 
 
 def updated(counts: Model) -> Model:
@@ -363,7 +377,7 @@ def some_sequences(sequences: DataFrame, v: Vocabulary, tokens: int) -> DataFram
 
 
 def expected_over(sequences: DataFrame, v: Vocabulary, model: Model) -> tuple[Model, float, float]:
-    """The expected counts over all texts, their log10 likelihood and their tokens. A range of cells is a row of a task; rows are added by salt first."""
+    """The expected counts over all texts, their log10 likelihood and their tokens. A range of cells is a row of a task; rows of many tasks are added by salt first."""
     spark = sequences.sparkSession
     shared = spark.sparkContext.broadcast(Model(*[part.astype(np.float32) for part in model]))  # CELLS emissions at most
     wide = v.size >= 1 << 16
@@ -388,7 +402,9 @@ def expected_over(sequences: DataFrame, v: Vocabulary, model: Model) -> tuple[Mo
 
     schema = "range int, salt int, cells binary"
     rows = sequences.select("classes", "lengths", "keys").mapInArrow(counted, schema)
-    whole = rows.groupBy("range", "salt").applyInArrow(added, schema).groupBy("range").applyInArrow(added, schema)
+    if sequences.rdd.getNumPartitions() > SALTS:  # with fewer tasks, a range and salt has one row
+        rows = rows.groupBy("range", "salt").applyInArrow(added, schema)
+    whole = rows.groupBy("range").applyInArrow(added, schema)
     # as many cells as the model has, and two
     found = sorted((r["range"], bytes(r["cells"])) for r in whole.collect())
     shared.destroy()

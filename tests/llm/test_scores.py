@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -291,3 +292,60 @@ def test_states_and_classes_grow_within_bounds():
 
 def test_language_model_edges(no_docs):
     assert hmm.scored(no_docs).count() == 0
+
+
+def _plain_counts(model, x):
+    """The recursions with a new array for each term of a step, as they were before."""
+    emitted = model.emit.T[x.classes]
+    alpha, scale, now = np.empty_like(emitted), np.empty(len(x.classes), emitted.dtype), model.start
+    for start, n in zip(x.starts.tolist(), x.active.tolist(), strict=True):
+        now = (now[:n] @ model.move if start else np.broadcast_to(now, (n, len(now)))) * emitted[start : start + n]
+        total = now.sum(axis=1)
+        now /= total[:, None]
+        alpha[start : start + n], scale[start : start + n] = now, total
+    emitted /= scale[:, None]
+    moves, back = np.zeros(model.move.shape), model.move.T.copy()
+    beta = np.ones((int(x.active[-1]), len(model.start)), emitted.dtype)
+    for t in range(len(x.starts) - 1, -1, -1):
+        start, n = int(x.starts[t]), int(x.active[t])
+        if t + 1 < len(x.starts):
+            after, m = int(x.starts[t + 1]), int(x.active[t + 1])
+            ahead = emitted[after : after + m] * beta
+            moves += alpha[start : start + m].T @ ahead
+            emitted[after : after + m] = beta
+            beta = np.ones((n, len(model.start)), emitted.dtype)
+            beta[:m] = ahead @ back
+    emitted[: int(x.active[0])] = beta
+    gamma = alpha * emitted
+    emits = np.stack([np.bincount(x.classes, gamma[:, k], model.emit.shape[1]) for k in range(len(model.start))])
+    return hmm.Model(gamma[: int(x.active[0])].sum(axis=0), moves * model.move, emits)
+
+
+def test_long_texts_take_few_calls_a_step():
+    random = np.random.default_rng(3)
+    lengths = random.integers(4000, 5000, 4)
+    model = hmm.Model(*[part.astype(np.float32) for part in model_of(random, 12, 3000)])
+    x = hmm.lattice(random.integers(0, 3000, int(lengths.sum())), lengths)
+    for got, wanted in zip(hmm.expected(model, x), _plain_counts(model, x), strict=True):
+        assert np.allclose(got, wanted, rtol=1e-3, atol=1e-4)
+
+    def seconds(fn):
+        begun = time.thread_time()
+        fn(model, x)
+        return time.thread_time() - begun
+
+    times = [(seconds(hmm.expected), seconds(_plain_counts)) for _ in range(9)]
+    assert min(t[0] for t in times) < min(t[1] for t in times)
+
+
+def test_counts_of_few_and_of_many_tasks_add_up(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * j) % 17}" for j in range(30))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    v = hmm.vocabulary(hmm.word_counts(docs), 40, own_classes=8)
+    sequences, model = hmm.encoded(docs, v), hmm.initial(v)
+    one = hmm.expected_over(sequences, v, model)
+    monkeypatch.setattr(hmm, "SALTS", 1)
+    many = hmm.expected_over(sequences.repartition(3), v, model)
+    for a, b in zip(one[0], many[0], strict=True):
+        assert np.allclose(a, b, rtol=1e-3, atol=1e-4)
+    assert one[1:] == pytest.approx(many[1:], rel=1e-6)

@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.operators import large_files
 from quotelake.sources.paths import literal, relative_path
 
 # What marks a log line as critical.
 CRITICAL_TEXTS = ("FATAL", "CRITICAL", "Traceback", "Exception:", "PermissionError", "ConnectionRefused")
 CRITICAL_PATTERNS = (r"(?i)\b0 rows\b",)
 
-# A file travels as one row, which holds at most 2 GiB.
+# A file that is hashed whole travels as one row, which holds at most 2 GiB.
 MAX_FILE_BYTES = 2**31 - 1024
 
 # Files that a scan is given by name; a list of names is on the driver.
@@ -42,10 +43,28 @@ def hashes_of(spark: SparkSession, root: str, files: DataFrame, pattern: str = "
 
 
 def _hashed(files: DataFrame, root: str) -> DataFrame:
+    """The files' hashes; files above ``large_files.RANGE_BYTES`` are hashed at once, a range a task, the others when the result is read."""
     checked = F.when(
         F.col("length") > MAX_FILE_BYTES, F.raise_error(F.concat(F.lit("file too large to hash: "), F.col("path")))
     ).otherwise(F.sha2("content", 256))
-    return files.select(relative_path(F.col("path"), root).alias("path"), checked.alias("sha256"), "length")
+    spark, limit, name = files.sparkSession, large_files.RANGE_BYTES, relative_path(F.col("path"), root).alias("path")
+    large = [
+        large_files.LargeFile(r["path"], r["length"], r["uri"])
+        for r in files.where(F.col("length") > limit).select("path", "length", F.col("_metadata.file_path").alias("uri")).collect()
+    ]
+    if not large:
+        return files.select(name, checked.alias("sha256"), "length")
+    found = files.where(F.col("length") <= limit).select(name, checked.alias("sha256"), "length")
+    packed = [f.path for f in large if f.path.endswith(large_files.PACKED)]
+    if packed:
+        rows = spark.read.format("binaryFile").load([literal(p) for p in packed])
+        found = found.unionAll(rows.select(name, checked.alias("sha256"), "length"))
+    plain = [f for f in large if not f.path.endswith(large_files.PACKED)]
+    if plain:
+        hashes = large_files.sha256_by_ranges(spark, plain)
+        rows = [(f.path, h, f.length) for f, h in zip(plain, hashes, strict=True)]
+        found = found.unionAll(spark.createDataFrame(rows, "path string, sha256 string, length long").select(name, "sha256", "length"))
+    return found
 
 
 def _lines_hash(lines: Column) -> Column:

@@ -31,7 +31,7 @@ from quotelake.llm.samples import sample
 from quotelake.llm.textstats import STATISTICS, ratios, with_statistics
 from quotelake.operators.quantiles import exact_quantiles
 from quotelake.operators.series import BLOCK, with_earlier, within_block
-from quotelake.operators.sizing import materialised
+from quotelake.operators.sizing import materialised, materialised_numbers
 
 SAMPLE_ROWS = 6000
 TREES = 100
@@ -133,7 +133,7 @@ def threshold(scored: DataFrame, caution: float = CAUTION) -> float:
         return np.inf
     place = -F.col("score")
     counts = scored.groupBy("score").agg(F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    blocked = materialised(counts.withColumns({"place": place, BLOCK: F.floor(place * _BLOCKS)}), "scores")
+    blocked = materialised_numbers(counts.withColumns({"place": place, BLOCK: F.floor(place * _BLOCKS)}), total["good"] + total["bad"], "scores")
     known = with_earlier(blocked, [], {f"{name}_before": (F.sum(name), F.sum) for name in ("good", "bad")})
     order = within_block([], ["place"])
     above = {name: (F.coalesce(f"{name}_before", F.lit(0)) + F.sum(name).over(order)).cast("double") / F.lit(total[name]) for name in ("good", "bad")}
@@ -153,7 +153,9 @@ def labelled_statistics(docs: DataFrame, labels: DataFrame) -> DataFrame:
     found = keyed.mapInArrow(lambda batches: with_statistics(batches, ("doc_id", "text_hash")), StructType(fields))
     # of several texts of an id, that of the least hash
     once = found.join(marked, "doc_id").groupBy("doc_id", "quality").agg(F.min(F.struct("text_hash", *STATISTICS)).alias("s"))
-    return materialised(once.select("quality", *[F.col(f"s.{name}").alias(name) for name in STATISTICS], "doc_id").where(~F.expr(_FAILED)), "labelled")
+    passing = once.select("quality", *[F.col(f"s.{name}").alias(name) for name in STATISTICS], "doc_id").where(~F.expr(_FAILED))
+    # a row per labelled id at most
+    return materialised_numbers(passing, labels.count(), "labelled")
 
 
 def bounds(stored: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
@@ -166,7 +168,7 @@ def bounds(stored: DataFrame) -> tuple[np.ndarray, np.ndarray] | None:
             yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(rows.ravel())], names=["ratio", "value"])
 
     values = materialised(stored.where("quality = 1").mapInArrow(listed, "ratio int, value double"), "ratios")
-    found = exact_quantiles(values, "value", {"low": OUTSIDE, "high": 1 - OUTSIDE}, ["ratio"]).orderBy("ratio").collect()
+    found = exact_quantiles(values, "value", {"low": OUTSIDE, "high": 1 - OUTSIDE}, ["ratio"], len(textstats.RATIOS)).orderBy("ratio").collect()
     return (np.array([r["low"] for r in found]), np.array([r["high"] for r in found])) if found else None
 
 

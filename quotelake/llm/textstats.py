@@ -96,7 +96,7 @@ def slice_statistics(s: W.Slice) -> dict[str, np.ndarray]:
 
 
 def batch_statistics(column: pa.Array) -> dict[str, np.ndarray]:
-    parts = [slice_statistics(s) for s in W.word_slices(column)]
+    parts = [slice_statistics(s) for s in W.word_slices(column, slice_bytes=W.SMALL_SLICE_BYTES)]
     return {name: np.concatenate([p[name] for p in parts]) if parts else np.zeros(0, np.int64) for name in STATISTICS}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quotelake.operators.sizing import materialised
+from quotelake.operators.sizing import materialised, materialised_numbers
 
 # Bits of the key that a round tells apart; four rounds tell all values apart.
 ROUND_BITS = 16
@@ -36,14 +36,14 @@ def _inside(ranks: Column, start: Column, size: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = ()
+    df: DataFrame, value: str, probabilities: dict[str, float], by: Sequence[str] = (), groups: int | None = None
 ) -> DataFrame:
     """One row per group with a column per named probability, linear between neighbouring ranks.
 
     Each round counts rows by the next 16 bits of their key within the cells that hold the ranks asked for, which combines before the
     shuffle, and keeps the cells that hold them now. It ends when each of these holds one value, after four rounds at most whatever the values are.
     Only cells are put in order, at most 65536 of a group and prefix. NULLs are left out. Give a stored frame where it is costly to compute
-    more than once.
+    more than once. groups: how many there are, where that is known; cells then go to as many tasks as they are worth.
     """
     by = list(by)
     rows = df.select(*by, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull()).withColumn("_key", order_key(F.col("_v")))
@@ -67,9 +67,8 @@ def exact_quantiles(
     while True:
         # At most two cells per group and probability. Stored, they are known to be small and the next round joins them
         # without moving the column.
-        hits = materialised(
-            cells.withColumn("_ranks", _inside(F.col("_ranks"), F.col("_start"), F.col("_size"))).where(F.size("_ranks") > 0), "cells"
-        )
+        holding = cells.withColumn("_ranks", _inside(F.col("_ranks"), F.col("_start"), F.col("_size"))).where(F.size("_ranks") > 0)
+        hits = materialised(holding, "cells") if groups is None else materialised_numbers(holding, groups << ROUND_BITS, "cells")
         if shift == 0 or hits.where("_low < _high").isEmpty():
             break
         prefix = F.shiftright("_key", shift).alias("_prefix")

@@ -9,6 +9,8 @@ from quotelake.session import work_folder
 
 # Rows of a dimension that fit an executor comfortably (about 100 bytes each).
 BROADCAST_ROWS = 1_000_000
+# Rows of numbers that make a file worth its cost: about 1 MB.
+FILE_ROWS = 16384
 
 
 def materialised(df: DataFrame, purpose: str = "stage") -> DataFrame:
@@ -22,6 +24,11 @@ def materialised(df: DataFrame, purpose: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def materialised_numbers(df: DataFrame, rows: int, purpose: str = "stage") -> DataFrame:
+    """The same for narrow rows of which a bound on the number is known: a task writes FILE_ROWS or so, and not a file per shuffle partition."""
+    return materialised(df.coalesce(max(1, -(-rows // FILE_ROWS))), purpose)
+
+
 def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when a count proves the frame small; otherwise leave the join to Spark.
 

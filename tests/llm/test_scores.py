@@ -3,6 +3,7 @@
 import math
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -349,3 +350,27 @@ def test_counts_of_few_and_of_many_tasks_add_up(spark, monkeypatch):
     for a, b in zip(one[0], many[0], strict=True):
         assert np.allclose(a, b, rtol=1e-3, atol=1e-4)
     assert one[1:] == pytest.approx(many[1:], rel=1e-6)
+
+
+def test_statistics_of_many_texts_take_little_memory():
+    texts = pa.array([" ".join(f"w{(k * j) % 101}" for j in range(2000)) for k in range(500)])
+    textstats.batch_statistics(texts)
+    tracemalloc.start()
+    textstats.batch_statistics(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 16 << 20
+
+
+def test_few_labelled_rows_make_few_files(spark, small_docs, small):
+    # a shuffle partition each, as with many partitions that adaptive execution leaves alone
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in conf}
+    for name, value in conf.items():
+        spark.conf.set(name, value)
+    try:
+        stored = isolation.labelled_statistics(small_docs, spark.read.parquet(f"{small}/labels.parquet"))
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert stored.count() > 40 and len(stored.inputFiles()) == 1

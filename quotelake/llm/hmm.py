@@ -46,21 +46,36 @@ SORTED_TOKENS = 4_000_000
 RANGE_CELLS = 4096
 SALTS = 64
 MOVES_AT_ONCE = 1 << 13
-EMITS_AT_ONCE = 1 << 17
+EMITS_AT_ONCE = 1 << 14  # what is held of these stays in a core's cache
 COUNTED_WORDS = 2_000_000
+PLACE_BITS = 18
+_PLACE_SHIFT = np.uint64(64 - PLACE_BITS)
 
-_DIGIT = np.zeros(256, np.int64)
-_DIGIT[48:58] = 1
+_DIGIT = np.zeros(256, bool)
+_DIGIT[48:58] = True
 _LAST_MARK = np.zeros(256, np.int64)
 _LAST_MARK[list(b".,;:!?#*$%&|<>)\"'")] = 1
 
 
 def kinds(s: W.Slice) -> np.ndarray:
     """The shared class of each word: length (up to 15 bytes), a digit in it, a mark at its end."""
-    digits = np.concatenate(([0], np.cumsum(_DIGIT[s.data])))
     if not len(s.starts):
         return np.zeros(0, np.int64)
-    return np.minimum(s.ends - s.starts, 15) + 16 * (digits[s.ends] > digits[s.starts]) + 32 * _LAST_MARK[s.data[s.ends - 1]]
+    digit = np.zeros(len(s.starts), np.int64)
+    digit[np.searchsorted(s.starts, np.flatnonzero(_DIGIT[s.data]), "right") - 1] = 1
+    return np.minimum(s.ends - s.starts, 15) + 16 * digit + 32 * _LAST_MARK[s.data[s.ends - 1]]
+
+
+class Places(NamedTuple):
+    """Where the words that begin with the same PLACE_BITS bits lie among words in order. Hashes are spread evenly, so few share them."""
+
+    first: np.ndarray
+    most: int  # words with the same bits
+
+
+def places_of(words: np.ndarray) -> Places:
+    sizes = np.bincount((words >> _PLACE_SHIFT).astype(np.int64), minlength=1 << PLACE_BITS)
+    return Places((np.cumsum(sizes) - sizes).astype(np.int32), int(sizes.max()))
 
 
 class Vocabulary(NamedTuple):
@@ -75,6 +90,7 @@ class Vocabulary(NamedTuple):
     tokens: int  # with the ends
     distinct: int
     own: int  # words with a class of their own; the classes of the kinds and of the end follow
+    places: Places
 
     @property
     def size(self) -> int:
@@ -84,8 +100,15 @@ class Vocabulary(NamedTuple):
         """The places of words, -1 for others."""
         if not len(self.words):
             return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        return np.where(self.words[at] == hashes, at, -1)
+        last = len(self.words) - 1
+        at = np.minimum(self.places.first[(hashes >> _PLACE_SHIFT).astype(np.int64)], last)
+        found = np.where(self.words[at] == hashes, at, -1).astype(np.int64)
+        for k in range(1, self.places.most):
+            missing = np.flatnonzero(found < 0)
+            later = np.minimum(at[missing] + k, last)
+            same = self.words[later] == hashes[missing]
+            found[missing[same]] = later[same]
+        return found
 
 
 def _held_out(share: int, remainder: int) -> Column:
@@ -95,8 +118,11 @@ def _held_out(share: int, remainder: int) -> Column:
 
 def _merged(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     words, kind, n = (np.concatenate(p) for p in zip(*parts, strict=True))
-    unique, first, inverse = np.unique(words, return_index=True, return_inverse=True)
-    return unique, kind[first], np.bincount(inverse, n, len(unique)).astype(np.int64)
+    coded = pa.array(words).dictionary_encode()  # by a hash table, so nothing is put in order
+    unique, which = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    kind_of = np.empty(len(unique), kind.dtype)
+    kind_of[which] = kind
+    return unique, kind_of, np.bincount(which, n, len(unique)).astype(np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +137,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
     for batch in batches:
-        for s in W.word_slices(batch.column("text"), lower=True):
+        for s in W.word_slices(batch.column("text"), lower=True, slice_bytes=W.SMALL_SLICE_BYTES):
             if len(s.hashes):
                 parts.append(_merged([(s.hashes, kinds(s), np.ones(len(s.hashes)))]))
                 held += len(parts[-1][0])
@@ -168,6 +194,7 @@ def vocabulary(counts: DataFrame, documents: int, known: int = KNOWN, own_classe
         all_tokens + documents,
         all_words + (documents > 0),
         own_classes,
+        places_of(word[order]),
     )
 
 
@@ -217,10 +244,24 @@ def lattice(classes: np.ndarray, lengths: np.ndarray) -> Lattice:
     return Lattice(laid, starts, active, order, ranks)
 
 
-def forward(model: Model, x: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward probabilities, their scales, and the emissions of each token."""
-    emitted = np.ascontiguousarray(model.emit.T).take(x.classes, axis=0)
-    alpha, scale = np.empty_like(emitted), np.empty(len(x.classes), emitted.dtype)
+class Room:
+    """Arrays that lattice after lattice uses again: to get new ones of this size takes about as long as to fill them."""
+
+    def __init__(self) -> None:
+        self.held: dict[str, np.ndarray] = {}
+
+    def array(self, name: str, shape: tuple[int, ...], dtype: np.dtype) -> np.ndarray:
+        size = int(np.prod(shape))
+        if name not in self.held or self.held[name].size < size or self.held[name].dtype != dtype:
+            self.held[name] = np.empty(size, dtype)
+        return self.held[name][:size].reshape(shape)
+
+
+def forward(model: Model, x: Lattice, room: Room) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Scaled forward probabilities, their scales, and the emissions of each token: in the room, so until its next use."""
+    shape, kind = (len(x.classes), len(model.start)), model.emit.dtype
+    emitted, alpha, scale = room.array("emitted", shape, kind), room.array("alpha", shape, kind), room.array("scale", shape[:1], kind)
+    np.take(np.ascontiguousarray(model.emit.T), x.classes, axis=0, out=emitted, mode="clip")  # else numpy fills a copy first
     ones = np.ones(len(model.start), emitted.dtype)
     # a long text has many steps of few texts, so each step is four calls that write where their result stays
     before = None
@@ -237,9 +278,9 @@ def forward(model: Model, x: Lattice) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return alpha, scale, emitted
 
 
-def log10_likelihood(model: Model, x: Lattice) -> np.ndarray:
+def log10_likelihood(model: Model, x: Lattice, room: Room | None = None) -> np.ndarray:
     """Of each text, in the order given to ``lattice``."""
-    _, scale, _ = forward(model, x)
+    _, scale, _ = forward(model, x, room or Room())
     out = np.empty(len(x.order))
     out[x.order] = np.bincount(x.rank, np.log10(scale), len(x.order))
     return out
@@ -250,13 +291,15 @@ def expected(model: Model, x: Lattice) -> Model:
     return expected_and_likelihood(model, x)[0]
 
 
-def expected_and_likelihood(model: Model, x: Lattice) -> tuple[Model, float]:
+def expected_and_likelihood(model: Model, x: Lattice, room: Room | None = None) -> tuple[Model, float]:
     """The expected counts, and the log10 likelihood of all texts."""
-    alpha, scale, emitted = forward(model, x)
+    room = room or Room()
+    alpha, scale, emitted = forward(model, x, room)
     emitted /= scale[:, None]
     states = len(model.start)
     back = model.move.T.copy()
-    beta = np.ones_like(emitted)
+    beta = room.array("beta", emitted.shape, emitted.dtype)
+    beta.fill(1.0)
     starts, active = x.starts.tolist(), x.active.tolist()
     for t in range(len(starts) - 1, 0, -1):
         start, n, before = starts[t], active[t], starts[t - 1]
@@ -269,13 +312,15 @@ def expected_and_likelihood(model: Model, x: Lattice) -> tuple[Model, float]:
     for at in range(0, len(follows), MOVES_AT_ONCE):
         part = follows[at : at + MOVES_AT_ONCE]
         moves += alpha.take(part, axis=0).T @ emitted[active[0] + at : active[0] + at + len(part)]
-    gamma = np.multiply(alpha, beta, out=beta)
-    emits = np.zeros((states, model.emit.shape[1]))
-    for at in range(0, len(gamma), EMITS_AT_ONCE):
-        weights = gamma[at : at + EMITS_AT_ONCE].T.astype(np.float64, order="C")
+    emits, weights = np.zeros((states, model.emit.shape[1])), np.empty((states, EMITS_AT_ONCE))
+    for at in range(0, len(alpha), EMITS_AT_ONCE):
+        part = slice(at, min(at + EMITS_AT_ONCE, len(alpha)))
+        now = weights[:, : part.stop - at]
+        np.multiply(alpha[part].T, beta[part].T, out=now)
         for k in range(states):
-            emits[k] += np.bincount(x.classes[at : at + EMITS_AT_ONCE], weights[k], emits.shape[1])
-    return Model(gamma[: active[0]].sum(axis=0), moves * model.move, emits), float(np.log10(scale, dtype=np.float64).sum())
+            emits[k] += np.bincount(x.classes[part], now[k], emits.shape[1])
+    first = alpha[: active[0]] * beta[: active[0]]
+    return Model(first.sum(axis=0), moves * model.move, emits), float(np.log10(scale, dtype=np.float64).sum())
 
 
 def updated(counts: Model) -> Model:
@@ -317,7 +362,7 @@ def encoded(training: DataFrame, v: Vocabulary) -> DataFrame:
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for batch in batches:
-            for s in W.word_slices(batch.column("text"), lower=True):
+            for s in W.word_slices(batch.column("text"), lower=True, slice_bytes=W.SMALL_SLICE_BYTES):
                 classes, lengths, _, _ = _classes(s, v)
                 keys = W.mixed(W.span_hashes(s.data, s.offsets[:-1], s.offsets[1:]))
                 home = (keys % np.uint64(BLOCKS)).astype(np.int64)
@@ -383,10 +428,10 @@ def expected_over(sequences: DataFrame, v: Vocabulary, model: Model) -> tuple[Mo
     wide = v.size >= 1 << 16
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, cells = shared.value, None
+        model, cells, room = shared.value, None, Room()
         for classes, lengths in _sequences(batches, wide):
             for _, x in by_length(classes, lengths, len(model.start)):
-                found, likelihood = expected_and_likelihood(model, x)
+                found, likelihood = expected_and_likelihood(model, x, room)
                 flat = np.concatenate([*[part.ravel() for part in found], [likelihood, len(x.classes)]])
                 cells = flat if cells is None else cells + flat
         if cells is not None:
@@ -479,7 +524,7 @@ def scored(
         for batch in batches:
             parts: list[list[np.ndarray]] = [[] for _ in range(6)]
             waiting: list[tuple[np.ndarray, np.ndarray]] = []
-            for s in W.word_slices(batch.column("text"), lower=True):
+            for s in W.word_slices(batch.column("text"), lower=True, slice_bytes=W.SMALL_SLICE_BYTES):
                 classes, lengths, place, kind = _classes(s, v)
                 n, known = s.last - s.first, place >= 0
                 logs = np.where(known, log_counts[place], 0.0) if len(v.words) else np.zeros(len(place))
@@ -508,7 +553,7 @@ def scored(
         """Each text's words outside the known ones: (key of the text, word, times)."""
         _, v = shared.value
         for batch in batches:
-            for s in W.word_slices(batch.column("text"), lower=True):
+            for s in W.word_slices(batch.column("text"), lower=True, slice_bytes=W.SMALL_SLICE_BYTES):
                 others = np.flatnonzero(v.find(s.hashes) < 0)
                 if not len(others):
                     continue
@@ -552,7 +597,7 @@ def scored(
 
 def _chain(model: Model, waiting: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     classes, lengths = (np.concatenate(parts) for parts in zip(*waiting, strict=True))
-    out = np.empty(len(lengths))
+    out, room = np.empty(len(lengths)), Room()
     for own, x in by_length(classes, lengths, len(model.start)):
-        out[own] = log10_likelihood(model, x)
+        out[own] = log10_likelihood(model, x, room)
     return out

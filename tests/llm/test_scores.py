@@ -374,3 +374,26 @@ def test_few_labelled_rows_make_few_files(spark, small_docs, small):
         for name, value in before.items():
             spark.conf.set(name, value)
     assert stored.count() > 40 and len(stored.inputFiles()) == 1
+
+
+def test_words_are_found_whatever_bits_they_share():
+    words = np.array([0, 1, 5, (1 << 46) - 1, 1 << 46, 3 << 46, (3 << 46) + 7, (1 << 64) - 2, (1 << 64) - 1], np.uint64)
+    none = np.zeros(len(words), np.int64)
+    v = hmm.Vocabulary(words, none, none, none, none, 0, 0, 0, 0, hmm.places_of(words))
+    others = np.array([2, (1 << 46) - 2, 2 << 46, (3 << 46) + 1, (1 << 64) - 3], np.uint64)
+    assert v.find(np.concatenate((words, others))).tolist() == [*range(9), -1, -1, -1, -1, -1]
+
+
+def test_lattices_use_the_same_arrays():
+    random = np.random.default_rng(4)
+    lengths = random.integers(1, 400, 300)
+    model = hmm.Model(*[part.astype(np.float32) for part in model_of(random, 12, 3000)])
+    x, room = hmm.lattice(random.integers(0, 3000, int(lengths.sum())), lengths), hmm.Room()
+    first = hmm.expected_and_likelihood(model, x, room)
+    tracemalloc.start()
+    again = hmm.expected_and_likelihood(model, x, room)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # less than the forward and the backward probabilities of all tokens
+    assert most < 2 * 4 * 12 * len(x.classes)
+    assert first[1] == again[1] and all((a == b).all() for a, b in zip(first[0], again[0], strict=True))

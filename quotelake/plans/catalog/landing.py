@@ -10,7 +10,7 @@ from quotelake.plans.bronze import land_prices
 from quotelake.plans.catalog.registry import query
 from quotelake.session import work_folder
 from quotelake.sources.files import read_bronze, read_log_lines, scan_files
-from quotelake.sources.sinks import convert_files, export_per_ticker, save_raw
+from quotelake.sources.sinks import convert_files, export_per_ticker, read_per_ticker, save_raw
 
 
 @query("SELECT event_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
@@ -143,7 +143,7 @@ def per_ticker_export(spark, folder):
     copies = bars.where(F.dayofmonth("date") == 1)
     export_per_ticker(bars.unionAll(copies), tb.master(spark, folder), path)
     schema = "ticker string, date date, open double, high double, low double, close double, volume bigint, sector string, industry string"
-    return spark.read.schema(schema).parquet(path)
+    return read_per_ticker(spark, path, schema)
 
 
 @query("""SELECT 'bronze' AS stage, CAST((SELECT count(*) FROM events) AS BIGINT) AS rows, CAST(1 AS BIGINT) AS files

@@ -18,6 +18,8 @@ from quotelake.schemas import TableSpec
 from quotelake.sources import commits
 
 SILVER_PARTITIONS = ("ticker", "year")
+LISTING_TASKS = 64
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -158,6 +160,16 @@ def export_per_ticker(prices: DataFrame, master: DataFrame, path: str) -> int:
     return counter.get["rows"]
 
 
+def read_per_ticker(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What ``export_per_ticker`` wrote. Its folders are listed by LISTING_TASKS tasks; else each folder is one, up to 10,000."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(LISTING_TASKS))
+    try:
+        return spark.read.schema(schema).parquet(path)
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def convert_files(spark: SparkSession, source: str, source_format: str, target: str, target_format: str) -> None:
     """CSV to Parquet or back. A CSV source needs a header; its types are inferred."""
     for name in (source_format, target_format):

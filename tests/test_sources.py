@@ -151,6 +151,22 @@ def test_export_per_ticker(spark, rows, tmp_path):
     assert rows(got, "ticker", "close", "sector") == [("A", 1.0, "tech"), ("A", 2.0, "tech"), ("B", 3.0, None)]
 
 
+def test_exported_folders_are_listed_by_few_tasks(spark, tmp_path):
+    path = str(tmp_path / "out")
+    tickers = spark.range(100).select(F.concat(F.lit("t"), "id").alias("ticker"), F.col("id").cast("double").alias("close"))
+    tickers.coalesce(1).write.partitionBy("ticker").parquet(path)
+    before = spark.conf.get(sinks._LISTING)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        got = sinks.read_per_ticker(spark, path, "ticker string, close double")
+        tracker = spark.sparkContext.statusTracker()
+        stages = [tracker.getStageInfo(k) for job in tracker.getJobIdsForGroup("listing") for k in tracker.getJobInfo(job).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and all(s.numTasks <= sinks.LISTING_TASKS for s in stages)
+    assert spark.conf.get(sinks._LISTING) == before and got.count() == 100 and got.columns == ["close", "ticker"]
+
+
 def test_four_decimals_keep_nulls(spark):
     df = spark.createDataFrame([(1.23456, None, 3)], "x double, y double, n int")
     assert tuple(sinks.four_decimals(df).head()) == ("1.2346", None, 3)

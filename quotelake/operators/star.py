@@ -204,20 +204,14 @@ def denormalised(
     """Inner star join with the attributes of all four dimensions in front of the measures."""
     measures = [c for c in fact.columns if c not in FOREIGN_KEYS]
     parts = ("Year", "Quarter", "Month", "Week", "Day")
+    # The day is made from text, once per member of the dimension and not once per fact.
+    days = dates.select("DateId", date_from_parts(F.col("Year"), F.col("Month"), F.col("Day")).alias("DateKey"), *parts)
     return (
-        fact.join(broadcast_if_small(dates), "DateId")
+        fact.join(broadcast_if_small(days), "DateId")
         .join(broadcast_if_small(tickers.select("TickerId", "Symbol", "Name")), "TickerId")
         .join(broadcast_if_small(sectors), "SectorId")
         .join(broadcast_if_small(industries), "IndustryId")
-        .select(
-            date_from_parts(F.col("Year"), F.col("Month"), F.col("Day")).alias("DateKey"),
-            *parts,
-            "Symbol",
-            "Name",
-            "Sector",
-            "Industry",
-            *measures,
-        )
+        .select("DateKey", *parts, "Symbol", "Name", "Sector", "Industry", *measures)
     )
 
 

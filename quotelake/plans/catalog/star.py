@@ -97,6 +97,11 @@ def dimensions(spark, folder):
     return [materialised(dim, "dimension") for dim in (star.dim_ticker(m), star.dim_sector(m), star.dim_industry(m))]
 
 
+def stored_dates(bars):
+    """The date dimension, stored like the others: it is counted before it is joined."""
+    return materialised(star.dim_date(bars), "dimension")
+
+
 def lookup(dims):
     return star.ticker_keys(*dims)
 
@@ -238,7 +243,7 @@ def date_get_or_insert(spark, folder):
 def star_prices(spark, folder):
     bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
     facts = star.fact_prices(price_history(bars), lookup(dims))
-    dates = star.dim_date(bars)
+    dates = stored_dates(bars)
     return star.export_order(star.denormalised(facts, dates, *dims))
 
 
@@ -246,7 +251,7 @@ def star_prices(spark, folder):
 def star_indicators(spark, folder):
     bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
     facts = star.fact_technical(technical(bars), lookup(dims))
-    dates = star.dim_date(bars)
+    dates = stored_dates(bars)
     return star.export_order(star.denormalised(facts, dates, *dims))
 
 
@@ -258,7 +263,7 @@ def csv_export_format(spark, folder):
     """Export rows with four decimals."""
     bars, dims = stored_bars(spark, folder), dimensions(spark, folder)
     facts = star.fact_prices(price_history(bars), lookup(dims))
-    dates = star.dim_date(bars)
+    dates = stored_dates(bars)
     return four_decimals(star.denormalised(facts, dates, *dims))
 
 

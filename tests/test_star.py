@@ -89,6 +89,15 @@ def test_star_joins_broadcast_checked_dimensions(spark, master):
     )
 
 
+def test_day_of_the_star_is_made_per_date_and_not_per_fact(spark, master):
+    p = prices(spark, ("A", D(2024, 1, 2), 1.0), ("B", D(2024, 1, 2), 2.0))
+    t, s, i = dims(master)
+    joined = star.denormalised(star.fact_prices(p, star.ticker_keys(t, s, i)), star.dim_date(p), t, s, i)
+    # What stands before the first broadcast runs on facts: the joins and the output, with no text of a date.
+    on_facts = plan(joined).split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in on_facts and "DateKey" in on_facts and "format_string" not in on_facts
+
+
 def test_date_from_parts(spark):
     df = spark.createDataFrame([(2024, 2, 29), (2023, 2, 29), (None, 1, 1)], "y int, m int, d int")
     assert [r[0] for r in df.select(date_from_parts(F.col("y"), F.col("m"), F.col("d"))).collect()] == [
